@@ -242,3 +242,281 @@ def q_time_split(spark, sf_dir):
                       F.min("SEASON").alias("first_season"),
                       F.max("SEASON").alias("last_season")).select(F.lit(name).alias("split"), "*")
     return round6(summary(train, "train").unionByName(summary(test, "test")))
+
+
+# ---- A: profiling aggregates ---------------------------------------------------
+
+from .operators import metrics, profile  # noqa: E402
+
+CLEAN_SQL = O.with_(O.GAMES_RAW, O.CLEAN)
+FEAT_SQL = O.with_(O.GAMES_RAW, O.CLEAN, O.LONG, O.TEAMFEAT, O.H2H, O.ELO, O.FEATURES, O.WARM)
+
+
+@register("label_distribution", CLEAN_SQL + """
+SELECT CAST(HOME_TEAM_WINS AS INT) AS label,
+       CASE WHEN HOME_TEAM_WINS = 1 THEN 'home win' ELSE 'away win' END AS outcome,
+       round(count(*) / sum(count(*)) OVER (), 6) AS share
+FROM clean GROUP BY HOME_TEAM_WINS""")
+def q_label_distribution(spark, sf_dir):
+    return round6(profile.label_distribution(clean_games(spark, sf_dir)))
+
+
+@register("season_summary", CLEAN_SQL + """
+SELECT SEASON, CAST(count(*) AS BIGINT) AS games, round(avg(HOME_TEAM_WINS), 6) AS home_win_rate
+FROM clean GROUP BY SEASON""")
+def q_season_summary(spark, sf_dir):
+    return round6(profile.season_summary(clean_games(spark, sf_dir)))
+
+
+def _null_profile_sql(cols: list[str], table: str) -> str:
+    sel = ", ".join(f"avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) AS {c}" for c in cols)
+    return (f"SELECT name AS \"column\", round(null_share, 6) AS null_share FROM "
+            f"(UNPIVOT (SELECT {sel} FROM {table}) ON {', '.join(cols)} INTO NAME name VALUE null_share)")
+
+
+@register("null_profile", FEAT_SQL + _null_profile_sql(FEATURE_OUT, "features"))
+def q_null_profile(spark, sf_dir):
+    return round6(profile.null_profile(feature_table(spark, sf_dir)))
+
+
+@register("games_extent", CLEAN_SQL + """
+SELECT CAST(count(*) AS BIGINT) AS games, min(SEASON) AS first_season, max(SEASON) AS last_season,
+       min(GAME_DATE_EST) AS first_date, max(GAME_DATE_EST) AS last_date,
+       CAST(count(DISTINCT SEASON) AS BIGINT) AS seasons FROM clean""")
+def q_games_extent(spark, sf_dir):
+    return profile.games_extent(clean_games(spark, sf_dir))
+
+
+@register("points_summary", CLEAN_SQL + """
+SELECT round(avg(PTS_home), 6) AS mean_pts_home, round(avg(PTS_away), 6) AS mean_pts_away FROM clean""")
+def q_points_summary(spark, sf_dir):
+    return round6(profile.points_summary(clean_games(spark, sf_dir)))
+
+
+def _hist_sql(side: str, c: str) -> str:
+    return f"""
+SELECT '{side}' AS side, bin, {O.rnd('lo + bin * width', 'lo')}, {O.rnd('lo + (bin + 1) * width', 'hi')},
+       CAST(count(*) AS BIGINT) AS count, {O.rnd('count(*) / (n * width)', 'density')}
+FROM (
+  SELECT CAST(least(bins - 1, floor(({c} - lo) * (bins / span))) AS INT) AS bin, lo, width, n
+  FROM clean, (
+    SELECT *, span / bins AS width FROM (
+      SELECT *, CAST(ceil(span / CASE WHEN fd > 0 THEN least(fd, sturges) ELSE sturges END) AS INT) AS bins
+      FROM (
+        SELECT n, lo, hi - lo AS span, (hi - lo) / (log2(n) + 1.0) AS sturges,
+               2.0 * (q3 - q1) * pow(n, -1.0 / 3.0) AS fd
+        FROM (SELECT count({c}) AS n, min({c}) AS lo, max({c}) AS hi,
+                     quantile_cont({c}, 0.25::DOUBLE) AS q1, quantile_cont({c}, 0.75::DOUBLE) AS q3 FROM clean))))
+  WHERE {c} IS NOT NULL)
+GROUP BY bin, lo, width, n"""
+
+
+@register("points_histogram", CLEAN_SQL + _hist_sql("home", "PTS_home") + "\nUNION ALL\n" + _hist_sql("away", "PTS_away"))
+def q_points_histogram(spark, sf_dir):
+    return round6(profile.points_histogram(clean_games(spark, sf_dir)))
+
+
+def _kde_sql(side: str, c: str) -> str:
+    return f"""
+SELECT '{side}' AS side, CAST(i AS INT) AS grid_idx, {O.rnd('start + i * step', 'x')},
+       {O.rnd('sum(k * exp(-0.5 * ((start + i * step - v) / bw) * ((start + i * step - v) / bw))) / (n * bw * sqrt(2 * pi()))', 'density')}
+FROM (SELECT {c} AS v, count(*) AS k FROM clean WHERE {c} IS NOT NULL GROUP BY {c}) vc,
+     (SELECT *, (stop - start) / 199 AS step FROM (
+        SELECT *, lo - 3.0 * bw AS start, hi + 3.0 * bw AS stop FROM (
+          SELECT n, lo, hi, sd * pow(n, -0.2) AS bw FROM (
+            SELECT count({c}) AS n, stddev_samp({c}) AS sd, min({c}) AS lo, max({c}) AS hi FROM clean)))) st,
+     range(0, 200) g(i)
+GROUP BY i, start, step, n, bw"""
+
+
+@register("points_kde", CLEAN_SQL + _kde_sql("home", "PTS_home") + "\nUNION ALL\n" + _kde_sql("away", "PTS_away"))
+def q_points_kde(spark, sf_dir):
+    return round6(profile.points_kde(clean_games(spark, sf_dir)))
+
+
+FEATURES_43 = features.feature_names()
+
+
+def _corr_sql() -> str:
+    sel = ", ".join(f"corr(CAST({c} AS DOUBLE), CAST(HOME_TEAM_WINS AS DOUBLE)) AS {c}" for c in FEATURES_43)
+    return (f"SELECT feature, {O.rnd('r', 'r')} FROM (UNPIVOT (SELECT {sel} FROM features) ON {', '.join(FEATURES_43)} "
+            f"INTO NAME feature VALUE r) WHERE r IS NOT NULL AND NOT isnan(r) "
+            f"ORDER BY abs(r) DESC, feature LIMIT {config.TOP_CORRELATIONS}")
+
+
+@register("feature_correlation", FEAT_SQL + _corr_sql())
+def q_feature_correlation(spark, sf_dir):
+    return round6(profile.feature_correlation(feature_table(spark, sf_dir), FEATURES_43))
+
+
+def _linspace_sql(q: int = 10) -> str:
+    import numpy as np
+    return "[" + ", ".join(f"{float(p)!r}::DOUBLE" for p in np.linspace(0, 1, q + 1)) + "]"
+
+
+@register("decile_rate", FEAT_SQL + f"""
+, d AS (SELECT diff_season_winrate AS x, HOME_TEAM_WINS AS y FROM features WHERE diff_season_winrate IS NOT NULL),
+e AS (SELECT list_sort(list_distinct(quantile_cont(x, {_linspace_sql()}))) AS edges FROM d)
+SELECT bin, {O.rnd('edges[bin]', 'lo')}, {O.rnd('edges[bin + 1]', 'hi')}, CAST(count(*) AS BIGINT) AS games,
+       {O.rnd('avg(y)', 'home_win_rate')}
+FROM (SELECT CAST(greatest(len(list_filter(edges, lambda v: v < x)), 1) AS INT) AS bin, y, edges FROM d, e)
+GROUP BY bin, edges""")
+def q_decile_rate(spark, sf_dir):
+    return round6(profile.decile_rate(feature_table(spark, sf_dir)))
+
+
+@register("first_games", CLEAN_SQL + """
+SELECT team, GAME_ID, GAME_DATE_EST FROM (
+  SELECT team, GAME_ID, GAME_DATE_EST FROM (
+    SELECT HOME_TEAM_ID AS team, GAME_ID, GAME_DATE_EST FROM clean
+    UNION ALL SELECT VISITOR_TEAM_ID, GAME_ID, GAME_DATE_EST FROM clean)
+  QUALIFY row_number() OVER (PARTITION BY team ORDER BY GAME_DATE_EST, GAME_ID) = 1)""")
+def q_first_games(spark, sf_dir):
+    return profile.first_games(clean_games(spark, sf_dir))
+
+
+@register("first_games_anti", CLEAN_SQL + """
+SELECT GAME_ID, GAME_DATE_EST, HOME_TEAM_ID, VISITOR_TEAM_ID FROM clean
+WHERE GAME_ID NOT IN (
+  SELECT GAME_ID FROM (
+    SELECT HOME_TEAM_ID AS team, GAME_ID, GAME_DATE_EST FROM clean
+    UNION ALL SELECT VISITOR_TEAM_ID, GAME_ID, GAME_DATE_EST FROM clean)
+  QUALIFY row_number() OVER (PARTITION BY team ORDER BY GAME_DATE_EST, GAME_ID) = 1)""")
+def q_first_games_anti(spark, sf_dir):
+    return profile.not_first_games(clean_games(spark, sf_dir)).select(
+        "GAME_ID", "GAME_DATE_EST", "HOME_TEAM_ID", "VISITOR_TEAM_ID")
+
+
+# ---- E / R4: evaluation with the Elo probability as the scorer -------------------
+
+SCORED_SQL = FEAT_SQL + f""", sc AS (
+  SELECT HOME_TEAM_WINS AS y, elo_prob_home AS prob, GAME_ID FROM warm WHERE SEASON >= {config.TEST_SEASON_START})
+"""
+
+
+def elo_scored(spark, sf_dir):
+    warm = features.warmup_drop(feature_table(spark, sf_dir))
+    _, test = features.time_split(warm)
+    return test.select(F.col(config.LABEL).alias("y"), F.col("elo_prob_home").alias("prob"), "GAME_ID")
+
+
+_EPS = repr(metrics.EPS)
+
+
+@register("classification_metrics", SCORED_SQL + f"""
+, g AS (SELECT prob AS score, sum(y) AS pos, sum(1 - y) AS neg FROM sc GROUP BY prob),
+r AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cum_neg,
+             least(greatest(score, {_EPS}), 1.0 - {_EPS}) AS p FROM g),
+a AS (SELECT sum(CASE WHEN score >= 0.5 THEN pos ELSE 0 END) AS tp, sum(CASE WHEN score >= 0.5 THEN neg ELSE 0 END) AS fp,
+             sum(CASE WHEN score >= 0.5 THEN 0 ELSE pos END) AS fn, sum(CASE WHEN score >= 0.5 THEN 0 ELSE neg END) AS tn,
+             sum(pos * (cum_neg + 0.5 * neg)) AS auc_num, sum(pos * -ln(p) + neg * -ln(1.0 - p)) AS ll FROM r)
+SELECT CAST(tp + fp + fn + tn AS BIGINT) AS n, {O.rnd('(tp + tn) / (tp + fp + fn + tn)', 'accuracy')},
+       {O.rnd('coalesce(tp / nullif(tp + fp, 0), 0.0)', 'precision')},
+       {O.rnd('coalesce(tp / nullif(tp + fn, 0), 0.0)', 'recall')},
+       {O.rnd('coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0.0)', 'f1')},
+       {O.rnd('auc_num / ((tp + fn) * (fp + tn))', 'roc_auc')}, {O.rnd('ll / (tp + fp + fn + tn)', 'log_loss')},
+       CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, CAST(tn AS BIGINT) AS tn
+FROM a""")
+def q_classification_metrics(spark, sf_dir):
+    return round6(metrics.classification_metrics(elo_scored(spark, sf_dir)))
+
+
+@register("confusion_matrix", SCORED_SQL + """
+SELECT a AS actual, b AS predicted,
+       CAST((SELECT count(*) FROM sc WHERE y = a AND CAST(prob >= 0.5 AS INT) = b) AS BIGINT) AS count
+FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) t(a, b)""")
+def q_confusion_matrix(spark, sf_dir):
+    return metrics.confusion_matrix(elo_scored(spark, sf_dir))
+
+
+@register("roc_points", SCORED_SQL + """
+, g AS (SELECT prob AS score, sum(y) AS pos, sum(1 - y) AS neg FROM sc GROUP BY prob),
+c AS (SELECT score, sum(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tp,
+             sum(neg) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fp,
+             row_number() OVER (ORDER BY score DESC) - 1 AS i FROM g),
+t AS (SELECT sum(pos) AS P, sum(neg) AS N, count(*) AS m FROM g),
+k AS (SELECT c.*, lag(tp) OVER (ORDER BY i) AS tp_prev, lead(tp) OVER (ORDER BY i) AS tp_next,
+             lag(fp) OVER (ORDER BY i) AS fp_prev, lead(fp) OVER (ORDER BY i) AS fp_next FROM c)
+SELECT CAST(NULL AS DOUBLE) AS threshold, 0.0 AS fpr, 0.0 AS tpr
+UNION ALL
+SELECT round(score, 6) + 0.0, round(fp / N, 6) + 0.0, round(tp / P, 6) + 0.0 FROM k, t
+WHERE i = 0 OR i = m - 1 OR (fp_next - 2 * fp + fp_prev) <> 0 OR (tp_next - 2 * tp + tp_prev) <> 0""")
+def q_roc_points(spark, sf_dir):
+    return round6(metrics.roc_points(elo_scored(spark, sf_dir)))
+
+
+@register("roc_auc", SCORED_SQL + """
+, g AS (SELECT prob AS score, sum(y) AS pos, sum(1 - y) AS neg FROM sc GROUP BY prob),
+r AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cum_neg FROM g)
+SELECT round(sum(pos * (cum_neg + 0.5 * neg)) / (sum(pos) * sum(neg)), 6) + 0.0 AS roc_auc FROM r""")
+def q_roc_auc(spark, sf_dir):
+    return round6(metrics.classification_metrics(elo_scored(spark, sf_dir)).select("roc_auc"))
+
+
+def _inner_edges_sql() -> str:
+    import numpy as np
+    return "[" + ", ".join(f"{float(e)!r}::DOUBLE" for e in np.linspace(0, 1, config.CALIBRATION_BINS + 1)[1:-1]) + "]"
+
+
+@register("calibration", SCORED_SQL + f"""
+SELECT CAST(len(list_filter({_inner_edges_sql()}, lambda e: e < prob)) AS INT) AS bin,
+       {O.rnd('avg(prob)', 'mean_predicted')}, {O.rnd('avg(CAST(y AS DOUBLE))', 'fraction_positive')},
+       CAST(count(*) AS BIGINT) AS count
+FROM sc GROUP BY 1""")
+def q_calibration(spark, sf_dir):
+    return round6(metrics.calibration(elo_scored(spark, sf_dir)))
+
+
+@register("baselines", FEAT_SQL + f"""
+, tr AS (SELECT avg(HOME_TEAM_WINS) AS rate FROM warm WHERE SEASON < {config.TEST_SEASON_START}),
+te AS (SELECT HOME_TEAM_WINS AS y FROM warm WHERE SEASON >= {config.TEST_SEASON_START}),
+base AS (SELECT 'always_home' AS model, 1 AS pred UNION ALL
+         SELECT 'majority_class', CAST(round_even((SELECT rate FROM tr), 0) AS INT)),
+cnt AS (SELECT model, sum(CASE WHEN y = 1 AND pred = 1 THEN 1 ELSE 0 END) AS tp,
+               sum(CASE WHEN y = 0 AND pred = 1 THEN 1 ELSE 0 END) AS fp,
+               sum(CASE WHEN y = 1 AND pred = 0 THEN 1 ELSE 0 END) AS fn,
+               sum(CASE WHEN y = 0 AND pred = 0 THEN 1 ELSE 0 END) AS tn,
+               avg(-(y * ln(least(greatest(rate, {_EPS}), 1.0 - {_EPS})) + (1 - y) * ln(1.0 - least(greatest(rate, {_EPS}), 1.0 - {_EPS})))) AS ll
+        FROM base, te, tr GROUP BY model)
+SELECT model, CAST(tp + fp + fn + tn AS BIGINT) AS n, {O.rnd('(tp + tn) / (tp + fp + fn + tn)', 'accuracy')},
+       {O.rnd('coalesce(tp / nullif(tp + fp, 0), 0.0)', 'precision')},
+       {O.rnd('coalesce(tp / nullif(tp + fn, 0), 0.0)', 'recall')},
+       {O.rnd('coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0.0)', 'f1')},
+       0.5 AS roc_auc, {O.rnd('ll', 'log_loss')},
+       CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, CAST(tn AS BIGINT) AS tn
+FROM cnt""")
+def q_baselines(spark, sf_dir):
+    warm = features.warmup_drop(feature_table(spark, sf_dir))
+    train, test = features.time_split(warm)
+    return round6(metrics.baselines(train, test))
+
+
+@register("elo_baseline", SCORED_SQL + """
+SELECT GAME_ID, round(prob, 6) + 0.0 AS home_win_prob, round(1.0 - prob, 6) + 0.0 AS away_win_prob,
+       CASE WHEN prob >= 0.5 THEN 'home' ELSE 'away' END AS predicted_winner, y AS actual FROM sc""")
+def q_elo_baseline(spark, sf_dir):
+    from .functions import columns as C
+    s = elo_scored(spark, sf_dir)
+    return round6(s.select("GAME_ID", F.col("prob").alias("home_win_prob"),
+                           (F.lit(1.0) - F.col("prob")).alias("away_win_prob"),
+                           C.winner_name("prob").alias("predicted_winner"), F.col("y").alias("actual")))
+
+
+@register("elo_expected", O.with_(O.GAMES_RAW, O.CLEAN, O.ELO) + """
+SELECT GAME_ID, round(1.0 / (1.0 + pow(10.0, (away_elo_pre - (home_elo_pre + 100.0)) / 400.0)), 6) + 0.0 AS elo_expected,
+       round(home_elo_pre - away_elo_pre, 6) + 0.0 AS diff_elo FROM elo""")
+def q_elo_expected(spark, sf_dir):
+    from .functions import columns as C
+    e = elo.elo_ratings(clean_games(spark, sf_dir))
+    return round6(e.select("GAME_ID", C.elo_expected("home_elo_pre", "away_elo_pre").alias("elo_expected"),
+                           (F.col("home_elo_pre") - F.col("away_elo_pre")).alias("diff_elo")))
+
+
+@register("season_label", CLEAN_SQL + """
+SELECT s AS season, concat(CAST(s AS VARCHAR), '-', lpad(CAST((s + 1) % 100 AS VARCHAR), 2, '0')) AS season_label
+FROM (SELECT DISTINCT SEASON AS s FROM clean UNION SELECT DISTINCT SEASON + 100 FROM clean)""")
+def q_season_label(spark, sf_dir):
+    from .functions import columns as C
+    seasons = clean_games(spark, sf_dir).select(F.col("SEASON").alias("season"))
+    seasons = seasons.unionByName(seasons.select((F.col("season") + 100).alias("season"))).distinct()
+    return seasons.select("season", C.season_label("season").alias("season_label"))
