@@ -520,3 +520,204 @@ def q_season_label(spark, sf_dir):
     seasons = clean_games(spark, sf_dir).select(F.col("SEASON").alias("season"))
     seasons = seasons.unionByName(seasons.select((F.col("season") + 100).alias("season"))).distinct()
     return seasons.select("season", C.season_label("season").alias("season_label"))
+
+
+# ---- J8 / R1 / J5-J7: requests, resolution, as-of features -------------------------
+
+from .operators import ordered, resolve, state  # noqa: E402
+
+ASOF_SQL = O.with_(O.GAMES_RAW, O.CLEAN, O.LONG, O.ELO, O.STATE, O.HYP, O.ASOF)
+ASOF_OUT = ["REQUEST_ID", "GAME_DATE_EST", "SEASON", "HOME_TEAM_ID", "VISITOR_TEAM_ID"] + FEATURES_43
+
+
+def resolved_requests(spark, sf_dir, games):
+    """The per-league requests, resolved through the name path (digits)."""
+    teams = tables.teams_from_tables(spark, sf_dir)
+    req = tables.requests_from_games(games)
+    r = resolve.resolve_names(req, teams, "HOME", "HOME_TEAM_ID")
+    r = resolve.resolve_names(r, teams, "AWAY", "VISITOR_TEAM_ID")
+    return r
+
+
+def scored_requests(spark, sf_dir):
+    g = clean_games(spark, sf_dir)
+    hyp = resolve.hypothetical_games(resolved_requests(spark, sf_dir, g), g)
+    e = elo.elo_ratings(g)
+    return state.asof_features(hyp, state.team_state(g, e), state.pair_state(g))
+
+
+@register("asof_team_state", ASOF_SQL + f"SELECT {O.round_all(ASOF_OUT, FEATURE_DOUBLES)} FROM asof_feat")
+def q_asof_team_state(spark, sf_dir):
+    return round6(scored_requests(spark, sf_dir).select(*ASOF_OUT))
+
+
+@register("hypothetical_games", O.with_(O.GAMES_RAW, O.CLEAN, O.HYP) + """
+SELECT REQUEST_ID, GAME_ID, GAME_DATE_EST, SEASON, HOME_TEAM_ID, VISITOR_TEAM_ID,
+       concat(CAST(SEASON AS VARCHAR), '-', lpad(CAST((SEASON + 1) % 100 AS VARCHAR), 2, '0')) AS season_label
+FROM hyp""")
+def q_hypothetical_games(spark, sf_dir):
+    g = clean_games(spark, sf_dir)
+    return resolve.hypothetical_games(resolved_requests(spark, sf_dir, g), g)
+
+
+KEY_SQL_SIDES = "\nUNION ALL\n".join(
+    f"SELECT REQUEST_ID, '{k}' AS feature, {O.rnd(k, 'value')} FROM asof_feat" for k in config.KEY_FEATURES)
+
+
+@register("key_features", ASOF_SQL + KEY_SQL_SIDES)
+def q_key_features(spark, sf_dir):
+    from .plans import scoring
+    return round6(scoring.key_features(scored_requests(spark, sf_dir)))
+
+
+@register("explain_features", ASOF_SQL + ", kf AS (" + KEY_SQL_SIDES + """)
+SELECT kf.REQUEST_ID, kf.feature, kf.value, coalesce(x.label, kf.feature) AS label, coalesce(x.text, '') AS text
+FROM kf LEFT JOIN (VALUES """ + ", ".join(
+    "('{}', '{}', '{}')".format(k, lab.replace("'", "''"), txt.replace("'", "''"))
+    for k, (lab, txt) in __import__("pregame.plans.scoring", fromlist=["x"]).EXPLANATIONS.items()) + """) x(feature, label, text)
+ON x.feature = kf.feature""")
+def q_explain_features(spark, sf_dir):
+    from .plans import scoring
+    return round6(scoring.explain(scoring.key_features(scored_requests(spark, sf_dir))))
+
+
+NAMES_SQL = O.with_(O.TEAMS) + r"""
+, names AS (
+  SELECT * FROM (VALUES (1, 'customer#000000007'), (2, 't7'), (3, '7'), (6, '00000012'), (7, '#00000001'),
+                        (8, 'nobody')) v(REQUEST_ID, name)
+  UNION ALL SELECT 4, lower(NICKNAME) FROM teams WHERE TEAM_ID = 5
+  UNION ALL SELECT 5, '  ' || lower(CITY) || ' ' FROM teams WHERE TEAM_ID = 3
+), n AS (
+  SELECT REQUEST_ID, name, lower(regexp_replace(name, '^\s+|\s+$', '', 'g')) AS t,
+         regexp_matches(regexp_replace(name, '^\s+|\s+$', '', 'g'), '^[0-9]+$') AS dig FROM names
+), r AS (
+  SELECT REQUEST_ID, name, dig,
+    (SELECT TEAM_ID FROM teams WHERE dig AND TEAM_ID = TRY_CAST(t AS BIGINT)) AS by_id,
+    (SELECT TEAM_ID FROM (
+        SELECT TEAM_ID, 0 AS p FROM teams WHERE lower(FULL_NAME) = t
+        UNION ALL SELECT TEAM_ID, 1 FROM teams WHERE lower(NICKNAME) = t
+        UNION ALL SELECT TEAM_ID, 2 FROM teams WHERE lower(ABBREVIATION) = t
+        UNION ALL SELECT TEAM_ID, 3 FROM teams WHERE lower(CITY) = t) ORDER BY p, TEAM_ID LIMIT 1) AS by_exact,
+    (SELECT min(TEAM_ID) FROM teams WHERE contains(lower(FULL_NAME), t)) AS by_sub
+  FROM n)
+SELECT REQUEST_ID, name,
+  CASE WHEN dig THEN by_id WHEN by_exact IS NOT NULL THEN by_exact ELSE by_sub END AS team_id,
+  CASE WHEN dig THEN (CASE WHEN by_id IS NOT NULL THEN 'id' ELSE 'unresolved' END)
+       WHEN by_exact IS NOT NULL THEN 'exact' WHEN by_sub IS NOT NULL THEN 'contains' ELSE 'unresolved' END AS team_id_how
+FROM r"""
+
+
+def name_requests(spark, teams):
+    lit = spark.createDataFrame(
+        [(1, "customer#000000007"), (2, "t7"), (3, "7"), (6, "00000012"), (7, "#00000001"), (8, "nobody")],
+        "REQUEST_ID int, name string")
+    nick = teams.filter(F.col("TEAM_ID") == 5).select(F.lit(4).alias("REQUEST_ID"),
+                                                      F.lower("NICKNAME").alias("name"))
+    city = teams.filter(F.col("TEAM_ID") == 3).select(
+        F.lit(5).alias("REQUEST_ID"), F.concat(F.lit("  "), F.lower("CITY"), F.lit(" ")).alias("name"))
+    return lit.unionByName(nick).unionByName(city)
+
+
+@register("resolve_team", NAMES_SQL)
+def q_resolve_team(spark, sf_dir):
+    teams = tables.teams_from_tables(spark, sf_dir)
+    return resolve.resolve_names(name_requests(spark, teams), teams, "name", "team_id").select(
+        "REQUEST_ID", "name", "team_id", "team_id_how")
+
+
+@register("team_names", ASOF_SQL + "," + O.TEAMS + """
+SELECT q.REQUEST_ID, coalesce(h.FULL_NAME, CAST(q.HOME_TEAM_ID AS VARCHAR)) AS home_team,
+       coalesce(a.FULL_NAME, CAST(q.VISITOR_TEAM_ID AS VARCHAR)) AS away_team
+FROM hyp q LEFT JOIN teams h ON h.TEAM_ID = q.HOME_TEAM_ID LEFT JOIN teams a ON a.TEAM_ID = q.VISITOR_TEAM_ID""")
+def q_team_names(spark, sf_dir):
+    g = clean_games(spark, sf_dir)
+    hyp = resolve.hypothetical_games(resolved_requests(spark, sf_dir, g), g)
+    teams = tables.teams_from_tables(spark, sf_dir)
+    out = resolve.team_names(hyp, teams, "HOME_TEAM_ID", "home_team")
+    out = resolve.team_names(out, teams, "VISITOR_TEAM_ID", "away_team")
+    return out.select("REQUEST_ID", "home_team", "away_team")
+
+
+@register("conform_teams", O.with_(O.TEAMS) + "SELECT * FROM teams")
+def q_conform_teams(spark, sf_dir):
+    raw = tables.teams_from_tables(spark, sf_dir).select(
+        F.col("TEAM_ID").alias("id"), F.col("ABBREVIATION").alias("abbreviation"),
+        F.col("NICKNAME").alias("nickname"), F.col("CITY").alias("city"),
+        F.col("FULL_NAME").alias("full_name"))
+    return resolve.conform_teams(raw)
+
+
+@register("teams_sorted", O.with_(O.TEAMS) + """
+SELECT TEAM_ID, FULL_NAME, CAST(row_number() OVER (ORDER BY FULL_NAME, TEAM_ID) - 1 AS BIGINT) AS position FROM teams""")
+def q_teams_sorted(spark, sf_dir):
+    t = tables.teams_from_tables(spark, sf_dir).select("TEAM_ID", "FULL_NAME")
+    return ordered.row_index(t, ["FULL_NAME", "TEAM_ID"], "position")
+
+
+@register("games_head", CLEAN_SQL + f"SELECT {O.round_all(GAME_COLS, GAME_DOUBLES)} FROM clean ORDER BY GAME_DATE_EST, GAME_ID LIMIT 5")
+def q_games_head(spark, sf_dir):
+    return round6(clean_games(spark, sf_dir).orderBy("GAME_DATE_EST", "GAME_ID").limit(5))
+
+
+@register("row_index", CLEAN_SQL + """
+SELECT GAME_ID, CAST(row_number() OVER (ORDER BY GAME_DATE_EST, GAME_ID) - 1 AS BIGINT) AS row_idx FROM clean""")
+def q_row_index(spark, sf_dir):
+    return ordered.row_index(clean_games(spark, sf_dir).select("GAME_ID", "GAME_DATE_EST"),
+                             ["GAME_DATE_EST", "GAME_ID"]).select("GAME_ID", "row_idx")
+
+
+@register("time_series_folds", FEAT_SQL + f"""
+, tr AS (SELECT GAME_ID, CAST(row_number() OVER (ORDER BY GAME_DATE_EST, GAME_ID) - 1 AS BIGINT) AS row_idx
+         FROM warm WHERE SEASON < {config.TEST_SEASON_START}),
+sz AS (SELECT count(*) // {config.CV_SPLITS + 1} AS ts, count(*) - {config.CV_SPLITS} * (count(*) // {config.CV_SPLITS + 1}) AS st FROM tr)
+SELECT GAME_ID, row_idx, CAST(CASE WHEN row_idx >= st THEN (row_idx - st) // ts END AS INT) AS test_fold FROM tr, sz""")
+def q_time_series_folds(spark, sf_dir):
+    from .plans import models
+    warm = features.warmup_drop(feature_table(spark, sf_dir))
+    train, _ = features.time_split(warm)
+    return models.time_series_folds(train).select("GAME_ID", "row_idx", "test_fold")
+
+
+def _unpivot_train_sql() -> str:
+    casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in FEATURES_43)
+    return (f", tr AS (SELECT {casts} FROM warm WHERE SEASON < {config.TEST_SEASON_START}),\n"
+            f"u AS (UNPIVOT tr ON {', '.join(FEATURES_43)} INTO NAME feature VALUE value),\n"
+            f"med AS (SELECT feature, quantile_cont(value, 0.5) AS m FROM u GROUP BY feature)\n")
+
+
+@register("impute_median", FEAT_SQL + _unpivot_train_sql() + f"SELECT feature, {O.rnd('m', 'median')} FROM med")
+def q_impute_median(spark, sf_dir):
+    from .plans import models
+    warm = features.warmup_drop(feature_table(spark, sf_dir))
+    train, _ = features.time_split(warm)
+    return round6(models.train_medians(train, FEATURES_43))
+
+
+@register("standardize", FEAT_SQL + _unpivot_train_sql() + f"""
+, imp AS (SELECT {', '.join(f"coalesce({c}, (SELECT m FROM med WHERE feature = '{c}')) AS {c}" for c in FEATURES_43)} FROM tr),
+ui AS (UNPIVOT imp ON {', '.join(FEATURES_43)} INTO NAME feature VALUE value)
+SELECT feature, {O.rnd('avg(value)', 'mean')}, {O.rnd('stddev_pop(value)', 'std')} FROM ui GROUP BY feature""")
+def q_standardize(spark, sf_dir):
+    from .plans import models
+    warm = features.warmup_drop(feature_table(spark, sf_dir))
+    train, _ = features.time_split(warm)
+    med = models.train_medians(train, FEATURES_43)
+    return round6(models.standardization(train, FEATURES_43, med))
+
+
+# ---- L: audits -------------------------------------------------------------------
+
+@register("audit_cold_start", FEAT_SQL + """
+, firsts AS (
+  SELECT team, GAME_ID FROM (
+    SELECT HOME_TEAM_ID AS team, GAME_ID, GAME_DATE_EST FROM clean
+    UNION ALL SELECT VISITOR_TEAM_ID, GAME_ID, GAME_DATE_EST FROM clean)
+  QUALIFY row_number() OVER (PARTITION BY team ORDER BY GAME_DATE_EST, GAME_ID) = 1)
+SELECT CAST(count(*) AS BIGINT) AS teams_checked,
+       CAST(sum(CASE WHEN (CASE WHEN f.team = x.HOME_TEAM_ID THEN x.home_elo_pre ELSE x.away_elo_pre END) <> 1500.0
+                THEN 1 ELSE 0 END) AS BIGINT) AS violations
+FROM firsts f JOIN features x ON x.GAME_ID = f.GAME_ID""")
+def q_audit_cold_start(spark, sf_dir):
+    from .plans import audit
+    g = clean_games(spark, sf_dir)
+    return audit.cold_start(g, features.build_features(g))

@@ -206,3 +206,92 @@ def rnd(expr: str, alias: str) -> str:
 
 def round_all(cols: list[str], doubles: set[str]) -> str:
     return ", ".join(rnd(c, c) if c in doubles else c for c in cols)
+
+
+def _okey(date: str, gid: str) -> str:
+    """(date, id) as one sortable number for DuckDB's ASOF join."""
+    return f"(date_diff('day', DATE '1970-01-01', {date}) * 1000000000 + {gid} + 1)"
+
+
+_WTC = "PARTITION BY l.team ORDER BY l.GAME_DATE_EST, l.GAME_ID"
+_STATE_ROLL = ",\n       ".join(
+    f"avg({s}) OVER ({_WTC} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS "
+    + (f"winrate_last{n}" if s == "win" else f"{s}_last{n}")
+    for n in config.ROLL_WINDOWS for s in ("win", "pts_for", "pts_against", "pt_diff"))
+
+STATE = f"""
+state0 AS (
+SELECT l.team, l.GAME_DATE_EST AS sdate, l.SEASON AS sseason, {_okey('l.GAME_DATE_EST', 'l.GAME_ID')} AS okey,
+       {_STATE_ROLL},
+       list(pt_diff) OVER ({_WTC} ROWS BETWEEN {config.EWMA_FRAME - 1} PRECEDING AND CURRENT ROW) AS _ew,
+       avg(win) OVER (PARTITION BY team, l.SEASON ORDER BY l.GAME_DATE_EST, l.GAME_ID ROWS UNBOUNDED PRECEDING) AS season_winrate,
+       avg(CASE WHEN is_home = 1 THEN win END) OVER (PARTITION BY team, l.SEASON ORDER BY l.GAME_DATE_EST, l.GAME_ID ROWS UNBOUNDED PRECEDING) AS home_venue,
+       avg(CASE WHEN is_home = 0 THEN win END) OVER (PARTITION BY team, l.SEASON ORDER BY l.GAME_DATE_EST, l.GAME_ID ROWS UNBOUNDED PRECEDING) AS away_venue,
+       CASE WHEN is_home = 1 THEN e.home_elo_post ELSE e.away_elo_post END AS elo_post
+FROM long l JOIN (SELECT GAME_ID AS eg, home_elo_post, away_elo_post FROM elo) e ON e.eg = l.GAME_ID
+),
+state AS (SELECT * EXCLUDE (_ew), {_ewma_expr('_ew')} AS form_ptdiff_ewma FROM state0),
+pstate AS (
+SELECT least(HOME_TEAM_ID, VISITOR_TEAM_ID) AS lo, greatest(HOME_TEAM_ID, VISITOR_TEAM_ID) AS hi,
+       {_okey('GAME_DATE_EST', 'GAME_ID')} AS okey,
+       avg(CASE WHEN (CASE WHEN HOME_TEAM_WINS = 1 THEN HOME_TEAM_ID ELSE VISITOR_TEAM_ID END)
+                     = least(HOME_TEAM_ID, VISITOR_TEAM_ID) THEN 1 ELSE 0 END)
+         OVER (PARTITION BY least(HOME_TEAM_ID, VISITOR_TEAM_ID), greatest(HOME_TEAM_ID, VISITOR_TEAM_ID)
+               ORDER BY GAME_DATE_EST, GAME_ID ROWS UNBOUNDED PRECEDING) AS low_rate
+FROM clean
+)"""
+
+# three requests per league: both orders with no date, one with a date
+HYP = f"""
+req AS (
+SELECT LEAGUE * 3 + k AS REQUEST_ID, CASE WHEN k = 1 THEN LEAGUE * 10 + 1 ELSE LEAGUE * 10 END AS HOME_TEAM_ID,
+       CASE WHEN k = 1 THEN LEAGUE * 10 ELSE LEAGUE * 10 + 1 END AS VISITOR_TEAM_ID,
+       CASE WHEN k = 2 THEN DATE '2000-06-15' END AS REQUEST_DATE
+FROM (SELECT DISTINCT LEAGUE FROM clean), range(0, 3) t(k)
+),
+hyp AS (
+SELECT REQUEST_ID, CAST(-1 AS BIGINT) AS GAME_ID,
+       CASE WHEN REQUEST_DATE IS NULL THEN make_date(CAST(ms + 1 AS BIGINT), 10, 21) ELSE REQUEST_DATE END AS GAME_DATE_EST,
+       CAST(CASE WHEN REQUEST_DATE IS NULL THEN ms + 1 ELSE ms END AS INT) AS SEASON,
+       CAST(HOME_TEAM_ID AS BIGINT) AS HOME_TEAM_ID, CAST(VISITOR_TEAM_ID AS BIGINT) AS VISITOR_TEAM_ID
+FROM req, (SELECT max(SEASON) AS ms FROM clean)
+)"""
+
+_SIDE_ENG = ([f"winrate_last{n}" if s == "win" else f"{s}_last{n}"
+              for n in config.ROLL_WINDOWS for s in ("win", "pts_for", "pts_against", "pt_diff")])
+
+ASOF = f"""
+rs AS (
+SELECT REQUEST_ID, HOME_TEAM_ID AS team, 1 AS is_home, GAME_DATE_EST, SEASON, {_okey('GAME_DATE_EST', 'GAME_ID')} AS okey FROM hyp
+UNION ALL
+SELECT REQUEST_ID, VISITOR_TEAM_ID, 0, GAME_DATE_EST, SEASON, {_okey('GAME_DATE_EST', 'GAME_ID')} FROM hyp
+),
+side AS (
+SELECT r.REQUEST_ID, r.is_home, {', '.join('s.' + c for c in _SIDE_ENG)},
+       CAST(date_diff('day', s.sdate, r.GAME_DATE_EST) AS INT) AS rest_days,
+       CAST(CASE WHEN date_diff('day', s.sdate, r.GAME_DATE_EST) = 1 THEN 1 ELSE 0 END AS INT) AS back_to_back,
+       s.form_ptdiff_ewma,
+       CASE WHEN s.sseason = r.SEASON THEN s.season_winrate END AS season_winrate,
+       CASE WHEN s.sseason = r.SEASON THEN (CASE WHEN r.is_home = 1 THEN s.home_venue ELSE s.away_venue END) END AS venue_winrate,
+       CASE WHEN s.team IS NULL THEN 1500.0 WHEN s.sseason <> r.SEASON THEN 1500.0 + 0.75 * (s.elo_post - 1500.0)
+            ELSE s.elo_post END AS elo_pre
+FROM rs r ASOF LEFT JOIN state s ON r.team = s.team AND r.okey > s.okey
+),
+hh AS (
+SELECT h.REQUEST_ID, p.low_rate FROM
+  (SELECT REQUEST_ID, least(HOME_TEAM_ID, VISITOR_TEAM_ID) AS lo, greatest(HOME_TEAM_ID, VISITOR_TEAM_ID) AS hi,
+          {_okey('GAME_DATE_EST', 'GAME_ID')} AS okey FROM hyp) h
+  ASOF LEFT JOIN pstate p ON h.lo = p.lo AND h.hi = p.hi AND h.okey > p.okey
+),
+asof_feat AS (
+SELECT q.REQUEST_ID, q.GAME_DATE_EST, q.SEASON, q.HOME_TEAM_ID, q.VISITOR_TEAM_ID,
+       {_feature_select()},
+       CASE WHEN q.HOME_TEAM_ID = least(q.HOME_TEAM_ID, q.VISITOR_TEAM_ID) THEN x.low_rate ELSE 1.0 - x.low_rate END AS h2h_home_winrate,
+       h.elo_pre AS home_elo_pre, a.elo_pre AS away_elo_pre,
+       1.0 / (1.0 + pow(10.0, (a.elo_pre - (h.elo_pre + 100.0)) / 400.0)) AS elo_prob_home,
+       h.elo_pre - a.elo_pre AS diff_elo
+FROM hyp q
+LEFT JOIN side h ON h.REQUEST_ID = q.REQUEST_ID AND h.is_home = 1
+LEFT JOIN side a ON a.REQUEST_ID = q.REQUEST_ID AND a.is_home = 0
+LEFT JOIN hh x ON x.REQUEST_ID = q.REQUEST_ID
+)"""
