@@ -721,3 +721,189 @@ def q_audit_cold_start(spark, sf_dir):
     from .plans import audit
     g = clean_games(spark, sf_dir)
     return audit.cold_start(g, features.build_features(g))
+
+
+# ---- S5/S6/S7/J1: ingest and sinks ---------------------------------------------------
+
+from .sources import ingest, sinks  # noqa: E402
+
+INGEST_OUT = ["GAME_ID", "GAME_DATE_EST", "SEASON", "HOME_TEAM_ID", "VISITOR_TEAM_ID",
+              "PTS_home", "PTS_away", "FG_PCT_home", "FG_PCT_away", "FT_PCT_home", "FT_PCT_away",
+              "FG3_PCT_home", "FG3_PCT_away", "AST_home", "AST_away", "REB_home", "REB_away", "HOME_TEAM_WINS"]
+INGEST_DOUBLES = {c for c in INGEST_OUT if c.endswith(("_home", "_away"))}
+
+LOG_SQL = CLEAN_SQL + """
+, log AS (
+  SELECT lpad(CAST(GAME_ID AS VARCHAR), 10, '0') AS GAME_ID, strftime(GAME_DATE_EST, '%Y-%m-%d') AS GAME_DATE, SEASON,
+         HOME_TEAM_ID AS TEAM_ID, 'T' || HOME_TEAM_ID || ' vs. T' || VISITOR_TEAM_ID AS MATCHUP,
+         CASE WHEN HOME_TEAM_WINS = 1 THEN 'W' ELSE 'L' END AS WL, PTS_home AS PTS, FG_PCT_home AS FG_PCT,
+         CAST(NULL AS DOUBLE) AS FT_PCT, CAST(NULL AS DOUBLE) AS FG3_PCT, AST_home AS AST, CAST(NULL AS DOUBLE) AS REB
+  FROM clean
+  UNION ALL
+  SELECT lpad(CAST(GAME_ID AS VARCHAR), 10, '0'), strftime(GAME_DATE_EST, '%Y-%m-%d'), SEASON,
+         VISITOR_TEAM_ID, 'T' || VISITOR_TEAM_ID || ' @ T' || HOME_TEAM_ID,
+         CASE WHEN HOME_TEAM_WINS = 0 THEN 'W' ELSE 'L' END, PTS_away, FG_PCT_away,
+         NULL, NULL, AST_away, NULL
+  FROM clean
+), paired AS (
+  SELECT CAST(h.GAME_ID AS BIGINT) AS GAME_ID, CAST(h.GAME_DATE AS DATE) AS GAME_DATE_EST, h.SEASON,
+         h.TEAM_ID AS HOME_TEAM_ID, a.TEAM_ID AS VISITOR_TEAM_ID,
+         h.PTS AS PTS_home, a.PTS AS PTS_away, h.FG_PCT AS FG_PCT_home, a.FG_PCT AS FG_PCT_away,
+         h.FT_PCT AS FT_PCT_home, a.FT_PCT AS FT_PCT_away, h.FG3_PCT AS FG3_PCT_home, a.FG3_PCT AS FG3_PCT_away,
+         h.AST AS AST_home, a.AST AS AST_away, h.REB AS REB_home, a.REB AS REB_away,
+         CAST(coalesce(h.WL = 'W', false) AS INT) AS HOME_TEAM_WINS
+  FROM (SELECT * FROM log WHERE contains(MATCHUP, 'vs.')) h
+  JOIN (SELECT * FROM log WHERE NOT contains(MATCHUP, 'vs.')) a ON a.GAME_ID = h.GAME_ID
+)
+"""
+
+
+@register("pair_game_log", LOG_SQL + f"SELECT {O.round_all(INGEST_OUT, INGEST_DOUBLES)} FROM paired")
+def q_pair_game_log(spark, sf_dir):
+    log = ingest.game_log_from_games(clean_games(spark, sf_dir))
+    return round6(ingest.pair_game_log(log).select(*INGEST_OUT))
+
+
+@register("ingest_seasons", LOG_SQL + """
+SELECT CAST(count(*) AS BIGINT) AS games, CAST(count(DISTINCT SEASON) AS BIGINT) AS seasons FROM paired""")
+def q_ingest_seasons(spark, sf_dir):
+    path = sinks.scratch_path(spark, "landed-log")
+    ingest.land_game_log(ingest.game_log_from_games(clean_games(spark, sf_dir)), path)
+    return ingest.ingest_summary(ingest.ingest_seasons(spark, path))
+
+
+@register("table_roundtrip", FEAT_SQL + f"""
+SELECT SEASON, CAST(count(*) AS BIGINT) AS games, {O.rnd('avg(elo_prob_home)', 'mean_elo_prob')}
+FROM features WHERE SEASON >= {config.TEST_SEASON_START} GROUP BY SEASON""")
+def q_table_roundtrip(spark, sf_dir):
+    path = sinks.scratch_path(spark, "features")
+    sinks.write_features(feature_table(spark, sf_dir), path)
+    back = spark.read.parquet(path).filter(F.col("SEASON") >= config.TEST_SEASON_START)
+    return round6(back.groupBy("SEASON").agg(F.count(F.lit(1)).cast("bigint").alias("games"),
+                                             F.avg("elo_prob_home").alias("mean_elo_prob")))
+
+
+@register("games_csv_roundtrip", CLEAN_SQL + f"SELECT {O.round_all(GAME_COLS, GAME_DOUBLES)} FROM clean")
+def q_games_csv_roundtrip(spark, sf_dir):
+    path = sinks.scratch_path(spark, "games-csv")
+    sinks.write_table(raw_games(spark, sf_dir), path, "csv")
+    return round6(sinks.load_games(spark, path, "csv").select(*GAME_COLS))
+
+
+# ---- L2-L4: audits without a SQL twin (rows-only check + unit tests) ------------------
+
+@register("audit_parity")
+def q_audit_parity(spark, sf_dir):
+    from .plans import audit
+    return audit.parity(clean_games(spark, sf_dir))
+
+
+@register("append_invariance")
+def q_append_invariance(spark, sf_dir):
+    from .plans import audit
+    return audit.append_invariance(clean_games(spark, sf_dir))
+
+
+@register("audit_counterfactual")
+def q_audit_counterfactual(spark, sf_dir):
+    from .plans import audit
+    return audit.counterfactual(clean_games(spark, sf_dir))
+
+
+# ---- M / E6 / E8 / R2 / S9: models (no SQL twin: rows-only check + unit tests) -----------
+
+_TRAINED: dict = {}
+
+
+def trained(spark, sf_dir):
+    """Three fitted models + test metrics for this table, trained once per
+    session (the later model queries reuse them, like load_or_train)."""
+    from .plans import models
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TRAINED:
+        warm = features.warmup_drop(feature_table(spark, sf_dir)).persist()
+        train, test = features.time_split(warm)
+        res = models.train_all(train, test, FEATURES_43, tune=False)
+        _TRAINED[key] = (res, train, test)
+    return _TRAINED[key]
+
+
+def _model_scores(spark, sf_dir, name):
+    from .plans import models
+    res, _, test = trained(spark, sf_dir)
+    s = models.score(res[name]["model"], test)
+    return round6(s.select("GAME_ID", config.LABEL, "home_win_prob", "away_win_prob", "predicted_winner"))
+
+
+@register("logreg_scores")
+def q_logreg_scores(spark, sf_dir):
+    return _model_scores(spark, sf_dir, "logistic_regression")
+
+
+@register("dtree_scores")
+def q_dtree_scores(spark, sf_dir):
+    return _model_scores(spark, sf_dir, "decision_tree")
+
+
+@register("gbt_scores")
+def q_gbt_scores(spark, sf_dir):
+    return _model_scores(spark, sf_dir, "gradient_boosted_trees")
+
+
+@register("model_comparison")
+def q_model_comparison(spark, sf_dir):
+    from .plans import models
+    res, train, test = trained(spark, sf_dir)
+    table = models.comparison_table(spark, res)
+    base = metrics.baselines(train, test).select(*table.columns)
+    return round6(base.unionByName(table))
+
+
+@register("select_best")
+def q_select_best(spark, sf_dir):
+    from .plans import models
+    res, _, _ = trained(spark, sf_dir)
+    name, entry = models.select_best(res)
+    return spark.createDataFrame([(name, float(entry["metrics"]["roc_auc"]))], "model string, roc_auc double")
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    from .plans import models
+    res, _, _ = trained(spark, sf_dir)
+    _, entry = models.select_best(res)
+    return round6(models.feature_importance(entry["model"], FEATURES_43))
+
+
+@register("model_roundtrip")
+def q_model_roundtrip(spark, sf_dir):
+    """Save the best model + feature list, load both back, rescore: the
+    returned rows are test games whose probability changed (none expected)."""
+    from .plans import models
+    res, _, test = trained(spark, sf_dir)
+    _, entry = models.select_best(res)
+    path = sinks.scratch_path(spark, "model")
+    models.save_artifacts(spark, entry["model"], FEATURES_43, path)
+    model, cols = models.load_artifacts(spark, path)
+    assert cols == FEATURES_43
+    a = models.score(entry["model"], test).select("GAME_ID", F.round("prob", 12).alias("p"))
+    b = models.score(model, test).select("GAME_ID", F.round("prob", 12).alias("p"))
+    return a.exceptAll(b).unionByName(b.exceptAll(a))
+
+
+@register("score_matchups")
+def q_score_matchups(spark, sf_dir):
+    from .plans import models, scoring
+    res, _, _ = trained(spark, sf_dir)
+    _, entry = models.select_best(res)
+    g = clean_games(spark, sf_dir)
+    teams = tables.teams_from_tables(spark, sf_dir)
+    return round6(scoring.score_matchups(tables.requests_from_games(g), g, teams, entry["model"]))
+
+
+@register("evaluate_report")
+def q_evaluate_report(spark, sf_dir):
+    from .plans import report
+    res, train, test = trained(spark, sf_dir)
+    out = report.evaluate_report(spark, res, train, test, FEATURES_43, sinks.scratch_path(spark, "reports"))
+    return round6(out["comparison"])

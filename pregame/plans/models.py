@@ -39,9 +39,9 @@ def _medians_dict(medians: DataFrame) -> dict[str, float]:
     return {r["feature"]: r["median"] for r in medians.collect()}
 
 
-def standardization(train: DataFrame, cols: list[str], medians: DataFrame) -> DataFrame:
+def standardization(train: DataFrame, cols: list[str], medians) -> DataFrame:
     """Mean and population std of each imputed feature -> (feature, mean, std)."""
-    med = _medians_dict(medians)
+    med = medians if isinstance(medians, dict) else _medians_dict(medians)
     imp = [F.coalesce(F.col(c).cast("double"), F.lit(med.get(c))) for c in cols]
     one = train.agg(*[x for c, e in zip(cols, imp) for x in (
         F.avg(e).alias(f"m__{c}"), F.stddev_pop(e).alias(f"s__{c}"))])
@@ -74,9 +74,8 @@ def _assembler(cols: list[str]) -> VectorAssembler:
 
 def fit_logreg(train: DataFrame, cols: list[str]) -> PipelineModel:
     """Median impute -> standardise -> L2 logistic regression (C = 1)."""
-    medians = train_medians(train, cols)
-    med = _medians_dict(medians)
-    sc = {r["feature"]: (r["mean"], r["std"]) for r in standardization(train, cols, medians).collect()}
+    med = _medians_dict(train_medians(train, cols))
+    sc = {r["feature"]: (r["mean"], r["std"]) for r in standardization(train, cols, med).collect()}
     n = train.count()
     lr = LogisticRegression(featuresCol=VEC, labelCol=config.LABEL, maxIter=1000,
                             regParam=1.0 / n, elasticNetParam=0.0, standardization=False)
@@ -169,6 +168,11 @@ def tune_gbt(train: DataFrame, cols: list[str], draws: int = config.GBT_SEARCH_D
     return fit_gbt(train, cols, cands[best], med), cands[best], scores
 
 
+# fixed configuration used when the random search is skipped
+DEFAULT_GBT = {"n_estimators": 100, "max_depth": 3, "learning_rate": 0.1, "subsample": 1.0,
+               "colsample_bytree": 1.0, "reg_lambda": 1.0}
+
+
 def train_all(train: DataFrame, test: DataFrame, cols: list[str], tune: bool = True,
               gbt_params: dict | None = None, **search) -> dict:
     """Fit the three model families and score each on the test split."""
@@ -179,7 +183,7 @@ def train_all(train: DataFrame, test: DataFrame, cols: list[str], tune: bool = T
     if tune:
         m, p, _ = tune_gbt(train, cols, **search)
     else:
-        p = gbt_params or {}
+        p = gbt_params or DEFAULT_GBT
         m = fit_gbt(train, cols, p)
     out["gradient_boosted_trees"] = {"model": m, "params": p}
     for name, entry in out.items():
