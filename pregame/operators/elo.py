@@ -81,6 +81,24 @@ def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield out
 
 
+ELO_FIELDS = [f for f in ELO_SCHEMA.fields if f.name != "GAME_ID"]
+
+
+def _fold_through(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The fold, returning every input column plus the six Elo columns."""
+    pending = []
+
+    def src():
+        for pdf in batches:
+            pending.append(pdf)
+            yield pdf
+    for out in _fold(src()):
+        pdf = pending.pop(0)
+        for f in ELO_FIELDS:
+            pdf[f.name] = out[f.name].to_numpy()
+        yield pdf
+
+
 def with_league(games: DataFrame) -> DataFrame:
     if config.LEAGUE in games.columns:
         return games
@@ -96,3 +114,12 @@ def elo_ratings(games: DataFrame) -> DataFrame:
     ordered = g.repartition(config.LEAGUE).sortWithinPartitions(
         config.LEAGUE, "GAME_DATE_EST", "GAME_ID")
     return ordered.mapInPandas(_fold, ELO_SCHEMA)
+
+
+def with_elo(games: DataFrame) -> DataFrame:
+    """Games plus the Elo columns, in one pass: the fold hands the game
+    columns through, so downstream steps need no join back on GAME_ID."""
+    g = with_league(games)
+    ordered = g.repartition(config.LEAGUE).sortWithinPartitions(config.LEAGUE, "GAME_DATE_EST", "GAME_ID")
+    schema = T.StructType(list(g.schema.fields) + ELO_FIELDS)
+    return ordered.mapInPandas(_fold_through, schema)

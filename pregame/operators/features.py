@@ -45,26 +45,35 @@ def pivot_sides(long_features: DataFrame, engineered: list[str]) -> DataFrame:
 def build_features(games: DataFrame, advanced: bool = False) -> DataFrame:
     """Pre-game features for every game of a cleaned games table.
 
-    team-game view -> prior-only team windows -> sides pivoted back ->
-    + head-to-head (pair windows) + Elo (league fold), joined on GAME_ID.
+    One linear chain, no join and a single scan of the input:
+      games -> Elo fold (league partitions, game columns handed through)
+            -> head-to-head window (pair partitions, adds one column)
+            -> team-game view carrying the game-level columns on the home row
+            -> prior-only team windows (team partitions)
+            -> both sides back into one row (groupBy GAME_ID).
     """
     games = elo_ops.with_league(games)
     stats = views.advanced_stats_present(games) if advanced else []
     eng = windows.engineered_names(stats)
-    long = views.team_game_view(games, advanced=advanced)
-    sides = pivot_sides(windows.add_team_features(long, stats), eng)
-    h2h = windows.head_to_head(games)
-    elo = elo_ops.elo_ratings(games).select("GAME_ID", *ELO_COLUMNS)
-
-    base = games.select(*config.BASE_COLUMNS, config.LEAGUE)
-    out = base.join(sides, "GAME_ID", "left").join(h2h, "GAME_ID", "left").join(elo, "GAME_ID", "left")
+    g = windows.with_head_to_head(elo_ops.with_elo(games))
+    carry = [c for c in config.BASE_COLUMNS if c not in ("GAME_ID", "GAME_DATE_EST", "SEASON")] + \
+        [config.LEAGUE, "h2h_home_winrate"] + ELO_COLUMNS
+    long = views.team_game_view(g, advanced=advanced, carry=carry)
+    lf = windows.add_team_features(long, stats)
+    home_pack = F.struct(*[F.col(c) for c in eng], *[F.col(f"_c_{c}").alias(c) for c in carry])
+    sides = lf.groupBy("GAME_ID", "GAME_DATE_EST", "SEASON").agg(
+        F.max(F.when(F.col("is_home") == 1, home_pack)).alias("_h"),
+        F.max(F.when(F.col("is_home") == 0, F.struct(*[F.col(c) for c in eng]))).alias("_a"))
     cols = []
     for c in eng:
         h, a = F.col(f"_h.{c}"), F.col(f"_a.{c}")
         cols += [h.alias(f"home_{c}"), a.alias(f"away_{c}")]
         if c not in NO_DIFF:
             cols.append((h - a).alias(f"diff_{c}"))
-    return out.select(*config.BASE_COLUMNS, config.LEAGUE, *cols, "h2h_home_winrate", *ELO_COLUMNS)
+    base = [F.col(c) if c in ("GAME_ID", "GAME_DATE_EST", "SEASON") else F.col(f"_h.{c}").alias(c)
+            for c in config.BASE_COLUMNS + [config.LEAGUE]]
+    return sides.select(*base, *cols, F.col("_h.h2h_home_winrate").alias("h2h_home_winrate"),
+                        *[F.col(f"_h.{c}").alias(c) for c in ELO_COLUMNS])
 
 
 def warmup_drop(features: DataFrame) -> DataFrame:

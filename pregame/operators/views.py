@@ -15,14 +15,17 @@ def advanced_stats_present(games: DataFrame) -> list[str]:
             if h in games.columns and a in games.columns]
 
 
-def team_game_view(games: DataFrame, advanced: bool = False) -> DataFrame:
+def team_game_view(games: DataFrame, advanced: bool = False, carry: list[str] | None = None) -> DataFrame:
     """One row per (game, side): both sides come out of one scan through
     ``inline(array(home, away))`` -- no union, no second read.
 
     ``win`` is the label for the home row and 1 - label for the away row;
     ``pt_diff`` = points for - points against.  With ``advanced`` the box-score
-    stats present in the table are carried per side too.
+    stats present in the table are carried per side too.  ``carry`` names
+    game-level columns kept on the home row only (null on the away row), as
+    ``_c_<name>``, so they ride along without a join back.
     """
+    carry = carry or []
     stats = advanced_stats_present(games) if advanced else []
     league = [F.col(config.LEAGUE)] if config.LEAGUE in games.columns else []
 
@@ -37,6 +40,8 @@ def team_game_view(games: DataFrame, advanced: bool = False) -> DataFrame:
         ]
         for s in stats:
             fields.append(F.col(config.ADVANCED_STATS[s][0 if home else 1]).alias(s))
+        for c in carry:
+            fields.append((F.col(c) if home else F.lit(None).cast(games.schema[c].dataType)).alias(f"_c_{c}"))
         return F.struct(*fields)
 
     out = games.select("GAME_ID", "GAME_DATE_EST", "SEASON", *league,

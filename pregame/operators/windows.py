@@ -98,6 +98,15 @@ def add_team_features(long: DataFrame, extra_stats=()) -> DataFrame:
     )
 
 
+def with_head_to_head(games: DataFrame) -> DataFrame:
+    """Games plus h2h_home_winrate (one window by pair, columns kept)."""
+    lo = C.pair_low("HOME_TEAM_ID", "VISITOR_TEAM_ID")
+    hi = C.pair_high("HOME_TEAM_ID", "VISITOR_TEAM_ID")
+    w = Window.partitionBy(lo, hi).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1)
+    rate = F.avg(C.low_team_won("HOME_TEAM_ID", "VISITOR_TEAM_ID", config.LABEL)).over(w)
+    return games.withColumn("h2h_home_winrate", C.home_view(rate, "HOME_TEAM_ID", "VISITOR_TEAM_ID"))
+
+
 def head_to_head(games: DataFrame) -> DataFrame:
     """Prior win rate of the lower id of the pair over all earlier meetings
     (no season limit), flipped to the home side's view.  -> (GAME_ID, h2h)."""
