@@ -46,8 +46,18 @@ def raw_games(spark, sf_dir):
     return tables.games_from_tables(spark, sf_dir)
 
 
+_GAMES: dict = {}
+
+
 def clean_games(spark, sf_dir):
-    return clean.clean_games(raw_games(spark, sf_dir))
+    """The cleaned games table, derived from the driver's tables once per
+    session and kept (memory, spilling to disk) as the pipeline's input
+    table -- every query starts from it."""
+    from pyspark import StorageLevel
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _GAMES:
+        _GAMES[key] = clean.clean_games(raw_games(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
+    return _GAMES[key]
 
 
 def feature_table(spark, sf_dir):

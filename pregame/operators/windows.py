@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import columns as C
+from . import segments
 
 ORDER = ("GAME_DATE_EST", "GAME_ID")
 ROLL_STATS = ("win", "pts_for", "pts_against", "pt_diff")
@@ -28,21 +29,25 @@ def rolling_name(stat: str, n: int) -> str:
     return f"winrate_last{n}" if stat == "win" else f"{stat}_last{n}"
 
 
-def rolling_columns(stats=ROLL_STATS, windows=config.ROLL_WINDOWS, upto: int = -1) -> list[Column]:
+def rolling_columns(stats=ROLL_STATS, windows=config.ROLL_WINDOWS, upto: int = -1,
+                    base: Window | None = None) -> list[Column]:
     """Mean of the previous n games (>= 1 non-null value, else null).
 
     ``upto=-1`` gives the pre-game value; ``upto=0`` the value after the game
-    (used by the as-of state table).
+    (used by the as-of state table).  ``base``: the ordered window (default:
+    the team's whole series; ``segments.window`` for the split layout).
     """
+    base = base or by_team()
     out = []
     for n in windows:
-        frame = by_team().rowsBetween(upto - n + 1, upto)
+        frame = base.rowsBetween(upto - n + 1, upto)
         for s in stats:
             out.append(F.avg(F.col(s)).over(frame).alias(rolling_name(s, n)))
     return out
 
 
-def ewma_column(value: str = "pt_diff", upto: int = -1, name: str = "form_ptdiff_ewma") -> Column:
+def ewma_column(value: str = "pt_diff", upto: int = -1, name: str = "form_ptdiff_ewma",
+                base: Window | None = None) -> Column:
     """Adjusted EWMA (alpha = 1/3) of the previous games, weights by position.
 
     A null value decays both running sums and adds nothing, exactly like
@@ -50,7 +55,7 @@ def ewma_column(value: str = "pt_diff", upto: int = -1, name: str = "form_ptdiff
     struct because ``collect_list`` drops bare nulls, which would shift
     weights.
     """
-    frame = by_team().rowsBetween(upto - config.EWMA_FRAME + 1, upto)
+    frame = (base or by_team()).rowsBetween(upto - config.EWMA_FRAME + 1, upto)
     items = F.collect_list(F.struct(F.col(value).alias("x"))).over(frame)
     k = F.lit(config.EWMA_DECAY)
     acc = F.aggregate(
@@ -63,8 +68,8 @@ def ewma_column(value: str = "pt_diff", upto: int = -1, name: str = "form_ptdiff
     return F.when(acc["d"] > 0, acc["n"] / acc["d"]).alias(name)
 
 
-def rest_columns() -> list[Column]:
-    prev = F.lag("GAME_DATE_EST", 1).over(by_team())
+def rest_columns(base: Window | None = None) -> list[Column]:
+    prev = F.lag("GAME_DATE_EST", 1).over(base or by_team())
     rest = F.datediff(F.col("GAME_DATE_EST"), prev)
     return [rest.alias("rest_days"), C.back_to_back(rest).alias("back_to_back")]
 
@@ -98,13 +103,46 @@ def add_team_features(long: DataFrame, extra_stats=()) -> DataFrame:
     )
 
 
-def with_head_to_head(games: DataFrame) -> DataFrame:
-    """Games plus h2h_home_winrate (one window by pair, columns kept)."""
+def add_team_features_segmented(long: DataFrame, extra_stats=()) -> DataFrame:
+    """Same 13 values as ``add_team_features``, computed on bounded segments
+    of each team's series (see ``segments``): exact, and no window group
+    larger than a segment even when one team holds most of the rows."""
+    stats = ROLL_STATS + tuple(extra_stats)
+    seg = segments.segment(long, ["team"], list(ORDER), halo=config.EWMA_FRAME)
+    w = segments.window(["team"])
+    seg = seg.select("*", *rolling_columns(stats, base=w), *rest_columns(base=w), ewma_column(base=w))
+    win, home = F.col("win"), F.col("is_home") == 1
+    seen = F.when(win.isNotNull(), 1).otherwise(0)
+    seg = segments.prior_sums(seg, ["team", "SEASON"], {
+        "s": win, "n": seen,
+        "hs": F.when(home, win), "hn": F.when(home, seen),
+        "as": F.when(~home, win), "an": F.when(~home, seen)})
+
+    def rate(num, den):
+        return F.when(F.col(den) > 0, F.col(num) / F.col(den))
+    venue = F.when(home, rate("_p_hs", "_p_hn")).otherwise(rate("_p_as", "_p_an"))
+    out = seg.filter(~F.col("_halo")).withColumn("season_winrate", rate("_p_s", "_p_n")) \
+        .withColumn("venue_winrate", venue)
+    return out.drop("_pos", "_seg", "_halo", *[c for c in out.columns if c.startswith("_p_")])
+
+
+def with_head_to_head(games: DataFrame, segmented: bool = False) -> DataFrame:
+    """Games plus h2h_home_winrate (prior meetings of the pair, columns kept).
+    ``segmented``: split each pair's series into bounded segments first."""
     lo = C.pair_low("HOME_TEAM_ID", "VISITOR_TEAM_ID")
     hi = C.pair_high("HOME_TEAM_ID", "VISITOR_TEAM_ID")
-    w = Window.partitionBy(lo, hi).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1)
-    rate = F.avg(C.low_team_won("HOME_TEAM_ID", "VISITOR_TEAM_ID", config.LABEL)).over(w)
-    return games.withColumn("h2h_home_winrate", C.home_view(rate, "HOME_TEAM_ID", "VISITOR_TEAM_ID"))
+    won = C.low_team_won("HOME_TEAM_ID", "VISITOR_TEAM_ID", config.LABEL)
+    if not segmented:
+        w = Window.partitionBy(lo, hi).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1)
+        rate = F.avg(won).over(w)
+        return games.withColumn("h2h_home_winrate", C.home_view(rate, "HOME_TEAM_ID", "VISITOR_TEAM_ID"))
+    cols = games.columns
+    g = games.withColumn("_lo", lo).withColumn("_hi", hi).withColumn("_won", won)
+    seg = segments.segment(g, ["_lo", "_hi"], list(ORDER), halo=0)
+    seg = segments.prior_sums(seg, ["_lo", "_hi"], {"w": F.col("_won"), "n": F.lit(1)})
+    rate = F.when(F.col("_p_n") > 0, F.col("_p_w") / F.col("_p_n"))
+    return seg.filter(~F.col("_halo")).select(
+        *cols, C.home_view(rate, "HOME_TEAM_ID", "VISITOR_TEAM_ID").alias("h2h_home_winrate"))
 
 
 def head_to_head(games: DataFrame) -> DataFrame:

@@ -43,3 +43,26 @@ def test_feature_columns_and_order(feats):
     assert cols[:3] == ["home_winrate_last5", "away_winrate_last5", "diff_winrate_last5"]
     assert "diff_back_to_back" not in cols
     assert cols[-5:] == ["h2h_home_winrate", "home_elo_pre", "away_elo_pre", "elo_prob_home", "diff_elo"]
+
+
+def test_segmented_windows_equal_plain(games):
+    """Series split into 97-row segments (every team and pair split many
+    times, halos crossing key boundaries) give the unsplit values."""
+    from pregame.operators import segments
+    cols = features.feature_names()
+    old = segments.CHUNK_ROWS
+    segments.CHUNK_ROWS = 97
+    try:
+        a = features.build_features(games, segmented=True)
+        b = features.build_features(games, segmented=False)
+        assert audit.frame_diff(a.select("GAME_ID", *cols), b.select("GAME_ID", *cols), cols).count() == 0
+    finally:
+        segments.CHUNK_ROWS = old
+
+
+def test_split_plan_measures_longest_series(games):
+    from pregame.operators import segments
+    top = segments.largest_series(games)
+    assert top["team"] >= top["pair"] > 0
+    assert segments.split_plan(games, "auto") == {"team": False, "pair": False}
+    assert segments.split_plan(games, True) == {"team": True, "pair": True}
