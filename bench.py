@@ -34,7 +34,7 @@ def main():
     from pregame.session import local_session
     spark = local_session(cpus=cpus, shuffle_partitions=cpus, app="pregame-bench")
     # warm-up on the smallest tables: JVM JIT, generated code, Python workers
-    warm = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    warm = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.01")
     if os.path.isdir(warm) and warm != sf_dir:
         for key in HEADLINE:
             catalog.QUERIES[key](spark, warm).write.format("noop").mode("overwrite").save()

@@ -917,3 +917,17 @@ def q_evaluate_report(spark, sf_dir):
     res, train, test = trained(spark, sf_dir)
     out = report.evaluate_report(spark, res, train, test, FEATURES_43, sinks.scratch_path(spark, "reports"))
     return round6(out["comparison"])
+
+
+@register("stream_ingest", LOG_SQL + """
+SELECT CAST(count(*) AS BIGINT) AS games, CAST(count(DISTINCT SEASON) AS BIGINT) AS seasons FROM paired""")
+def q_stream_ingest(spark, sf_dir):
+    """Landed logs through the Structured Streaming pairing (available-now
+    trigger), summarised from the table the stream appended to."""
+    from .streaming import landed_logs
+    landed = sinks.scratch_path(spark, "landed-stream")
+    ingest.land_game_log(ingest.game_log_from_games(clean_games(spark, sf_dir)), landed)
+    table = sinks.scratch_path(spark, "games-stream")
+    q = landed_logs.start_ingest(spark, landed, table, sinks.scratch_path(spark, "stream-ckpt"))
+    q.awaitTermination()
+    return ingest.ingest_summary(spark.read.parquet(table))
