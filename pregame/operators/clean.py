@@ -52,6 +52,18 @@ def dedup_games(df: DataFrame, key: str = "GAME_ID", order_col: str = "INGEST_SE
         *df.columns)
 
 
+def with_game_id(df: DataFrame, key: str = "GAME_ID") -> DataFrame:
+    """A table without game ids gets its 0-based position in the total order
+    (date, teams, then every other column) as GAME_ID -- a distributed row
+    index, not a single-partition window."""
+    if key in df.columns:
+        return df
+    from . import ordered
+    lead = [c for c in ("GAME_DATE_EST", "HOME_TEAM_ID", "VISITOR_TEAM_ID") if c in df.columns]
+    order = lead + [c for c in df.columns if c not in lead]
+    return ordered.row_index(df, order, key)
+
+
 def clean_games(df: DataFrame, drop_nulls: bool = True, key: str = "GAME_ID",
                 assume_unique: bool = False) -> DataFrame:
     """validate -> drop incomplete (before dedup) -> int label -> dedup.
@@ -65,7 +77,8 @@ def clean_games(df: DataFrame, drop_nulls: bool = True, key: str = "GAME_ID",
     if drop_nulls:
         df = drop_incomplete(df)
     df = df.withColumn(config.LABEL, F.col(config.LABEL).cast("int"))
-    if key in df.columns and not assume_unique:
+    df = with_game_id(df, key)
+    if not assume_unique:
         df = dedup_games(df, key)
     if "INGEST_SEQ" in df.columns:
         df = df.drop("INGEST_SEQ")

@@ -141,20 +141,21 @@ def auc_of(model: PipelineModel, test: DataFrame) -> float:
     return metrics.classification_metrics(s).first()["roc_auc"]
 
 
-def draw_params(draws: int = config.GBT_SEARCH_DRAWS, seed: int = config.RANDOM_STATE) -> list[dict]:
+def draw_params(draws: int = config.GBT_SEARCH_DRAWS, seed: int = config.RANDOM_STATE,
+                space: dict | None = None) -> list[dict]:
     rng = random.Random(seed)
-    space = config.GBT_SEARCH_SPACE
+    space = space or config.GBT_SEARCH_SPACE
     return [{k: rng.choice(v) for k, v in space.items()} for _ in range(draws)]
 
 
 def tune_gbt(train: DataFrame, cols: list[str], draws: int = config.GBT_SEARCH_DRAWS,
-             splits: int = config.CV_SPLITS, parallelism: int = 4):
+             splits: int = config.CV_SPLITS, parallelism: int = 4, space: dict | None = None):
     """Random search scored by mean ROC-AUC over expanding time folds (never
     shuffled folds), then refit of the best draw on all train rows.  Fits
     run concurrently from a thread pool; each fit is itself a Spark job."""
     folds = time_series_folds(train, splits).persist()
     med = _medians_dict(train_medians(train, cols))
-    cands = draw_params(draws)
+    cands = draw_params(draws, space=space)
     frames = [fold_frames(folds, k) for k in range(splits)]
 
     def score(p):

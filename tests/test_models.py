@@ -80,3 +80,34 @@ def test_search_draws_and_folds(spark, split):
     size = n // (config.CV_SPLITS + 1)
     counts = {r.test_fold: r["count"] for r in folds.groupBy("test_fold").count().collect()}
     assert counts == {None: n - config.CV_SPLITS * size, 0: size, 1: size, 2: size}
+
+
+def test_time_ordered_search_mechanics(split):
+    """Search + expanding-fold CV + refit, on a small space (the full 25 x 3
+    search runs the same code with the fixed space)."""
+    train, _ = split
+    cols = features.feature_names()
+    space = {"n_estimators": [5, 10], "max_depth": [2, 3], "learning_rate": [0.1, 0.3],
+             "subsample": [1.0], "colsample_bytree": [1.0, 0.8], "reg_lambda": [1.0]}
+    model, best, scores = models.tune_gbt(train, cols, draws=3, parallelism=3, space=space)
+    assert len(scores) == 3 and best in models.draw_params(3, space=space)
+    assert model.stages[-1].getNumTrees == best["n_estimators"]
+
+
+def test_load_or_train_trains_then_loads(spark, split):
+    from pregame.sources import sinks
+    train, test = split
+    cols = features.feature_names()
+    path = sinks.scratch_path(spark, "load-or-train")
+    m1, c1 = models.load_or_train(spark, path, train, test, cols, tune=False)
+    m2, c2 = models.load_or_train(spark, path, train, test, cols, tune=False)
+    assert c1 == c2 == cols
+    a = models.score(m1, test).select("GAME_ID", "prob")
+    assert a.exceptAll(models.score(m2, test).select("GAME_ID", "prob")).count() == 0
+
+
+def test_surrogate_game_id(spark, games):
+    from pregame.operators import clean
+    g = clean.clean_games(games.drop("GAME_ID"))
+    ids = [r.GAME_ID for r in g.select("GAME_ID").collect()]
+    assert sorted(ids) == list(range(games.count()))
