@@ -91,3 +91,20 @@ def prior_sums(seg: DataFrame, group: list[str], measures: dict[str, Column],
     out = out.join(carry, [*group, "_seg"], "left")
     return out.select(*seg.columns, *[
         (F.col(f"_w_{k}") + F.coalesce(F.col(f"_c_{k}"), F.lit(0))).alias(f"_p_{k}") for k in measures])
+
+
+def prior_last(seg: DataFrame, group: list[str], value: str, out: str) -> DataFrame:
+    """For every row, the last non-null ``value`` strictly before it in its
+    group's series, across segments (as-of lookup on a split series):
+    within the segment, ``last(ignorenulls)`` over the preceding rows; else
+    the last value of the latest earlier segment that has one (a table of
+    one row per (group, segment) with a prefix window over it)."""
+    real = ~F.col("_halo")
+    w = Window.partitionBy(*group, "_seg").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
+    within = F.last(F.when(real, F.col(value)), ignorenulls=True).over(w)
+    lasts = seg.filter(real & F.col(value).isNotNull()).groupBy(*group, "_seg").agg(
+        F.max_by(F.col(value), F.col("_pos")).alias("_lv"))
+    wc = Window.partitionBy(*group).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    carry = lasts.select(*group, "_seg", F.last("_lv", ignorenulls=True).over(wc).alias("_cv"))
+    full = seg.select("*", within.alias("_wv")).join(carry, [*group, "_seg"], "left")
+    return full.select(*seg.columns, F.coalesce(F.col("_wv"), F.col("_cv")).alias(out))

@@ -31,7 +31,7 @@ def frame_diff(a: DataFrame, b: DataFrame, cols: list[str]) -> DataFrame:
         rb.exceptAll(ra).withColumn("side", F.lit("right_only")))
 
 
-def parity(games: DataFrame) -> DataFrame:
+def parity(games: DataFrame, segmented: bool = False) -> DataFrame:
     """Train/serve parity: the as-of state served for every historical game
     (as a request with its own date and id) equals its pre-game features.
     -> differing rows (none on a pass)."""
@@ -40,7 +40,8 @@ def parity(games: DataFrame) -> DataFrame:
     f = feat.build_features(games)
     req = games.select(F.col("GAME_ID").alias("REQUEST_ID"), "GAME_ID", "GAME_DATE_EST", "SEASON",
                        "HOME_TEAM_ID", "VISITOR_TEAM_ID")
-    a = state.asof_features(req, state.team_state(games, e), state.pair_state(games))
+    a = state.asof_features(req, state.team_state(games, e, segmented), state.pair_state(games, segmented),
+                            segmented=segmented)
     cols = feat.feature_names()
     return frame_diff(a.select("GAME_ID", *cols), f.select("GAME_ID", *cols), cols)
 

@@ -66,3 +66,15 @@ def test_split_plan_measures_longest_series(games):
     assert top["team"] >= top["pair"] > 0
     assert segments.split_plan(games, "auto") == {"team": False, "pair": False}
     assert segments.split_plan(games, True) == {"team": True, "pair": True}
+
+
+def test_segmented_asof_parity(games):
+    """As-of lookups on 97-row segments still serve exactly the pre-game
+    features of every historical game."""
+    from pregame.operators import segments
+    old = segments.CHUNK_ROWS
+    segments.CHUNK_ROWS = 97
+    try:
+        assert audit.parity(games, segmented=True).count() == 0
+    finally:
+        segments.CHUNK_ROWS = old
