@@ -1,7 +1,8 @@
 """Benchmark: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Prints one JSON line: {"metric", "value", "unit", "queries", "sf"}.
-Each query is fully executed into Spark's no-op sink (no driver collect).
+Each query is fully executed into Spark's no-op sink (no driver collect),
+twice: "cold" holds the first run, "queries" the second (steady state).
 """
 from __future__ import annotations
 
@@ -33,20 +34,19 @@ def main():
     from pregame import catalog
     from pregame.session import local_session
     spark = local_session(cpus=cpus, shuffle_partitions=cpus, app="pregame-bench")
-    # warm-up on the smallest tables: JVM JIT, generated code, Python workers
-    warm = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.01")
-    if os.path.isdir(warm) and warm != sf_dir:
-        for key in HEADLINE:
-            catalog.QUERIES[key](spark, warm).write.format("noop").mode("overwrite").save()
-    times = {}
+    times, cold = {}, {}
     # the pipeline's input: games derived from orders + lineitem, cleaned, kept
     t0 = time.time()
     catalog.clean_games(spark, sf_dir).count()
     times["load_games"] = round(time.time() - t0, 3)
+    # every query runs twice on the same data: the first run (reported under
+    # "cold") pays JVM JIT, code generation and Python worker start-up; the
+    # second is the steady state a long-running session sees
     for key in HEADLINE:
-        t0 = time.time()
-        catalog.QUERIES[key](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[key] = round(time.time() - t0, 3)
+        for bucket in (cold, times):
+            t0 = time.time()
+            catalog.QUERIES[key](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            bucket[key] = round(time.time() - t0, 3)
     # three model fits (logistic regression, tree, boosted trees) on the feature table
     t0 = time.time()
     res, _, _ = catalog.trained(spark, sf_dir)
@@ -54,6 +54,7 @@ def main():
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "build_features_sec", "value": times["build_features"], "unit": "sec",
                       "queries": times, "total_sec": round(sum(times.values()), 3),
+                      "cold": cold, "cold_total_sec": round(sum(cold.values()), 3),
                       "sf": float(m.group(1)) if m else None}))
 
 

@@ -10,6 +10,7 @@ and a stage is recomputed.
 """
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,8 +27,13 @@ def _partitions(df: DataFrame) -> int:
 def sorted_positions(df: DataFrame, order: list[str | Column]) -> DataFrame:
     """Range-partition + sort; adds _pid and _local (position in partition)."""
     ensure_checkpoint_dir(df.sparkSession)
-    s = df.repartitionByRange(_partitions(df), *order).sortWithinPartitions(*order)
+    # the range partitioner samples its input in a job of its own; keep the
+    # input for the two passes (sample, sort) so upstream runs once, and drop
+    # it as soon as the checkpoint has cut the lineage
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    s = src.repartitionByRange(_partitions(df), *order).sortWithinPartitions(*order)
     s = s.withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    src.unpersist()
     return (s.withColumn("_pid", F.shiftright(F.col("_mid"), _LOCAL_BITS))
              .withColumn("_local", F.col("_mid").bitwiseAND(F.lit(_LOCAL_MASK)))
              .drop("_mid"))

@@ -72,9 +72,9 @@ def _assembler(cols: list[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=[f"z__{c}" for c in cols], outputCol=VEC, handleInvalid="keep")
 
 
-def fit_logreg(train: DataFrame, cols: list[str]) -> PipelineModel:
+def fit_logreg(train: DataFrame, cols: list[str], med: dict | None = None) -> PipelineModel:
     """Median impute -> standardise -> L2 logistic regression (C = 1)."""
-    med = _medians_dict(train_medians(train, cols))
+    med = med if med is not None else _medians_dict(train_medians(train, cols))
     sc = {r["feature"]: (r["mean"], r["std"]) for r in standardization(train, cols, med).collect()}
     n = train.count()
     lr = LogisticRegression(featuresCol=VEC, labelCol=config.LABEL, maxIter=1000,
@@ -82,9 +82,9 @@ def fit_logreg(train: DataFrame, cols: list[str]) -> PipelineModel:
     return Pipeline(stages=[preprocess_stage(cols, med, sc), _assembler(cols), lr]).fit(train)
 
 
-def fit_tree(train: DataFrame, cols: list[str]) -> PipelineModel:
+def fit_tree(train: DataFrame, cols: list[str], med: dict | None = None) -> PipelineModel:
     """Median impute -> depth-5 tree, at least 20 rows per leaf."""
-    med = _medians_dict(train_medians(train, cols))
+    med = med if med is not None else _medians_dict(train_medians(train, cols))
     dt = DecisionTreeClassifier(featuresCol=VEC, labelCol=config.LABEL, maxDepth=5,
                                 minInstancesPerNode=20, impurity="gini", maxBins=256,
                                 seed=config.RANDOM_STATE)
@@ -178,14 +178,15 @@ def train_all(train: DataFrame, test: DataFrame, cols: list[str], tune: bool = T
               gbt_params: dict | None = None, **search) -> dict:
     """Fit the three model families and score each on the test split."""
     train = train.persist()
+    med = _medians_dict(train_medians(train, cols))  # one exact pass, shared by all models
     out = {}
-    out["logistic_regression"] = {"model": fit_logreg(train, cols)}
-    out["decision_tree"] = {"model": fit_tree(train, cols)}
+    out["logistic_regression"] = {"model": fit_logreg(train, cols, med)}
+    out["decision_tree"] = {"model": fit_tree(train, cols, med)}
     if tune:
         m, p, _ = tune_gbt(train, cols, **search)
     else:
         p = gbt_params or DEFAULT_GBT
-        m = fit_gbt(train, cols, p)
+        m = fit_gbt(train, cols, p, med)
     out["gradient_boosted_trees"] = {"model": m, "params": p}
     for name, entry in out.items():
         s = probability(entry["model"].transform(test)).select(F.col(config.LABEL).alias("y"), "prob")
