@@ -59,6 +59,11 @@ def test_models_beat_random_and_roundtrip(spark, split, tmp_path_factory):
     for name, e in res.items():
         assert e["metrics"]["roc_auc"] > 0.55, (name, e["metrics"])
     name, best = models.select_best(res)
+    # the original sanity bounds: best AUC clearly above chance, best accuracy
+    # above the better of the two baselines
+    base = {r.model: r.accuracy for r in metrics.baselines(train, test).collect()}
+    assert best["metrics"]["roc_auc"] > 0.60
+    assert best["metrics"]["accuracy"] > max(base.values())
     imp = models.feature_importance(best["model"], cols).collect()
     assert len(imp) == config.TOP_IMPORTANCES
     path = sinks.scratch_path(spark, "model-test")
