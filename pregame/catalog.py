@@ -928,6 +928,7 @@ def q_stream_ingest(spark, sf_dir):
     landed = sinks.scratch_path(spark, "landed-stream")
     ingest.land_game_log(ingest.game_log_from_games(clean_games(spark, sf_dir)), landed)
     table = sinks.scratch_path(spark, "games-stream")
-    q = landed_logs.start_ingest(spark, landed, table, sinks.scratch_path(spark, "stream-ckpt"))
+    q = landed_logs.start_ingest(spark, landed, table, sinks.scratch_path(spark, "stream-ckpt"),
+                                 state_partitions=spark.sparkContext.defaultParallelism)
     q.awaitTermination()
     return ingest.ingest_summary(spark.read.parquet(table))

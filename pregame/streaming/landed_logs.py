@@ -60,10 +60,22 @@ def paired_games(log: DataFrame, lateness: str = "30 days", max_gap_days: int =
 
 
 def start_ingest(spark: SparkSession, landed: str, table_path: str, checkpoint: str,
-                 fmt: str = "parquet", available_now: bool = True) -> StreamingQuery:
-    """Append paired games to a parquet table partitioned by SEASON."""
+                 fmt: str = "parquet", available_now: bool = True,
+                 state_partitions: int | None = None) -> StreamingQuery:
+    """Append paired games to a parquet table partitioned by SEASON.
+
+    ``state_partitions`` sizes the join state (one state store per shuffle
+    partition; fixed in the checkpoint when the query first starts)."""
     q = (paired_games(log_stream(spark, landed, fmt)).writeStream
          .format("parquet").option("path", table_path).option("checkpointLocation", checkpoint)
          .partitionBy("SEASON").outputMode("append"))
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="1 minute")
-    return q.start()
+    if not state_partitions:
+        return q.start()
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return q.start()
+    finally:
+        spark.conf.set(key, before)
