@@ -78,3 +78,13 @@ def test_segmented_asof_parity(games):
         assert audit.parity(games, segmented=True).count() == 0
     finally:
         segments.CHUNK_ROWS = old
+
+
+def test_advanced_boxscore_features_extend_the_table(games, feats):
+    """With the optional box-score stats on, their rolling means join the
+    table (home/away/diff) and the 43 default features are unchanged."""
+    cols = features.feature_names()
+    adv = features.build_features(games, advanced=True)
+    extra = [c for c in adv.columns if c not in feats.columns]
+    assert {"home_fg_pct_last5", "away_ast_last10", "diff_fg_pct_last10"} <= set(extra)
+    assert audit.frame_diff(adv.select("GAME_ID", *cols), feats.select("GAME_ID", *cols), cols).count() == 0
