@@ -544,9 +544,7 @@ def resolved_requests(spark, sf_dir, games):
     """The per-league requests, resolved through the name path (digits)."""
     teams = tables.teams_from_tables(spark, sf_dir)
     req = tables.requests_from_games(games)
-    r = resolve.resolve_names(req, teams, "HOME", "HOME_TEAM_ID")
-    r = resolve.resolve_names(r, teams, "AWAY", "VISITOR_TEAM_ID")
-    return r
+    return resolve.resolve_sides(req, teams, {"HOME": "HOME_TEAM_ID", "AWAY": "VISITOR_TEAM_ID"})
 
 
 def scored_requests(spark, sf_dir):
