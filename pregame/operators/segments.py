@@ -50,6 +50,10 @@ def split_plan(games: DataFrame, segmented) -> dict[str, bool]:
     """Which series families to split: forced (True / False) or measured."""
     if segmented in (True, False):
         return {"team": segmented, "pair": segmented}
+    # proven bound first: no series is longer than the team appearances of
+    # the whole table, so a small table needs no keyed measurement
+    if 2 * games.count() <= SPLIT_THRESHOLD_ROWS:
+        return {"team": False, "pair": False}
     top = largest_series(games)
     return {k: v > SPLIT_THRESHOLD_ROWS for k, v in top.items()}
 
