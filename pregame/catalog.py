@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from . import config
 from . import oracle as O
-from .operators import clean, elo, features, views, windows
+from .operators import clean, elo, features, segments, views, windows
 from .sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,13 +147,25 @@ SELECT GAME_ID, team,
   round(avg(ast) OVER (PARTITION BY team ORDER BY GAME_DATE_EST, GAME_ID ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING), 6) AS ast_last10
 FROM adv""")
 def q_advanced_boxscore(spark, sf_dir):
-    long = views.team_game_view(clean_games(spark, sf_dir), advanced=True)
     cols = windows.rolling_columns(stats=("fg_pct", "ast"))
-    return round6(long.select("GAME_ID", "team", *cols))
+    names = [windows.rolling_name(st, n) for n in config.ROLL_WINDOWS for st in ("fg_pct", "ast")]
+    return round6(team_windows(spark, sf_dir, cols, advanced=True).select("GAME_ID", "team", *names))
 
 
 # ---- W: windows ---------------------------------------------------------------
 
+def team_windows(spark, sf_dir, plain_cols, advanced=False):
+    """Team-game view with the requested prior-only columns; when the split
+    decision finds a team series too long for one task, every column comes
+    from the segmented layout instead (same values)."""
+    g = clean_games(spark, sf_dir)
+    long = views.team_game_view(g, advanced=advanced)
+    if segments.split_plan(g, "auto")["team"]:
+        stats = views.advanced_stats_present(g) if advanced else []
+        return windows.add_team_features_segmented(long, stats)
+    return long.select("*", *plain_cols)
+
+
 ROLL_NAMES = [windows.rolling_name(s, n) for n in config.ROLL_WINDOWS for s in windows.ROLL_STATS]
 
 
@@ -162,8 +174,8 @@ SELECT GAME_ID, team, CAST(is_home AS INT) AS is_home,
        {", ".join(f"round({c}, 6) AS {c}" for c in ROLL_NAMES)}
 FROM (SELECT GAME_ID, team, is_home, {O._rolling_sql()} FROM long)""")
 def q_rolling_form(spark, sf_dir):
-    long = views.team_game_view(clean_games(spark, sf_dir))
-    return round6(long.select("GAME_ID", "team", "is_home", *windows.rolling_columns()))
+    return round6(team_windows(spark, sf_dir, windows.rolling_columns())
+                  .select("GAME_ID", "team", "is_home", *ROLL_NAMES))
 
 
 @register("rest_days", O.with_(O.GAMES_RAW, O.CLEAN, O.LONG) + """
@@ -172,8 +184,8 @@ FROM (SELECT GAME_ID, team,
              CAST(date_diff('day', lag(GAME_DATE_EST) OVER (PARTITION BY team ORDER BY GAME_DATE_EST, GAME_ID), GAME_DATE_EST) AS INT) AS rest_days
       FROM long)""")
 def q_rest_days(spark, sf_dir):
-    long = views.team_game_view(clean_games(spark, sf_dir))
-    return long.select("GAME_ID", "team", *windows.rest_columns())
+    return team_windows(spark, sf_dir, windows.rest_columns()).select(
+        "GAME_ID", "team", "rest_days", "back_to_back")
 
 
 @register("ewma_form", O.with_(O.GAMES_RAW, O.CLEAN, O.LONG) + f"""
@@ -181,30 +193,32 @@ SELECT GAME_ID, team, {O.rnd(O._ewma_expr('_ew'), 'form_ptdiff_ewma')}
 FROM (SELECT GAME_ID, team, list(pt_diff) OVER (PARTITION BY team ORDER BY GAME_DATE_EST, GAME_ID
             ROWS BETWEEN {config.EWMA_FRAME} PRECEDING AND 1 PRECEDING) AS _ew FROM long)""")
 def q_ewma_form(spark, sf_dir):
-    long = views.team_game_view(clean_games(spark, sf_dir))
-    return round6(long.select("GAME_ID", "team", windows.ewma_column()))
+    return round6(team_windows(spark, sf_dir, [windows.ewma_column()]).select(
+        "GAME_ID", "team", "form_ptdiff_ewma"))
 
 
 @register("season_winrate", O.with_(O.GAMES_RAW, O.CLEAN, O.LONG) + """
 SELECT GAME_ID, team, SEASON, round(avg(win) OVER (PARTITION BY team, SEASON ORDER BY GAME_DATE_EST, GAME_ID
        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 6) AS season_winrate FROM long""")
 def q_season_winrate(spark, sf_dir):
-    long = views.team_game_view(clean_games(spark, sf_dir))
-    return round6(long.select("GAME_ID", "team", "SEASON", windows.season_winrate_column()))
+    return round6(team_windows(spark, sf_dir, [windows.season_winrate_column()]).select(
+        "GAME_ID", "team", "SEASON", "season_winrate"))
 
 
 @register("venue_winrate", O.with_(O.GAMES_RAW, O.CLEAN, O.LONG) + """
 SELECT GAME_ID, team, CAST(is_home AS INT) AS is_home, round(avg(win) OVER (PARTITION BY team, SEASON, is_home ORDER BY GAME_DATE_EST, GAME_ID
        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 6) AS venue_winrate FROM long""")
 def q_venue_winrate(spark, sf_dir):
-    long = views.team_game_view(clean_games(spark, sf_dir))
-    return round6(long.select("GAME_ID", "team", "is_home", windows.venue_winrate_column()))
+    return round6(team_windows(spark, sf_dir, [windows.venue_winrate_column()]).select(
+        "GAME_ID", "team", "is_home", "venue_winrate"))
 
 
 @register("head_to_head", O.with_(O.GAMES_RAW, O.CLEAN, O.H2H) +
           "SELECT GAME_ID, round(h2h_home_winrate, 6) AS h2h_home_winrate FROM h2h")
 def q_head_to_head(spark, sf_dir):
-    return round6(windows.head_to_head(clean_games(spark, sf_dir)))
+    g = clean_games(spark, sf_dir)
+    split = segments.split_plan(g, "auto")
+    return round6(windows.with_head_to_head(g, segmented=split["pair"]).select("GAME_ID", "h2h_home_winrate"))
 
 
 ELO_OUT = ["GAME_ID", "home_elo_pre", "away_elo_pre", "elo_prob_home", "diff_elo",
@@ -551,7 +565,9 @@ def scored_requests(spark, sf_dir):
     g = clean_games(spark, sf_dir)
     hyp = resolve.hypothetical_games(resolved_requests(spark, sf_dir, g), g)
     e = elo.elo_ratings(g)
-    return state.asof_features(hyp, state.team_state(g, e), state.pair_state(g))
+    split = segments.split_plan(g, "auto")
+    return state.asof_features(hyp, state.team_state(g, e, split["team"]), state.pair_state(g, split["pair"]),
+                               segmented=split["team"] or split["pair"])
 
 
 @register("asof_team_state", ASOF_SQL + f"SELECT {O.round_all(ASOF_OUT, FEATURE_DOUBLES)} FROM asof_feat")

@@ -106,8 +106,10 @@ def prior_last(seg: DataFrame, group: list[str], value: str, out: str) -> DataFr
     real = ~F.col("_halo")
     w = Window.partitionBy(*group, "_seg").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
     within = F.last(F.when(real, F.col(value)), ignorenulls=True).over(w)
-    lasts = seg.filter(real & F.col(value).isNotNull()).groupBy(*group, "_seg").agg(
-        F.max_by(F.col(value), F.col("_pos")).alias("_lv"))
+    # one row for every (group, segment) present -- also segments holding no
+    # value at all, which must still inherit from the earlier segments
+    lasts = seg.filter(real).groupBy(*group, "_seg").agg(
+        F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.col("_pos"))).alias("_lv"))
     wc = Window.partitionBy(*group).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
     carry = lasts.select(*group, "_seg", F.last("_lv", ignorenulls=True).over(wc).alias("_cv"))
     full = seg.select("*", within.alias("_wv")).join(carry, [*group, "_seg"], "left")

@@ -31,3 +31,18 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert len(df.columns) == 6 + 1 + 43
     assert df.count() > 0
+
+
+SPLIT_KEYS = ["rolling_form", "rest_days", "ewma_form", "season_winrate", "venue_winrate",
+              "head_to_head", "advanced_boxscore", "build_features", "asof_team_state"]
+
+
+@pytest.mark.parametrize("key", SPLIT_KEYS)
+def test_matches_oracle_with_every_series_split(spark, con, key, monkeypatch):
+    """The hot-key layout (forced here: threshold 0, 97-row segments, so
+    every team and pair series is cut many times) still matches DuckDB."""
+    from pregame.operators import segments
+    monkeypatch.setattr(segments, "SPLIT_THRESHOLD_ROWS", 0)
+    monkeypatch.setattr(segments, "CHUNK_ROWS", 97)
+    r = compare(spark, con, key, E.queries()[key], E.oracle_sql()[key], SF_SMALL)
+    assert r["rows"] == r["oracle_rows"] and r["hash_match"], r
