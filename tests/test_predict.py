@@ -6,7 +6,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from pregame import catalog, config
+from pregame import config
 from pregame.operators import features, resolve
 from pregame.plans import models, scoring
 from pregame.sources import tables
@@ -74,3 +74,22 @@ def test_scores_are_probabilities_and_guards(spark, games, teams, model):
     assert out[3].status == "same team" and out[3].home_win_prob is None
     assert out[4].status == "unknown team"
     assert out[1].home_team == "Customer#000000010"
+
+
+def test_single_call_interface(spark, games, teams, model):
+    row = teams.orderBy("TEAM_ID").first()
+    assert scoring.list_teams(teams).first().TEAM_ID == row.TEAM_ID
+    assert scoring.resolve_team(teams, row.TEAM_ID) == scoring.resolve_team(teams, row.FULL_NAME) \
+        == scoring.resolve_team(teams, row.ABBREVIATION) == row.TEAM_ID
+    with pytest.raises(ValueError):
+        scoring.resolve_team(teams, "Definitely Not A Real Team 12345")
+    rec = scoring.predict_matchup(games, teams, model, 10, 11)
+    assert 0.0 <= rec["home_win_prob"] <= 1.0
+    assert rec["home_win_prob"] == pytest.approx(1.0 - rec["away_win_prob"])
+    assert rec["predicted_winner"] in ("home", "away")
+    swapped = scoring.predict_matchup(games, teams, model, 11, 10)
+    assert swapped["home_win_prob"] != pytest.approx(rec["home_win_prob"])
+    with pytest.raises(ValueError):
+        scoring.predict_matchup(games, teams, model, 10, 10)
+    with pytest.raises(ValueError):
+        scoring.predict_matchup(games, teams, model, 10, "Definitely Not A Real Team 12345")
