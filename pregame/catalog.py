@@ -564,9 +564,8 @@ def resolved_requests(spark, sf_dir, games):
 def scored_requests(spark, sf_dir):
     g = clean_games(spark, sf_dir)
     hyp = resolve.hypothetical_games(resolved_requests(spark, sf_dir, g), g)
-    e = elo.elo_ratings(g)
     split = segments.split_plan(g, "auto")
-    return state.asof_features(hyp, state.team_state(g, e, split["team"]), state.pair_state(g, split["pair"]),
+    return state.asof_features(hyp, state.team_state(g, None, split["team"]), state.pair_state(g, split["pair"]),
                                segmented=split["team"] or split["pair"])
 
 

@@ -15,7 +15,8 @@ def advanced_stats_present(games: DataFrame) -> list[str]:
             if h in games.columns and a in games.columns]
 
 
-def team_game_view(games: DataFrame, advanced: bool = False, carry: list[str] | None = None) -> DataFrame:
+def team_game_view(games: DataFrame, advanced: bool = False, carry: list[str] | None = None,
+                   side_pairs: dict[str, tuple[str, str]] | None = None) -> DataFrame:
     """One row per (game, side): both sides come out of one scan through
     ``inline(array(home, away))`` -- no union, no second read.
 
@@ -26,6 +27,7 @@ def team_game_view(games: DataFrame, advanced: bool = False, carry: list[str] |
     ``_c_<name>``, so they ride along without a join back.
     """
     carry = carry or []
+    side_pairs = side_pairs or {}
     stats = advanced_stats_present(games) if advanced else []
     league = [F.col(config.LEAGUE)] if config.LEAGUE in games.columns else []
 
@@ -40,6 +42,8 @@ def team_game_view(games: DataFrame, advanced: bool = False, carry: list[str] |
         ]
         for s in stats:
             fields.append(F.col(config.ADVANCED_STATS[s][0 if home else 1]).alias(s))
+        for name, (hc, ac) in side_pairs.items():
+            fields.append(F.col(hc if home else ac).alias(name))
         for c in carry:
             fields.append((F.col(c) if home else F.lit(None).cast(games.schema[c].dataType)).alias(f"_c_{c}"))
         return F.struct(*fields)

@@ -36,7 +36,7 @@ def parity(games: DataFrame, segmented: bool = False) -> DataFrame:
     (as a request with its own date and id) equals its pre-game features.
     -> differing rows (none on a pass)."""
     games = elo_ops.with_league(games)
-    e = elo_ops.elo_ratings(games)
+    e = None  # state from the pass-through Elo fold
     f = feat.build_features(games)
     req = games.select(F.col("GAME_ID").alias("REQUEST_ID"), "GAME_ID", "GAME_DATE_EST", "SEASON",
                        "HOME_TEAM_ID", "VISITOR_TEAM_ID")
