@@ -58,14 +58,13 @@ def ewma_column(value: str = "pt_diff", upto: int = -1, name: str = "form_ptdiff
     frame = (base or by_team()).rowsBetween(upto - config.EWMA_FRAME + 1, upto)
     items = F.collect_list(F.struct(F.col(value).alias("x"))).over(frame)
     k = F.lit(config.EWMA_DECAY)
-    acc = F.aggregate(
-        items,
-        F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("d")),
-        lambda a, s: F.struct(
-            (a["n"] * k + F.coalesce(s["x"].cast("double"), F.lit(0.0))).alias("n"),
-            (a["d"] * k + F.when(s["x"].isNull(), 0.0).otherwise(1.0)).alias("d")),
-    )
-    return F.when(acc["d"] > 0, acc["n"] / acc["d"]).alias(name)
+    # two scalar folds over the same collected frame (computed once): the
+    # weighted sum of values, and the weighted count of non-null positions
+    num = F.aggregate(items, F.lit(0.0),
+                      lambda a, s: a * k + F.coalesce(s["x"].cast("double"), F.lit(0.0)))
+    den = F.aggregate(items, F.lit(0.0),
+                      lambda a, s: a * k + F.when(s["x"].isNull(), 0.0).otherwise(1.0))
+    return F.when(den > 0, num / den).alias(name)
 
 
 def rest_columns(base: Window | None = None) -> list[Column]:
