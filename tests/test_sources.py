@@ -48,3 +48,10 @@ def test_unpaired_rows_are_dropped(spark, games):
     log = ingest.game_log_from_games(games)
     one_side = log.filter(~F.col("MATCHUP").contains("vs."))
     assert ingest.pair_game_log(one_side).count() == 0
+
+
+def test_scratch_tables_live_under_the_checkpoint_folder(spark):
+    from pregame.session import ensure_checkpoint_dir
+    root = ensure_checkpoint_dir(spark)
+    assert root and sinks.scratch_path(spark, "x").startswith(root.rstrip("/"))
+    assert spark.sparkContext.getCheckpointDir() == root
