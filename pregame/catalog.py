@@ -60,6 +60,19 @@ def clean_games(spark, sf_dir):
     return _GAMES[key]
 
 
+_TEAMS: dict = {}
+
+
+def teams_table(spark, sf_dir):
+    """The team dimension, derived once per session and kept (it is read by
+    every resolution and naming step of the scoring queries)."""
+    from pyspark import StorageLevel
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TEAMS:
+        _TEAMS[key] = tables.teams_from_tables(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    return _TEAMS[key]
+
+
 def feature_table(spark, sf_dir):
     return features.build_features(clean_games(spark, sf_dir))
 
@@ -556,7 +569,7 @@ ASOF_OUT = ["REQUEST_ID", "GAME_DATE_EST", "SEASON", "HOME_TEAM_ID", "VISITOR_TE
 
 def resolved_requests(spark, sf_dir, games):
     """The per-league requests, resolved through the name path (digits)."""
-    teams = tables.teams_from_tables(spark, sf_dir)
+    teams = teams_table(spark, sf_dir)
     req = tables.requests_from_games(games)
     return resolve.resolve_sides(req, teams, {"HOME": "HOME_TEAM_ID", "AWAY": "VISITOR_TEAM_ID"})
 
@@ -643,7 +656,7 @@ def name_requests(spark, teams):
 
 @register("resolve_team", NAMES_SQL)
 def q_resolve_team(spark, sf_dir):
-    teams = tables.teams_from_tables(spark, sf_dir)
+    teams = teams_table(spark, sf_dir)
     return resolve.resolve_names(name_requests(spark, teams), teams, "name", "team_id").select(
         "REQUEST_ID", "name", "team_id", "team_id_how")
 
@@ -655,7 +668,7 @@ FROM hyp q LEFT JOIN teams h ON h.TEAM_ID = q.HOME_TEAM_ID LEFT JOIN teams a ON
 def q_team_names(spark, sf_dir):
     g = clean_games(spark, sf_dir)
     hyp = resolve.hypothetical_games(resolved_requests(spark, sf_dir, g), g)
-    teams = tables.teams_from_tables(spark, sf_dir)
+    teams = teams_table(spark, sf_dir)
     out = resolve.team_names(hyp, teams, "HOME_TEAM_ID", "home_team")
     out = resolve.team_names(out, teams, "VISITOR_TEAM_ID", "away_team")
     return out.select("REQUEST_ID", "home_team", "away_team")
@@ -920,7 +933,7 @@ def q_score_matchups(spark, sf_dir):
     res, _, _ = trained(spark, sf_dir)
     _, entry = models.select_best(res)
     g = clean_games(spark, sf_dir)
-    teams = tables.teams_from_tables(spark, sf_dir)
+    teams = teams_table(spark, sf_dir)
     return round6(scoring.score_matchups(tables.requests_from_games(g), g, teams, entry["model"]))
 
 
