@@ -43,37 +43,67 @@ def tokeniser_file(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def _encoder(data: bytes):
-    """text bytes -> little-endian 32-bit ids as bytes.
-
-    White space ends every match of this tokeniser's splitting rule and is then
-    dropped, so a text's ids are those of its words one after another; each
-    distinct word goes through the library once.
-    """
-    import os
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    import numpy as np
-    from tokenizers import Tokenizer
-    tok = Tokenizer.from_str(data.decode())
-
-    memo: dict[bytes, bytes] = {}
-
-    def learn(words):
-        new = list(words)
-        for at in range(0, len(new), 10_000):
-            part = new[at:at + 10_000]
-            for w, e in zip(part, tok.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                memo[w] = np.array(e.ids, "<u4").tobytes()
-
-    def encode(texts):
-        if len(memo) > MEMO:
-            memo.clear()
-        split = [(t or b"").split() for t in texts]
-        new = set().union(*split)
-        learn(new.difference(memo))
-        return [b"".join(map(memo.__getitem__, words)) for words in split]
-
-    return encode
+def _drops_white_space(data: bytes) -> bool:
+    """Does the tokeniser lower-case, keep the matches of a rule without white
+    space, and map bytes?  Others get whole texts."""
+    import json
+    conf = json.loads(data)
+    norm = [n["type"] for n in (conf["normalizer"] or {}).get("normalizers", [])]
+    steps = (conf["pre_tokenizer"] or {}).get("pretokenizers", [])
+    return (norm == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in steps] == ["Split", "ByteLevel"]
+            and steps[0]["invert"] and steps[0]["behavior"] == "Removed" and not steps[1]["use_regex"]
+            and not steps[1]["add_prefix_space"] and steps[0]["pattern"].get("Regex") ==
+            "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+")
+
+
+class _Ids(dict):
+    """word -> its ids as little-endian 32-bit bytes, worked out once a task."""
+
+    def __init__(self, data: bytes):
+        import os
+        import re
+        from struct import Struct
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+        tokeniser = Tokenizer.from_str(data.decode())
+        self.encode, self.merge = tokeniser.encode_batch_fast, tokeniser.model.tokenize
+        self.by_word = _drops_white_space(data)
+        self.packers = [Struct(f"<{n}I").pack for n in range(65)]
+        self.struct = Struct
+        # letters or digits, then plain marks: the splitting rule cuts between them
+        self.plain = re.compile(rb"[a-z]{1,64}").fullmatch
+        self.marked = re.compile(rb"(.*[0-9a-z])([.,;:!?#$%&*]+)", re.S).fullmatch
+
+    def __missing__(self, word: bytes) -> bytes:
+        parts = self.marked(word)
+        if parts:
+            found = self[parts[1]] + self[parts[2]]
+        elif self.plain(word):  # nothing to normalise, split or map: merging is all
+            found = self.packed([t.id for t in self.merge(word.decode())])
+        else:
+            found = self.whole(word)
+        if len(word) <= 64:
+            self[word] = found
+        return found
+
+    def packed(self, ids: list[int]) -> bytes:
+        n = len(ids)
+        return (self.packers[n] if n < 65 else self.struct(f"<{n}I").pack)(*ids)
+
+    def whole(self, text: bytes) -> bytes:
+        return self.packed(self.encode([text.decode()], add_special_tokens=False)[0].ids)
+
+    def of(self, text: bytes | None) -> bytes:
+        """Ids of a text.  Where white space ends every match of the splitting
+        rule and is then dropped, they are those of the text's words one after
+        another.  Letter case is dropped as well, but special strings
+        are looked for before that: texts that may hold one keep theirs."""
+        text = text or b""
+        if not self.by_word:
+            return self.whole(text)
+        if len(self) > MEMO:
+            self.clear()
+        return b"".join(map(self.__getitem__, (text if b"<|" in text else text.lower()).split()))
 
 
 def _pieces(model, capacity: int, end_id: int):
@@ -81,19 +111,17 @@ def _pieces(model, capacity: int, end_id: int):
         import zlib
 
         import pyarrow as pa
-        encode = _encoder(model.value)
+        ids_of = _Ids(model.value).of
         end, width = end_id.to_bytes(4, "little"), 4 * capacity
         for batch in batches:
             out = []
             keep = []
-            texts = byte_lists(batch.column(0))
-            for at in range(0, len(texts), 500):
-                for row, ids in enumerate(encode(texts[at:at + 500]), at):
-                    ids += end
-                    for piece, b in enumerate(range(0, len(ids), width)):
-                        part = ids[b:b + width]
-                        keep.append(row)
-                        out.append((piece, b // 4, len(part) // 4, zlib.crc32(part)))
+            for row, text in enumerate(byte_lists(batch.column(0))):
+                ids = ids_of(text) + end
+                for piece, b in enumerate(range(0, len(ids), width)):
+                    part = ids[b:b + width]
+                    keep.append(row)
+                    out.append((piece, b // 4, len(part) // 4, zlib.crc32(part)))
             cols = list(zip(*out)) or [()] * 4
             rest = [c.take(pa.array(keep, pa.int64())) for c in batch.columns[1:]]
             yield pa.RecordBatch.from_arrays(

@@ -80,6 +80,19 @@ def spines(path: str) -> dict:
             "words": not any(SPACE_SIGN in p.lstrip(SPACE_SIGN) for p in rank)}
 
 
+class _Totals(dict):
+    """segment -> tokens, worked out once."""
+
+    def __init__(self, last_state):
+        self.last_state = last_state
+
+    def __missing__(self, segment: str) -> int:
+        found = self.last_state(segment)[0]
+        if len(segment) <= LONG:
+            self[segment] = found
+        return found
+
+
 class PrefixCounter:
     """Prefix states of texts under one vocabulary (``spines``)."""
 
@@ -87,7 +100,8 @@ class PrefixCounter:
         import re
         self.rank, self.left, self.right, self.longest = model["rank"], model["left"], model["right"], model["longest"]
         self.memo: dict[str, tuple[int, str]] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[str, dict[str, bool]] = {}
+        self.totals = _Totals(self.last_state)
         alone = "".join(model["alone"])
         self.segments = re.compile(
             f"{SPACE_SIGN}+[^{SPACE_SIGN}{alone}]*|[^{SPACE_SIGN}{alone}]+" + (f"|[{alone}]" if alone else "")
@@ -110,67 +124,87 @@ class PrefixCounter:
             if i == len(a) or j == len(b):
                 return True
 
-    def step(self, text: str, end: int, states) -> tuple[int, str]:
-        """State of text[:end]; ``states[i]`` is that of text[:i] for i < end."""
-        before = states[end - 1] if end > 1 else None
-        # one start is right, so the likely ones come first: the last token grown
-        # by a character, the character alone, then the others
-        likely = (end - 1 - len(before[1]), end - 1) if before else (0,)
-        for start in (*likely, *range(max(0, end - self.longest), end - 1)):
+    def step(self, text: str, end: int, before: tuple[int, str], state) -> tuple[int, str]:
+        """State of text[:end] after ``before``, that of text[:end - 1];
+        ``state(i)`` gives that of text[:i]."""
+        # exactly one start is right, so the likely ones come first: the last
+        # token grown by a character, the character alone, then the others
+        n, last = before
+        char = text[end - 1]
+        grown = last + char
+        if grown in self.left:
+            start = end - len(grown)
+            if not start:
+                return 1, grown
+            m, u = state(start)
+            if self.fits(u, grown):
+                return m + 1, grown
+        if self.fits(last, char):
+            return n + (1 if char in self.left else len(char.encode("utf-8", "surrogatepass"))), char
+        for start in range(max(0, end - self.longest), end - 1):
             t = text[start:end]
             if t in self.left:
-                size = 1
-            elif end - start == 1:
-                size = len(t.encode("utf-8", "surrogatepass"))
-            else:
-                continue
-            if not start:
-                return size, t
-            n, u = states[start]
-            fits = self.pairs.get((u, t))
-            if fits is None:
-                fits = self.pairs[u, t] = self.apart(u, t)
-            if fits:
-                return n + size, t
+                if not start:
+                    return 1, t
+                m, u = state(start)
+                if self.fits(u, t):
+                    return m + 1, t
         raise AssertionError("a prefix has no last token")
 
-    def states(self, segment: str) -> list:
-        """[None, then (count, last token) of every prefix from length 1 on]."""
-        out: list = [None]
+    def fits(self, u: str, t: str) -> bool:
+        known = self.pairs.get(u)
+        if known is None:
+            known = self.pairs[u] = {}
+        found = known.get(t)
+        if found is None:
+            found = known[t] = self.apart(u, t)
+        return found
+
+    def first(self, char: str) -> tuple[int, str]:
+        return (1 if char in self.left else len(char.encode("utf-8", "surrogatepass"))), char
+
+    def states(self, segment: str) -> list[tuple[int, str]]:
+        """(count, last token) of every prefix of a segment, from length 1 on."""
+        out = [self.first(segment[0])]
+        for end in range(2, len(segment) + 1):
+            out.append(self.step(segment, end, out[-1], lambda i: out[i - 1]))
+        return out
+
+    def last_state(self, segment: str) -> tuple[int, str]:
+        """State of a whole segment, from the longest prefix that is known."""
         memo, size = self.memo, len(segment)
         if size > LONG:
-            for end in range(1, size + 1):
-                out.append(self.step(segment, end, out))
-            return out
-        for end in range(1, size + 1):
-            prefix = segment[:end]
-            state = memo.get(prefix)
-            if state is None:
-                state = memo[prefix] = self.step(segment, end, out)
-            out.append(state)
-        return out
+            return self.states(segment)[-1]
+        known, found = size, memo.get(segment)
+        while found is None and known > 1:
+            known -= 1
+            found = memo.get(segment[:known])
+        if found is None:
+            found = memo[segment[0]] = self.first(segment[0])
+
+        def state(i):
+            return memo.get(segment[:i]) or self.last_state(segment[:i])
 
-    def total(self, segment: str) -> int:
-        found = self.memo.get(segment)
-        return found[0] if found else self.states(segment)[-1][0]
+        for end in range(known + 1, size + 1):
+            found = memo[segment[:end]] = self.step(segment, end, found, state)
+        return found
 
     def split(self, text: str) -> list[str]:
         if len(self.memo) > MEMO:
             self.memo.clear()
-        if len(self.pairs) > MEMO:
+            self.totals.clear()
             self.pairs.clear()
         return self.segments(SPACE_SIGN + text.replace(" ", SPACE_SIGN)) if text else []
 
     def count(self, text: str) -> int:
         """Tokens of the whole text: the count stored at its last prefix."""
-        total = self.total
-        return sum([total(s) for s in self.split(text)])
+        return sum(map(self.totals.__getitem__, self.split(text)))
 
     def prefix_counts(self, text: str) -> list[int]:
         """Tokens of text[:i] for i = 0 to len(text)."""
         out, before = [0], 0
         for s in self.split(text):
-            counts = [before + n for n, _ in self.states(s)[1:]]
+            counts = [before + n for n, _ in self.states(s)]
             out += counts
             before = counts[-1]
         return [0] + out[2:] if text else [0]  # the first sign is the added space, no prefix of the text

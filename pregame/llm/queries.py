@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, ring, simhash
+from . import decontaminate, packing, prefix_tokens, ring, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +57,16 @@ def op3_ring(spark, sf_dir):
     return ring.shard_documents(table(spark, sf_dir, "documents"))
 
 
+@register("op5_pack")
+def op5_pack(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 @register("op6_simhash")
 def op6_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op8_prefix_tokens")
+def op8_prefix_tokens(spark, sf_dir):
+    return prefix_tokens.token_report(table(spark, sf_dir, "documents"))
