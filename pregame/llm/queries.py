@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, packing, prefix_tokens, ring, simhash
+from . import ctw, decontaminate, langid, packing, prefix_tokens, quality, ring, simhash, urlfilter, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,74 @@ def register(key: str, sql: str | None = None):
     return deco
 
 
+_CAPTURES = """
+WITH k AS (SELECT * FROM (VALUES (0), (1), (2), (3)) t(k)
+), f AS (
+  SELECT page_id AS p, k, url, coalesce(html, '') AS html, regexp_replace(url, '#.*$', '') AS base,
+         k = 2 AND page_id % 5 = 0 AS changed, k = 1 AND page_id % 13 = 0 AS absent
+  FROM pages, k WHERE NOT (k = 0 AND page_id % 11 = 0)
+), g AS (
+  SELECT *, CASE WHEN changed THEN html || '<!-- 2 -->' ELSE html END AS body,
+         CASE WHEN k = 1 THEN base || '#v1'
+              WHEN k = 2 AND base LIKE 'https://%' THEN regexp_replace(base, '^https://([^/?#]*)', 'HTTPS://\\1:443')
+              WHEN k = 2 THEN regexp_replace(base, '^http://([^/?#]*)', 'HTTP://\\1:80') ELSE url END AS uri,
+         '"' || substr(md5(html), 1, 12) || '"' AS tag, 1700000000 + (p % 5000) * 3600 + k * 86400 AS captured,
+         (k = 0 OR changed OR absent) AS response
+  FROM f
+), r AS (
+  SELECT p * 4 + k AS record_id, captured, response, response AND NOT absent AS is_full, k, uri,
+         regexp_extract(uri, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(\\?[^#]*)?', 1) AS u1,
+         regexp_extract(uri, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(\\?[^#]*)?', 2) AS u2,
+         regexp_extract(uri, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(\\?[^#]*)?', 3) AS u3,
+         regexp_extract(uri, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(\\?[^#]*)?', 4) AS u4,
+         CASE WHEN response THEN octet_length(encode(body)) ELSE 0 END AS bytes, CASE WHEN response THEN md5(body) END AS digest,
+         CASE WHEN response THEN '"' || substr(md5(body), 1, 12) || '"'
+              WHEN p % 6 IN (0, 5) THEN tag WHEN p % 6 = 1 THEN 'W/' || tag WHEN p % 6 = 3 THEN '"stale"' END AS etag,
+         CASE WHEN response OR p % 6 IN (2, 5)
+              THEN 'Mon, 01 Jan 2024 ' || lpad(CAST((p + CASE WHEN changed THEN 1 ELSE 0 END) % 24 AS VARCHAR), 2, '0') || ':00:00 GMT' END AS modified
+  FROM g
+), c AS (
+  SELECT *, CASE WHEN u1 = '' THEN uri ELSE lower(u1) || '://' || CASE
+              WHEN lower(u1) = 'http' THEN regexp_replace(lower(u2), ':80$', '')
+              WHEN lower(u1) = 'https' THEN regexp_replace(lower(u2), ':443$', '') ELSE lower(u2) END
+            || CASE WHEN u3 = '' THEN '/' ELSE u3 END || coalesce(u4, '') END AS url
+  FROM r
+), prior AS (
+  SELECT *, last_value(CASE WHEN is_full AND url IS NOT NULL THEN record_id END IGNORE NULLS) OVER (
+           PARTITION BY url ORDER BY captured, record_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior_id
+  FROM c
+), o AS (
+  SELECT a.*, b.record_id AS b_id, b.etag AS b_etag, b.modified AS b_modified, b.bytes AS b_bytes, b.digest AS b_digest,
+         CASE WHEN a.response THEN CASE WHEN a.is_full THEN 'full' ELSE 'other' END
+              WHEN b.record_id IS NULL THEN 'no_prior'
+              WHEN a.etag IS NULL AND a.modified IS NULL THEN 'unvalidated'
+              WHEN a.etag IS NOT NULL THEN CASE WHEN regexp_replace(a.etag, '^W/', '') = regexp_replace(b.etag, '^W/', '') THEN 'resolved' ELSE 'mismatch' END
+              WHEN a.modified = b.modified THEN 'resolved' ELSE 'mismatch' END AS outcome
+  FROM prior a LEFT JOIN c b ON b.record_id = a.prior_id
+)
+SELECT CAST(record_id AS BIGINT) AS record_id, url, outcome,
+       CAST(CASE WHEN outcome = 'resolved' THEN b_id END AS BIGINT) AS refers_to,
+       CAST(CASE WHEN outcome = 'resolved' THEN b_bytes WHEN response THEN bytes END AS BIGINT) AS payload_bytes,
+       CASE WHEN outcome = 'resolved' THEN b_digest WHEN response THEN digest END AS payload_digest,
+       CASE WHEN outcome = 'resolved' THEN
+         'cache-control: max-age=' || k || chr(10) || 'content-length: ' || b_bytes || chr(10) || 'content-type: text/html' || chr(10)
+         || 'date: ' || captured || chr(10) || 'etag: ' || coalesce(etag, b_etag) || chr(10)
+         || 'last-modified: ' || coalesce(modified, b_modified) || chr(10) || 'server: edge'
+       WHEN response THEN
+         'cache-control: max-age=60' || chr(10) || 'content-length: ' || bytes || chr(10) || 'content-type: text/html' || chr(10)
+         || 'date: ' || captured || chr(10) || 'etag: ' || etag || chr(10) || 'last-modified: ' || modified
+       ELSE
+         'cache-control: max-age=' || k || chr(10) || 'connection: close' || chr(10) || 'content-length: 0' || chr(10) || 'date: ' || captured
+         || coalesce(chr(10) || 'etag: ' || etag, '') || coalesce(chr(10) || 'last-modified: ' || modified, '') || chr(10) || 'server: edge'
+       END AS headers
+FROM o"""
+
+
+@register("op1_revisits", _CAPTURES)
+def op1_revisits(spark, sf_dir):
+    return warc.revisit_report(table(spark, sf_dir, "pages"))
+
+
 @register("op2_decontaminate", """
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -57,6 +125,11 @@ def op3_ring(spark, sf_dir):
     return ring.shard_documents(table(spark, sf_dir, "documents"))
 
 
+@register("op4_language")
+def op4_language(spark, sf_dir):
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 @register("op5_pack")
 def op5_pack(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
@@ -67,6 +140,22 @@ def op6_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@register("op7_quality")
+def op7_quality(spark, sf_dir):
+    return quality.quality_report(table(spark, sf_dir, "documents"))
+
+
 @register("op8_prefix_tokens")
 def op8_prefix_tokens(spark, sf_dir):
     return prefix_tokens.token_report(table(spark, sf_dir, "documents"))
+
+
+@register("op9_url_filter")
+def op9_url_filter(spark, sf_dir):
+    return urlfilter.judge(table(spark, sf_dir, "pages").select("page_id", "url")).select(
+        "page_id", "host", "path", "rule", "verdict")
+
+
+@register("op10_ctw")
+def op10_ctw(spark, sf_dir):
+    return ctw.score_documents(table(spark, sf_dir, "documents"))
