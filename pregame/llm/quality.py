@@ -13,8 +13,9 @@ come out of pre-aggregated counts, and only those bounded tables reach the
 driver, as literals of the plan.  Documents are never shuffled.
 
 Length guards: short histograms are noise, so the class distance needs
-``MIN_CHARS`` characters and the word distance ``MIN_WORDS`` words; a document
-without either is decided by the base rules.
+``MIN_CHARS`` characters and the word distance ``MIN_WORDS`` words, with a limit
+that is wider the fewer they are; a document short of both is decided by the
+base rules.
 
 Only DataFrame functions are used.  A window of eight words is known by a
 64-bit hash, combined from halves (words, pairs, fours, eights).
@@ -27,6 +28,7 @@ no reference; repeated rows get equal results; extra columns are kept by
 from __future__ import annotations
 
 from functools import reduce
+from math import log2
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,10 +41,11 @@ REPEAT_PERCENT = 30
 COMMON_SHARE = 0.004
 MAX_LANGUAGES = 50  # those with most documents become references
 REFERENCE_WORDS = 1000  # a language with fewer words in all is no reference
-MIN_CHARS = 200
+MIN_CHARS = 500
 MIN_WORDS = 60
-CLASS_DISTANCE = 0.21
-WORD_DISTANCE = 0.40
+CLASS_DISTANCE = 0.24
+WORD_DISTANCE = 0.80  # of the distance of a text without any common word ...
+WORD_SLACK = 1.3  # ... and this much more, over the root of the number of words
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 CLASSES = ["_upper", "_digit", "_mark", "_space", "_rest"]
 
@@ -125,6 +128,10 @@ def _apart(p: Column, q: Column) -> Column:
     return part(p) + part(q)
 
 
+def _apart_of(p: float, q: float) -> float:
+    return sum(x * log2(2 * x / (p + q)) for x in (p, q) if x > 0)
+
+
 def _root(twice: Column) -> Column:
     return F.sqrt(F.greatest(twice, F.lit(0.0)) / 2)
 
@@ -134,7 +141,9 @@ def class_distance(ref: dict) -> Column:
 
 
 def word_distance(counted: Column, n_words: Column, ref: dict) -> Column:
-    """``counted``: array of (w, n) over the references' common words."""
+    """Distance of the common-word histograms, as a share of the distance that a
+    text without any of the language's common words has (languages differ in how
+    much such words say).  ``counted``: array of (w, n) of common words."""
     if not ref["words"]:
         return F.lit(0.0)
     share = F.create_map(*[F.lit(x) for kv in ref["words"].items() for x in kv])
@@ -142,7 +151,8 @@ def word_distance(counted: Column, n_words: Column, ref: dict) -> Column:
     own = F.filter(F.transform(counted, lambda x: F.struct((x["n"] / F.greatest(n_words, F.lit(1))).alias("p"), share[x["w"]].alias("q"))),
                    lambda x: x["q"].isNotNull())
     zero = F.lit(0.0)
-    return let(own, lambda bins: _root(
+    none = ((listed + _apart_of(1.0, max(0.0, 1 - listed))) / 2) ** 0.5
+    return let(own, lambda bins: (1 / none) * _root(
         # bins that the document lacks have a part of q each
         F.lit(listed) + F.aggregate(bins, zero, lambda acc, x: acc + _apart(x["p"], x["q"]) - x["q"])
         + let(F.greatest(F.lit(1.0) - F.aggregate(bins, zero, lambda acc, x: acc + x["p"]), zero),
@@ -166,7 +176,8 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", refs:
 
     def far(x: Column) -> Column:
         return F.greatest(F.when(F.col("_chars") >= MIN_CHARS, x["c"]).otherwise(F.lit(0.0)) / CLASS_DISTANCE,
-                          F.when(F.col("n_words") >= MIN_WORDS, x["w"]).otherwise(F.lit(0.0)) / WORD_DISTANCE)
+                          F.when(F.col("n_words") >= MIN_WORDS, x["w"]).otherwise(F.lit(0.0))
+                          / (WORD_DISTANCE + WORD_SLACK / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))))
 
     near = F.array_min(F.transform(F.array(*each), lambda x: F.struct(far(x).alias("far"), x["lang"].alias("lang"), x["c"].alias("c"), x["w"].alias("w"))))
     none = "cast(null as struct<far:double,lang:string,c:double,w:double>)"

@@ -89,7 +89,7 @@ def base(docs):
              sum(math.log10((c[w] + .1) / (n + .1 * (v + 1))) for w in ws)) for ws, r in zip(words, docs)]
 
 
-@pytest.mark.parametrize("frame,depth,words", [("odd_docs", 2, 1 << 20), ("clashing", 3, 4), ("odd_docs", 0, 1), ("odd_docs", 5, 100)])
+@pytest.mark.parametrize("frame,depth,words", [("odd_docs", 2, 1 << 20), ("clashing", 3, 4), ("odd_docs", 1, 1), ("odd_docs", 5, 100)])
 def test_against_the_definition(request, frame, depth, words):
     df = request.getfixturevalue(frame)
     docs = df.collect()

@@ -36,7 +36,7 @@ def test_stages_keep_the_columns(spark, odd_docs, no_docs):
     for docs in (odd_docs, no_docs):
         for name, stage in P.STAGES[:-1]:
             assert stage(spark, docs, SF).columns == docs.columns
-        assert P.STAGES[-1][1](spark, docs, SF).count() == docs.count()
+        assert P.STAGES[-1][1](spark, docs, SF).filter("piece = 0").count() == docs.count()
 
 
 def test_registered():

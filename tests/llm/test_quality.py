@@ -64,9 +64,9 @@ def test_distances_against_brute_force(spark, small_docs):
         for lang, ref in refs.items():
             p = [w[x] / n for x in ref["words"]]
             q = list(ref["words"].values())
-            jw = jensen_shannon([*p, 1 - sum(p)], [*q, 1 - sum(q)])
+            jw = jensen_shannon([*p, 1 - sum(p)], [*q, 1 - sum(q)]) / jensen_shannon([*(0 for _ in q), 1], [*q, 1 - sum(q)])
             jc = jensen_shannon([x / sum(c) for x in c], ref["classes"])
-            far = max(jc / Q.CLASS_DISTANCE if len(r.text) >= Q.MIN_CHARS else 0, jw / Q.WORD_DISTANCE if n >= Q.MIN_WORDS else 0)
+            far = max(jc / Q.CLASS_DISTANCE if len(r.text) >= Q.MIN_CHARS else 0, jw / (Q.WORD_DISTANCE + Q.WORD_SLACK / n ** .5) if n >= Q.MIN_WORDS else 0)
             near.append((far, lang, jc, jw))
         g = got[r.doc_id]
         far = min(near)[0]
