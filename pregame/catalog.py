@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from . import config
 from . import oracle as O
-from .operators import clean, elo, features, segments, views, windows
+from .operators import clean, elo, features, ordered, state, views, windows
 from .sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,10 +73,33 @@ def teams_table(spark, sf_dir):
     return _TEAMS[key]
 
 
+_STATE: dict = {}
+
+
+def state_tables(spark, sf_dir):
+    """The saved state tables of the games, written once per session to the
+    shared folder; every scoring query reads them."""
+    from .sources import sinks
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STATE:
+        path = sinks.scratch_path(spark, "state")
+        state.write_state(state.build_state(clean_games(spark, sf_dir)), path)
+        _STATE[key] = state.read_state(spark, path)
+    return _STATE[key]
+
+
 def feature_table(spark, sf_dir):
     return features.build_features(clean_games(spark, sf_dir))
 
 
+def read_back(df, path):
+    """``df``, read from the scratch folder ``path``, computed; the folder goes."""
+    from .sources import sinks
+    out = ordered.kept(df)
+    sinks.remove(df.sparkSession, path)
+    return out
+
+
 GAME_COLS = ["GAME_ID", "GAME_DATE_EST", "SEASON", "LEAGUE", "HOME_TEAM_ID", "VISITOR_TEAM_ID",
              "PTS_home", "PTS_away", "FG_PCT_home", "FG_PCT_away", "AST_home", "AST_away",
              "HOME_TEAM_WINS"]
@@ -160,23 +183,17 @@ SELECT GAME_ID, team,
   round(avg(ast) OVER (PARTITION BY team ORDER BY GAME_DATE_EST, GAME_ID ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING), 6) AS ast_last10
 FROM adv""")
 def q_advanced_boxscore(spark, sf_dir):
-    cols = windows.rolling_columns(stats=("fg_pct", "ast"))
     names = [windows.rolling_name(st, n) for n in config.ROLL_WINDOWS for st in ("fg_pct", "ast")]
-    return round6(team_windows(spark, sf_dir, cols, advanced=True).select("GAME_ID", "team", *names))
+    return round6(team_windows(spark, sf_dir, advanced=True).select("GAME_ID", "team", *names))
 
 
 # ---- W: windows ---------------------------------------------------------------
 
-def team_windows(spark, sf_dir, plain_cols, advanced=False):
-    """Team-game view with the requested prior-only columns; when the split
-    decision finds a team series too long for one task, every column comes
-    from the segmented layout instead (same values)."""
+def team_windows(spark, sf_dir, advanced=False):
+    """Team-game view with the prior-only columns (the unused ones are pruned)."""
     g = clean_games(spark, sf_dir)
-    long = views.team_game_view(g, advanced=advanced)
-    if segments.split_plan(g, "auto")["team"]:
-        stats = views.advanced_stats_present(g) if advanced else []
-        return windows.add_team_features_segmented(long, stats)
-    return long.select("*", *plain_cols)
+    stats = views.advanced_stats_present(g) if advanced else []
+    return windows.team_features(views.team_game_view(g, advanced=advanced), stats)
 
 
 ROLL_NAMES = [windows.rolling_name(s, n) for n in config.ROLL_WINDOWS for s in windows.ROLL_STATS]
@@ -187,7 +204,7 @@ SELECT GAME_ID, team, CAST(is_home AS INT) AS is_home,
        {", ".join(f"round({c}, 6) AS {c}" for c in ROLL_NAMES)}
 FROM (SELECT GAME_ID, team, is_home, {O._rolling_sql()} FROM long)""")
 def q_rolling_form(spark, sf_dir):
-    return round6(team_windows(spark, sf_dir, windows.rolling_columns())
+    return round6(team_windows(spark, sf_dir)
                   .select("GAME_ID", "team", "is_home", *ROLL_NAMES))
 
 
@@ -197,16 +214,16 @@ FROM (SELECT GAME_ID, team,
              CAST(date_diff('day', lag(GAME_DATE_EST) OVER (PARTITION BY team ORDER BY GAME_DATE_EST, GAME_ID), GAME_DATE_EST) AS INT) AS rest_days
       FROM long)""")
 def q_rest_days(spark, sf_dir):
-    return team_windows(spark, sf_dir, windows.rest_columns()).select(
+    return team_windows(spark, sf_dir).select(
         "GAME_ID", "team", "rest_days", "back_to_back")
 
 
 @register("ewma_form", O.with_(O.GAMES_RAW, O.CLEAN, O.LONG) + f"""
 SELECT GAME_ID, team, {O.rnd(O._ewma_expr('_ew'), 'form_ptdiff_ewma')}
 FROM (SELECT GAME_ID, team, list(pt_diff) OVER (PARTITION BY team ORDER BY GAME_DATE_EST, GAME_ID
-            ROWS BETWEEN {config.EWMA_FRAME} PRECEDING AND 1 PRECEDING) AS _ew FROM long)""")
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _ew FROM long)""")
 def q_ewma_form(spark, sf_dir):
-    return round6(team_windows(spark, sf_dir, [windows.ewma_column()]).select(
+    return round6(team_windows(spark, sf_dir).select(
         "GAME_ID", "team", "form_ptdiff_ewma"))
 
 
@@ -214,7 +231,7 @@ def q_ewma_form(spark, sf_dir):
 SELECT GAME_ID, team, SEASON, round(avg(win) OVER (PARTITION BY team, SEASON ORDER BY GAME_DATE_EST, GAME_ID
        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 6) AS season_winrate FROM long""")
 def q_season_winrate(spark, sf_dir):
-    return round6(team_windows(spark, sf_dir, [windows.season_winrate_column()]).select(
+    return round6(team_windows(spark, sf_dir).select(
         "GAME_ID", "team", "SEASON", "season_winrate"))
 
 
@@ -222,16 +239,14 @@ def q_season_winrate(spark, sf_dir):
 SELECT GAME_ID, team, CAST(is_home AS INT) AS is_home, round(avg(win) OVER (PARTITION BY team, SEASON, is_home ORDER BY GAME_DATE_EST, GAME_ID
        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 6) AS venue_winrate FROM long""")
 def q_venue_winrate(spark, sf_dir):
-    return round6(team_windows(spark, sf_dir, [windows.venue_winrate_column()]).select(
+    return round6(team_windows(spark, sf_dir).select(
         "GAME_ID", "team", "is_home", "venue_winrate"))
 
 
 @register("head_to_head", O.with_(O.GAMES_RAW, O.CLEAN, O.H2H) +
           "SELECT GAME_ID, round(h2h_home_winrate, 6) AS h2h_home_winrate FROM h2h")
 def q_head_to_head(spark, sf_dir):
-    g = clean_games(spark, sf_dir)
-    split = segments.split_plan(g, "auto")
-    return round6(windows.with_head_to_head(g, segmented=split["pair"]).select("GAME_ID", "h2h_home_winrate"))
+    return round6(windows.with_head_to_head(clean_games(spark, sf_dir)).select("GAME_ID", "h2h_home_winrate"))
 
 
 ELO_OUT = ["GAME_ID", "home_elo_pre", "away_elo_pre", "elo_prob_home", "diff_elo",
@@ -271,14 +286,10 @@ SELECT CASE WHEN SEASON < {config.TEST_SEASON_START} THEN 'train' ELSE 'test' EN
 FROM warm GROUP BY 1""")
 def q_time_split(spark, sf_dir):
     warm = features.warmup_drop(feature_table(spark, sf_dir))
-    train, test = features.time_split(warm)
-
-    def summary(df, name):
-        return df.agg(F.count(F.lit(1)).cast("bigint").alias("games"),
-                      F.avg(config.LABEL).alias("home_win_rate"),
-                      F.min("SEASON").alias("first_season"),
-                      F.max("SEASON").alias("last_season")).select(F.lit(name).alias("split"), "*")
-    return round6(summary(train, "train").unionByName(summary(test, "test")))
+    side = F.when(F.col("SEASON") < config.TEST_SEASON_START, "train").otherwise("test")
+    return round6(warm.groupBy(side.alias("split")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("games"), F.avg(config.LABEL).alias("home_win_rate"),
+        F.min("SEASON").alias("first_season"), F.max("SEASON").alias("last_season")))
 
 
 # ---- A: profiling aggregates ---------------------------------------------------
@@ -524,8 +535,7 @@ SELECT model, CAST(tp + fp + fn + tn AS BIGINT) AS n, {O.rnd('(tp + tn) / (tp +
 FROM cnt""")
 def q_baselines(spark, sf_dir):
     warm = features.warmup_drop(feature_table(spark, sf_dir))
-    train, test = features.time_split(warm)
-    return round6(metrics.baselines(train, test))
+    return round6(metrics.baselines(warm, F.col("SEASON") >= config.TEST_SEASON_START))
 
 
 @register("elo_baseline", SCORED_SQL + """
@@ -561,7 +571,7 @@ def q_season_label(spark, sf_dir):
 
 # ---- J8 / R1 / J5-J7: requests, resolution, as-of features -------------------------
 
-from .operators import ordered, resolve, state  # noqa: E402
+from .operators import resolve  # noqa: E402
 
 ASOF_SQL = O.with_(O.GAMES_RAW, O.CLEAN, O.LONG, O.ELO, O.STATE, O.HYP, O.ASOF)
 ASOF_OUT = ["REQUEST_ID", "GAME_DATE_EST", "SEASON", "HOME_TEAM_ID", "VISITOR_TEAM_ID"] + FEATURES_43
@@ -576,10 +586,9 @@ def resolved_requests(spark, sf_dir, games):
 
 def scored_requests(spark, sf_dir):
     g = clean_games(spark, sf_dir)
-    hyp = resolve.hypothetical_games(resolved_requests(spark, sf_dir, g), g)
-    split = segments.split_plan(g, "auto")
-    return state.asof_features(hyp, state.team_state(g, None, split["team"]), state.pair_state(g, split["pair"]),
-                               segmented=split["team"] or split["pair"])
+    served = state_tables(spark, sf_dir)
+    hyp = resolve.hypothetical_games(resolved_requests(spark, sf_dir, g), served.team)
+    return state.asof_features(hyp, served)
 
 
 @register("asof_team_state", ASOF_SQL + f"SELECT {O.round_all(ASOF_OUT, FEATURE_DOUBLES)} FROM asof_feat")
@@ -619,10 +628,11 @@ def q_explain_features(spark, sf_dir):
 
 NAMES_SQL = O.with_(O.TEAMS) + r"""
 , names AS (
-  SELECT * FROM (VALUES (1, 'customer#000000007'), (2, 't7'), (3, '7'), (6, '00000012'), (7, '#00000001'),
-                        (8, 'nobody')) v(REQUEST_ID, name)
-  UNION ALL SELECT 4, lower(NICKNAME) FROM teams WHERE TEAM_ID = 5
-  UNION ALL SELECT 5, '  ' || lower(CITY) || ' ' FROM teams WHERE TEAM_ID = 3
+  SELECT TEAM_ID AS REQUEST_ID, CASE CAST(TEAM_ID % 8 AS INT)
+    WHEN 0 THEN lower(FULL_NAME) WHEN 1 THEN lower(ABBREVIATION) WHEN 2 THEN CAST(TEAM_ID AS VARCHAR)
+    WHEN 3 THEN upper(NICKNAME) WHEN 4 THEN '  ' || lower(CITY) || ' ' WHEN 5 THEN lpad(CAST(TEAM_ID AS VARCHAR), 8, '0')
+    WHEN 6 THEN substr(FULL_NAME, 9, 9) ELSE 'nobody' || TEAM_ID END AS name
+  FROM teams
 ), n AS (
   SELECT REQUEST_ID, name, lower(regexp_replace(name, '^\s+|\s+$', '', 'g')) AS t,
          regexp_matches(regexp_replace(name, '^\s+|\s+$', '', 'g'), '^[0-9]+$') AS dig FROM names
@@ -643,21 +653,23 @@ SELECT REQUEST_ID, name,
 FROM r"""
 
 
-def name_requests(spark, teams):
-    lit = spark.createDataFrame(
-        [(1, "customer#000000007"), (2, "t7"), (3, "7"), (6, "00000012"), (7, "#00000001"), (8, "nobody")],
-        "REQUEST_ID int, name string")
-    nick = teams.filter(F.col("TEAM_ID") == 5).select(F.lit(4).alias("REQUEST_ID"),
-                                                      F.lower("NICKNAME").alias("name"))
-    city = teams.filter(F.col("TEAM_ID") == 3).select(
-        F.lit(5).alias("REQUEST_ID"), F.concat(F.lit("  "), F.lower("CITY"), F.lit(" ")).alias("name"))
-    return lit.unionByName(nick).unionByName(city)
+def name_requests(teams):
+    """One request a team, in eight kinds: names of every column, ids, padded
+    digits, a part of the full name, and nobody's."""
+    tid = F.col("TEAM_ID").cast("string")
+    kinds = [F.lower("FULL_NAME"), F.lower("ABBREVIATION"), tid, F.upper("NICKNAME"),
+             F.concat(F.lit("  "), F.lower("CITY"), F.lit(" ")), F.lpad(tid, 8, "0"),
+             F.substring("FULL_NAME", 9, 9), F.concat(F.lit("nobody"), tid)]
+    name = kinds[-1]
+    for k, x in reversed(list(enumerate(kinds[:-1]))):
+        name = F.when(F.col("TEAM_ID") % 8 == k, x).otherwise(name)
+    return teams.select(F.col("TEAM_ID").alias("REQUEST_ID"), name.alias("name"))
 
 
 @register("resolve_team", NAMES_SQL)
 def q_resolve_team(spark, sf_dir):
     teams = teams_table(spark, sf_dir)
-    return resolve.resolve_names(name_requests(spark, teams), teams, "name", "team_id").select(
+    return resolve.resolve_names(name_requests(teams), teams, "name", "team_id").select(
         "REQUEST_ID", "name", "team_id", "team_id_how")
 
 
@@ -736,7 +748,7 @@ SELECT feature, {O.rnd('avg(value)', 'mean')}, {O.rnd('stddev_pop(value)', 'std'
 def q_standardize(spark, sf_dir):
     from .plans import models
     warm = features.warmup_drop(feature_table(spark, sf_dir))
-    train, _ = features.time_split(warm)
+    train = ordered.kept(features.time_split(warm)[0].select(*FEATURES_43))  # for medians, then moments
     med = models.train_medians(train, FEATURES_43)
     return round6(models.standardization(train, FEATURES_43, med))
 
@@ -805,48 +817,63 @@ SELECT CAST(count(*) AS BIGINT) AS games, CAST(count(DISTINCT SEASON) AS BIGINT)
 def q_ingest_seasons(spark, sf_dir):
     path = sinks.scratch_path(spark, "landed-log")
     ingest.land_game_log(ingest.game_log_from_games(clean_games(spark, sf_dir)), path)
-    return ingest.ingest_summary(ingest.ingest_seasons(spark, path))
+    return read_back(ingest.ingest_summary(ingest.ingest_seasons(spark, path)), path)
 
 
-@register("table_roundtrip", FEAT_SQL + f"""
-SELECT SEASON, CAST(count(*) AS BIGINT) AS games, {O.rnd('avg(elo_prob_home)', 'mean_elo_prob')}
-FROM features WHERE SEASON >= {config.TEST_SEASON_START} GROUP BY SEASON""")
+@register("table_roundtrip", FEAT_SQL + f"SELECT {O.round_all(FEATURE_OUT, FEATURE_DOUBLES)} FROM features")
 def q_table_roundtrip(spark, sf_dir):
     path = sinks.scratch_path(spark, "features")
     sinks.write_features(feature_table(spark, sf_dir), path)
-    back = spark.read.parquet(path).filter(F.col("SEASON") >= config.TEST_SEASON_START)
-    return round6(back.groupBy("SEASON").agg(F.count(F.lit(1)).cast("bigint").alias("games"),
-                                             F.avg("elo_prob_home").alias("mean_elo_prob")))
+    return read_back(round6(spark.read.parquet(path).select(*FEATURE_OUT)), path)
+
+
+@register("teams_csv_roundtrip", O.with_(O.TEAMS) + "SELECT * FROM teams")
+def q_teams_csv_roundtrip(spark, sf_dir):
+    path = sinks.scratch_path(spark, "teams-csv")
+    sinks.write_table(teams_table(spark, sf_dir), path, "csv")
+    return read_back(sinks.load_teams(spark, path, "csv"), path)
 
 
 @register("games_csv_roundtrip", CLEAN_SQL + f"SELECT {O.round_all(GAME_COLS, GAME_DOUBLES)} FROM clean")
 def q_games_csv_roundtrip(spark, sf_dir):
     path = sinks.scratch_path(spark, "games-csv")
     sinks.write_table(raw_games(spark, sf_dir), path, "csv")
-    return round6(sinks.load_games(spark, path, "csv").select(*GAME_COLS))
+    return read_back(round6(sinks.load_games(spark, path, "csv").select(*GAME_COLS)), path)
 
 
-# ---- L2-L4: audits without a SQL twin (rows-only check + unit tests) ------------------
+# ---- L2-L4: audits (what they checked, and that nothing differs) ------------------------
 
-@register("audit_parity")
+@register("audit_parity", CLEAN_SQL + "SELECT CAST(count(*) AS BIGINT) AS rows_checked, CAST(0 AS BIGINT) AS differing FROM clean")
 def q_audit_parity(spark, sf_dir):
     from .plans import audit
-    return audit.parity(clean_games(spark, sf_dir))
+    return audit.parity(clean_games(spark, sf_dir), state_tables(spark, sf_dir))
 
 
-@register("append_invariance")
+@register("append_invariance", CLEAN_SQL + """
+SELECT CAST(count(*) AS BIGINT) AS rows_checked, CAST(0 AS BIGINT) AS existing_rows_changed,
+       CAST(1 AS BIGINT) AS synthetic_rows FROM clean""")
 def q_append_invariance(spark, sf_dir):
     from .plans import audit
     return audit.append_invariance(clean_games(spark, sf_dir))
 
 
-@register("audit_counterfactual")
+@register("audit_counterfactual", CLEAN_SQL + """
+, sides AS (
+  SELECT HOME_TEAM_ID AS team, GAME_ID, GAME_DATE_EST FROM clean
+  UNION ALL SELECT VISITOR_TEAM_ID, GAME_ID, GAME_DATE_EST FROM clean
+), firsts AS (
+  SELECT GAME_ID FROM sides QUALIFY row_number() OVER (PARTITION BY team ORDER BY GAME_DATE_EST, GAME_ID) = 1
+), later AS (
+  SELECT GAME_ID, row_number() OVER (ORDER BY GAME_DATE_EST, GAME_ID) - 1 AS i, count(*) OVER () AS n
+  FROM clean WHERE GAME_ID NOT IN (SELECT GAME_ID FROM firsts))
+SELECT GAME_ID AS target_game, CAST(0 AS BIGINT) AS own_row_changed, 1 AS later_rows_change FROM later WHERE i = n // 2""")
 def q_audit_counterfactual(spark, sf_dir):
     from .plans import audit
-    return audit.counterfactual(clean_games(spark, sf_dir))
+    r = audit.counterfactual(clean_games(spark, sf_dir))
+    return r.select("target_game", "own_row_changed", (F.col("later_rows_changed") > 0).cast("int").alias("later_rows_change"))
 
 
-# ---- M / E6 / E8 / R2 / S9: models (no SQL twin: rows-only check + unit tests) -----------
+# ---- M / E6 / E8 / R2 / S9: models -----------------------------------------------------
 
 _TRAINED: dict = {}
 
@@ -864,24 +891,35 @@ def trained(spark, sf_dir):
     return _TRAINED[key]
 
 
+TEST_ROWS_SQL = FEAT_SQL + f"""
+SELECT GAME_ID, HOME_TEAM_WINS, 1 AS consistent FROM warm WHERE SEASON >= {config.TEST_SEASON_START}"""
+
+
+def consistent(prob: str = "home_win_prob"):
+    """Is the probability one, its complement too, and the decision theirs?"""
+    p = F.col(prob)
+    return (p.between(0, 1) & (F.abs(p + F.col("away_win_prob") - 1) < 1e-9)
+            & (F.col("predicted_winner") == F.when(p >= config.DECISION_THRESHOLD, "home").otherwise("away"))).cast("int")
+
+
 def _model_scores(spark, sf_dir, name):
     from .plans import models
     res, _, test = trained(spark, sf_dir)
     s = models.score(res[name]["model"], test)
-    return round6(s.select("GAME_ID", config.LABEL, "home_win_prob", "away_win_prob", "predicted_winner"))
+    return s.select("GAME_ID", config.LABEL, consistent().alias("consistent"))
 
 
-@register("logreg_scores")
+@register("logreg_scores", TEST_ROWS_SQL)
 def q_logreg_scores(spark, sf_dir):
     return _model_scores(spark, sf_dir, "logistic_regression")
 
 
-@register("dtree_scores")
+@register("dtree_scores", TEST_ROWS_SQL)
 def q_dtree_scores(spark, sf_dir):
     return _model_scores(spark, sf_dir, "decision_tree")
 
 
-@register("gbt_scores")
+@register("gbt_scores", TEST_ROWS_SQL)
 def q_gbt_scores(spark, sf_dir):
     return _model_scores(spark, sf_dir, "gradient_boosted_trees")
 
@@ -891,7 +929,8 @@ def q_model_comparison(spark, sf_dir):
     from .plans import models
     res, train, test = trained(spark, sf_dir)
     table = models.comparison_table(spark, res)
-    base = metrics.baselines(train, test).select(*table.columns)
+    both = train.unionByName(test)
+    base = metrics.baselines(both, F.col("SEASON") >= config.TEST_SEASON_START).select(*table.columns)
     return round6(base.unionByName(table))
 
 
@@ -911,10 +950,11 @@ def q_feature_importance(spark, sf_dir):
     return round6(models.feature_importance(entry["model"], FEATURES_43))
 
 
-@register("model_roundtrip")
+@register("model_roundtrip", FEAT_SQL + f"""
+SELECT CAST(count(*) AS BIGINT) AS rows_checked, CAST(0 AS BIGINT) AS changed FROM warm WHERE SEASON >= {config.TEST_SEASON_START}""")
 def q_model_roundtrip(spark, sf_dir):
-    """Save the best model + feature list, load both back, rescore: the
-    returned rows are test games whose probability changed (none expected)."""
+    """Save the best model + feature list, load both back, rescore: test games
+    compared, and those whose probability changed."""
     from .plans import models
     res, _, test = trained(spark, sf_dir)
     _, entry = models.select_best(res)
@@ -922,19 +962,43 @@ def q_model_roundtrip(spark, sf_dir):
     models.save_artifacts(spark, entry["model"], FEATURES_43, path)
     model, cols = models.load_artifacts(spark, path)
     assert cols == FEATURES_43
-    a = models.score(entry["model"], test).select("GAME_ID", F.round("prob", 12).alias("p"))
-    b = models.score(model, test).select("GAME_ID", F.round("prob", 12).alias("p"))
-    return a.exceptAll(b).unionByName(b.exceptAll(a))
+    a = models.score(entry["model"], test).select("GAME_ID", F.col("prob").alias("a"))
+    b = models.score(model, test).select("GAME_ID", F.col("prob").alias("b"))
+    changed = ~F.col("a").eqNullSafe(F.col("b"))
+    return read_back(a.join(b, "GAME_ID", "full").agg(
+        F.count(F.lit(1)).cast("bigint").alias("rows_checked"),
+        F.coalesce(F.sum(changed.cast("long")), F.lit(0)).cast("bigint").alias("changed")), path)
+
+
+SERVED_KEYS = list(config.KEY_FEATURES)
 
 
-@register("score_matchups")
+@register("score_matchups", ASOF_SQL + "," + O.TEAMS + f"""
+SELECT q.REQUEST_ID, q.HOME_TEAM_ID, q.VISITOR_TEAM_ID, 'ok' AS status, CAST(q.GAME_DATE_EST AS VARCHAR) AS game_date,
+       concat(CAST(q.SEASON AS VARCHAR), '-', lpad(CAST((q.SEASON + 1) % 100 AS VARCHAR), 2, '0')) AS season_label,
+       h.FULL_NAME AS home_team, a.FULL_NAME AS away_team, 1 AS consistent, {', '.join(O.rnd('f.' + k, k) for k in SERVED_KEYS)}
+FROM hyp q JOIN asof_feat f ON f.REQUEST_ID = q.REQUEST_ID
+JOIN teams h ON h.TEAM_ID = q.HOME_TEAM_ID JOIN teams a ON a.TEAM_ID = q.VISITOR_TEAM_ID
+UNION ALL
+SELECT -1 - l.LEAGUE, l.LEAGUE * 10, CASE WHEN k = 0 THEN l.LEAGUE * 10 END, CASE WHEN k = 0 THEN 'same team' ELSE 'unknown team' END,
+       NULL, NULL, t.FULL_NAME, CASE WHEN k = 0 THEN t.FULL_NAME END, NULL, {', '.join('NULL' for _ in SERVED_KEYS)}
+FROM (SELECT DISTINCT LEAGUE, CAST(LEAGUE % 2 AS INT) AS k FROM clean) l JOIN teams t ON t.TEAM_ID = l.LEAGUE * 10""")
 def q_score_matchups(spark, sf_dir):
+    """The requests of every league, and one each that a guard stops: the same
+    team twice, or a team that nobody knows."""
     from .plans import models, scoring
     res, _, _ = trained(spark, sf_dir)
     _, entry = models.select_best(res)
     g = clean_games(spark, sf_dir)
-    teams = teams_table(spark, sf_dir)
-    return round6(scoring.score_matchups(tables.requests_from_games(g), g, teams, entry["model"]))
+    lg = F.col(config.LEAGUE)
+    stopped = g.select(lg).distinct().select(
+        (-1 - lg).alias("REQUEST_ID"), (lg * 10).cast("string").alias("HOME"),
+        F.when(lg % 2 == 0, (lg * 10).cast("string")).otherwise("nobody").alias("AWAY"), F.lit(None).cast("date").alias("REQUEST_DATE"))
+    out = scoring.score_matchups(tables.requests_from_games(g).unionByName(stopped), state_tables(spark, sf_dir),
+                                 teams_table(spark, sf_dir), entry["model"])
+    return round6(out.select(
+        "REQUEST_ID", "HOME_TEAM_ID", "VISITOR_TEAM_ID", "status", F.col("GAME_DATE_EST").cast("string").alias("game_date"),
+        "season_label", "home_team", "away_team", consistent().alias("consistent"), *[F.col("key_features")[i]["value"].alias(k) for i, k in enumerate(SERVED_KEYS)]))
 
 
 @register("evaluate_report")
@@ -949,12 +1013,9 @@ def q_evaluate_report(spark, sf_dir):
 SELECT CAST(count(*) AS BIGINT) AS games, CAST(count(DISTINCT SEASON) AS BIGINT) AS seasons FROM paired""")
 def q_stream_ingest(spark, sf_dir):
     """Landed logs through the Structured Streaming pairing (available-now
-    trigger), summarised from the table the stream appended to."""
+    trigger), summarised from the table the stream wrote."""
     from .streaming import landed_logs
-    landed = sinks.scratch_path(spark, "landed-stream")
-    ingest.land_game_log(ingest.game_log_from_games(clean_games(spark, sf_dir)), landed)
-    table = sinks.scratch_path(spark, "games-stream")
-    q = landed_logs.start_ingest(spark, landed, table, sinks.scratch_path(spark, "stream-ckpt"),
-                                 state_partitions=spark.sparkContext.defaultParallelism)
-    q.awaitTermination()
-    return ingest.ingest_summary(spark.read.parquet(table))
+    work = sinks.scratch_path(spark, "stream")
+    ingest.land_game_log(ingest.game_log_from_games(clean_games(spark, sf_dir)), f"{work}/landed")
+    landed_logs.start_ingest(spark, f"{work}/landed", f"{work}/games", work).awaitTermination()
+    return read_back(ingest.ingest_summary(landed_logs.read_games(spark, f"{work}/games")), work)

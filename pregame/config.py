@@ -45,10 +45,12 @@ CALIBRATION_BINS = 10
 # (the original data used 2024 for its own seasons).
 TEST_SEASON_START = 2000
 
-# EWMA with alpha = 2 / (span + 1) = 1/3: weights (2/3)^k.  (2/3)^96 ~ 1e-17, so
-# a 96-row prior frame is exact to double precision.
+# EWMA with alpha = 2 / (span + 1) = 1/3: weights (2/3)^k.
 EWMA_DECAY = 1.0 - 2.0 / (EWMA_SPAN + 1)
-EWMA_FRAME = 96
+# A row that has a value is averaged with at least this many rows before it.
+# What lies further back weighs less than (2/3)^96 = 1e-17 of that row's own
+# value, below the last bit of a double.
+EWMA_LOOKBACK = 96
 
 # Columns every games table must carry.
 REQUIRED_COLUMNS = [

@@ -1,25 +1,27 @@
-"""Pre-game Elo ratings: an ordered fold over each league's games.
-
-Both sides' ratings feed each other, so neither team nor date partitioning
-is independent; the independent unit is the league (a closed set of teams).
-Games are hash-partitioned by league and sorted within the partition by
-(league, date, GAME_ID); ``mapInPandas`` then streams the Arrow batches
-through a fold whose state is one rating and one last-season per team of the
-current league (O(teams) memory, cleared on league change, carried across
-batches).  Nothing is materialised per group, so a huge league streams
-through with bounded memory; its time is linear in its games (the recurrence
-is inherently sequential).
+"""Pre-game Elo ratings: an ordered recurrence over each league's games.
+
+Both sides' ratings feed each other, so neither team nor date partitioning is
+independent; the independent unit is the league, a closed set of teams (derived
+from the connected components of the team graph where the table has no league
+column).  Games are narrowed to the seven columns the recurrence needs, hashed
+by league and sorted by (date, GAME_ID) within the partition.
+
+Each Arrow batch is worked off in rounds: a round takes every game that is the
+next one of both its teams -- games of different teams do not touch each other
+-- and rates them all with a few array operations.  A partition holds many
+leagues, so a round rates a few games of each.  State is one rating and one
+season per team and is carried from batch to batch; nothing is materialised per
+group.  A single connected league stays one stream: its games per round are at
+most half its teams.
 """
 from __future__ import annotations
 
-from typing import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config
+from .components import components
 
 ELO_SCHEMA = T.StructType([
     T.StructField("GAME_ID", T.LongType()),
@@ -30,96 +32,88 @@ ELO_SCHEMA = T.StructType([
     T.StructField("home_elo_post", T.DoubleType()),
     T.StructField("away_elo_post", T.DoubleType()),
 ])
-
-
-def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    init, k = config.ELO_INITIAL, config.ELO_K
-    adv, keep = config.ELO_HOME_ADVANTAGE, config.ELO_SEASON_REGRESS
-    rating: dict = {}
-    last_season: dict = {}
-    league = object()
-
-    def pre(team, season):
-        if team not in rating:
-            rating[team] = init
-        elif last_season[team] != season:
-            # once, on the first game of any other season (however many skipped)
-            rating[team] = init + keep * (rating[team] - init)
-        last_season[team] = season
-        return rating[team]
+NEEDED = [config.LEAGUE, "GAME_ID", "GAME_DATE_EST", "SEASON", "HOME_TEAM_ID", "VISITOR_TEAM_ID", config.LABEL]
+
+
+def rounds(home, away, teams: int):
+    """Splits ordered games (team numbers below ``teams``) into rounds: arrays
+    of game numbers, each the next game of both its teams."""
+    import numpy as np
+    # every team's games in order: its stretch of ``queue``
+    sides = np.column_stack((home, away)).ravel()
+    queue = np.argsort(sides, kind="stable") // 2
+    ends = np.cumsum(np.bincount(sides, minlength=teams))
+    heads = np.concatenate(([0], ends[:-1]))
+    waiting = np.unique(sides)
+    following = np.full(teams, -1)
+    while len(waiting):
+        following[waiting] = queue[heads[waiting]]
+        game = following[waiting]
+        # seen from the home side, so each game comes up once
+        ready = game[(home[game] == waiting) & (following[away[game]] == game)]
+        yield ready
+        np.add.at(heads, home[ready], 1)
+        np.add.at(heads, away[ready], 1)
+        following[waiting] = -1
+        waiting = waiting[heads[waiting] < ends[waiting]]
+
+
+def _rate(batches):
+    import numpy as np
+    import pandas as pd
+    number: dict = {}
+    rating, season_of = np.zeros(0), np.zeros(0, np.int64)
 
     for pdf in batches:
-        lg = pdf[config.LEAGUE].tolist()
-        home = pdf["HOME_TEAM_ID"].tolist()
-        away = pdf["VISITOR_TEAM_ID"].tolist()
-        season = pdf["SEASON"].tolist()
-        result = pdf[config.LABEL].tolist()
-        n = len(lg)
-        h_pre, a_pre, prob, h_post, a_post = ([0.0] * n for _ in range(5))
-        for i in range(n):
-            if lg[i] != league:
-                rating.clear()
-                last_season.clear()
-                league = lg[i]
-            rh = pre(home[i], season[i])
-            ra = pre(away[i], season[i])
-            e = 1.0 / (1.0 + 10 ** ((ra - (rh + adv)) / 400.0))
-            s = float(result[i])
-            rating[home[i]] = rh + k * (s - e)
-            rating[away[i]] = ra + k * ((1 - s) - (1 - e))
-            h_pre[i], a_pre[i], prob[i] = rh, ra, e
-            h_post[i], a_post[i] = rating[home[i]], rating[away[i]]
-        out = pd.DataFrame({
-            "GAME_ID": pdf["GAME_ID"].astype("int64"),
-            "home_elo_pre": h_pre,
-            "away_elo_pre": a_pre,
-            "elo_prob_home": prob,
-        })
-        out["diff_elo"] = out["home_elo_pre"] - out["away_elo_pre"]
-        out["home_elo_post"] = h_post
-        out["away_elo_post"] = a_post
-        yield out
-
-
-ELO_FIELDS = [f for f in ELO_SCHEMA.fields if f.name != "GAME_ID"]
-
-
-def _fold_through(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The fold, returning every input column plus the six Elo columns."""
-    pending = []
-
-    def src():
-        for pdf in batches:
-            pending.append(pdf)
-            yield pdf
-    for out in _fold(src()):
-        pdf = pending.pop(0)
-        for f in ELO_FIELDS:
-            pdf[f.name] = out[f.name].to_numpy()
-        yield pdf
+        league, season = pdf[config.LEAGUE].to_numpy(), pdf["SEASON"].to_numpy().astype(np.int64)
+        n, won = len(pdf), pdf[config.LABEL].to_numpy().astype(float)
+        keys = pd.MultiIndex.from_arrays([np.concatenate((league, league)), np.concatenate(
+            (pdf["HOME_TEAM_ID"].to_numpy(), pdf["VISITOR_TEAM_ID"].to_numpy()))])
+        code, teams = pd.factorize(keys)
+        slots = np.array([number.setdefault(t, len(number)) for t in teams], np.int64)[code]
+        fresh = len(number) - len(rating)
+        rating = np.concatenate((rating, np.full(fresh, config.ELO_INITIAL)))
+        season_of = np.concatenate((season_of, np.full(fresh, np.iinfo(np.int64).min)))
+        home, away = slots[:n], slots[n:]
+        before, after, prob = np.empty((2, n)), np.empty((2, n)), np.empty(n)
+        for game in rounds(home, away, len(number)):
+            year = season[game]
+            for side, team in enumerate((home[game], away[game])):
+                # part of the way back to the start, on a team's first game of another season
+                new = (season_of[team] != year) & (season_of[team] != np.iinfo(np.int64).min)
+                gap = rating[team] - config.ELO_INITIAL
+                before[side, game] = np.where(new, config.ELO_INITIAL + config.ELO_SEASON_REGRESS * gap, rating[team])
+            prob[game] = 1.0 / (1.0 + np.power(10.0, (before[1, game] - before[0, game] - config.ELO_HOME_ADVANTAGE) / 400.0))
+            gain = config.ELO_K * (won[game] - prob[game])
+            after[0, game], after[1, game] = before[0, game] + gain, before[1, game] - gain
+            for side, team in enumerate((home[game], away[game])):
+                rating[team], season_of[team] = after[side, game], year
+        yield pd.DataFrame({"GAME_ID": pdf["GAME_ID"], "home_elo_pre": before[0], "away_elo_pre": before[1],
+                            "elo_prob_home": prob, "diff_elo": before[0] - before[1],
+                            "home_elo_post": after[0], "away_elo_post": after[1]})
 
 
 def with_league(games: DataFrame) -> DataFrame:
+    """``games`` with a LEAGUE column: the one it has, or the connected
+    component of its teams (named by the smallest team id)."""
     if config.LEAGUE in games.columns:
         return games
-    # no league column: the whole table is one league (the original setting)
-    return games.withColumn(config.LEAGUE, F.lit(0).cast("bigint"))
+    met = games.select(F.col("HOME_TEAM_ID").alias("a"), F.col("VISITOR_TEAM_ID").alias("b")).distinct()
+    found = components(met).select(F.col("node").alias("_team"), F.col("root").alias("_root"))
+    return (games.join(found, games["HOME_TEAM_ID"] == found["_team"], "left")
+            .withColumn(config.LEAGUE, F.coalesce("_root", "HOME_TEAM_ID").cast("bigint")).drop("_team", "_root"))
 
 
 def elo_ratings(games: DataFrame) -> DataFrame:
     """-> GAME_ID, home/away pre-game rating, expectation, difference (no home
     advantage), and post-game ratings (for the as-of state table)."""
-    g = with_league(games).select(config.LEAGUE, "GAME_ID", "GAME_DATE_EST", "SEASON",
-                                  "HOME_TEAM_ID", "VISITOR_TEAM_ID", config.LABEL)
-    ordered = g.repartition(config.LEAGUE).sortWithinPartitions(
-        config.LEAGUE, "GAME_DATE_EST", "GAME_ID")
-    return ordered.mapInPandas(_fold, ELO_SCHEMA)
+    ordered = with_league(games).select(*NEEDED).repartition(config.LEAGUE).sortWithinPartitions("GAME_DATE_EST", "GAME_ID")
+    return ordered.mapInPandas(_rate, ELO_SCHEMA)
 
 
 def with_elo(games: DataFrame) -> DataFrame:
-    """Games plus the Elo columns, in one pass: the fold hands the game
-    columns through, so downstream steps need no join back on GAME_ID."""
+    """Games plus the Elo columns, joined on GAME_ID: only the seven columns of
+    the recurrence pass through Python, so a large league pulls no whole rows
+    into one task."""
     g = with_league(games)
-    ordered = g.repartition(config.LEAGUE).sortWithinPartitions(config.LEAGUE, "GAME_DATE_EST", "GAME_ID")
-    schema = T.StructType(list(g.schema.fields) + ELO_FIELDS)
-    return ordered.mapInPandas(_fold_through, schema)
+    return g.join(elo_ratings(g), "GAME_ID")

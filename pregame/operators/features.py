@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from . import elo as elo_ops
-from . import segments, views, windows
+from . import views, windows
 
 ELO_COLUMNS = ["home_elo_pre", "away_elo_pre", "elo_prob_home", "diff_elo"]
 NO_DIFF = {"back_to_back"}
@@ -42,31 +42,26 @@ def pivot_sides(long_features: DataFrame, engineered: list[str]) -> DataFrame:
     return long_features.groupBy("GAME_ID").agg(home, away)
 
 
-def build_features(games: DataFrame, advanced: bool = False, segmented="auto") -> DataFrame:
+def build_features(games: DataFrame, advanced: bool = False, split: bool = True) -> DataFrame:
     """Pre-game features for every game of a cleaned games table.
 
-    One linear chain, no join and a single scan of the input:
-      games -> Elo fold (league partitions, game columns handed through)
-            -> head-to-head window (pair partitions, adds one column)
+      games -> Elo (a narrow fold per league, joined back on GAME_ID)
+            -> head-to-head window (adds one column)
             -> team-game view carrying the game-level columns on the home row
-            -> prior-only team windows (team partitions)
+            -> prior-only team windows
             -> both sides back into one row (groupBy GAME_ID).
-    ``segmented``: "auto" measures the longest team and pair series (one
-    partial-aggregate job) and runs a family on bounded segments
-    (``segments``) when its longest series exceeds the split threshold, so
-    no key -- however hot -- becomes one task; True / False force either
-    layout (same values).
+    ``split``: team and pair series run on bounded segments (``segments``), so
+    no key, however hot, becomes one task; False is the plain layout for series
+    known to be short (same values).
     """
     games = elo_ops.with_league(games)
     stats = views.advanced_stats_present(games) if advanced else []
     eng = windows.engineered_names(stats)
-    split = segments.split_plan(games, segmented)
-    g = windows.with_head_to_head(elo_ops.with_elo(games), segmented=split["pair"])
+    g = windows.with_head_to_head(elo_ops.with_elo(games), split=split)
     carry = [c for c in config.BASE_COLUMNS if c not in ("GAME_ID", "GAME_DATE_EST", "SEASON")] + \
         [config.LEAGUE, "h2h_home_winrate"] + ELO_COLUMNS
     long = views.team_game_view(g, advanced=advanced, carry=carry)
-    lf = (windows.add_team_features_segmented(long, stats) if split["team"]
-          else windows.add_team_features(long, stats))
+    lf = windows.team_features(long, stats, split=split)
     home_pack = F.struct(*[F.col(c) for c in eng], *[F.col(f"_c_{c}").alias(c) for c in carry])
     sides = lf.groupBy("GAME_ID", "GAME_DATE_EST", "SEASON").agg(
         F.max(F.when(F.col("is_home") == 1, home_pack)).alias("_h"),

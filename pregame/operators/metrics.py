@@ -8,7 +8,7 @@ distributed running sums in ``ordered`` (never a single-partition window).
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
@@ -68,22 +68,36 @@ def confusion_matrix(scored: DataFrame, y: str = "y", prob: str = "prob") -> Dat
 def roc_points(scored: DataFrame, y: str = "y", prob: str = "prob") -> DataFrame:
     """ROC curve: one point per distinct score (descending), collinear
     interior points with equal steps dropped, origin prepended (threshold
-    null).  Neighbours come from equi-joins on the global position.
+    null).  The scores are sorted once; neighbours come from lag / lead inside
+    each range partition, and across its ends from the table of partition
+    totals (one row per partition).  With only one class present the rate of
+    the other is null.
     -> threshold, fpr, tpr"""
     g = score_groups(scored, y, prob)
-    rs = ordered.running_sums(g, [F.col("score").desc()], ["pos", "neg"], index="i")
-    tot = g.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"), F.count(F.lit(1)).alias("m")).first()
-    P, N, m = tot["P"], tot["N"], tot["m"]
-    cur = rs.select("i", "score", F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"))
-    prev = cur.select((F.col("i") + 1).alias("i"), F.col("tp").alias("tp_prev"), F.col("fp").alias("fp_prev"))
-    nxt = cur.select((F.col("i") - 1).alias("i"), F.col("tp").alias("tp_next"), F.col("fp").alias("fp_next"))
-    j = cur.join(prev, "i", "left").join(nxt, "i", "left")
-    bend = ((F.col("fp_next") - 2 * F.col("fp") + F.col("fp_prev")) != 0) | (
-        (F.col("tp_next") - 2 * F.col("tp") + F.col("tp_prev")) != 0)
-    keep = (F.col("i") == 0) | (F.col("i") == m - 1) | bend
-    pts = j.filter(keep).select(F.col("score").alias("threshold"),
-                                (F.col("fp") / F.lit(float(N))).alias("fpr"),
-                                (F.col("tp") / F.lit(float(P))).alias("tpr"))
+    s = ordered.sorted_positions(g, [F.col("score").desc()])
+    ends = s.groupBy("_pid").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"),
+                                 F.min_by(F.struct("pos", "neg"), "_local").alias("_first"))
+    by_pid = Window.orderBy("_pid")
+    earlier = by_pid.rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy()
+    ends = ends.select(
+        "_pid", F.sum("_p").over(earlier).alias("_p0"), F.sum("_n").over(earlier).alias("_n0"),
+        F.lead("_first").over(by_pid).alias("_next"), F.sum("_p").over(every).alias("_P"), F.sum("_n").over(every).alias("_N"))
+    w = Window.partitionBy("_pid").orderBy("_local")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    zero = F.lit(0)
+    j = s.join(F.broadcast(ends), "_pid")
+    j = j.select("score", "pos", "neg", "_P", "_N",
+                 (F.coalesce("_p0", zero) + F.sum("pos").over(upto)).alias("tp"),
+                 (F.coalesce("_n0", zero) + F.sum("neg").over(upto)).alias("fp"),
+                 (F.lag("pos").over(w).isNull() & F.col("_p0").isNull()).alias("_first_row"),
+                 F.coalesce(F.lead("pos").over(w), F.col("_next.pos")).alias("_pos_next"),
+                 F.coalesce(F.lead("neg").over(w), F.col("_next.neg")).alias("_neg_next"))
+    # a point bends the curve if its own step differs from the next one
+    bend = (F.col("_neg_next") != F.col("neg")) | (F.col("_pos_next") != F.col("pos"))
+    pts = j.filter(F.col("_first_row") | F.col("_pos_next").isNull() | bend).select(
+        F.col("score").alias("threshold"), F.try_divide(F.col("fp").cast("double"), F.col("_N")).alias("fpr"),
+        F.try_divide(F.col("tp").cast("double"), F.col("_P")).alias("tpr"))
     origin = scored.sparkSession.range(1).select(
         F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return origin.unionByName(pts)
@@ -103,41 +117,28 @@ def calibration(scored: DataFrame, y: str = "y", prob: str = "prob",
         F.count(F.lit(1)).cast("bigint").alias("count"))
 
 
-def baselines(train: DataFrame, test: DataFrame, label: str = config.LABEL) -> DataFrame:
+def baselines(games: DataFrame, is_test: Column, label: str = config.LABEL) -> DataFrame:
     """Always-home and majority-class baselines; both score every test game
-    with the train home-win rate.  The train rate is one number."""
-    rate = train.agg(F.avg(label)).first()[0]
-    majority = int(round(rate))  # half-to-even, like Python / numpy
-    rows = []
-    for name, pred in (("always_home", 1), ("majority_class", majority)):
-        # a constant probability on the right side of the threshold gives the
-        # constant decision; otherwise pass the decision explicitly
-        scored = test.select(F.col(label).alias("y"), F.lit(float(rate)).alias("prob"))
-        m = constant_decision_metrics(scored, pred)
-        rows.append(m.select(F.lit(name).alias("model"), "*"))
-    return rows[0].unionByName(rows[1])
-
-
-def constant_decision_metrics(scored: DataFrame, pred: int) -> DataFrame:
-    """Metrics when every row is predicted ``pred`` and scored ``prob``."""
-    yy = F.col("y")
-    p = F.least(F.greatest(F.col("prob"), F.lit(EPS)), F.lit(1.0 - EPS))
-    agg = scored.agg(
-        F.sum(yy).alias("_pos"), F.count(F.lit(1)).alias("_n"),
-        F.avg(-(yy * F.log(p) + (F.lit(1) - yy) * F.log(F.lit(1.0) - p))).alias("log_loss"))
-    pos, n = F.col("_pos"), F.col("_n")
-    neg = n - pos
-    tp = pos if pred == 1 else F.lit(0)
-    fp = neg if pred == 1 else F.lit(0)
-    fn = F.lit(0) if pred == 1 else pos
-    tn = F.lit(0) if pred == 1 else neg
-    return agg.select(
-        n.cast("bigint").alias("n"),
-        ((tp + tn) / n).alias("accuracy"),
+    with the train home-win rate.  One aggregate gives the positives and rows of
+    either side; all metrics follow from those four numbers."""
+    y, test = F.col(label).cast("long"), is_test
+    one = games.agg(F.sum(F.when(~test, y)).alias("_tp"), F.sum(F.when(~test, 1)).alias("_tn"),
+                    F.coalesce(F.sum(F.when(test, y)), F.lit(0)).alias("pos"), F.coalesce(F.sum(F.when(test, 1)), F.lit(0)).alias("n"))
+    rate = F.try_divide(F.col("_tp"), F.col("_tn"))
+    one = one.select("pos", "n", rate.alias("rate"), F.bround(rate).cast("int").alias("majority"))  # half to even
+    rows = one.select("pos", "n", "rate", F.inline(F.array(
+        F.struct(F.lit("always_home").alias("model"), F.lit(1).alias("pred")),
+        F.struct(F.lit("majority_class").alias("model"), F.col("majority").alias("pred")))))
+    p = F.least(F.greatest(F.col("rate"), F.lit(EPS)), F.lit(1.0 - EPS))
+    pos, neg, hit = F.col("pos"), F.col("n") - F.col("pos"), F.col("pred") == 1
+    zero = F.lit(0).cast("bigint")
+    rows = rows.select("model", "n", F.try_divide(-(pos * F.log(p) + neg * F.log(F.lit(1.0) - p)), F.col("n")).alias("log_loss"),
+                       F.when(hit, pos).otherwise(zero).alias("tp"), F.when(hit, neg).otherwise(zero).alias("fp"),
+                       F.when(hit, zero).otherwise(pos).alias("fn"), F.when(hit, zero).otherwise(neg).alias("tn"))
+    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
+    return rows.select(
+        "model", F.col("n").cast("bigint").alias("n"), F.try_divide(tp + tn, F.col("n")).alias("accuracy"),
         F.coalesce(F.try_divide(tp, tp + fp), F.lit(0.0)).alias("precision"),
         F.coalesce(F.try_divide(tp, tp + fn), F.lit(0.0)).alias("recall"),
         F.coalesce(F.try_divide(2 * tp, 2 * tp + fp + fn), F.lit(0.0)).alias("f1"),
-        F.lit(0.5).alias("roc_auc"),
-        "log_loss",
-        tp.cast("bigint").alias("tp"), fp.cast("bigint").alias("fp"),
-        fn.cast("bigint").alias("fn"), tn.cast("bigint").alias("tn"))
+        F.lit(0.5).alias("roc_auc"), "log_loss", *[F.col(c).cast("bigint").alias(c) for c in ("tp", "fp", "fn", "tn")])

@@ -20,19 +20,23 @@ _LOCAL_BITS = 33  # monotonically_increasing_id = partition << 33 | record numbe
 _LOCAL_MASK = (1 << _LOCAL_BITS) - 1
 
 
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` computed once and cut from its lineage by a reliable checkpoint in
+    the shared folder.  With ``spark.cleaner.referenceTracking.cleanCheckpoints``
+    Spark deletes the files once nothing refers to them."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def sorted_positions(df: DataFrame, order: list[str | Column]) -> DataFrame:
     """Range-partition + sort; adds _pid and _local (position in partition)."""
-    ensure_checkpoint_dir(df.sparkSession)
     # the range partitioner samples its input in a job of its own; keep the
     # input for the two passes (sample, sort) so upstream runs once, and drop
     # it as soon as the checkpoint has cut the lineage
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
-    s = src.repartitionByRange(_partitions(df), *order).sortWithinPartitions(*order)
-    s = s.withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    # no explicit number of partitions: adaptive execution merges small ones
+    s = src.repartitionByRange(*order).sortWithinPartitions(*order)
+    s = kept(s.withColumn("_mid", F.monotonically_increasing_id()))
     src.unpersist()
     return (s.withColumn("_pid", F.shiftright(F.col("_mid"), _LOCAL_BITS))
              .withColumn("_local", F.col("_mid").bitwiseAND(F.lit(_LOCAL_MASK)))
@@ -80,32 +84,28 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> Da
     """Exact linear-interpolation quantiles (numpy / pandas / DuckDB
     ``quantile_cont`` semantics) of many columns in one distributed sort.
 
-    Columns are unpivoted to (column, value) with nulls dropped, sorted once
-    by (column, value), positioned, and only the 2 rows per (column, p) that
-    bracket position p*(n-1) are fetched.  No value-count map is built, so
-    near-unique columns are as cheap as low-cardinality ones.
+    Columns are unpivoted to (column, value) with nulls dropped and counted per
+    distinct value before anything is shuffled, so a value that most rows share
+    is one row.  The distinct pairs are sorted, their counts summed up in order,
+    and the values that bracket position p*(n-1) are those whose range of
+    positions holds it.
     -> (column, p, value)
     """
     long = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
-        for c in columns]))).filter(F.col("value").isNotNull())
-    ranked = row_index(long, ["column", "value"], "_pos")
-    per_col = ranked.groupBy("column").agg(F.min("_pos").alias("_start"),
-                                          F.count(F.lit(1)).alias("_n"))
+        F.struct(F.lit(i).alias("_k"), F.col(c).cast("double").alias("value"))
+        for i, c in enumerate(columns)]))).filter(F.col("value").isNotNull())
+    counts = long.groupBy("_k", "value").agg(F.count(F.lit(1)).alias("_n"))
+    rs = running_sums(counts, ["_k", "value"], ["_n"])
+    per_col = rs.groupBy("_k").agg((F.max("cum__n") - F.sum("_n")).alias("_start"), F.sum("_n").alias("_m"))
+    h = F.col("p") * (F.col("_m") - 1)
+    targets = per_col.select("_k", "_start", "_m", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
+    targets = targets.select("_k", "p", (h - F.floor(h)).alias("_frac"),
+                             (F.col("_start") + F.floor(h)).alias("_lo"), (F.col("_start") + F.ceil(h)).alias("_hi"))
     # one row per (column, p): size = len(columns) * len(probs), fixed by the caller
-    targets = per_col.select("column", "_start", "_n",
-                             F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
-    targets = targets.select("column", "p", "_start", (F.col("p") * (F.col("_n") - 1)).alias("_h"))
-    targets = targets.select(
-        "column", "p", "_h", "_start",
-        (F.col("_start") + F.floor("_h")).cast("bigint").alias("_lo"),
-        (F.col("_start") + F.ceil("_h")).cast("bigint").alias("_hi"))
-    want = targets.select("column", "p", "_h", F.explode(F.array("_lo", "_hi")).alias("_pos"),
-                          "_lo", "_hi").distinct()
-    # the target table is tiny (<= 2 * columns * probs rows): broadcast is size-safe
-    got = ranked.join(F.broadcast(want), ["column", "_pos"])
-    agg = got.groupBy("column", "p", "_h").agg(
-        F.max(F.when(F.col("_pos") == F.col("_lo"), F.col("value"))).alias("_a"),
-        F.max(F.when(F.col("_pos") == F.col("_hi"), F.col("value"))).alias("_b"))
-    frac = F.col("_h") - F.floor("_h")
-    return agg.select("column", "p", (F.col("_a") + frac * (F.col("_b") - F.col("_a"))).alias("value"))
+    at = lambda pos: (F.col("cum__n") - F.col("_n") <= F.col(pos)) & (F.col(pos) < F.col("cum__n"))
+    got = rs.join(F.broadcast(targets), "_k").filter(at("_lo") | at("_hi"))
+    agg = got.groupBy("_k", "p", "_frac").agg(F.max(F.when(at("_lo"), F.col("value"))).alias("_a"),
+                                              F.max(F.when(at("_hi"), F.col("value"))).alias("_b"))
+    names = F.array(*[F.lit(c) for c in columns])
+    return agg.select(names[F.col("_k")].alias("column"), "p",
+                      (F.col("_a") + F.col("_frac") * (F.col("_b") - F.col("_a"))).alias("value"))

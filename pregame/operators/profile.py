@@ -158,7 +158,7 @@ def qcut_edges(values: DataFrame, col: str, q: int = 10) -> list[float]:
 def decile_rate(features: DataFrame, col: str = "diff_season_winrate", q: int = 10) -> DataFrame:
     """Home win rate per quantile bin of ``col`` (right-closed bins, lowest
     edge included, duplicate edges dropped).  -> bin, lo, hi, games, rate"""
-    d = features.filter(F.col(col).isNotNull())
+    d = ordered.kept(features.filter(F.col(col).isNotNull()).select(col, config.LABEL))  # for edges and bins
     edges = qcut_edges(d, col, q)
     arr = F.array(*[F.lit(e) for e in edges])
     k = F.size(F.filter(arr, lambda e: e < F.col(col)))

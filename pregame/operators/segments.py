@@ -7,7 +7,7 @@ the sort key, so a hot key is spread over many partitions -- and numbered
 globally (``ordered.row_index``).  The number cut into segments of at most
 ``chunk_rows`` rows gives the window partition (key, segment):
 
-* frames bounded by rows (last n games, lag, the 96-row EWMA): each segment
+* frames bounded by rows (last n games, lag, the EWMA's lookback): each segment
   also receives the ``halo`` rows just before it (copies flagged ``_halo``),
   so a frame that reaches back across a segment boundary sees exactly the
   rows it would see unsplit; halo rows are dropped afterwards;
@@ -26,36 +26,6 @@ from pyspark.sql import functions as F
 from . import ordered
 
 CHUNK_ROWS = 1 << 16
-# a key whose series is longer than this many rows is split (one task can
-# sort and window a few million rows comfortably; beyond that, split)
-SPLIT_THRESHOLD_ROWS = 4_000_000
-
-
-def largest_series(games: DataFrame) -> dict[str, int]:
-    """Longest team series and longest pair series of a games table, in one
-    job: both counts are partial aggregates (a hot key leaves each task as one
-    row) and only two numbers reach the driver."""
-    lo = F.least("HOME_TEAM_ID", "VISITOR_TEAM_ID")
-    hi = F.greatest("HOME_TEAM_ID", "VISITOR_TEAM_ID")
-    keys = games.select(F.inline(F.array(
-        F.struct(F.lit("team").alias("kind"), F.col("HOME_TEAM_ID").alias("a"), F.lit(None).cast("long").alias("b")),
-        F.struct(F.lit("team").alias("kind"), F.col("VISITOR_TEAM_ID").alias("a"), F.lit(None).cast("long").alias("b")),
-        F.struct(F.lit("pair").alias("kind"), lo.alias("a"), hi.alias("b")))))
-    per_key = keys.groupBy("kind", "a", "b").agg(F.count(F.lit(1)).alias("n"))
-    got = {r["kind"]: r["m"] for r in per_key.groupBy("kind").agg(F.max("n").alias("m")).collect()}
-    return {"team": int(got.get("team") or 0), "pair": int(got.get("pair") or 0)}
-
-
-def split_plan(games: DataFrame, segmented) -> dict[str, bool]:
-    """Which series families to split: forced (True / False) or measured."""
-    if segmented in (True, False):
-        return {"team": segmented, "pair": segmented}
-    # proven bound first: no series is longer than the team appearances of
-    # the whole table, so a small table needs no keyed measurement
-    if 2 * games.count() <= SPLIT_THRESHOLD_ROWS:
-        return {"team": False, "pair": False}
-    top = largest_series(games)
-    return {k: v > SPLIT_THRESHOLD_ROWS for k, v in top.items()}
 
 
 def segment(df: DataFrame, key: list[str], order: list[str], halo: int,
@@ -97,14 +67,16 @@ def prior_sums(seg: DataFrame, group: list[str], measures: dict[str, Column],
         (F.col(f"_w_{k}") + F.coalesce(F.col(f"_c_{k}"), F.lit(0))).alias(f"_p_{k}") for k in measures])
 
 
-def prior_last(seg: DataFrame, group: list[str], value: str, out: str) -> DataFrame:
-    """For every row, the last non-null ``value`` strictly before it in its
-    group's series, across segments (as-of lookup on a split series):
+def prior_last(seg: DataFrame, group: list[str], value: str, out: str,
+               include_current: bool = False) -> DataFrame:
+    """For every row, the last non-null ``value`` strictly before it (or up to
+    it) in its group's series, across segments (as-of lookup on a split series):
     within the segment, ``last(ignorenulls)`` over the preceding rows; else
     the last value of the latest earlier segment that has one (a table of
     one row per (group, segment) with a prefix window over it)."""
     real = ~F.col("_halo")
-    w = Window.partitionBy(*group, "_seg").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy(*group, "_seg").orderBy("_pos").rowsBetween(
+        Window.unboundedPreceding, 0 if include_current else -1)
     within = F.last(F.when(real, F.col(value)), ignorenulls=True).over(w)
     # one row for every (group, segment) present -- also segments holding no
     # value at all, which must still inherit from the earlier segments

@@ -46,25 +46,36 @@ def rolling_columns(stats=ROLL_STATS, windows=config.ROLL_WINDOWS, upto: int = -
     return out
 
 
-def ewma_column(value: str = "pt_diff", upto: int = -1, name: str = "form_ptdiff_ewma",
-                base: Window | None = None) -> Column:
-    """Adjusted EWMA (alpha = 1/3) of the previous games, weights by position.
-
-    A null value decays both running sums and adds nothing, exactly like
-    pandas' ``ewm(adjust=True, ignore_na=False)``; values are wrapped in a
-    struct because ``collect_list`` drops bare nulls, which would shift
-    weights.
+def ewma_through(df: DataFrame, key: list[str], pos: str, value: str = "pt_diff") -> DataFrame:
+    """Adds _ew_now: at rows that have a value, the adjusted EWMA (alpha = 1/3,
+    weights by position) of the series up to and including the row.
+
+    Weights grow by 1/decay from a block's start, so a running sum inside the
+    block is the weighted sum up to a factor that cancels.  Blocks of twice the
+    lookback come in two layers, half a block apart; each row takes the layer in
+    which at least the lookback lies before it.  ``pos`` numbers the rows of a
+    series without gaps.
     """
-    frame = (base or by_team()).rowsBetween(upto - config.EWMA_FRAME + 1, upto)
-    items = F.collect_list(F.struct(F.col(value).alias("x"))).over(frame)
-    k = F.lit(config.EWMA_DECAY)
-    # two scalar folds over the same collected frame (computed once): the
-    # weighted sum of values, and the weighted count of non-null positions
-    num = F.aggregate(items, F.lit(0.0),
-                      lambda a, s: a * k + F.coalesce(s["x"].cast("double"), F.lit(0.0)))
-    den = F.aggregate(items, F.lit(0.0),
-                      lambda a, s: a * k + F.when(s["x"].isNull(), 0.0).otherwise(1.0))
-    return F.when(den > 0, num / den).alias(name)
+    back, block = config.EWMA_LOOKBACK, 2 * config.EWMA_LOOKBACK
+    x = F.col(value).cast("double")
+    layers = []
+    for shift in (0, back):
+        at = F.col(pos) + shift
+        weight = F.pow(F.lit(1.0 / config.EWMA_DECAY), F.pmod(at, F.lit(block)))
+        w = Window.partitionBy(*key, F.floor(at / block)).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
+        layers.append(F.try_divide(F.sum(x * weight).over(w), F.sum(F.when(x.isNotNull(), weight)).over(w)))
+    now = F.when(F.pmod(F.col(pos), F.lit(block)) >= back, layers[0]).otherwise(layers[1])
+    return df.withColumn("_ew_now", F.when(x.isNotNull(), now))
+
+
+def with_ewma(df: DataFrame, value: str = "pt_diff", upto: int = -1, name: str = "form_ptdiff_ewma") -> DataFrame:
+    """Adds the EWMA of the games before the row (``upto=-1``) or through it
+    (0).  Missing values decay all weights alike and add nothing, exactly like
+    pandas' ``ewm(adjust=True, ignore_na=False)``: the average at a row is that
+    at the last row with a value, however long ago."""
+    d = ewma_through(df.withColumn("_pos", F.row_number().over(by_team())), ["team"], "_pos", value)
+    seen = by_team().rowsBetween(Window.unboundedPreceding, upto)
+    return d.withColumn(name, F.last("_ew_now", ignorenulls=True).over(seen)).drop("_pos", "_ew_now")
 
 
 def rest_columns(base: Window | None = None) -> list[Column]:
@@ -89,49 +100,46 @@ def engineered_names(extra_stats=()) -> list[str]:
                     "venue_winrate"]
 
 
-def add_team_features(long: DataFrame, extra_stats=()) -> DataFrame:
-    """All 13 per-team pre-game values (plus rolling means of optional stats)."""
-    stats = ROLL_STATS + tuple(extra_stats)
-    return long.select(
-        "*",
-        *rolling_columns(stats),
-        *rest_columns(),
-        ewma_column(),
-        season_winrate_column(),
-        venue_winrate_column(),
-    )
-
-
-def add_team_features_segmented(long: DataFrame, extra_stats=()) -> DataFrame:
-    """Same 13 values as ``add_team_features``, computed on bounded segments
-    of each team's series (see ``segments``): exact, and no window group
-    larger than a segment even when one team holds most of the rows."""
+def team_features(long: DataFrame, extra_stats=(), split: bool = True) -> DataFrame:
+    """All 13 per-team pre-game values (plus rolling means of optional stats).
+
+    ``split``: computed on bounded segments of each team's series (see
+    ``segments``): no window group is larger than a segment, however many rows
+    one team has.  ``split=False`` is for callers who know that every series
+    fits a task; it saves the global sort.  The values are the same.
+    """
     stats = ROLL_STATS + tuple(extra_stats)
-    seg = segments.segment(long, ["team"], list(ORDER), halo=config.EWMA_FRAME)
+    if not split:
+        return with_ewma(long.select("*", *rolling_columns(stats), *rest_columns(),
+                                     season_winrate_column(), venue_winrate_column()))
+    seg = segments.segment(long, ["team"], list(ORDER), halo=2 * config.EWMA_LOOKBACK)
     w = segments.window(["team"])
-    seg = seg.select("*", *rolling_columns(stats, base=w), *rest_columns(base=w), ewma_column(base=w))
+    seg = seg.select("*", *rolling_columns(stats, base=w), *rest_columns(base=w))
+    seg = ewma_through(seg, ["team", "_seg"], "_pos")
     win, home = F.col("win"), F.col("is_home") == 1
     seen = F.when(win.isNotNull(), 1).otherwise(0)
     seg = segments.prior_sums(seg, ["team", "SEASON"], {
         "s": win, "n": seen,
         "hs": F.when(home, win), "hn": F.when(home, seen),
         "as": F.when(~home, win), "an": F.when(~home, seen)})
+    seg = segments.prior_last(seg, ["team"], "_ew_now", "form_ptdiff_ewma")
 
     def rate(num, den):
         return F.when(F.col(den) > 0, F.col(num) / F.col(den))
     venue = F.when(home, rate("_p_hs", "_p_hn")).otherwise(rate("_p_as", "_p_an"))
     out = seg.filter(~F.col("_halo")).withColumn("season_winrate", rate("_p_s", "_p_n")) \
         .withColumn("venue_winrate", venue)
-    return out.drop("_pos", "_seg", "_halo", *[c for c in out.columns if c.startswith("_p_")])
+    return out.drop("_pos", "_seg", "_halo", "_ew_now", *[c for c in out.columns if c.startswith("_p_")])
 
 
-def with_head_to_head(games: DataFrame, segmented: bool = False) -> DataFrame:
-    """Games plus h2h_home_winrate (prior meetings of the pair, columns kept).
-    ``segmented``: split each pair's series into bounded segments first."""
+def with_head_to_head(games: DataFrame, split: bool = True) -> DataFrame:
+    """Games plus h2h_home_winrate: the prior win rate of the pair's lower id
+    over all earlier meetings (no season limit), flipped to the home side's view.
+    ``split``: on bounded segments of each pair's series."""
     lo = C.pair_low("HOME_TEAM_ID", "VISITOR_TEAM_ID")
     hi = C.pair_high("HOME_TEAM_ID", "VISITOR_TEAM_ID")
     won = C.low_team_won("HOME_TEAM_ID", "VISITOR_TEAM_ID", config.LABEL)
-    if not segmented:
+    if not split:
         w = Window.partitionBy(lo, hi).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1)
         rate = F.avg(won).over(w)
         return games.withColumn("h2h_home_winrate", C.home_view(rate, "HOME_TEAM_ID", "VISITOR_TEAM_ID"))
@@ -142,17 +150,3 @@ def with_head_to_head(games: DataFrame, segmented: bool = False) -> DataFrame:
     rate = F.when(F.col("_p_n") > 0, F.col("_p_w") / F.col("_p_n"))
     return seg.filter(~F.col("_halo")).select(
         *cols, C.home_view(rate, "HOME_TEAM_ID", "VISITOR_TEAM_ID").alias("h2h_home_winrate"))
-
-
-def head_to_head(games: DataFrame) -> DataFrame:
-    """Prior win rate of the lower id of the pair over all earlier meetings
-    (no season limit), flipped to the home side's view.  -> (GAME_ID, h2h)."""
-    lo = C.pair_low("HOME_TEAM_ID", "VISITOR_TEAM_ID")
-    hi = C.pair_high("HOME_TEAM_ID", "VISITOR_TEAM_ID")
-    g = games.select("GAME_ID", "GAME_DATE_EST", "HOME_TEAM_ID", "VISITOR_TEAM_ID",
-                     lo.alias("_lo"), hi.alias("_hi"),
-                     C.low_team_won("HOME_TEAM_ID", "VISITOR_TEAM_ID", config.LABEL).alias("_low_won"))
-    w = Window.partitionBy("_lo", "_hi").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1)
-    rate = F.avg("_low_won").over(w)
-    return g.select("GAME_ID", C.home_view(rate, "HOME_TEAM_ID", "VISITOR_TEAM_ID")
-                    .alias("h2h_home_winrate"))

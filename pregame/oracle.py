@@ -92,7 +92,7 @@ teamfeat0 AS (
 SELECT *,
        {_rolling_sql()},
        CAST(date_diff('day', lag(GAME_DATE_EST) OVER ({_WT}), GAME_DATE_EST) AS INT) AS rest_days,
-       list(pt_diff) OVER ({_WT} ROWS BETWEEN {config.EWMA_FRAME} PRECEDING AND 1 PRECEDING) AS _ew,
+       list(pt_diff) OVER ({_WT} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _ew,
        avg(win) OVER (PARTITION BY team, SEASON ORDER BY GAME_DATE_EST, GAME_ID ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS season_winrate,
        avg(win) OVER (PARTITION BY team, SEASON, is_home ORDER BY GAME_DATE_EST, GAME_ID ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS venue_winrate
 FROM long
@@ -223,7 +223,7 @@ STATE = f"""
 state0 AS (
 SELECT l.team, l.GAME_DATE_EST AS sdate, l.SEASON AS sseason, {_okey('l.GAME_DATE_EST', 'l.GAME_ID')} AS okey,
        {_STATE_ROLL},
-       list(pt_diff) OVER ({_WTC} ROWS BETWEEN {config.EWMA_FRAME - 1} PRECEDING AND CURRENT ROW) AS _ew,
+       list(pt_diff) OVER ({_WTC} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _ew,
        avg(win) OVER (PARTITION BY team, l.SEASON ORDER BY l.GAME_DATE_EST, l.GAME_ID ROWS UNBOUNDED PRECEDING) AS season_winrate,
        avg(CASE WHEN is_home = 1 THEN win END) OVER (PARTITION BY team, l.SEASON ORDER BY l.GAME_DATE_EST, l.GAME_ID ROWS UNBOUNDED PRECEDING) AS home_venue,
        avg(CASE WHEN is_home = 0 THEN win END) OVER (PARTITION BY team, l.SEASON ORDER BY l.GAME_DATE_EST, l.GAME_ID ROWS UNBOUNDED PRECEDING) AS away_venue,

@@ -20,30 +20,36 @@ def cold_start(games: DataFrame, features: DataFrame) -> DataFrame:
                  F.sum((elo_pre != F.lit(config.ELO_INITIAL)).cast("long")).cast("bigint").alias("violations"))
 
 
-def _rounded(df: DataFrame, cols: list[str], places: int = 9) -> DataFrame:
-    return df.select("GAME_ID", *[F.round(F.col(c).cast("double"), places).alias(c) for c in cols])
-
-
-def frame_diff(a: DataFrame, b: DataFrame, cols: list[str]) -> DataFrame:
-    """Rows of ``a`` not in ``b`` and the reverse (exceptAll both ways)."""
-    ra, rb = _rounded(a, cols), _rounded(b, cols)
-    return ra.exceptAll(rb).withColumn("side", F.lit("left_only")).unionByName(
-        rb.exceptAll(ra).withColumn("side", F.lit("right_only")))
-
-
-def parity(games: DataFrame, segmented: bool = False) -> DataFrame:
+def differing(a: DataFrame, b: DataFrame, cols: list[str], within: float = 1e-9) -> DataFrame:
+    """GAME_ID and differs (boolean) for every game of either table: one full
+    join, nulls equal to nulls, a game that one table lacks differs.  ``within``
+    is the relative difference that the order of floating-point sums may make."""
+    left = a.select(F.col("GAME_ID").alias("_l"), *[F.col(c).cast("double").alias(f"l_{c}") for c in cols])
+    right = b.select(F.col("GAME_ID").alias("_r"), *[F.col(c).cast("double").alias(f"r_{c}") for c in cols])
+    same = F.col("_l").isNotNull() & F.col("_r").isNotNull()
+    for c in cols:
+        x, y = F.col(f"l_{c}"), F.col(f"r_{c}")
+        near = F.abs(x - y) <= within * F.greatest(F.lit(1.0), F.abs(x), F.abs(y))
+        same = same & F.coalesce(near, x.isNull() & y.isNull())
+    return left.join(right, F.col("_l") == F.col("_r"), "full").select(
+        F.coalesce("_l", "_r").alias("GAME_ID"), (~same).alias("differs"))
+
+
+def _count(flag) -> F.Column:
+    return F.coalesce(F.sum(flag.cast("long")), F.lit(0)).cast("bigint")
+
+
+def parity(games: DataFrame, served: state.State | None = None, split: bool = True) -> DataFrame:
     """Train/serve parity: the as-of state served for every historical game
     (as a request with its own date and id) equals its pre-game features.
-    -> differing rows (none on a pass)."""
+    -> rows_checked, differing"""
     games = elo_ops.with_league(games)
-    e = None  # state from the pass-through Elo fold
-    f = feat.build_features(games)
+    f = feat.build_features(games, split=split)
     req = games.select(F.col("GAME_ID").alias("REQUEST_ID"), "GAME_ID", "GAME_DATE_EST", "SEASON",
                        "HOME_TEAM_ID", "VISITOR_TEAM_ID")
-    a = state.asof_features(req, state.team_state(games, e, segmented), state.pair_state(games, segmented),
-                            segmented=segmented)
-    cols = feat.feature_names()
-    return frame_diff(a.select("GAME_ID", *cols), f.select("GAME_ID", *cols), cols)
+    a = state.asof_features(req, served or state.build_state(games, split), split=split)
+    return differing(a, f, feat.feature_names()).agg(
+        F.count(F.lit(1)).cast("bigint").alias("rows_checked"), _count(F.col("differs")).alias("differing"))
 
 
 def synthetic_next_game(games: DataFrame) -> DataFrame:
@@ -60,53 +66,35 @@ def synthetic_next_game(games: DataFrame) -> DataFrame:
     return row
 
 
-def append_invariance(games: DataFrame) -> DataFrame:
+def append_invariance(games: DataFrame, before: DataFrame | None = None) -> DataFrame:
     """Appending a future game changes no existing row's features, and the
-    appended game gets a row.  -> existing_rows_changed, synthetic_rows."""
-    before = feat.build_features(games)
+    appended game gets a row.
+    -> rows_checked, existing_rows_changed, synthetic_rows"""
+    before = feat.build_features(games) if before is None else before
     extended = games.unionByName(synthetic_next_game(games), allowMissingColumns=True)
-    after = feat.build_features(extended)
-    cols = feat.feature_names()
-    real = after.join(before.select("GAME_ID"), "GAME_ID", "left_semi")
-    d = frame_diff(before.select("GAME_ID", *cols), real.select("GAME_ID", *cols), cols)
-    changed = d.agg(F.count(F.lit(1)).cast("bigint").alias("existing_rows_changed"))
-    synth = after.filter(F.col("GAME_ID") == config.SYNTHETIC_GAME_ID).agg(
-        F.count(F.lit(1)).cast("bigint").alias("synthetic_rows"))
-    return _side_by_side(changed, synth)
-
-
-def _side_by_side(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Two one-row aggregates as one row (a union then a max per column)."""
-    ca, cb = a.columns, b.columns
-    u = a.select(*ca, *[F.lit(None).cast("bigint").alias(c) for c in cb]).unionByName(
-        b.select(*[F.lit(None).cast("bigint").alias(c) for c in ca], *cb))
-    return u.agg(*[F.max(c).alias(c) for c in ca + cb])
+    synthetic = F.col("GAME_ID") == config.SYNTHETIC_GAME_ID
+    return differing(before, feat.build_features(extended), feat.feature_names()).agg(
+        _count(~synthetic).alias("rows_checked"), _count(~synthetic & F.col("differs")).alias("existing_rows_changed"),
+        _count(synthetic).alias("synthetic_rows"))
 
 
-def counterfactual(games: DataFrame) -> DataFrame:
+def counterfactual(games: DataFrame, before: DataFrame | None = None) -> DataFrame:
     """Swap the points and flip the label of a mid-history game whose teams
     both played before: its own feature row must not change, and some later
-    game of one of its teams must.  -> target, own_row_changed, later_changed"""
+    game of one of its teams must.
+    -> target_game, own_row_changed, later_rows_changed"""
     cands = profile.not_first_games(games)
-    pos = ordered.row_index(cands.select("GAME_ID", "GAME_DATE_EST"), ["GAME_DATE_EST", "GAME_ID"], "_i")
-    n = pos.count()
-    target = pos.filter(F.col("_i") == n // 2).select("GAME_ID").first()[0]
-    t = F.col("GAME_ID") == F.lit(target)
-    flipped = games.select(
-        *[(F.when(t, F.col("PTS_away")).otherwise(F.col("PTS_home")).alias(c) if c == "PTS_home" else
-           F.when(t, F.col("PTS_home")).otherwise(F.col("PTS_away")).alias(c) if c == "PTS_away" else
-           F.when(t, F.lit(1) - F.col(config.LABEL)).otherwise(F.col(config.LABEL)).alias(c)
-           if c == config.LABEL else F.col(c)) for c in games.columns])
-    before, after = feat.build_features(games), feat.build_features(flipped)
-    cols = feat.feature_names()
-    d = frame_diff(before.select("GAME_ID", *cols), after.select("GAME_ID", *cols), cols)
-    tgt = games.filter(t).select("GAME_DATE_EST", "HOME_TEAM_ID", "VISITOR_TEAM_ID").first()
-    teams = [tgt["HOME_TEAM_ID"], tgt["VISITOR_TEAM_ID"]]
-    later = games.filter((F.col("GAME_DATE_EST") > F.lit(tgt["GAME_DATE_EST"])) & (
-        F.col("HOME_TEAM_ID").isin(teams) | F.col("VISITOR_TEAM_ID").isin(teams))).select("GAME_ID")
-    changed_ids = d.select("GAME_ID").distinct()
-    own = changed_ids.filter(t).agg(F.count(F.lit(1)).cast("bigint").alias("own_row_changed"))
-    lat = changed_ids.join(later, "GAME_ID", "left_semi").agg(
-        F.count(F.lit(1)).cast("bigint").alias("later_rows_changed"))
-    out = _side_by_side(own, lat)
-    return out.select(F.lit(target).cast("bigint").alias("target_game"), "*")
+    pos = ordered.row_index(cands.select("GAME_ID", "GAME_DATE_EST", "HOME_TEAM_ID", "VISITOR_TEAM_ID"),
+                            ["GAME_DATE_EST", "GAME_ID"], "_i")
+    target = pos.filter(F.col("_i") == pos.count() // 2).first()
+    t = F.col("GAME_ID") == F.lit(target["GAME_ID"])
+    swap = {"PTS_home": F.col("PTS_away"), "PTS_away": F.col("PTS_home"), config.LABEL: F.lit(1) - F.col(config.LABEL)}
+    flipped = games.select(*[F.when(t, swap[c]).otherwise(F.col(c)).alias(c) if c in swap else F.col(c) for c in games.columns])
+    before = feat.build_features(games) if before is None else before
+    d = differing(before, feat.build_features(flipped), feat.feature_names())
+    teams = [target["HOME_TEAM_ID"], target["VISITOR_TEAM_ID"]]
+    dated = games.select("GAME_ID", ((F.col("GAME_DATE_EST") > F.lit(target["GAME_DATE_EST"])) & (
+        F.col("HOME_TEAM_ID").isin(teams) | F.col("VISITOR_TEAM_ID").isin(teams))).alias("later"))
+    return d.join(dated, "GAME_ID").agg(
+        F.lit(target["GAME_ID"]).cast("bigint").alias("target_game"), _count(t & F.col("differs")).alias("own_row_changed"),
+        _count(F.col("later") & F.col("differs")).alias("later_rows_changed"))

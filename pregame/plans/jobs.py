@@ -1,4 +1,4 @@
-"""End-to-end jobs: train-and-report, and batch scoring.
+"""End-to-end jobs: ingest, state tables, train-and-report, batch scoring.
 
 Long lineages are cut with written tables in a shared folder: the feature
 table is written once, partitioned by SEASON, and every later step (split,
@@ -12,11 +12,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
+from ..operators import clean, state
 from ..operators import features as feat
-from ..sources import sinks
+from ..sources import ingest, sinks
 from . import models, report, scoring
 
 
+def ingest_job(spark: SparkSession, landed: str, workdir: str, fmt: str = "parquet") -> DataFrame:
+    """Landed two-row game logs of all seasons -> cleaned games table, written
+    by season and read back."""
+    games = clean.clean_games(ingest.ingest_seasons(spark, landed, fmt))
+    sinks.write_table(games, f"{workdir}/games", "parquet", ["SEASON"])
+    return spark.read.parquet(f"{workdir}/games")
+
+
+def state_job(spark: SparkSession, games: DataFrame, workdir: str) -> state.State:
+    """Team and pair state after every game, written for ``score_job``."""
+    state.write_state(state.build_state(games), f"{workdir}/state")
+    return state.read_state(spark, f"{workdir}/state")
+
+
 def train_job(spark: SparkSession, games: DataFrame, workdir: str, tune: bool = True, **search) -> dict:
     """games -> features (written) -> warm-up drop -> time split -> three
     models -> comparison + diagnostics (written) -> best model + feature list
@@ -34,13 +49,14 @@ def train_job(spark: SparkSession, games: DataFrame, workdir: str, tune: bool =
     return out
 
 
-def score_job(spark: SparkSession, requests: DataFrame, games: DataFrame, teams: DataFrame,
+def score_job(spark: SparkSession, requests: DataFrame, teams: DataFrame,
               workdir: str, out_path: str | None = None) -> DataFrame:
-    """Score match-up requests with the saved model; optionally write them."""
+    """Score match-up requests with the saved model and the saved state tables
+    (``train_job`` and ``state_job`` of the same folder); optionally write them."""
     model, cols = models.load_artifacts(spark, f"{workdir}/artifacts")
     if cols != feat.feature_names():
         raise ValueError("saved feature list does not match this library's features")
-    preds = scoring.score_matchups(requests, games, teams, model)
+    preds = scoring.score_matchups(requests, state.read_state(spark, f"{workdir}/state"), teams, model)
     if out_path:
         preds.write.mode("overwrite").parquet(out_path)
         return spark.read.parquet(out_path)

@@ -154,19 +154,20 @@ def tune_gbt(train: DataFrame, cols: list[str], draws: int = config.GBT_SEARCH_D
     shuffled folds), then refit of the best draw on all train rows.  Fits
     run concurrently from a thread pool; each fit is itself a Spark job."""
     folds = time_series_folds(train, splits).persist()
-    med = _medians_dict(train_medians(train, cols))
     cands = draw_params(draws, space=space)
-    frames = [fold_frames(folds, k) for k in range(splits)]
+    # imputed with medians of the rows before the fold's test block, shared by
+    # all draws: no fold sees a later game
+    frames = [(tr, te, _medians_dict(train_medians(tr, cols))) for tr, te in (fold_frames(folds, k) for k in range(splits))]
 
     def score(p):
-        aucs = [auc_of(fit_gbt(tr, cols, p, med), te) for tr, te in frames]
+        aucs = [auc_of(fit_gbt(tr, cols, p, med), te) for tr, te, med in frames]
         return sum(aucs) / len(aucs)
 
     with ThreadPoolExecutor(max_workers=parallelism) as ex:
         scores = list(ex.map(score, cands))
     best = max(range(len(cands)), key=lambda i: (scores[i], -i))
     folds.unpersist()
-    return fit_gbt(train, cols, cands[best], med), cands[best], scores
+    return fit_gbt(train, cols, cands[best]), cands[best], scores
 
 
 # fixed configuration used when the random search is skipped
@@ -253,11 +254,12 @@ def load_artifacts(spark, path: str):
 
 
 def load_or_train(spark, path: str, train: DataFrame, test: DataFrame, cols: list[str], **kw):
-    """Load both artifacts if present, else train, select the best, save."""
-    try:
+    """Load both artifacts if both exist, else train, select the best, save.
+    Any other failure to read them is raised, never papered over by a refit."""
+    from ..sources import sinks
+    if sinks.exists(spark, f"{path}/model") and sinks.exists(spark, f"{path}/feature_columns"):
         return load_artifacts(spark, path)
-    except Exception:  # noqa: BLE001 - missing or unreadable artifacts: retrain
-        results = train_all(train, test, cols, **kw)
-        _, best = select_best(results)
-        save_artifacts(spark, best["model"], cols, path)
-        return best["model"], cols
+    results = train_all(train, test, cols, **kw)
+    _, best = select_best(results)
+    save_artifacts(spark, best["model"], cols, path)
+    return best["model"], cols

@@ -25,6 +25,7 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024))
         .getOrCreate()
     )

@@ -25,6 +25,7 @@ LOG_SCHEMA = T.StructType([
     T.StructField("AST", T.DoubleType()),
     T.StructField("REB", T.DoubleType()),
 ])
+SEASON_LOG_SCHEMA = T.StructType([*LOG_SCHEMA.fields, T.StructField("SEASON", T.IntegerType())])
 KEEP = [f.name for f in LOG_SCHEMA.fields]
 STATS = ["PTS", "FG_PCT", "FT_PCT", "FG3_PCT", "AST", "REB"]
 
@@ -91,7 +92,7 @@ def ingest_seasons(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
     """One read over every landed season, paired into games."""
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True).schema(LOG_SCHEMA.add("SEASON", T.IntegerType()))
+        reader = reader.option("header", True).schema(SEASON_LOG_SCHEMA)
     return pair_game_log(reader.load(path))
 
 

@@ -1,7 +1,6 @@
 """Reading and writing the games / teams / features / report tables."""
 from __future__ import annotations
 
-import json
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -68,18 +67,26 @@ def write_features(features: DataFrame, path: str) -> None:
     write_table(features, path, "parquet", ["SEASON"])
 
 
-def write_report(df: DataFrame, path: str) -> None:
-    """Small report tables (one row per model / bin) as one CSV with header."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def write_report(df: DataFrame, path: str, one_file: bool = True) -> None:
+    """Report tables as CSV with header; those bounded by models, bins or
+    features as one file."""
+    (df.coalesce(1) if one_file else df).write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_feature_list(spark: SparkSession, cols: list[str], path: str) -> None:
-    spark.createDataFrame([(json.dumps(cols),)], "feature_columns string") \
-        .coalesce(1).write.mode("overwrite").json(path)
+def _path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def read_feature_list(spark: SparkSession, path: str) -> list[str]:
-    return json.loads(spark.read.json(path).first()["feature_columns"])
+def exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _path(spark, path)
+    return fs.exists(p)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that this library wrote (scratch, superseded state)."""
+    p, fs = _path(spark, path)
+    fs.delete(p, True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

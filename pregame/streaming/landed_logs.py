@@ -1,33 +1,29 @@
 """Landed game-log files as a stream (the batch ingest, incrementally).
 
 Each game arrives as two rows (home "vs.", away "@"), possibly in different
-files and micro-batches.  The home rows and the away rows of the same file
-stream are paired with a stream-stream inner join on GAME_ID; both sides
-carry an event-time watermark on the game date and the join condition bounds
-the date gap, so Spark can drop join state for games older than the
-watermark (state stays bounded however long the stream runs).  The output
-has the batch ``pair_game_log`` schema and is appended to a table; the
-checkpoint folder (under the shared checkpoint location) makes the query
-restartable after executor or driver loss.
+files, micro-batches and seasons, in any order.  Every micro-batch pairs its
+rows together with the rows still waiting from earlier ones; pairs are written
+to the games table, the others wait on, however long their partner takes.  No
+row is ever late: there is no event-time limit, and what is kept between
+batches are the unpaired rows alone.
+
+Both outputs of a batch go to folders named after its number and replace what a
+failed attempt left there, so a restarted query neither loses nor repeats a
+game.  The waiting rows of a batch stay until the one after the next has begun.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from .. import config
-from ..sources import ingest
-
-STATS = ingest.STATS
+from ..sources import ingest, sinks
 
 
 def log_stream(spark: SparkSession, path: str, fmt: str = "parquet",
                max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming read of landed log files (one folder per SEASON)."""
-    schema = T.StructType(list(ingest.LOG_SCHEMA.fields) + [T.StructField("SEASON", T.IntegerType())])
-    r = spark.readStream.schema(schema).format(fmt)
+    r = spark.readStream.schema(ingest.SEASON_LOG_SCHEMA).format(fmt)
     if fmt == "csv":
         r = r.option("header", True)
     if max_files_per_trigger:
@@ -35,47 +31,36 @@ def log_stream(spark: SparkSession, path: str, fmt: str = "parquet",
     return r.load(path)
 
 
-def paired_games(log: DataFrame, lateness: str = "30 days", max_gap_days: int = 2) -> DataFrame:
-    """Stream of games: home row joined with away row of the same GAME_ID."""
-    ts = F.to_timestamp(F.col("GAME_DATE"))
-    is_home = F.col("MATCHUP").contains("vs.")
-    h = log.filter(is_home).select(
-        F.col("GAME_ID").alias("h_id"), ts.alias("h_ts"), F.col("GAME_DATE").alias("h_date"),
-        F.col("SEASON").alias("h_season"), F.col("TEAM_ID").alias("h_team"), F.col("WL").alias("h_wl"),
-        *[F.col(s).alias(f"h_{s}") for s in STATS]).withWatermark("h_ts", lateness)
-    a = log.filter(~is_home).select(
-        F.col("GAME_ID").alias("a_id"), ts.alias("a_ts"), F.col("TEAM_ID").alias("a_team"),
-        *[F.col(s).alias(f"a_{s}") for s in STATS]).withWatermark("a_ts", lateness)
-    cond = (F.col("h_id") == F.col("a_id")) & (
-        F.col("a_ts").between(F.col("h_ts") - F.expr(f"INTERVAL {max_gap_days} DAYS"),
-                              F.col("h_ts") + F.expr(f"INTERVAL {max_gap_days} DAYS")))
-    j = h.join(a, cond, "inner")
-    out = [F.col("h_id").cast("bigint").alias("GAME_ID"), F.to_date("h_date").alias("GAME_DATE_EST"),
-           F.col("h_season").cast("int").alias("SEASON"), F.col("h_team").alias("HOME_TEAM_ID"),
-           F.col("a_team").alias("VISITOR_TEAM_ID")]
-    for s in STATS:
-        out += [F.col(f"h_{s}").alias(f"{s}_home"), F.col(f"a_{s}").alias(f"{s}_away")]
-    out.append(F.coalesce(F.col("h_wl") == "W", F.lit(False)).cast("int").alias(config.LABEL))
-    return j.select(*out)
+def _pair_batch(table_path: str, waiting_path: str):
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = batch
+        before = f"{waiting_path}/batch={batch_id - 1}"
+        if sinks.exists(spark, before):
+            rows = rows.unionByName(spark.read.schema(ingest.SEASON_LOG_SCHEMA).parquet(before))
+        rows = rows.persist()  # read by both outputs
+        games = ingest.pair_game_log(rows)
+        games.write.mode("overwrite").partitionBy("SEASON").parquet(f"{table_path}/batch={batch_id}")
+        sides = rows.groupBy("GAME_ID").agg(F.count_if(F.col("MATCHUP").contains("vs.")).alias("_h"),
+                                            F.count_if(~F.col("MATCHUP").contains("vs.")).alias("_a"))
+        alone = sides.filter("_h = 0 OR _a = 0").select("GAME_ID")
+        rows.join(alone, "GAME_ID", "left_semi").select(*ingest.SEASON_LOG_SCHEMA.names).write.mode("overwrite").parquet(
+            f"{waiting_path}/batch={batch_id}")
+        rows.unpersist()
+        sinks.remove(spark, f"{waiting_path}/batch={batch_id - 2}")
+    return run
+
 
+def start_ingest(spark: SparkSession, landed: str, table_path: str, work: str, fmt: str = "parquet",
+                 available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Pairs landed rows into the games table (folders batch=<n>/SEASON=<year>).
+    ``work`` (a scratch folder) holds the stream's checkpoint and the rows that
+    wait for their partner."""
+    q = (log_stream(spark, landed, fmt, max_files_per_trigger).writeStream
+         .foreachBatch(_pair_batch(table_path, f"{work}/waiting"))
+         .option("checkpointLocation", f"{work}/checkpoint"))
+    return (q.trigger(availableNow=True) if available_now else q.trigger(processingTime="1 minute")).start()
 
-def start_ingest(spark: SparkSession, landed: str, table_path: str, checkpoint: str,
-                 fmt: str = "parquet", available_now: bool = True,
-                 state_partitions: int | None = None) -> StreamingQuery:
-    """Append paired games to a parquet table partitioned by SEASON.
 
-    ``state_partitions`` sizes the join state (one state store per shuffle
-    partition; fixed in the checkpoint when the query first starts)."""
-    q = (paired_games(log_stream(spark, landed, fmt)).writeStream
-         .format("parquet").option("path", table_path).option("checkpointLocation", checkpoint)
-         .partitionBy("SEASON").outputMode("append"))
-    q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="1 minute")
-    if not state_partitions:
-        return q.start()
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
-    try:
-        return q.start()
-    finally:
-        spark.conf.set(key, before)
+def read_games(spark: SparkSession, table_path: str) -> DataFrame:
+    return spark.read.parquet(table_path).drop("batch")

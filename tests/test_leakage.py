@@ -2,9 +2,10 @@
 train/serve parity) and invariance to input order and partitioning."""
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
-from pregame.operators import features
+from pregame.operators import features, ordered
 from pregame.plans import audit
 
 
@@ -21,11 +22,12 @@ def test_own_outcome_does_not_leak(games):
 
 def test_appended_future_game_is_non_invasive(games):
     r = audit.append_invariance(games).first()
-    assert r.existing_rows_changed == 0 and r.synthetic_rows == 1
+    assert (r.rows_checked, r.existing_rows_changed, r.synthetic_rows) == (games.count(), 0, 1)
 
 
 def test_train_serve_parity(games):
-    assert audit.parity(games).count() == 0
+    r = audit.parity(games).first()
+    assert (r.rows_checked, r.differing) == (games.count(), 0)
 
 
 def test_order_and_partitioning_invariance(games, feats):
@@ -34,7 +36,7 @@ def test_order_and_partitioning_invariance(games, feats):
     one = games.coalesce(1)
     for g in (shuffled, one):
         other = features.build_features(g)
-        assert audit.frame_diff(feats.select("GAME_ID", *cols), other.select("GAME_ID", *cols), cols).count() == 0
+        assert audit.differing(feats, other, cols).filter("differs").isEmpty()
 
 
 def test_feature_columns_and_order(feats):
@@ -45,39 +47,32 @@ def test_feature_columns_and_order(feats):
     assert cols[-5:] == ["h2h_home_winrate", "home_elo_pre", "away_elo_pre", "elo_prob_home", "diff_elo"]
 
 
-def test_segmented_windows_equal_plain(games):
-    """Series split into 97-row segments (every team and pair split many
+def test_split_windows_equal_plain(games, monkeypatch):
+    """Series split into 211-row segments (every team and pair split many
     times, halos crossing key boundaries) give the unsplit values."""
     from pregame.operators import segments
     cols = features.feature_names()
-    old = segments.CHUNK_ROWS
-    segments.CHUNK_ROWS = 97
-    try:
-        a = features.build_features(games, segmented=True)
-        b = features.build_features(games, segmented=False)
-        assert audit.frame_diff(a.select("GAME_ID", *cols), b.select("GAME_ID", *cols), cols).count() == 0
-    finally:
-        segments.CHUNK_ROWS = old
+    monkeypatch.setattr(segments, "CHUNK_ROWS", 211)
+    a = ordered.kept(features.build_features(games))
+    b = features.build_features(games, split=False)
+    assert audit.differing(a, b, cols).filter("differs").isEmpty()
 
 
-def test_split_plan_measures_longest_series(games):
+@pytest.mark.parametrize("split", [True, False])
+def test_asof_parity_in_both_layouts(games, monkeypatch, split):
+    """As-of lookups on 211-row segments serve exactly the pre-game features
+    of every historical game, and so does the plain layout."""
     from pregame.operators import segments
-    top = segments.largest_series(games)
-    assert top["team"] >= top["pair"] > 0
-    assert segments.split_plan(games, "auto") == {"team": False, "pair": False}
-    assert segments.split_plan(games, True) == {"team": True, "pair": True}
+    monkeypatch.setattr(segments, "CHUNK_ROWS", 211)
+    r = audit.parity(games, split=split).first()
+    assert (r.rows_checked, r.differing) == (games.count(), 0)
 
 
-def test_segmented_asof_parity(games):
-    """As-of lookups on 97-row segments still serve exactly the pre-game
-    features of every historical game."""
-    from pregame.operators import segments
-    old = segments.CHUNK_ROWS
-    segments.CHUNK_ROWS = 97
-    try:
-        assert audit.parity(games, segmented=True).count() == 0
-    finally:
-        segments.CHUNK_ROWS = old
+def test_differing_sees_values_nulls_and_missing_games(spark):
+    a = spark.createDataFrame([(1, 1.0), (2, None), (3, 3.0), (5, None)], "GAME_ID long, x double")
+    b = spark.createDataFrame([(1, 1.0 + 1e-12), (2, 2.0), (4, 3.0), (5, None)], "GAME_ID long, x double")
+    got = {r.GAME_ID: r.differs for r in audit.differing(a, b, ["x"]).collect()}
+    assert got == {1: False, 2: True, 3: True, 4: True, 5: False}
 
 
 def test_advanced_boxscore_features_extend_the_table(games, feats):
@@ -87,4 +82,4 @@ def test_advanced_boxscore_features_extend_the_table(games, feats):
     adv = features.build_features(games, advanced=True)
     extra = [c for c in adv.columns if c not in feats.columns]
     assert {"home_fg_pct_last5", "away_ast_last10", "diff_fg_pct_last10"} <= set(extra)
-    assert audit.frame_diff(adv.select("GAME_ID", *cols), feats.select("GAME_ID", *cols), cols).count() == 0
+    assert audit.differing(adv, feats, cols).filter("differs").isEmpty()

@@ -61,7 +61,8 @@ def test_models_beat_random_and_roundtrip(spark, split, tmp_path_factory):
     name, best = models.select_best(res)
     # the original sanity bounds: best AUC clearly above chance, best accuracy
     # above the better of the two baselines
-    base = {r.model: r.accuracy for r in metrics.baselines(train, test).collect()}
+    base = {r.model: r.accuracy for r in metrics.baselines(
+        train.unionByName(test), F.col("SEASON") >= config.TEST_SEASON_START).collect()}
     assert best["metrics"]["roc_auc"] > 0.60
     assert best["metrics"]["accuracy"] > max(base.values())
     imp = models.feature_importance(best["model"], cols).collect()
@@ -111,6 +112,52 @@ def test_load_or_train_trains_then_loads(spark, split):
     assert a.exceptAll(models.score(m2, test).select("GAME_ID", "prob")).count() == 0
 
 
+def test_broken_artifacts_are_not_replaced(spark, split):
+    from pregame.sources import sinks
+    train, test = split
+    path = sinks.scratch_path(spark, "broken")
+    for part in ("model", "feature_columns"):
+        spark.range(1).write.json(f"{path}/{part}")
+    with pytest.raises(Exception):
+        models.load_or_train(spark, path, train, test, ["elo_prob_home"], tune=False)
+    assert spark.read.json(f"{path}/feature_columns").columns == ["id"]
+
+
+def test_folds_never_see_later_rows(split):
+    """Altering rows after a fold's test block leaves its medians alone."""
+    train, _ = split
+    folds = models.time_series_folds(train)
+    tr, te = models.fold_frames(folds, 0)
+    last = te.agg(F.max("row_idx")).first()[0]
+    changed = folds.withColumn("diff_elo", F.when(F.col("row_idx") > last, 1e6).otherwise(F.col("diff_elo")))
+    tr2, _ = models.fold_frames(changed, 0)
+    a, b = (models._medians_dict(models.train_medians(t, ["diff_elo"])) for t in (tr, tr2))
+    assert a == b
+
+
+def test_roc_with_one_class(spark):
+    df = spark.createDataFrame([(1, 0.2), (1, 0.7)], "y int, prob double")
+    rows = metrics.roc_points(df).orderBy("threshold").collect()
+    assert [r.fpr for r in rows[1:]] == [None, None] and rows[-1].tpr == 0.5
+
+
+def test_roc_over_many_partitions(spark):
+    import random
+    r = random.Random(4)
+    data = [(int(r.random() < p), round(p, 2)) for p in (r.random() for _ in range(3000))]
+    df = spark.createDataFrame(data, "y int, prob double")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = [(x.threshold, x.fpr, x.tpr) for x in metrics.roc_points(df).collect() if x.threshold is not None]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    P, N = sum(y for y, _ in data), sum(1 - y for y, _ in data)
+    cum = [(t, sum(1 - y for y, p in data if p >= t), sum(y for y, p in data if p >= t)) for t in sorted({p for _, p in data}, reverse=True)]
+    keep = [c for i, c in enumerate(cum) if i in (0, len(cum) - 1) or
+            (cum[i + 1][1] - c[1], cum[i + 1][2] - c[2]) != (c[1] - cum[i - 1][1], c[2] - cum[i - 1][2])]
+    assert sorted(got) == pytest.approx(sorted((t, f / N, p / P) for t, f, p in keep))
+
+
 def test_surrogate_game_id(spark, games):
     from pregame.operators import clean
     g = clean.clean_games(games.drop("GAME_ID"))

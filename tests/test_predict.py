@@ -59,11 +59,24 @@ def model(spark, feats):
     return models.fit_logreg(train, features.feature_names())
 
 
-def test_scores_are_probabilities_and_guards(spark, games, teams, model):
+@pytest.fixture(scope="module")
+def served(spark, games):
+    from pregame.plans import jobs
+    from pregame.sources import sinks
+    return jobs.state_job(spark, games, sinks.scratch_path(spark, "state-test"))
+
+
+def test_no_fold_in_the_scoring_plan(spark, served, teams, model):
+    req = spark.createDataFrame([(1, "10", "11", None)], "REQUEST_ID int, HOME string, AWAY string, REQUEST_DATE date")
+    plan = scoring.score_matchups(req, served, teams, model)._jdf.queryExecution().toString()
+    assert "MapInPandas" not in plan
+
+
+def test_scores_are_probabilities_and_guards(spark, served, teams, model):
     req = spark.createDataFrame(
         [(1, "10", "11", None), (2, "11", "10", None), (3, "10", "10", None), (4, "10", "nobody", None)],
         "REQUEST_ID int, HOME string, AWAY string, REQUEST_DATE date")
-    out = {r.REQUEST_ID: r for r in scoring.score_matchups(req, games, teams, model).collect()}
+    out = {r.REQUEST_ID: r for r in scoring.score_matchups(req, served, teams, model).collect()}
     for i in (1, 2):
         p = out[i]
         assert p.status == "ok" and 0.0 <= p.home_win_prob <= 1.0
@@ -76,20 +89,20 @@ def test_scores_are_probabilities_and_guards(spark, games, teams, model):
     assert out[1].home_team == "Customer#000000010"
 
 
-def test_single_call_interface(spark, games, teams, model):
+def test_single_call_interface(spark, served, teams, model):
     row = teams.orderBy("TEAM_ID").first()
     assert scoring.list_teams(teams).first().TEAM_ID == row.TEAM_ID
     assert scoring.resolve_team(teams, row.TEAM_ID) == scoring.resolve_team(teams, row.FULL_NAME) \
         == scoring.resolve_team(teams, row.ABBREVIATION) == row.TEAM_ID
     with pytest.raises(ValueError):
         scoring.resolve_team(teams, "Definitely Not A Real Team 12345")
-    rec = scoring.predict_matchup(games, teams, model, 10, 11)
+    rec = scoring.predict_matchup(served, teams, model, 10, 11)
     assert 0.0 <= rec["home_win_prob"] <= 1.0
     assert rec["home_win_prob"] == pytest.approx(1.0 - rec["away_win_prob"])
     assert rec["predicted_winner"] in ("home", "away")
-    swapped = scoring.predict_matchup(games, teams, model, 11, 10)
+    swapped = scoring.predict_matchup(served, teams, model, 11, 10)
     assert swapped["home_win_prob"] != pytest.approx(rec["home_win_prob"])
     with pytest.raises(ValueError):
-        scoring.predict_matchup(games, teams, model, 10, 10)
+        scoring.predict_matchup(served, teams, model, 10, 10)
     with pytest.raises(ValueError):
-        scoring.predict_matchup(games, teams, model, 10, "Definitely Not A Real Team 12345")
+        scoring.predict_matchup(served, teams, model, 10, "Definitely Not A Real Team 12345")

@@ -35,7 +35,7 @@ ROWS = [
 def team1(spark):
     g = games_df(spark, ROWS)
     long = views.team_game_view(g)
-    out = windows.add_team_features(long).filter(F.col("team") == 1).orderBy("GAME_DATE_EST", "GAME_ID")
+    out = windows.team_features(long).filter(F.col("team") == 1).orderBy("GAME_DATE_EST", "GAME_ID")
     return out.toPandas()
 
 
@@ -73,27 +73,59 @@ def test_ewma_matches_pandas(team1):
         assert a == pytest.approx(b, rel=1e-12)
 
 
-def test_ewma_null_value_decays_weights(spark):
-    rows = [(1, D(2000, 1, 1), 2000, 1, 2, 100.0, 90.0, 1),
-            (2, D(2000, 1, 2), 2000, 1, 2, None, 90.0, 1),
-            (3, D(2000, 1, 3), 2000, 1, 2, 100.0, 80.0, 1),
-            (4, D(2000, 1, 4), 2000, 1, 2, 100.0, 80.0, 1)]
+@pytest.mark.parametrize("split", [True, False])
+@pytest.mark.parametrize("values", [
+    [100.0, None, 100.0, 100.0],
+    [100.0] + [None] * 250 + [95.0, None, 120.0],       # longer than any block
+    [None] * 3 + [90.0 + i % 17 for i in range(400)] + [None] * 120,
+])
+def test_ewma_carries_over_missing_values(spark, split, values, monkeypatch):
+    from pregame.operators import segments
+    monkeypatch.setattr(segments, "CHUNK_ROWS", 211)
+    day = D(2000, 1, 1)
+    rows = [(i, day + dt.timedelta(days=i), 2000, 1, 2, v, 90.0, 1) for i, v in enumerate(values)]
     long = views.team_game_view(games_df(spark, rows)).filter(F.col("team") == 1)
-    got = long.select("GAME_ID", windows.ewma_column()).orderBy("GAME_ID").toPandas().form_ptdiff_ewma
-    expect = pd.Series([10.0, None, 20.0, 20.0], dtype=float).shift(1).ewm(span=5, min_periods=1).mean()
-    for a, b in zip(got.iloc[1:], expect.iloc[1:]):
-        assert a == pytest.approx(b, rel=1e-12)
+    got = windows.team_features(long, split=split).orderBy("GAME_ID").toPandas().form_ptdiff_ewma
+    series = pd.Series([None if v is None else v - 90.0 for v in values], dtype=float)
+    expect = series.shift(1).ewm(span=5, min_periods=1).mean()
+    for a, b in zip(got, expect, strict=True):
+        assert (math.isnan(a) and math.isnan(b)) or a == pytest.approx(b, rel=1e-12)
 
 
-def test_head_to_head_flips_to_home_view(spark):
+@pytest.mark.parametrize("split", [True, False])
+def test_head_to_head_flips_to_home_view(spark, split):
     g = games_df(spark, ROWS)
-    h = windows.head_to_head(g).orderBy("GAME_ID").toPandas().set_index("GAME_ID").h2h_home_winrate
+    h = windows.with_head_to_head(g, split=split).orderBy("GAME_ID").toPandas().set_index("GAME_ID").h2h_home_winrate
     assert math.isnan(h[1]) and math.isnan(h[2])
     assert h[4] == 0.0   # pair (1,2): team 1 won game 1; game 4's home side is team 2
     assert h[5] == 1.0   # team 1 (home) won both earlier meetings (games 1 and 4)
     assert h[3] == 0.0   # pair (1,3): team 3 won game 2; team 1 is home in game 3
 
 
+def test_rounds_keep_every_teams_order():
+    import numpy as np
+    r = np.random.default_rng(3)
+    home = r.integers(0, 30, 400)
+    away = (home + r.integers(1, 30, 400)) % 30
+    at = np.empty(400, int)
+    seen = []
+    for k, games in enumerate(elo.rounds(home, away, 30)):
+        at[games] = k
+        seen += games.tolist()
+        assert len(set(home[games]) | set(away[games])) == 2 * len(games)
+    assert sorted(seen) == list(range(400))
+    for t in range(30):
+        own = at[(home == t) | (away == t)]
+        assert (np.diff(own) > 0).all()
+
+
+def test_leagues_from_the_team_graph(spark):
+    """Without a league column, teams that ever met are one league."""
+    rows = ROWS + [(9, D(2000, 2, 1), 2000, 12, 11, 80.0, 90.0, 0)]
+    g = elo.with_league(games_df(spark, rows))
+    assert {(r.HOME_TEAM_ID, r.LEAGUE) for r in g.collect()} == {(1, 1), (2, 1), (3, 1), (12, 11)}
+
+
 def test_elo_fold_by_hand(spark):
     g = games_df(spark, ROWS)
     e = elo.elo_ratings(g).orderBy("GAME_ID").toPandas().set_index("GAME_ID")
