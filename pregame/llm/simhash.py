@@ -36,8 +36,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.components import components
 from .common import byte_lists, cut, quoted
-from .components import components
 
 SHINGLE = 3
 SEED = 42

@@ -6,7 +6,7 @@ import pytest
 import xxhash
 
 from pregame.llm import simhash as S
-from pregame.llm.components import components
+from pregame.operators.components import components
 
 
 def slow_print(text):
