@@ -1,6 +1,8 @@
 """Small helpers shared by the operators of this subpackage."""
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +30,18 @@ def replacing(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[F.col(quoted(c)) for c in df.columns if c.lower() not in low])
 
 
+def set_aside(df: DataFrame, names: list[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with its columns of these names (whatever their letter case) under
+    other names, and the function that gives a result its own columns back."""
+    low = {n.lower() for n in names}
+    away = {c: f"_aside_{i}" if c.lower() in low else c for i, c in enumerate(df.columns)}
+
+    def back(out: DataFrame) -> DataFrame:
+        return out.select(*[F.col(quoted(v)).alias(c) for c, v in away.items()])
+
+    return df.select(*[F.col(quoted(c)).alias(v) for c, v in away.items()]), back
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -37,6 +51,14 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with further columns, each computed once: a generator of one row,
+    unlike a projection, is never merged into what uses the columns (where a
+    lambda would work them out again for every element), nor is a filter on them
+    moved below it."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def crc_text(col: str) -> Column:
     """crc32 of a column written as text (a null counts as the empty text)."""
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary"))

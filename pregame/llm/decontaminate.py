@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_lists, quoted, replacing
+from .common import byte_lists, quoted, replacing, set_aside
 
 WINDOW = 10
 BLOCK_WINDOWS = 200_000
@@ -168,14 +168,8 @@ def find_passages(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
 
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents in which a benchmark window occurs."""
-    added = [quoted(c) for c in docs.columns]
-    clash = {c.lower() for c in HITS.fieldNames() + _FOUND.fieldNames()} & {c.lower() for c in docs.columns}
-    # columns that would be replaced are kept under other names meanwhile
-    away = {c: f"_kept_{i}" for i, c in enumerate(docs.columns) if c.lower() in clash}
-    d = docs.select(*[F.col(quoted(c)).alias(away.get(c, c)) for c in docs.columns])
-    found = find_passages(d, items, **options).filter("n_hit = 0")
-    return found.select(*[F.col(quoted(away.get(c, c))).alias(c) for c in docs.columns]) if away \
-        else found.select(*added)
+    d, back = set_aside(docs, HITS.fieldNames() + _FOUND.fieldNames())
+    return back(find_passages(d, items, **options).filter("n_hit = 0"))
 
 
 def contamination_report(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -35,6 +35,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.components import components
 from .common import byte_lists, cut, quoted
@@ -145,9 +146,9 @@ def links(prints: DataFrame, pair_bucket: int = PAIR_BUCKET) -> DataFrame:
 
 def fingerprints(docs: DataFrame, text_col: str = "text", keep: list | None = None, shingle: int = SHINGLE) -> DataFrame:
     """The kept columns of ``docs`` plus fp (signed 64-bit fingerprint)."""
-    return (lambda d: d.mapInArrow(_fingerprints(shingle), ", ".join(
-        f"{quoted(f.name)} {f.dataType.simpleString()}" for f in d.schema.fields[1:]) + ", fp long"))(
-        docs.select(F.col(quoted(text_col)).cast("binary").alias("_text"), *(keep if keep is not None else ["doc_id"])))
+    d = docs.select(F.col(quoted(text_col)).cast("binary").alias("_text"), *(["doc_id"] if keep is None else keep))
+    schema = T.StructType([*d.schema.fields[1:], T.StructField("fp", T.LongType())])
+    return d.mapInArrow(_fingerprints(shingle), schema)
 
 
 def component_of(prints: DataFrame, id_col: str = "doc_id") -> DataFrame:
