@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_lists, crc_text, quoted, replacing
+from .common import byte_lists, crc_text, replacing, set_aside
 
 ORDERS = (5, 4, 3, 2, 1)
 SAMPLE_TEXTS = 4000
@@ -114,54 +114,80 @@ class Scorer:
 
     def __init__(self, model: dict):
         import numpy as np
-        self.np, self.langs, self.tables = np, model["langs"], model["tables"]
-        self.known = self.tables.get(0, {})
+        self.np, self.langs = np, model["langs"]
+        # all tables' rows in one matrix; its last row knows nothing
+        self.at: dict[int, dict[str, int]] = {}
+        rows = []
+        for k, table in model["tables"].items():
+            self.at[k] = dict(zip(table, range(len(rows), len(rows) + len(table))))
+            rows += table.values()
+        self.logs = np.array([*rows, np.zeros(len(self.langs))])
         self.forget()
 
     def forget(self):
         self.rows: dict[str, int] = {}
         self.table = self.np.zeros((1 << 14, len(self.langs)))
 
-    def log_posterior(self, word: str):
-        np = self.np
-        v = self.known.get(word)
-        if v is None:
-            padded = f"^{word}$"
-            for k in ORDERS:
-                table = self.tables.get(k, {})
-                found = [table[g] for g in (padded[i:i + k] for i in range(len(padded) - k + 1)) if g in table]
+    def evidence(self, word: str) -> list[int]:
+        """Rows that score a word: its own, or those of its longest known n-grams."""
+        own = self.at.get(0, {}).get(word)
+        if own is not None:
+            return [own]
+        padded = f"^{word}$"
+        for k in ORDERS:
+            known = self.at.get(k)
+            if known:
+                found = [r for r in [known.get(padded[i:i + k]) for i in range(len(padded) - k + 1)] if r is not None]
                 if found:
-                    v = sum(found) / len(found)
-                    break
-            else:
-                v = np.zeros(len(self.langs))
-        v = v - v.max()
-        return v - np.log(np.exp(v).sum())
-
-    def row(self, word: str) -> int:
-        r = self.rows.get(word)
-        if r is None:
-            r = self.rows[word] = len(self.rows)
-            if r == len(self.table):
-                self.table = self.np.concatenate((self.table, self.np.zeros_like(self.table)))
-            self.table[r] = self.log_posterior(word)
-        return r
-
-    def text(self, text: str | None) -> tuple[str, float]:
-        from collections import Counter
+                    return found
+        return [len(self.logs) - 1]
+
+    def log_posteriors(self, words):
+        np = self.np
+        rows = [self.evidence(w) for w in words]
+        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+        flat = np.fromiter((r for x in rows for r in x), np.int64, int(sizes.sum()))
+        v = np.add.reduceat(self.logs[flat], np.cumsum(sizes) - sizes) / sizes[:, None]
+        v -= v.max(axis=1, keepdims=True)
+        return v - np.log(np.exp(v).sum(axis=1, keepdims=True))
+
+    def learn(self, words: list[str]):
+        """Keeps the posteriors of words not seen before."""
         np = self.np
-        counts = Counter(words_of(text)) if text else {}
-        if not self.langs or not counts or not any(any(map(str.isalpha, w)) for w in counts):
-            return UNDETERMINED, 0.0
         if len(self.rows) > MEMO:
             self.forget()
-        known = self.rows.get
-        at = [known(w) for w in counts]
-        if None in at:
-            at = [self.row(w) for w in counts]
-        logs, n = self.table[at], np.fromiter(counts.values(), np.float64, len(counts))
-        best = int(np.argmax(n @ logs))
-        return self.langs[best], float(min(1.0, n @ np.exp(logs[:, best]) / n.sum()))
+        new = [w for w in words if w not in self.rows]
+        if not new:
+            return
+        start = len(self.rows)
+        self.rows.update(zip(new, range(start, start + len(new))))
+        while len(self.table) < len(self.rows):
+            self.table = np.concatenate((self.table, np.zeros_like(self.table)))
+        self.table[start:len(self.rows)] = self.log_posteriors(new)
+
+    def texts(self, texts) -> list[tuple[str, float]]:
+        from collections import Counter
+        np = self.np
+        counts = [Counter(words_of(t)) if t else {} for t in texts]
+        if not self.langs:
+            return [(UNDETERMINED, 0.0)] * len(counts)
+        before = self.rows
+        unseen: dict = {}
+        for c in counts:
+            unseen.update(dict.fromkeys(w for w in c if w not in before))
+        if len(before) > MEMO:  # forgotten as a whole, so all of these texts' words are needed
+            unseen = dict.fromkeys(w for c in counts for w in c)
+        self.learn(list(unseen))
+        out = []
+        for c in counts:
+            if not c or not any(any(map(str.isalpha, w)) for w in c):
+                out.append((UNDETERMINED, 0.0))
+                continue
+            logs = self.table[list(map(self.rows.__getitem__, c))]
+            n = np.fromiter(c.values(), np.float64, len(c))
+            best = int(np.argmax(n @ logs))
+            out.append((self.langs[best], float(min(1.0, n @ np.exp(logs[:, best]) / n.sum()))))
+        return out
 
 
 def _predictor(model, text_name: str):
@@ -169,8 +195,10 @@ def _predictor(model, text_name: str):
         import pyarrow as pa
         scorer = Scorer(model.value)
         for batch in batches:
-            i = batch.schema.names.index(text_name)
-            out = [scorer.text(None if t is None else t.decode("utf-8", "replace")) for t in byte_lists(batch.column(i))]
+            out = []
+            texts = byte_lists(batch.column(batch.schema.names.index(text_name)))
+            for at in range(0, len(texts), 200):
+                out += scorer.texts([None if t is None else t.decode("utf-8", "replace") for t in texts[at:at + 200]])
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64())],
                 [*batch.schema.names, "lang_pred", "score"])
@@ -200,7 +228,5 @@ def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE, **options) ->
     """``docs`` without the texts that have no language, or none that most of
     their words speak for."""
     model = train(docs.select("lang", "text"), **options)
-    away = {c: f"_kept_{i}" for i, c in enumerate(docs.columns) if c.lower() in ("lang_pred", "score")}
-    d = docs.select(*[F.col(quoted(c)).alias(away.get(c, c)) for c in docs.columns])
-    good = predict(d, model).filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score))
-    return good.select(*[F.col(quoted(away.get(c, c))).alias(c) for c in docs.columns])
+    d, back = set_aside(docs, ["lang_pred", "score"])
+    return back(predict(d, model).filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score)))

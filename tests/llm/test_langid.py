@@ -39,12 +39,19 @@ def test_words_first_then_shorter_grams():
     logs = lambda *p: np.log(np.array(p))
     model = {"langs": ["a", "b"], "tables": {0: {"known": logs(.9, .1)}, 3: {"abc": logs(.2, .8), "bcd": logs(.4, .6)}, 1: {"x": logs(.7, .3)}}}
     s = L.Scorer(model)
-    assert np.allclose(np.exp(s.log_posterior("known")), [.9, .1])
     both = np.exp((logs(.2, .8) + logs(.4, .6)) / 2)
-    assert np.allclose(np.exp(s.log_posterior("abcd")), both / both.sum())
-    assert np.allclose(np.exp(s.log_posterior("xyz")), [.7, .3])
-    assert np.allclose(np.exp(s.log_posterior("qqq")), [.5, .5])
-    assert s.text("known known") == ("a", pytest.approx(.9)) and s.text("12 !") == ("und", 0.0)
+    got = np.exp(s.log_posteriors(["known", "abcd", "xyz", "qqq"]))
+    assert np.allclose(got, [[.9, .1], both / both.sum(), [.7, .3], [.5, .5]])
+    assert s.texts(["known known", "12 !", None]) == [("a", pytest.approx(.9)), ("und", 0.0), ("und", 0.0)]
+
+
+def test_forgetting_changes_nothing(small_docs, monkeypatch):
+    model = L.train(small_docs)
+    texts = [r.text for r in small_docs.collect()]
+    want = L.Scorer(model).texts(texts)
+    monkeypatch.setattr(L, "MEMO", 50)
+    s = L.Scorer(model)
+    assert [x for t in texts for x in s.texts([t])] == want
 
 
 def test_rows_kept(clashing, no_docs):
