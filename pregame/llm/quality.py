@@ -33,7 +33,7 @@ from math import log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, let, quoted, replacing
+from .common import SPACE, computed, let, quoted, replacing, set_aside
 
 WINDOW = 8
 LEAST_WORDS = 20
@@ -47,6 +47,7 @@ CLASS_DISTANCE = 0.24
 WORD_DISTANCE = 0.80  # of the distance of a text without any common word ...
 WORD_SLACK = 1.3  # ... and this much more, over the root of the number of words
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+ADDED = [*BASE, "base_failed", "kept", "class_distance", "word_distance", "near_lang"]
 CLASSES = ["_upper", "_digit", "_mark", "_space", "_rest"]
 
 
@@ -84,19 +85,22 @@ def repeated_words(words: Column) -> Column:
     return let(windows, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(covered(h)))
 
 
-def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` plus the base counts, the class counts and _words."""
+def measured(docs: DataFrame, text_col: str, listed: list[str]) -> DataFrame:
+    """``docs`` plus the base counts, the class counts, and how often each of the
+    listed words occurs (_counted)."""
     text = F.coalesce(F.col(quoted(text_col)).cast("string"), F.lit(""))
-    d = docs.withColumns({"_words": words_of(text), "_chars": F.length(text), "_inked": _left(text, SPACE),
-                          "_upper": _left(text, "^\\p{Lu}"), "_digit": _left(text, "^0-9"),
-                          "_mark": _left(text, "^\\p{P}\\p{S}"), "n_symbols": _left(text, "^#*$%&|<>").cast("long")})
+    d = computed(docs, _words=words_of(text), _chars=F.length(text), _inked=_left(text, SPACE),
+                 _upper=_left(text, "^\\p{Lu}"), _digit=_left(text, "^0-9"), _mark=_left(text, "^\\p{P}\\p{S}"),
+                 n_symbols=_left(text, "^#*$%&|<>").cast("long"))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(f"[^{SPACE}]"))
-    return d.withColumns({
-        "n_words": F.size("_words").cast("long"), "word_chars": F.col("_inked").cast("long"),
-        "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
-        "n_repeat_words": repeated_words(F.col("_words")).cast("long"),
-        "_space": F.col("_chars") - F.col("_inked"),
-        "_rest": F.col("_inked") - F.col("_upper") - F.col("_digit") - F.col("_mark")})
+    found = F.filter("_words", lambda w: w.isin(listed)) if listed else F.array_repeat(F.lit(""), 0)
+    return computed(
+        d, _counted=let(found, lambda f: F.transform(F.array_distinct(f), lambda w: F.struct(
+            w.alias("w"), (F.size(f) - F.size(F.array_remove(f, w))).alias("n")))),
+        n_words=F.size("_words").cast("long"), word_chars=F.col("_inked").cast("long"),
+        n_dup_lines=let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
+        n_repeat_words=repeated_words(F.col("_words")).cast("long"), _space=F.col("_chars") - F.col("_inked"),
+        _rest=F.col("_inked") - F.col("_upper") - F.col("_digit") - F.col("_mark"))
 
 
 def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> list[dict]:
@@ -163,16 +167,11 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", refs:
     """``docs`` plus the base counts, base_failed, kept, and the distances from
     the nearest language (class_distance, word_distance, near_lang)."""
     refs = references(docs, text_col, lang_col) if refs is None else refs
-    added = [*BASE, "base_failed", "kept", "class_distance", "word_distance", "near_lang"]
-    d = measured(replacing(docs.withColumn("_text", F.col(quoted(text_col))), added), "_text").drop("_text")
-    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     listed = sorted({w for r in refs for w in r["words"]})
-    if listed:
-        found = F.filter("_words", lambda w: w.isin(listed))
-        d = d.withColumn("_found", let(found, lambda f: F.transform(
-            F.array_distinct(f), lambda w: F.struct(w.alias("w"), (F.size(f) - F.size(F.array_remove(f, w))).alias("n")))))
+    d = measured(replacing(docs.withColumn("_text", F.col(quoted(text_col))), ADDED), "_text", listed).drop("_text", "_words")
+    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     each = [F.struct(F.lit(r["lang"]).alias("lang"), class_distance(r).alias("c"),
-                     (word_distance(F.col("_found"), F.col("n_words"), r) if listed else F.lit(0.0)).alias("w")) for r in refs]
+                     (word_distance(F.col("_counted"), F.col("n_words"), r) if listed else F.lit(0.0)).alias("w")) for r in refs]
 
     def far(x: Column) -> Column:
         return F.greatest(F.when(F.col("_chars") >= MIN_CHARS, x["c"]).otherwise(F.lit(0.0)) / CLASS_DISTANCE,
@@ -181,10 +180,10 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", refs:
 
     near = F.array_min(F.transform(F.array(*each), lambda x: F.struct(far(x).alias("far"), x["lang"].alias("lang"), x["c"].alias("c"), x["w"].alias("w"))))
     none = "cast(null as struct<far:double,lang:string,c:double,w:double>)"
-    d = d.withColumn("_near", F.when(F.col("n_words") > 0, near) if refs else F.expr(none))
+    d = computed(d, _near=F.when(F.col("n_words") > 0, near) if refs else F.expr(none))
     d = d.withColumns({"base_failed": failed, "kept": ~failed & F.coalesce(F.col("_near.far") <= 1, F.lit(True)),
                        "class_distance": F.col("_near.c"), "word_distance": F.col("_near.w"), "near_lang": F.col("_near.lang")})
-    return d.drop("_words", "_chars", "_inked", "_found", "_near", *CLASSES)
+    return d.drop("_chars", "_inked", "_counted", "_near", *CLASSES)
 
 
 def quality_report(docs: DataFrame) -> DataFrame:
@@ -193,7 +192,5 @@ def quality_report(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents the rules reject."""
-    extra = [*BASE, "base_failed", "kept", "class_distance", "word_distance", "near_lang"]
-    away = {c: f"_kept_{i}" for i, c in enumerate(docs.columns) if c.lower() in extra}
-    d = docs.select(*[F.col(quoted(c)).alias(away.get(c, c)) for c in docs.columns])
-    return judge(d, **options).filter("kept").select(*[F.col(quoted(away.get(c, c))).alias(c) for c in docs.columns])
+    d, back = set_aside(docs, ADDED)
+    return back(judge(d, **options).filter("kept"))
