@@ -140,7 +140,62 @@ def op6_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-@register("op7_quality")
+def _bin(p: str, q: str) -> str:
+    """One bin's part of twice the divergence, in bits."""
+    return " + ".join(f"CASE WHEN {x} > 0 THEN {x} * log2(2 * ({x}) / ({p} + {q})) ELSE 0.0 END" for x in (f"({p})", f"({q})"))
+
+
+_QUALITY = rf"""
+WITH d AS (
+  SELECT doc_id, lang, text IS NOT NULL AS has, coalesce(text, '') AS t,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), b AS (
+  SELECT *, len(w) AS n, length(t) AS chars, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS inked,
+         length(regexp_replace(t, '[^\p{{Lu}}]+', '', 'g')) AS up, length(regexp_replace(t, '[^0-9]+', '', 'g')) AS dg,
+         length(regexp_replace(t, '[^\p{{P}}\p{{S}}]+', '', 'g')) AS mk, length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS sy,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ln FROM d
+), c AS (SELECT *, [up, dg, mk, chars - inked, inked - up - dg - mk] AS k FROM b
+), win AS (
+  SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, s) AS twice
+  FROM (SELECT doc_id, p, array_to_string(w[p:p + 7], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, n - 6)) AS p FROM b WHERE n >= 8))
+), rep AS (
+  SELECT doc_id, count(DISTINCT q) AS r FROM (SELECT doc_id, unnest(range(p, p + 8)) AS q FROM win WHERE twice > 1) GROUP BY doc_id
+), ref AS (
+  SELECT lang, sum(n) AS words, sum(chars) AS ch, list_transform([sum(k[1]), sum(k[2]), sum(k[3]), sum(k[4]), sum(k[5])], lambda x: x / sum(chars)) AS q
+  FROM c WHERE lang IS NOT NULL AND has GROUP BY lang HAVING sum(n) >= {quality.REFERENCE_WORDS}
+  ORDER BY count(*) DESC, lang LIMIT {quality.MAX_LANGUAGES}
+), com AS (
+  SELECT u.lang, u.word, count(*) / any_value(ref.words) AS q
+  FROM (SELECT lang, unnest(w) AS word FROM b WHERE lang IS NOT NULL AND has) u JOIN ref ON ref.lang = u.lang
+  GROUP BY u.lang, u.word HAVING count(*) >= {quality.COMMON_SHARE} * any_value(ref.words)
+), listed AS (SELECT lang, sum(q) AS l FROM com GROUP BY lang
+), cnt AS (SELECT doc_id, word, count(*) AS m FROM (SELECT doc_id, unnest(w) AS word FROM b) GROUP BY doc_id, word
+), hit AS (
+  SELECT doc_id, lang, sum({_bin('p', 'q')} - q) AS f, sum(p) AS p
+  FROM (SELECT cnt.doc_id, com.lang, cnt.m / b.n AS p, com.q FROM cnt JOIN com ON com.word = cnt.word JOIN b ON b.doc_id = cnt.doc_id)
+  GROUP BY doc_id, lang
+), pair AS (
+  SELECT c.doc_id, c.n, c.chars, ref.lang, coalesce(l.l, 0.0) AS l, greatest(1 - coalesce(hit.p, 0.0), 0.0) AS rest, coalesce(hit.f, 0.0) AS f,
+         sqrt(greatest({' + '.join(_bin(f'(c.k[{i}] / c.chars)', f'ref.q[{i}]') for i in range(1, 6))}, 0.0) / 2) AS cd
+  FROM c JOIN ref ON c.n > 0 LEFT JOIN listed l ON l.lang = ref.lang LEFT JOIN hit ON hit.doc_id = c.doc_id AND hit.lang = ref.lang
+), dist AS (
+  SELECT *, CASE WHEN l = 0 THEN 0.0 ELSE sqrt(greatest(l + f + {_bin('rest', 'greatest(1 - l, 0.0)')}, 0.0) / 2)
+              / sqrt((l + {_bin('1.0', 'greatest(1 - l, 0.0)')}) / 2) END AS wd FROM pair
+), near AS (
+  SELECT doc_id, min(greatest(CASE WHEN chars >= {quality.MIN_CHARS} THEN cd ELSE 0.0 END / {quality.CLASS_DISTANCE},
+                              CASE WHEN n >= {quality.MIN_WORDS} THEN wd ELSE 0.0 END / ({quality.WORD_DISTANCE} + {quality.WORD_SLACK} / sqrt(n)))) AS far
+  FROM dist GROUP BY doc_id
+), o AS (
+  SELECT c.doc_id, CAST(c.n AS BIGINT) AS n_words, CAST(c.inked AS BIGINT) AS word_chars, CAST(c.sy AS BIGINT) AS n_symbols,
+         CAST(len(c.ln) - len(list_distinct(c.ln)) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.r, 0) AS BIGINT) AS n_repeat_words, near.far
+  FROM c LEFT JOIN rep ON rep.doc_id = c.doc_id LEFT JOIN near ON near.doc_id = c.doc_id
+)
+SELECT * EXCLUDE (far), n_words < {quality.LEAST_WORDS} OR 100 * n_repeat_words > {quality.REPEAT_PERCENT} * n_words AS base_failed,
+       NOT (n_words < {quality.LEAST_WORDS} OR 100 * n_repeat_words > {quality.REPEAT_PERCENT} * n_words) AND coalesce(far <= 1, true) AS kept
+FROM o"""
+
+
+@register("op7_quality", _QUALITY)
 def op7_quality(spark, sf_dir):
     return quality.quality_report(table(spark, sf_dir, "documents"))
 

@@ -46,7 +46,7 @@ def test_registered():
     assert set(E.oracle_sql()) <= set(names)
 
 
-@pytest.mark.parametrize("key", ["op1_revisits", "op2_decontaminate"])
+@pytest.mark.parametrize("key", ["op1_revisits", "op2_decontaminate", "op7_quality"])
 def test_oracles(spark, key):
     import __spark_entry__ as E
     from oracle_check import compare, duck
