@@ -155,7 +155,7 @@ def test_roc_over_many_partitions(spark):
     cum = [(t, sum(1 - y for y, p in data if p >= t), sum(y for y, p in data if p >= t)) for t in sorted({p for _, p in data}, reverse=True)]
     keep = [c for i, c in enumerate(cum) if i in (0, len(cum) - 1) or
             (cum[i + 1][1] - c[1], cum[i + 1][2] - c[2]) != (c[1] - cum[i - 1][1], c[2] - cum[i - 1][2])]
-    assert sorted(got) == pytest.approx(sorted((t, f / N, p / P) for t, f, p in keep))
+    assert np.allclose(sorted(got), sorted((t, f / N, p / P) for t, f, p in keep))
 
 
 def test_surrogate_game_id(spark, games):
