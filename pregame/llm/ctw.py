@@ -43,7 +43,7 @@ NODES = 1 << 20
 WORDS = 1 << 20
 CHUNK = 4 << 20  # bytes of text worked on at a time
 KEPT_GRAMS = 1 << 21
-KEPT_WORDS = 1 << 20
+KEPT_WORDS = 1 << 19
 GRAM, WORD = 0, 1
 END = 0xFF
 
@@ -91,33 +91,38 @@ def _count(depth: int):
             return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys, pa.int64()),
                                                pa.array(n, pa.int64())], ["kind", "key", "n"])
 
-        def add(keys, n, more, m):
-            keys, n = np.concatenate((keys, more)), np.concatenate((n, m))
-            order = np.argsort(keys, kind="stable")
+        def summed(parts):
+            keys, n = (np.concatenate(x) for x in zip(*parts))
+            order = np.argsort(keys)
             keys, n = keys[order], n[order]
-            first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else keys
-            return keys[first], np.add.reduceat(n, first) if len(keys) else n
+            first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+            return keys[first], np.add.reduceat(n, first)
 
         def hashed(words):
             return (np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words)).view(np.int64),
                     np.fromiter(words.values(), np.int64, len(words)))
 
-        keys = n = np.zeros(0, np.int64)
+        parts, held = [], 0
         words: Counter = Counter()
         for batch in batches:
             texts = [(t or b"").lower() for t in byte_lists(batch.column(0))]
             for _, part in _chunks(texts):
-                keys, n = add(keys, n, *np.unique(_grams(part, depth)[0], return_counts=True))
+                parts.append(np.unique(_grams(part, depth)[0], return_counts=True))
+                held += len(parts[-1][0])
                 for t in part:
                     words.update(t.split())
                 words[b" "] += len(part)  # the end of a text; no word is a space
-                if len(keys) > KEPT_GRAMS:
-                    yield out(GRAM, keys, n)
-                    keys = n = np.zeros(0, np.int64)
+                if held > KEPT_GRAMS:
+                    parts = [summed(parts)]
+                    held = len(parts[0][0])
+                    if held > KEPT_GRAMS // 2:
+                        yield out(GRAM, *parts[0])
+                        parts, held = [], 0
                 if len(words) > KEPT_WORDS:
                     yield out(WORD, *hashed(words))
                     words = Counter()
-        yield out(GRAM, keys, n)
+        if parts:
+            yield out(GRAM, *summed(parts))
         yield out(WORD, *hashed(words))
     return run
 
@@ -179,36 +184,51 @@ def log10_of_grams(grams, levels: list[tuple]):
     """log10 probability of each packed gram's last byte after the bytes before."""
     import numpy as np
     out = np.zeros(len(grams))
-    ctx, byte = grams >> 8, grams & 255
+    byte = grams & 255
+    # the shorter the context, the fewer different grams there are to look up
+    shorter = [np.unique(grams & ((1 << (8 * d + 8)) - 1), return_inverse=True) for d in range(len(levels))]
     for j in range(8):
         p, held = np.full(len(grams), 0.5), np.zeros(len(grams), bool)
-        bits = (1 << j) | (byte >> (8 - j))
         for d in range(len(levels) - 1, -1, -1):
             keys, ones, own = levels[d]
             if not len(keys):
                 continue
-            want = ((ctx & ((1 << (8 * d)) - 1)) << 8) + bits
+            u, place = shorter[d]
+            want = (u & ~255) + ((1 << j) | ((u & 255) >> (8 - j)))
             at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
-            here = keys[at] == want
-            share = np.where(held, own[at], 1.0)  # the deepest node held answers alone
-            p = np.where(here, share * ones[at] + (1 - share) * p, p)
+            here = (keys[at] == want)[place]
+            share = np.where(held, own[at][place], 1.0)  # the deepest node held answers alone
+            p = np.where(here, share * ones[at][place] + (1 - share) * p, p)
             held |= here
         out += np.log10(np.where((byte >> (7 - j)) & 1, p, 1 - p))
     return out
 
 
+class _Numbers(dict):
+    """word -> its number, given out in order of first sight."""
+
+    def __init__(self):
+        self.fresh: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self.fresh.append(word)
+        self[word] = n = len(self)
+        return n
+
+
 def _score(tree_model, word_model, depth: int):
     """(text, ...) -> the other columns, _row, n_bytes, n_tokens, known, partial
     base score, score, and the words to be looked up (hashes and counts)."""
     def run(batches):
         import numpy as np
+        import pandas as pd
         import pyarrow as pa
         import xxhash
         from pyspark import TaskContext
         levels, (hashes, logs) = tree_model.value, word_model.value
         row = TaskContext.get().partitionId() << 33
         seen, values = np.zeros(0, np.int64), np.zeros(0)
-        place: dict[bytes, int] = {}
+        place = _Numbers()
         word_hash, word_log = np.zeros(0, np.int64), np.zeros(0)
 
         for batch in batches:
@@ -216,7 +236,7 @@ def _score(tree_model, word_model, depth: int):
             n_tokens, known, base, score, rare, times = [], [], [], [], [], []
             for _, part in _chunks(texts):
                 grams, sizes = _grams(part, depth)
-                u, inverse = np.unique(grams, return_inverse=True)
+                inverse, u = pd.factorize(grams)
                 if len(seen) > KEPT_GRAMS:
                     seen, values = np.zeros(0, np.int64), np.zeros(0)
                 at = np.searchsorted(seen, u)
@@ -224,25 +244,26 @@ def _score(tree_model, word_model, depth: int):
                 inside = at < len(seen)
                 new[inside] = seen[at[inside]] != u[inside]
                 if new.any():
-                    more = log10_of_grams(u[new], levels)
-                    seen, values = np.insert(seen, at[new], u[new]), np.insert(values, at[new], more)
-                found = values[np.searchsorted(seen, u)][inverse]
+                    added = np.sort(u[new])
+                    spot = np.searchsorted(seen, added)
+                    values = np.insert(values, spot, log10_of_grams(added, levels))
+                    seen = np.insert(seen, spot, added)
+                    at += np.searchsorted(added, u)  # as many places further up
+                found = values[at][inverse]
                 score += np.add.reduceat(found, np.concatenate(([0], np.cumsum(sizes)[:-1]))).tolist()
 
                 if len(place) > KEPT_WORDS:
-                    place, word_hash, word_log = {}, np.zeros(0, np.int64), np.zeros(0)
-                split = [t.split() + [b" "] for t in part]
-                fresh = list(set().union(*split).difference(place))
+                    place, word_hash, word_log = _Numbers(), np.zeros(0, np.int64), np.zeros(0)
+                split = [np.array([*map(place.__getitem__, t.split()), place[b" "]], np.int64) for t in part]
+                fresh, place.fresh = place.fresh, []
                 if fresh:
-                    place.update(zip(fresh, range(len(place), len(place) + len(fresh))))
                     h = np.fromiter(map(xxhash.xxh64_intdigest, fresh), np.uint64, len(fresh)).view(np.int64)
                     v = np.full(len(h), np.nan)
                     if len(hashes):
                         i = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
                         v = np.where(hashes[i] == h, logs[i], np.nan)
                     word_hash, word_log = np.concatenate((word_hash, h)), np.concatenate((word_log, v))
-                for words in split:
-                    at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+                for at in split:
                     v = word_log[at]
                     rest = np.isnan(v)
                     r, n = np.unique(at[rest], return_counts=True)
@@ -275,7 +296,8 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, nodes: int = NODES, wor
     sc = docs.sparkSession.sparkContext
     text = F.col("text").cast("binary").alias("_text")
     counts = cut(docs.filter(~held_out()).select(text).mapInArrow(_count(depth), "kind int, key long, n long")
-                 .groupBy("kind", "key").agg(F.sum("n").alias("n")))
+                 # each task has summed up its own, so they are dealt out as they are
+                 .repartition("kind", "key").groupBy("kind", "key").agg(F.sum("n").alias("n")))
     sums = {r.kind: (r.n, r.v) for r in counts.groupBy("kind").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
     total, train_tokens, vocabulary = sums.get(GRAM, (0, 0))[0], *sums.get(WORD, (0, 0))
     whole = train_tokens + 0.1 * (vocabulary + 1)
