@@ -13,13 +13,15 @@ there.  The code length of a text is the sum over its bytes.
 Training.  Each task counts its (``DEPTH`` + 1)-byte grams and words; counts
 are summed by key, and the tree is built from the gram counts level by level
 from the deepest, one pre-aggregated ``groupBy`` a level.  All training texts
-count in whole.
+count in whole.  Grams of held-out texts are in the tree with a count of zero,
+which changes no other node.
 
-Serving.  A byte's probability needs the nodes on its path.  Nodes that hold at
-least one in ``NODES`` of all decisions at their place are broadcast: there are
-at most ``NODES`` of them per depth and bit, whatever the corpus holds.  The
-path ends at the deepest node held, which answers with its own estimate.  Each
-task works out a gram once and keeps it (bounded).
+Serving.  A path ends at the deepest node that training has seen, which answers
+with its own estimate.  From the root down, each level is joined with the one
+above, so that every node knows the mixture of its path, and every gram its
+probability under the whole tree.  The most frequent grams, ``NODES`` of them at
+most, are broadcast; each document hands on its other grams to a join with the
+exact values, as it does its rare words.  ``NODES`` is a matter of speed alone.
 
 Baseline.  Word counts are exact for every word.  Words with at least one in
 ``WORDS`` of all training words (at most ``WORDS`` of them) are broadcast; each
@@ -36,13 +38,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.sinks import remove, scratch_path
 from .common import byte_lists, crc_text, cut
 
 DEPTH = 5
-NODES = 1 << 20
+NODES = 1 << 22
 WORDS = 1 << 20
 CHUNK = 4 << 20  # bytes of text worked on at a time
 KEPT_GRAMS = 1 << 21
+STEPS = 8  # steps of gram frequency to a doubling
 KEPT_WORDS = 1 << 19
 GRAM, WORD = 0, 1
 END = 0xFF
@@ -79,7 +83,8 @@ def _chunks(texts: list[bytes], size: int = CHUNK):
 
 
 def _count(depth: int):
-    """text -> (kind, key, n): counts of grams and words."""
+    """(text, held out) -> (kind, key, n, m): counts of grams and words in the
+    training texts (n), and of grams in all texts (m)."""
     def run(batches):
         from collections import Counter
 
@@ -87,31 +92,38 @@ def _count(depth: int):
         import pyarrow as pa
         import xxhash
 
-        def out(kind, keys, n):
+        def out(kind, keys, n, m):
             return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys, pa.int64()),
-                                               pa.array(n, pa.int64())], ["kind", "key", "n"])
+                                               pa.array(n, pa.int64()), pa.array(m, pa.int64())], ["kind", "key", "n", "m"])
 
         def summed(parts):
-            keys, n = (np.concatenate(x) for x in zip(*parts))
+            keys, n, m = (np.concatenate(x) for x in zip(*parts))
             order = np.argsort(keys)
-            keys, n = keys[order], n[order]
+            keys, n, m = keys[order], n[order], m[order]
             first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-            return keys[first], np.add.reduceat(n, first)
+            return keys[first], np.add.reduceat(n, first), np.add.reduceat(m, first)
 
         def hashed(words):
-            return (np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words)).view(np.int64),
-                    np.fromiter(words.values(), np.int64, len(words)))
+            n = np.fromiter(words.values(), np.int64, len(words))
+            return np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words)).view(np.int64), n, n
 
         parts, held = [], 0
         words: Counter = Counter()
         for batch in batches:
             texts = [(t or b"").lower() for t in byte_lists(batch.column(0))]
-            for _, part in _chunks(texts):
-                parts.append(np.unique(_grams(part, depth)[0], return_counts=True))
-                held += len(parts[-1][0])
-                for t in part:
-                    words.update(t.split())
-                words[b" "] += len(part)  # the end of a text; no word is a space
+            asked = batch.column(1).to_pylist()
+            for at, part in _chunks(texts):
+                for unseen in (False, True):
+                    own = [t for t, h in zip(part, asked[at:]) if h == unseen]
+                    if not own:
+                        continue
+                    keys, n = np.unique(_grams(own, depth)[0], return_counts=True)
+                    parts.append((keys, np.zeros_like(n) if unseen else n, n))
+                    held += len(keys)
+                    if not unseen:
+                        for t in own:
+                            words.update(t.split())
+                        words[b" "] += len(own)  # the end of a text; no word is a space
                 if held > KEPT_GRAMS:
                     parts = [summed(parts)]
                     held = len(parts[0][0])
@@ -131,10 +143,10 @@ def _ln_gamma(x: Column) -> Column:
     """ln of the gamma function for x >= 0.5: Stirling's series at x + 8."""
     y = x + 8
     series = (y - 0.5) * F.ln(y) - y + 0.9189385332046727 + 1 / (12 * y) - 1 / (360 * y * y * y) + 1 / (1260 * y * y * y * y * y)
-    steps = F.lit(0.0)
-    for i in range(8):
-        steps = steps + F.ln(x + i)
-    return series - steps
+    steps = x
+    for i in range(1, 8):
+        steps = steps * (x + i)
+    return series - F.ln(steps)
 
 
 def ln_block(n0: Column, n1: Column) -> Column:
@@ -143,64 +155,63 @@ def ln_block(n0: Column, n1: Column) -> Column:
     return _ln_gamma(n0 + 0.5) + _ln_gamma(n1 + 0.5) - _ln_gamma(n0 + n1 + 1) - 1.1447298858494002  # ln(pi)
 
 
-def tree(grams: DataFrame, depth: int = DEPTH) -> list[DataFrame]:
+def _decided(grams: DataFrame) -> DataFrame:
+    """Grams -> (key, n, ctx, bits, bit): the eight decisions of their last byte."""
+    return grams.select("key", "n", F.shiftright("key", 8).alias("ctx"), F.col("key").bitwiseAND(F.lit(255)).cast("int").alias("b"),
+                        F.explode(F.sequence(F.lit(0), F.lit(7))).alias("j")).select(
+        "key", "n", "ctx", F.expr("shiftleft(1, j) | shiftright(b, 8 - j)").alias("bits"), F.expr("shiftright(b, 7 - j) & 1").alias("bit"))
+
+
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    """``df`` as a table in the shared folder, a fraction of a checkpoint's size."""
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def tree(grams: DataFrame, folder: str, depth: int = DEPTH) -> list[DataFrame]:
     """Gram counts (key, n) -> nodes of every depth, from the deepest: (ctx,
-    bits, n0, n1, own): ``own`` is the share of the node's own estimate."""
-    byte = F.col("key").bitwiseAND(F.lit(255))
-    decided = grams.select(F.shiftright("key", 8).alias("ctx"), byte.cast("int").alias("b"), "n").select(
-        "ctx", "n", "b", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("j")).select(
-        "ctx", "n", F.expr("shiftleft(1, j) | shiftright(b, 8 - j)").alias("bits"), F.expr("shiftright(b, 7 - j) & 1").alias("bit"))
-    level = (decided.groupBy("ctx", "bits").agg(F.sum(F.expr("n * (1 - bit)")).alias("n0"), F.sum(F.expr("n * bit")).alias("n1"))
-             .withColumns({"lw": ln_block(F.col("n0"), F.col("n1")), "own": F.lit(1.0)}))
-    out = [cut(level)]
+    bits, n0, n1, own): ``own`` is the share of the node's own estimate.  They
+    are kept in ``folder``."""
+    seen = F.col("n0") + F.col("n1") > 0  # else its probability is one, like that of nothing
+    level = (_decided(grams).groupBy("ctx", "bits").agg(F.sum(F.expr("n * (1 - bit)")).alias("n0"), F.sum(F.expr("n * bit")).alias("n1"))
+             .withColumns({"lw": F.when(seen, ln_block(F.col("n0"), F.col("n1"))).otherwise(0.0), "own": F.lit(1.0)}))
+    out = [_stored(level, f"{folder}/{depth}")]
     for d in range(depth - 1, -1, -1):
         up = out[-1].groupBy(F.col("ctx").bitwiseAND(F.lit((1 << (8 * d)) - 1)).alias("ctx"), "bits").agg(
             F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("lw").alias("below"))
         up = up.withColumn("le", ln_block(F.col("n0"), F.col("n1")))
         most = F.greatest("le", "below")
-        up = up.withColumns({"lw": most + F.ln(F.exp(F.col("le") - most) + F.exp(F.col("below") - most)) - 0.6931471805599453,
+        mixed = most + F.ln(F.exp(F.col("le") - most) + F.exp(F.col("below") - most)) - 0.6931471805599453
+        up = up.withColumns({"lw": F.when(seen, mixed).otherwise(0.0),
                              "own": 1 / (1 + F.exp(F.least(F.col("below") - F.col("le"), F.lit(700.0))))})
-        out.append(cut(up.select("ctx", "bits", "n0", "n1", "lw", "own")))
+        out.append(_stored(up.select("ctx", "bits", "n0", "n1", "lw", "own"), f"{folder}/{d}"))
     return out
 
 
-def model(levels: list[DataFrame], total: int, nodes: int = NODES) -> list[tuple]:
-    """Per depth from 0 on: sorted node keys, probability of a one, own share.
-    Holds the nodes with at least one in ``nodes`` of the training bytes."""
-    import numpy as np
-    out = []
-    for level in reversed(levels):
-        big = level.filter((F.col("n0") + F.col("n1")) >= total / nodes).select(
-            (F.shiftleft("ctx", 8) + F.col("bits")).alias("key"),
-            ((F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1)).cast("float").alias("p"), F.col("own").cast("float").alias("own"))
-        t = big.toArrow()
-        key = t.column("key").to_numpy()
-        order = np.argsort(key)
-        out.append((key[order], t.column("p").to_numpy()[order], t.column("own").to_numpy()[order]))
-    return out
-
-
-def log10_of_grams(grams, levels: list[tuple]):
-    """log10 probability of each packed gram's last byte after the bytes before."""
-    import numpy as np
-    out = np.zeros(len(grams))
-    byte = grams & 255
-    # the shorter the context, the fewer different grams there are to look up
-    shorter = [np.unique(grams & ((1 << (8 * d + 8)) - 1), return_inverse=True) for d in range(len(levels))]
-    for j in range(8):
-        p, held = np.full(len(grams), 0.5), np.zeros(len(grams), bool)
-        for d in range(len(levels) - 1, -1, -1):
-            keys, ones, own = levels[d]
-            if not len(keys):
-                continue
-            u, place = shorter[d]
-            want = (u & ~255) + ((1 << j) | ((u & 255) >> (8 - j)))
-            at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
-            here = (keys[at] == want)[place]
-            share = np.where(held, own[at][place], 1.0)  # the deepest node held answers alone
-            p = np.where(here, share * ones[at][place] + (1 - share) * p, p)
-            held |= here
-        out += np.log10(np.where((byte >> (7 - j)) & 1, p, 1 - p))
+def log10_of_grams(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """Gram counts (key, n, m) -> key, m, v: log10 probability of each gram's
+    last byte after the bytes before, under the whole tree."""
+    folder = scratch_path(grams.sparkSession, "ctw")
+    levels = tree(grams, folder, depth)
+    above = None
+    for d, level in enumerate(reversed(levels)):
+        # of the path's probability of a one: what the nodes above give (had), and the share they leave (left)
+        if above is None:
+            level = level.withColumns({"end": F.lit(0.5), "had": F.lit(0.0), "left": F.lit(1.0)})
+        else:
+            above = above.withColumnRenamed("ctx", "shorter")
+            level = level.withColumn("shorter", F.col("ctx").bitwiseAND(F.lit((1 << (8 * (d - 1))) - 1))).join(
+                F.broadcast(above) if d <= 2 else above, ["shorter", "bits"])  # two levels have 65,536 nodes a bit at most
+        n, one = F.col("n0") + F.col("n1"), (F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1)
+        ends = F.when(n > 0, F.col("had") + F.col("left") * one).otherwise(F.col("end"))
+        level = level.select("ctx", "bits", ends.alias("end"),
+                             F.when(n > 0, F.col("had") + F.col("left") * F.col("own") * one).otherwise(F.col("end")).alias("had"),
+                             F.when(n > 0, F.col("left") * (1 - F.col("own"))).otherwise(0.0).alias("left"))
+        above = level if d == depth else _stored(level, f"{folder}/ends-{d}")
+    p = F.when(F.col("bit") == 1, F.col("end")).otherwise(1 - F.col("end"))
+    each = _decided(grams).join(above.select("ctx", "bits", "end"), ["ctx", "bits"]).groupBy("key").agg(F.sum(F.log10(p)).alias("v"))
+    out = cut(grams.select("key", "m").join(each, "key"))
+    remove(grams.sparkSession, folder)
     return out
 
 
@@ -216,41 +227,37 @@ class _Numbers(dict):
         return n
 
 
-def _score(tree_model, word_model, depth: int):
+def _score(gram_model, word_model, depth: int):
     """(text, ...) -> the other columns, _row, n_bytes, n_tokens, known, partial
-    base score, score, and the words to be looked up (hashes and counts)."""
+    base score and score, and the grams and words to be looked up (kinds, keys
+    and counts)."""
     def run(batches):
         import numpy as np
         import pandas as pd
         import pyarrow as pa
         import xxhash
         from pyspark import TaskContext
-        levels, (hashes, logs) = tree_model.value, word_model.value
+        (held, values), (hashes, logs) = gram_model.value, word_model.value
         row = TaskContext.get().partitionId() << 33
-        seen, values = np.zeros(0, np.int64), np.zeros(0)
         place = _Numbers()
         word_hash, word_log = np.zeros(0, np.int64), np.zeros(0)
 
         for batch in batches:
             texts = [(t or b"").lower() for t in byte_lists(batch.column(0))]
-            n_tokens, known, base, score, rare, times = [], [], [], [], [], []
+            n_tokens, known, base, score, kinds, rare, times = [], [], [], [], [], [], []
             for _, part in _chunks(texts):
                 grams, sizes = _grams(part, depth)
                 inverse, u = pd.factorize(grams)
-                if len(seen) > KEPT_GRAMS:
-                    seen, values = np.zeros(0, np.int64), np.zeros(0)
-                at = np.searchsorted(seen, u)
-                new = np.ones(len(u), bool)
-                inside = at < len(seen)
-                new[inside] = seen[at[inside]] != u[inside]
-                if new.any():
-                    added = np.sort(u[new])
-                    spot = np.searchsorted(seen, added)
-                    values = np.insert(values, spot, log10_of_grams(added, levels))
-                    seen = np.insert(seen, spot, added)
-                    at += np.searchsorted(added, u)  # as many places further up
-                found = values[at][inverse]
-                score += np.add.reduceat(found, np.concatenate(([0], np.cumsum(sizes)[:-1]))).tolist()
+                found = np.full(len(u), np.nan)
+                if len(held):
+                    at = np.minimum(np.searchsorted(held, u), len(held) - 1)
+                    found = np.where(held[at] == u, values[at], np.nan)
+                away = np.isnan(found)
+                score += np.add.reduceat(np.where(away, 0.0, found)[inverse], np.concatenate(([0], np.cumsum(sizes)[:-1]))).tolist()
+                spot = np.flatnonzero(away[inverse])
+                pair, n_pair = np.unique(np.repeat(np.arange(len(part)), sizes)[spot] * len(u) + inverse[spot], return_counts=True)
+                to = np.searchsorted(pair, np.arange(len(part) + 1) * len(u))
+                pair = u[pair % len(u)]
 
                 if len(place) > KEPT_WORDS:
                     place, word_hash, word_log = _Numbers(), np.zeros(0, np.int64), np.zeros(0)
@@ -263,15 +270,17 @@ def _score(tree_model, word_model, depth: int):
                         i = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
                         v = np.where(hashes[i] == h, logs[i], np.nan)
                     word_hash, word_log = np.concatenate((word_hash, h)), np.concatenate((word_log, v))
-                for at in split:
+                for i, at in enumerate(split):
                     v = word_log[at]
                     rest = np.isnan(v)
                     r, n = np.unique(at[rest], return_counts=True)
                     n_tokens.append(len(at))
                     known.append(len(at) - int(rest.sum()))
                     base.append(float(v[~rest].sum()))
-                    rare.append(word_hash[r])
-                    times.append(n)
+                    g = slice(to[i], to[i + 1])
+                    kinds.append(np.repeat((GRAM, WORD), (to[i + 1] - to[i], len(r))))
+                    rare.append(np.concatenate((pair[g], word_hash[r])))
+                    times.append(np.concatenate((n_pair[g], n)))
             size = batch.num_rows
             lists = lambda a, t: pa.ListArray.from_arrays(
                 pa.array(np.concatenate(([0], np.cumsum([len(x) for x in a]))), pa.int32()),
@@ -279,8 +288,8 @@ def _score(tree_model, word_model, depth: int):
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array(np.arange(row, row + size), pa.int64()), pa.array([len(t) for t in texts], pa.int64()),
                  pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64()),
-                 lists(rare, pa.int64()), lists(times, pa.int64())],
-                [*batch.schema.names[1:], "_row", "n_bytes", "n_tokens", "_known", "_base", "score", "_rare", "_times"])
+                 lists(kinds, pa.int32()), lists(rare, pa.int64()), lists(times, pa.int64())],
+                [*batch.schema.names[1:], "_row", "n_bytes", "n_tokens", "_known", "_base", "score", "_kinds", "_rare", "_times"])
             row += size
     return run
 
@@ -295,28 +304,44 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, nodes: int = NODES, wor
     import numpy as np
     sc = docs.sparkSession.sparkContext
     text = F.col("text").cast("binary").alias("_text")
-    counts = cut(docs.filter(~held_out()).select(text).mapInArrow(_count(depth), "kind int, key long, n long")
+    counts = cut(docs.select(text, held_out().alias("_held")).mapInArrow(_count(depth), "kind int, key long, n long, m long")
                  # each task has summed up its own, so they are dealt out as they are
-                 .repartition("kind", "key").groupBy("kind", "key").agg(F.sum("n").alias("n")))
+                 .repartition("kind", "key").groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("m").alias("m")))
     sums = {r.kind: (r.n, r.v) for r in counts.groupBy("kind").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
-    total, train_tokens, vocabulary = sums.get(GRAM, (0, 0))[0], *sums.get(WORD, (0, 0))
+    train_tokens, vocabulary = sums.get(WORD, (0, 0))
     whole = train_tokens + 0.1 * (vocabulary + 1)
-    levels = model(tree(counts.filter(F.col("kind") == GRAM).select("key", "n"), depth), total, nodes)
+    valued = log10_of_grams(counts.filter(F.col("kind") == GRAM).select("key", "n", "m"), depth)
+    step = F.floor(F.log2("m") * STEPS)
+    least, room = 64 * STEPS, nodes
+    for r in sorted(valued.groupBy(step.alias("step")).count().collect(), reverse=True):
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r.step
+    big = valued.filter(step >= least).select("key", "v").toArrow()  # at most ``nodes`` rows
+    key, v = big.column("key").to_numpy(), big.column("v").to_numpy()
+    order = np.argsort(key)
+    grams = (key[order], v[order])
     vocab = counts.filter(F.col("kind") == WORD)
     often = vocab.filter(F.col("n") >= train_tokens / words).select("key", "n").toArrow()  # at most ``words`` rows
     key, n = often.column("key").to_numpy(), often.column("n").to_numpy()
     order = np.argsort(key)
     frequent = (key[order], np.log10((n[order] + 0.1) / whole))
     scored = cut(docs.select(text, "doc_id").mapInArrow(
-        _score(sc.broadcast(levels), sc.broadcast(frequent), depth),
+        _score(sc.broadcast(grams), sc.broadcast(frequent), depth),
         f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, _row long, n_bytes long, n_tokens long, _known long, "
-        "_base double, score double, _rare array<long>, _times array<long>"))
-    asked = scored.select("_row", F.explode(F.arrays_zip("_rare", "_times")).alias("x")).select(
-        "_row", F.col("x._rare").alias("key"), F.col("x._times").alias("times"))
-    counted = asked.join(vocab.select("key", "n"), "key", "left").groupBy("_row").agg(
-        F.sum(F.when(F.col("n") > 0, F.col("times"))).alias("_more_known"),
-        F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 0.1) / F.lit(float(whole)))).alias("_more_base"))
-    out = scored.drop("_rare", "_times").join(counted, "_row", "left")
+        "_base double, score double, _kinds array<int>, _rare array<long>, _times array<long>"))
+    asked = scored.select("_row", F.explode(F.arrays_zip("_kinds", "_rare", "_times")).alias("x")).select(
+        "_row", F.col("x._kinds").alias("kind"), F.col("x._rare").alias("key"), F.col("x._times").alias("times"))
+    exact = vocab.select("kind", "key", F.log10((F.col("n") + 0.1) / F.lit(float(whole))).alias("v")).union(
+        valued.filter(step < least).select(F.lit(GRAM), "key", "v"))
+    word = F.col("kind") == WORD
+    counted = asked.join(exact, ["kind", "key"], "left").groupBy("_row").agg(
+        F.sum(F.when(word & F.col("v").isNotNull(), F.col("times"))).alias("_more_known"),
+        F.sum(F.when(word, F.col("times") * F.coalesce("v", F.log10(0.1 / F.lit(float(whole)))))).alias("_more_base"),
+        F.sum(F.when(~word, F.col("times") * F.col("v"))).alias("_more_score"))
+    out = scored.drop("_kinds", "_rare", "_times").join(counted, "_row", "left").withColumn(
+        "score", F.col("score") + F.coalesce("_more_score", F.lit(0.0)))
     return out.select(
         "doc_id", held_out().alias("held_out"), "n_tokens", (F.col("_known") + F.coalesce("_more_known", F.lit(0))).alias("n_known"),
         F.lit(train_tokens).cast("long").alias("train_tokens"), (F.col("_base") + F.coalesce("_more_base", F.lit(0.0))).alias("base_score"),

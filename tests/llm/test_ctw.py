@@ -125,3 +125,11 @@ def test_chunks_and_forgetting_change_nothing(small_docs, monkeypatch):
     monkeypatch.setattr(C._chunks, "__defaults__", (5000,))
     got = {r.doc_id: r.score for r in C.score_documents(small_docs, depth=3).collect()}
     assert got == pytest.approx(want)
+
+
+@pytest.mark.parametrize("nodes", [0, 40, 1500])
+def test_whole_tree_answers_whatever_is_held(small_docs, nodes):
+    df = small_docs.limit(60)
+    docs = df.collect()
+    got = {r.doc_id: r.score for r in C.score_documents(df, depth=3, nodes=nodes).collect()}
+    assert got == pytest.approx({r.doc_id: s for r, s in zip(docs, brute(docs, 3))}, rel=1e-6)
