@@ -8,9 +8,11 @@ to 1).  A document is kept if it is near enough to any one language in both.
 
 References are statistics of all documents that have a language: class shares,
 and the words with at least ``COMMON_SHARE`` of the language's words, of which
-there can be ``1 / COMMON_SHARE`` at most; the rest is one further bin.  They
-come out of pre-aggregated counts, and only those bounded tables reach the
-driver, as literals of the plan.  Documents are never shuffled.
+there can be ``1 / COMMON_SHARE`` at most; the rest is one further bin.  Every
+language with ``REFERENCE_WORDS`` words is a reference, however many there are;
+a document whose label has no reference is decided by the base rules.  They
+come out of pre-aggregated counts, and only those small tables reach the
+driver, to be one literal of the plan.  Documents are never shuffled.
 
 Length guards: short histograms are noise, so the class distance needs
 ``MIN_CHARS`` characters and the word distance ``MIN_WORDS`` words, with a limit
@@ -22,13 +24,15 @@ Only DataFrame functions are used.  A window of eight words is known by a
 
 Edge cases: a null, empty or blank text has no words and fails the base rules;
 without any reference language the base rules decide; a null language adds to
-no reference; repeated rows get equal results; extra columns are kept by
+no reference and is measured against all; repeated rows get equal results; extra columns are kept by
 ``judge`` (those named like an output are replaced).
 """
 from __future__ import annotations
 
+import json
 from functools import reduce
 from math import log2
+from zlib import crc32
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,7 +43,7 @@ WINDOW = 8
 LEAST_WORDS = 20
 REPEAT_PERCENT = 30
 COMMON_SHARE = 0.004
-MAX_LANGUAGES = 50  # those with most documents become references
+MAX_LANGUAGES = 50  # of the oracle SQL alone; here every language counts
 REFERENCE_WORDS = 1000  # a language with fewer words in all is no reference
 MIN_CHARS = 500
 MIN_WORDS = 60
@@ -85,6 +89,19 @@ def repeated_words(words: Column) -> Column:
     return let(windows, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(covered(h)))
 
 
+def _literal(value, kind: str) -> Column:
+    """A nested value as a single literal (the text is parsed once, by constant folding)."""
+    return F.from_json(F.lit(json.dumps(value)), kind)
+
+
+def _among(word: Column, listed: list[str]) -> Column:
+    """Is a word one of those listed?  They lie in as many buckets as there are words."""
+    buckets: list[list[str]] = [[] for _ in listed]
+    for w in listed:
+        buckets[crc32(w.encode()) % len(listed)].append(w)
+    return F.array_contains(_literal(buckets, "array<array<string>>")[(F.crc32(word.cast("binary")) % len(listed)).cast("int")], word)
+
+
 def measured(docs: DataFrame, text_col: str, listed: list[str]) -> DataFrame:
     """``docs`` plus the base counts, the class counts, and how often each of the
     listed words occurs (_counted)."""
@@ -93,7 +110,7 @@ def measured(docs: DataFrame, text_col: str, listed: list[str]) -> DataFrame:
                  _upper=_left(text, "^\\p{Lu}"), _digit=_left(text, "^0-9"), _mark=_left(text, "^\\p{P}\\p{S}"),
                  n_symbols=_left(text, "^#*$%&|<>").cast("long"))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(f"[^{SPACE}]"))
-    found = F.filter("_words", lambda w: w.isin(listed)) if listed else F.array_repeat(F.lit(""), 0)
+    found = F.filter("_words", lambda w: _among(w, listed)) if listed else F.array_repeat(F.lit(""), 0)
     return computed(
         d, _counted=let(found, lambda f: F.transform(F.array_distinct(f), lambda w: F.struct(
             w.alias("w"), (F.size(f) - F.size(F.array_remove(f, w))).alias("n")))),
@@ -112,17 +129,21 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
         ("_chars", F.length("text")), ("_inked", _left(F.col("text"), SPACE)), ("_upper", _left(F.col("text"), "^\\p{Lu}")),
         ("_digit", _left(F.col("text"), "^0-9")), ("_mark", _left(F.col("text"), "^\\p{P}\\p{S}")))}
     totals = (own.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.size(words_of(F.col("text")))).alias("words"), *n.values())
-              .filter(F.col("words") >= REFERENCE_WORDS).orderBy(F.desc("docs"), "lang").limit(MAX_LANGUAGES).collect())
+              .filter(F.col("words") >= REFERENCE_WORDS).collect())
     if not totals:
         return []
-    least = F.create_map(*[F.lit(x) for t in totals for x in (t.lang, COMMON_SHARE * t.words)])
+    least = docs.sparkSession.range(1).select(F.inline(_literal(
+        [{"lang": t.lang, "least": COMMON_SHARE * t.words} for t in totals], "array<struct<lang:string,least:double>>")))
     common = (own.select("lang", F.explode(words_of(F.col("text"))).alias("word")).groupBy("lang", "word").count()
-              .filter(F.col("count") >= least[F.col("lang")]).collect())
+              .join(F.broadcast(least), "lang").filter(F.col("count") >= F.col("least")).collect())
+    shares: dict[str, dict] = {t.lang: {} for t in totals}
+    words = {t.lang: t.words for t in totals}
+    for r in common:
+        shares[r.lang][r.word] = r["count"] / words[r.lang]
     out = []
     for t in sorted(totals, key=lambda t: t.lang):
         parts = [t._upper, t._digit, t._mark, t._chars - t._inked, t._inked - t._upper - t._digit - t._mark]
-        share = {r.word: r["count"] / t.words for r in common if r.lang == t.lang}
-        out.append({"lang": t.lang, "classes": [p / t._chars for p in parts], "words": dict(sorted(share.items()))})
+        out.append({"lang": t.lang, "classes": [p / t._chars for p in parts], "words": dict(sorted(shares[t.lang].items()))})
     return out
 
 
@@ -140,27 +161,36 @@ def _root(twice: Column) -> Column:
     return F.sqrt(F.greatest(twice, F.lit(0.0)) / 2)
 
 
-def class_distance(ref: dict) -> Column:
-    return _root(reduce(lambda a, b: a + b, [_apart(F.col(c) / F.greatest(F.col("_chars"), F.lit(1)), F.lit(q)) for c, q in zip(CLASSES, ref["classes"])]))
+REF = "array<struct<lang:string,classes:array<double>,listed:double,rest:double,none:double,words:map<string,double>>>"
+
 
+def _as_rows(refs: list[dict]) -> Column:
+    """References as an array; with each the share of its common words, that of
+    the rest, and the distance of a text without any of them."""
+    rows = []
+    for r in refs:
+        listed = sum(r["words"].values())
+        rest = max(0.0, 1 - listed)
+        rows.append({**r, "listed": listed, "rest": rest, "none": ((listed + _apart_of(1.0, rest)) / 2) ** 0.5})
+    return _literal(rows, REF)
 
-def word_distance(counted: Column, n_words: Column, ref: dict) -> Column:
+
+def class_distance(ref: Column) -> Column:
+    return _root(reduce(lambda a, b: a + b, [_apart(F.col(c) / F.greatest(F.col("_chars"), F.lit(1)), ref["classes"][i]) for i, c in enumerate(CLASSES)]))
+
+
+def word_distance(counted: Column, n_words: Column, ref: Column) -> Column:
     """Distance of the common-word histograms, as a share of the distance that a
     text without any of the language's common words has (languages differ in how
     much such words say).  ``counted``: array of (w, n) of common words."""
-    if not ref["words"]:
-        return F.lit(0.0)
-    share = F.create_map(*[F.lit(x) for kv in ref["words"].items() for x in kv])
-    listed = sum(ref["words"].values())
-    own = F.filter(F.transform(counted, lambda x: F.struct((x["n"] / F.greatest(n_words, F.lit(1))).alias("p"), share[x["w"]].alias("q"))),
+    own = F.filter(F.transform(counted, lambda x: F.struct((x["n"] / F.greatest(n_words, F.lit(1))).alias("p"), ref["words"][x["w"]].alias("q"))),
                    lambda x: x["q"].isNotNull())
     zero = F.lit(0.0)
-    none = ((listed + _apart_of(1.0, max(0.0, 1 - listed))) / 2) ** 0.5
-    return let(own, lambda bins: (1 / none) * _root(
+    return F.when(F.size(ref["words"]) == 0, zero).otherwise(let(own, lambda bins: (1 / ref["none"]) * _root(
         # bins that the document lacks have a part of q each
-        F.lit(listed) + F.aggregate(bins, zero, lambda acc, x: acc + _apart(x["p"], x["q"]) - x["q"])
+        ref["listed"] + F.aggregate(bins, zero, lambda acc, x: acc + _apart(x["p"], x["q"]) - x["q"])
         + let(F.greatest(F.lit(1.0) - F.aggregate(bins, zero, lambda acc, x: acc + x["p"]), zero),
-              lambda rest: _apart(rest, F.lit(max(0.0, 1 - listed))))))
+              lambda rest: _apart(rest, ref["rest"])))))
 
 
 def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", refs: list[dict] | None = None) -> DataFrame:
@@ -168,22 +198,25 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", refs:
     the nearest language (class_distance, word_distance, near_lang)."""
     refs = references(docs, text_col, lang_col) if refs is None else refs
     listed = sorted({w for r in refs for w in r["words"]})
-    d = measured(replacing(docs.withColumn("_text", F.col(quoted(text_col))), ADDED), "_text", listed).drop("_text", "_words")
+    own = docs.withColumn("_text", F.col(quoted(text_col)))
+    lang = F.col(quoted(lang_col)).cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
+    foreign = lang.isNotNull() & ~_among(lang, [r["lang"] for r in refs]) if refs else F.lit(True)
+    own = own.withColumn("_foreign", foreign)
+    d = measured(replacing(own, ADDED), "_text", listed).drop("_text", "_words")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
-    each = [F.struct(F.lit(r["lang"]).alias("lang"), class_distance(r).alias("c"),
-                     (word_distance(F.col("_counted"), F.col("n_words"), r) if listed else F.lit(0.0)).alias("w")) for r in refs]
-
     def far(x: Column) -> Column:
         return F.greatest(F.when(F.col("_chars") >= MIN_CHARS, x["c"]).otherwise(F.lit(0.0)) / CLASS_DISTANCE,
                           F.when(F.col("n_words") >= MIN_WORDS, x["w"]).otherwise(F.lit(0.0))
                           / (WORD_DISTANCE + WORD_SLACK / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))))
 
-    near = F.array_min(F.transform(F.array(*each), lambda x: F.struct(far(x).alias("far"), x["lang"].alias("lang"), x["c"].alias("c"), x["w"].alias("w"))))
+    each = F.transform(_as_rows(refs), lambda r: F.struct(
+        r["lang"].alias("lang"), class_distance(r).alias("c"), word_distance(F.col("_counted"), F.col("n_words"), r).alias("w")))
+    near = F.array_min(F.transform(each, lambda x: F.struct(far(x).alias("far"), x["lang"].alias("lang"), x["c"].alias("c"), x["w"].alias("w"))))
     none = "cast(null as struct<far:double,lang:string,c:double,w:double>)"
     d = computed(d, _near=F.when(F.col("n_words") > 0, near) if refs else F.expr(none))
-    d = d.withColumns({"base_failed": failed, "kept": ~failed & F.coalesce(F.col("_near.far") <= 1, F.lit(True)),
+    d = d.withColumns({"base_failed": failed, "kept": ~failed & (F.col("_foreign") | F.coalesce(F.col("_near.far") <= 1, F.lit(True))),
                        "class_distance": F.col("_near.c"), "word_distance": F.col("_near.w"), "near_lang": F.col("_near.lang")})
-    return d.drop("_chars", "_inked", "_counted", "_near", *CLASSES)
+    return d.drop("_chars", "_inked", "_counted", "_near", "_foreign", *CLASSES)
 
 
 def quality_report(docs: DataFrame) -> DataFrame:

@@ -92,3 +92,25 @@ def test_rows_kept(clashing, no_docs, odd_docs):
     assert Q.keep_good(no_docs).count() == 0
     bare = Q.judge(odd_docs.withColumn("lang", F.lit(None).cast("string"))).collect()
     assert all(r.kept == (not r.base_failed) for r in bare)
+
+
+def _language(k, n):
+    """n words of an invented language: ten common words and rarer ones, none of
+    them in another language."""
+    return " ".join(f"q{k}x{i % 10}" if i % 2 else f"r{k}y{(i * i + i // 7) % 997}" for i in range(n))
+
+
+def test_every_language_is_a_reference(spark):
+    rows = [(100 * k + j, _language(k, 600 + j), f"l{k:02}", "s", 0) for k in range(60) for j in range(2 if k > 50 else 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert len(Q.references(docs)) == 60
+    got = Q.judge(docs).collect()
+    assert all(r.kept and r.near_lang == r.lang for r in got)
+
+
+def test_label_without_reference_is_left_to_the_base_rules(spark):
+    rows = [(j, _language(1, 600 + j), "big", "s", 0) for j in range(4)]
+    rows += [(10, _language(2, 500), "small", "s", 0), (11, "spam " * 500, "small", "s", 0), (12, _language(3, 500), None, "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.kept for r in Q.judge(docs).collect()}
+    assert got[10] and not got[11] and not got[12]
