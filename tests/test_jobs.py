@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from pregame.plans import jobs
 from pregame.sources import sinks, tables
-from conftest import SF_SMALL
+from small_data import SF_SMALL
 
 
 def test_train_then_score(spark, games):

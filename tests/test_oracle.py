@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as E
 from pregame import catalog
 from oracle_check import compare, duck
-from conftest import SF_SMALL
+from small_data import SF_SMALL
 
 # the corpus operators have tests of their own
 KEYS = sorted(k for k in E.oracle_sql() if k in catalog.SQL)

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 import pytest
 
-from conftest import SF_SMALL
+from small_data import SF_SMALL
 from pregame import catalog
 from pregame.operators import elo
 

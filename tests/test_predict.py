@@ -10,7 +10,7 @@ from pregame import config
 from pregame.operators import features, resolve
 from pregame.plans import models, scoring
 from pregame.sources import tables
-from conftest import SF_SMALL
+from small_data import SF_SMALL
 
 
 @pytest.fixture(scope="module")

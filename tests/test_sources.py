@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pregame.operators import clean
 from pregame.sources import ingest, sinks, tables
-from conftest import SF_SMALL
+from small_data import SF_SMALL
 
 
 def test_missing_required_column_raises(spark):
