@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ctw, decontaminate, langid, packing, prefix_tokens, quality, ring, simhash, urlfilter, warc
+from . import ctw, decontaminate, langid, packing, periodic, prefix_tokens, quality, ring, simhash, urlfilter, warc, whitening
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -214,3 +214,13 @@ def op9_url_filter(spark, sf_dir):
 @register("op10_ctw")
 def op10_ctw(spark, sf_dir):
     return ctw.score_documents(table(spark, sf_dir, "documents"))
+
+
+@register("op12_whitening")
+def op12_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@register("op13_periodic_runs")
+def op13_periodic_runs(spark, sf_dir):
+    return periodic.run_report(periodic.with_planted_periods(table(spark, sf_dir, "documents")))
