@@ -42,6 +42,13 @@ def set_aside(df: DataFrame, names: list[str]) -> tuple[DataFrame, Callable[[Dat
     return df.select(*[F.col(quoted(c)).alias(v) for c, v in away.items()]), back
 
 
+def by_place(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns called c0, c1, ..., and where each went: whatever they
+    were called, they clash neither with helpers nor with outputs."""
+    at = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]), at
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -70,3 +77,45 @@ def byte_lists(array) -> list:
     if pa.types.is_string(array.type) or pa.types.is_large_string(array.type):
         array = array.cast(pa.large_binary() if pa.types.is_large_string(array.type) else pa.binary())
     return array.to_pylist()
+
+
+def text_slices(batches, column: int = 0, limit: int = 4 << 20):
+    """Each batch in slices of about ``limit`` bytes of text (a longer text is one of
+    its own), so that Python copies of few texts exist at a time: (slice, texts)."""
+    import numpy as np
+    import pyarrow.compute as pc
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        size = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0)).astype(np.int64)
+        group = (np.cumsum(size) - size) // limit
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            part = batch.slice(a, b - a)
+            yield part, byte_lists(part.column(column))
+
+
+class Remembered(dict):
+    """key -> ``work(key)``, remembered within ``budget`` bytes: two generations, of
+    which the older goes when the younger holds half of it.  ``cost(key, value)``
+    says about how many bytes an entry takes; long keys are not kept.  Subclasses say
+    what ``work`` is."""
+
+    def __init__(self, budget: int, cost, longest: int = 64):
+        self.half, self.cost, self.longest = budget // 2, cost, longest
+        self.older: dict = {}
+        self.size = 0
+
+    def __missing__(self, key):
+        found = self.older.get(key)
+        if found is None:
+            found = self.work(key)
+            if len(key) > self.longest:
+                return found
+        self.size += self.cost(key, found)
+        if self.size > self.half:
+            self.older = dict(self)
+            self.clear()
+            self.size = 0
+        self[key] = found
+        return found

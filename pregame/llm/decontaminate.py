@@ -19,8 +19,9 @@ of up to that many windows is one automaton.  Documents are never shuffled.
 Edge cases: a null or empty text has no words and is clean; a null item text
 has no windows; a null item id is reported as the empty string; equal windows
 of several items report all of them; repeated document rows give repeated
-results; an empty benchmark leaves every document clean; input columns named
-like an output are replaced.
+results; an empty benchmark leaves every document clean; very long texts are scanned
+whole; extra columns, whatever their names, are kept (by ``find_passages`` except
+those named like an output).
 """
 from __future__ import annotations
 
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_lists, quoted, replacing, set_aside
+from .common import by_place, quoted, replacing, text_slices
 
 WINDOW = 10
 BLOCK_WINDOWS = 200_000
@@ -84,7 +85,7 @@ def _blocks(items: DataFrame, item_id: str, text_cols: list[str], size: int, lim
     yield {p: (p.count(" ") - 1, sorted(ids)) for p, ids in block.items()}
 
 
-def _scanner(patterns, text_col: str, first: bool, last: bool):
+def _scanner(patterns, place: int, first: bool, last: bool):
     """mapInArrow function: adds one block's matches; the last block turns all
     matches into the ``HITS`` columns."""
 
@@ -100,12 +101,12 @@ def _scanner(patterns, text_col: str, first: bool, last: bool):
         if len(auto):
             auto.make_automaton()
         word = re.compile(rb"[^ ]+")
-        for batch in batches:
+        for batch, texts in text_slices(batches, place):
             names = batch.schema.names
             keep = [n for n in names if n not in ("_lo", "_hi", "_ids")]
             before = [batch.column(names.index(n)).to_pylist() for n in ("_lo", "_hi", "_ids")] if not first else None
             out = []
-            for k, raw in enumerate(byte_lists(batch.column(names.index(text_col)))):
+            for k, raw in enumerate(texts):
                 plain = (raw or b"").translate(NORMAL)
                 words = plain.split()
                 norm = b" " + b" ".join(words) + b" "
@@ -128,10 +129,10 @@ def _scanner(patterns, text_col: str, first: bool, last: bool):
                 np.add.at(edge, hi, -1)
                 inside = np.cumsum(edge)[:-1] > 0
                 step = np.flatnonzero(np.diff(np.concatenate(([0], inside.astype(np.int8), [0]))))
-                place = [m.span() for m in word.finditer(plain)]
+                spots = [m.span() for m in word.finditer(plain)]
                 tail = np.concatenate(([0], np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) == 0x80)))
-                a = [place[i][0] for i in step[0::2]]
-                b = [place[i - 1][1] for i in step[1::2]]
+                a = [spots[i][0] for i in step[0::2]]
+                b = [spots[i - 1][1] for i in step[1::2]]
                 out.append((len(words), int(inside.sum()), ids,
                             [int(x - tail[x]) for x in a], [int(x - tail[x]) for x in b]))
             if last:
@@ -154,22 +155,24 @@ def find_passages(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
     items found, sorted as strings) and starts/ends (character ranges of the
     matched passages in the original text; merged, in order)."""
     spark = docs.sparkSession
-    out = replacing(docs, HITS.fieldNames() + _FOUND.fieldNames())
+    rest = replacing(docs, HITS.fieldNames()).columns
+    out, at = by_place(docs)
     base = list(out.schema.fields)
     blocks = _blocks(items, item_id, list(item_texts), window, block_windows)
     block, first = next(blocks), True
     while block is not None:
         following = next(blocks, None)
         schema = T.StructType(base + (HITS if following is None else _FOUND).fields)
-        out = out.mapInArrow(_scanner(spark.sparkContext.broadcast(block), text_col, first, following is None), schema)
+        out = out.mapInArrow(_scanner(spark.sparkContext.broadcast(block), docs.columns.index(text_col), first, following is None), schema)
         block, first = following, False
-    return out
+    return out.select(*[F.col(at[c]).alias(c) for c in rest], *HITS.fieldNames())
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the documents in which a benchmark window occurs."""
-    d, back = set_aside(docs, HITS.fieldNames() + _FOUND.fieldNames())
-    return back(find_passages(d, items, **options).filter("n_hit = 0"))
+    own, at = by_place(docs)
+    return find_passages(own, items, text_col=at[text_col], **options).filter("n_hit = 0").select(
+        *[F.col(v).alias(c) for c, v in at.items()])
 
 
 def contamination_report(docs: DataFrame, items: DataFrame) -> DataFrame:

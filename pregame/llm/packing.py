@@ -4,12 +4,13 @@
 task), ends every document with one id and cuts only documents longer than a
 sequence.  ``pack`` packs any table of sized items:
 
-1. each task packs its own rows best-fit decreasing, in units of at most
-   ``UNIT`` rows, so memory is bounded whatever the partition holds;
+1. the items (narrow rows, checkpointed) are dealt to tasks of about ``UNIT``
+   items, however many partitions they came in, and each task packs its own
+   best-fit decreasing, at most ``UNIT`` at a time, so memory is bounded;
 2. bins with ``GAP`` free places or fewer are nearly full and stay as they are;
 3. underfull bins become items themselves: they are dealt by hash to tasks of
    about ``UNIT`` bins and packed again, round after round (a tree merge), until
-   a round fits one task or no longer saves any bin worth another pass;
+   a round fits one task or saves no bin;
 4. every round leaves a narrow table bin -> parent bin and offset; the items
    follow it by equi-joins.
 
@@ -17,10 +18,11 @@ Only ids, sizes and checksums are shuffled, never texts.  Bin numbers come from
 the task number and a counter and are checkpointed before anything uses them,
 so a lost executor cannot renumber them.
 
-Edge cases: a null or empty text is the end id alone; repeated rows are items
-of their own; a null doc_id is kept; an item larger than the capacity raises;
-an empty table gives an empty result; extra columns are left out by
-``pack_documents`` and kept by ``pack``.
+Edge cases: a null or empty text is the end id alone; a very long text is cut into
+pieces of ``CAPACITY``; repeated rows are items of their own; a null doc_id is kept; an item larger than the capacity raises;
+an empty table gives an empty result; extra columns, whatever their names, are left
+out by ``pack_documents`` and kept by ``pack`` (those named like an output are
+replaced).
 """
 from __future__ import annotations
 
@@ -28,14 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_lists, cut, quoted
+from .common import Remembered, cut, quoted, replacing, text_slices
 
 CAPACITY = 4096
 END_ID = 1
 UNIT = 1 << 16
 GAP = 8
-WORTH = 0.002  # a round that saves a smaller share of the bins is the last
-MEMO = 1_000_000  # words whose ids a task keeps
+MEMO_BYTES = 64 << 20  # of words whose ids a task keeps
 
 
 def tokeniser_file(name: str = "word_bpe_49k.json") -> str:
@@ -56,13 +57,15 @@ def _drops_white_space(data: bytes) -> bool:
             "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+")
 
 
-class _Ids(dict):
-    """word -> its ids as little-endian 32-bit bytes, worked out once a task."""
+class _Ids(Remembered):
+    """word -> its ids as little-endian 32-bit bytes."""
 
-    def __init__(self, data: bytes):
+    def __init__(self, data: bytes, memo_bytes: int = MEMO_BYTES):
         import os
         import re
         from struct import Struct
+        # two byte strings and a place in a dict
+        super().__init__(memo_bytes, lambda word, ids: 180 + len(word) + len(ids))
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         tokeniser = Tokenizer.from_str(data.decode())
@@ -74,17 +77,13 @@ class _Ids(dict):
         self.plain = re.compile(rb"[a-z]{1,64}").fullmatch
         self.marked = re.compile(rb"(.*[0-9a-z])([.,;:!?#$%&*]+)", re.S).fullmatch
 
-    def __missing__(self, word: bytes) -> bytes:
+    def work(self, word: bytes) -> bytes:
         parts = self.marked(word)
         if parts:
-            found = self[parts[1]] + self[parts[2]]
-        elif self.plain(word):  # nothing to normalise, split or map: merging is all
-            found = self.packed([t.id for t in self.merge(word.decode())])
-        else:
-            found = self.whole(word)
-        if len(word) <= 64:
-            self[word] = found
-        return found
+            return self[parts[1]] + self[parts[2]]
+        if self.plain(word):  # nothing to normalise, split or map: merging is all
+            return self.packed([t.id for t in self.merge(word.decode())])
+        return self.whole(word)
 
     def packed(self, ids: list[int]) -> bytes:
         n = len(ids)
@@ -101,8 +100,6 @@ class _Ids(dict):
         text = text or b""
         if not self.by_word:
             return self.whole(text)
-        if len(self) > MEMO:
-            self.clear()
         return b"".join(map(self.__getitem__, (text if b"<|" in text else text.lower()).split()))
 
 
@@ -113,10 +110,10 @@ def _pieces(model, capacity: int, end_id: int):
         import pyarrow as pa
         ids_of = _Ids(model.value).of
         end, width = end_id.to_bytes(4, "little"), 4 * capacity
-        for batch in batches:
+        for batch, texts in text_slices(batches):
             out = []
             keep = []
-            for row, text in enumerate(byte_lists(batch.column(0))):
+            for row, text in enumerate(texts):
                 ids = ids_of(text) + end
                 for piece, b in enumerate(range(0, len(ids), width)):
                     part = ids[b:b + width]
@@ -127,6 +124,7 @@ def _pieces(model, capacity: int, end_id: int):
             yield pa.RecordBatch.from_arrays(
                 rest + [pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
                 batch.schema.names[1:] + ["piece", "start", "length", "ids_crc32"])
+        pa.default_memory_pool().release_unused()
     return run
 
 
@@ -226,9 +224,17 @@ def _merge(capacity: int, unit: int):
 def pack(items: DataFrame, size_col: str, capacity: int = CAPACITY, unit: int = UNIT, gap: int = GAP) -> DataFrame:
     """``items`` plus sequence_id and offset: sequences of at most ``capacity``,
     filled gaplessly from 0.  ``size_col`` is a long of 1 to ``capacity``."""
-    schema = T.StructType(items.schema.fields + [T.StructField(c, T.LongType()) for c in ("_bin", "_off", "_fill")])
-    packed = cut(items.mapInArrow(_local(size_col, capacity, unit), schema))
-    out = packed.withColumns({"sequence_id": F.col("_bin"), "offset": F.col("_off")}).drop("_bin", "_off", "_fill")
+    names = items.columns
+    own = replacing(items, ["sequence_id", "offset"])
+    place = {c: i for i, c in enumerate(names)}
+    d = cut(items.toDF(*[f"c{i}" for i in range(len(names))]))
+    n = d.count()
+    if n:  # items in tasks of about a unit, by a number that the checkpoint fixes
+        d = d.withColumn("_at", F.monotonically_increasing_id())
+        d = d.repartition(-(-n // unit), F.xxhash64("_at")).drop("_at")
+    schema = T.StructType(d.schema.fields + [T.StructField(c, T.LongType()) for c in ("_bin", "_off", "_fill")])
+    packed = cut(d.mapInArrow(_local(f"c{place[size_col]}", capacity, unit), schema))
+    out = packed.withColumns({"_sequence": F.col("_bin"), "_offset": F.col("_off")}).drop("_bin", "_off", "_fill")
     # one row a bin: that of its first item
     open_bins = packed.filter("_off = 0").select(F.col("_bin").alias("bin"), F.col("_fill").alias("fill"))
     left = open_bins.filter(F.col("fill") < capacity - gap)
@@ -240,15 +246,15 @@ def pack(items: DataFrame, size_col: str, capacity: int = CAPACITY, unit: int =
         merged = cut(dealt.mapInArrow(_merge(capacity, unit), "bin long, parent long, shift long, fill long"))
         moved = merged.select(F.col("bin").alias("_bin"), F.col("parent").alias("_parent"), F.col("shift").alias("_shift")) \
             .filter("_bin <> _parent")
-        out = (out.join(moved, out["sequence_id"] == moved["_bin"], "left")
-               .withColumn("offset", F.col("offset") + F.coalesce("_shift", F.lit(0)))
-               .withColumn("sequence_id", F.coalesce("_parent", "sequence_id")).drop("_bin", "_parent", "_shift"))
+        out = (out.join(moved, out["_sequence"] == moved["_bin"], "left")
+               .withColumn("_offset", F.col("_offset") + F.coalesce("_shift", F.lit(0)))
+               .withColumn("_sequence", F.coalesce("_parent", "_sequence")).drop("_bin", "_parent", "_shift"))
         left = merged.filter("bin = parent").select("bin", "fill").filter(F.col("fill") < capacity - gap)
         now = merged.filter("bin = parent").count()
-        if tasks == 1 or n - now < WORTH * n:
+        if tasks == 1 or now == n:
             break
         n, round_no = left.count(), round_no + 1
-    return out
+    return out.select(*[F.col(f"c{place[c]}").alias(c) for c in own.columns], F.col("_sequence").alias("sequence_id"), F.col("_offset").alias("offset"))
 
 
 def pack_documents(docs: DataFrame, tokeniser: str | None = None, capacity: int = CAPACITY) -> DataFrame:

@@ -20,7 +20,7 @@ neighbours; these highly periodic regions, and the runs of the smaller scales, a
 what the set of a scale leaves out, and they supply their small periods
 themselves.
 
-The texts of a task are worked off in groups of about ``GROUP`` words, laid end to
+The texts of a task are worked off in groups of about ``GROUP`` bytes, laid end to
 end with separators that equal nothing, longest first; a scale looks only at the
 texts long enough for it.  A text costs about words x log(words) array steps and
 is never cut.  Nothing is shuffled.
@@ -38,12 +38,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SPACE, byte_lists, crc_text, quoted, replacing
+from .common import SPACE, crc_text, quoted, replacing, text_slices
 
 LEAST_LENGTH = 6
 EXPONENT = 4
 DIRECT = 3
-GROUP = 1 << 18  # words worked off together
+GROUP = 3 << 19  # bytes of text worked off together
 
 RUN = T.StructType([T.StructField(c, T.LongType()) for c in ("start", "length", "period")])
 
@@ -219,13 +219,12 @@ def _worker(digest: bool):
 
         import numpy as np
         import pyarrow as pa
-        import pyarrow.compute as pc
 
         kind = pa.list_(pa.struct([(c, pa.int64()) for c in RUN.names]))
 
-        def worked(batch):
+        def worked(batch, texts):
             number: dict = {}
-            words = [(t or b"").split() for t in byte_lists(batch.column(0))]
+            words = [(t or b"").split() for t in texts]
             runs = runs_of([np.fromiter((number.setdefault(w, len(number)) for w in ws), np.int64, len(ws)) for ws in words])
             plain = [b" ".join(compress(ws, kept_words(len(ws), r).tolist()) if len(r) else ws) for ws, r in zip(words, runs)]
             flat = np.concatenate([np.zeros((0, 3), np.int64), *runs])
@@ -237,14 +236,8 @@ def _worker(digest: bool):
             return pa.RecordBatch.from_arrays([*batch.columns[1:], lists, last],
                                               [*batch.schema.names[1:], "runs", "collapsed_sha256" if digest else "collapsed"])
 
-        for batch in batches:
-            # as many rows at a time as hold about GROUP words (six bytes each)
-            size = np.asarray(pc.fill_null(pc.binary_length(batch.column(0)), 0)) // 6
-            group = (np.cumsum(size) - size) // GROUP
-            cuts = np.concatenate(([0], np.flatnonzero(np.diff(group)) + 1, [batch.num_rows]))
-            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                if b > a:
-                    yield worked(batch.slice(a, b - a))
+        for batch, texts in text_slices(batches, 0, GROUP):
+            yield worked(batch, texts)
     return run
 
 

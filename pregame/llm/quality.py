@@ -9,23 +9,27 @@ to 1).  A document is kept if it is near enough to any one language in both.
 References are statistics of all documents that have a language: class shares,
 and the words with at least ``COMMON_SHARE`` of the language's words, of which
 there can be ``1 / COMMON_SHARE`` at most; the rest is one further bin.  Every
-language with ``REFERENCE_WORDS`` words is a reference, however many there are;
-a document whose label has no reference is decided by the base rules.  They
-come out of pre-aggregated counts, and only those small tables reach the
-driver, to be one literal of the plan.  Documents are never shuffled.
-
-Length guards: short histograms are noise, so the class distance needs
-``MIN_CHARS`` characters and the word distance ``MIN_WORDS`` words, with a limit
-that is wider the fewer they are; a document short of both is decided by the
-base rules.
+language with ``REFERENCE_WORDS`` words is a reference, however many there are.
+They come out of pre-aggregated counts, and only those small tables (a row a
+label, 250 words each at most) reach the driver, to be one literal of the plan.
+Documents are never shuffled.
+
+Minimum-length guards: short histograms are noise, those of references as those of
+documents.  A language with fewer than ``reference_words`` words in the whole table
+is no reference, and a document with such a label is decided by the base rules (the
+same document is judged by distance where its language has more).  The class
+distance needs ``MIN_CHARS`` characters and the word distance ``MIN_WORDS`` words,
+with a limit that is wider the fewer they are; a document short of both is decided
+by the base rules.
 
 Only DataFrame functions are used.  A window of eight words is known by a
 64-bit hash, combined from halves (words, pairs, fours, eights).
 
 Edge cases: a null, empty or blank text has no words and fails the base rules;
 without any reference language the base rules decide; a null language adds to
-no reference and is measured against all; repeated rows get equal results; extra columns are kept by
-``judge`` (those named like an output are replaced).
+no reference and is measured against all; repeated rows get equal results; very
+long texts are counted whole; extra columns, whatever their names, are kept by
+``judge`` (those named like an output are replaced) and ``keep_good``.
 """
 from __future__ import annotations
 
@@ -37,14 +41,13 @@ from zlib import crc32
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, computed, let, quoted, replacing, set_aside
+from .common import SPACE, by_place, computed, let, quoted, replacing
 
 WINDOW = 8
 LEAST_WORDS = 20
 REPEAT_PERCENT = 30
 COMMON_SHARE = 0.004
-MAX_LANGUAGES = 50  # of the oracle SQL alone; here every language counts
-REFERENCE_WORDS = 1000  # a language with fewer words in all is no reference
+REFERENCE_WORDS = 1000  # minimum-length guard: a language with fewer words in all is no reference
 MIN_CHARS = 500
 MIN_WORDS = 60
 CLASS_DISTANCE = 0.24
@@ -120,7 +123,7 @@ def measured(docs: DataFrame, text_col: str, listed: list[str]) -> DataFrame:
         _rest=F.col("_inked") - F.col("_upper") - F.col("_digit") - F.col("_mark"))
 
 
-def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> list[dict]:
+def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", reference_words: int = REFERENCE_WORDS) -> list[dict]:
     """Per language: shares of the character classes and of its common words,
     over all documents of that language."""
     text, lang = F.col(quoted(text_col)), F.col(quoted(lang_col)).cast("string").alias("lang")
@@ -129,7 +132,7 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
         ("_chars", F.length("text")), ("_inked", _left(F.col("text"), SPACE)), ("_upper", _left(F.col("text"), "^\\p{Lu}")),
         ("_digit", _left(F.col("text"), "^0-9")), ("_mark", _left(F.col("text"), "^\\p{P}\\p{S}")))}
     totals = (own.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.size(words_of(F.col("text")))).alias("words"), *n.values())
-              .filter(F.col("words") >= REFERENCE_WORDS).collect())
+              .filter(F.col("words") >= reference_words).collect())
     if not totals:
         return []
     least = docs.sparkSession.range(1).select(F.inline(_literal(
@@ -193,16 +196,17 @@ def word_distance(counted: Column, n_words: Column, ref: Column) -> Column:
               lambda rest: _apart(rest, ref["rest"])))))
 
 
-def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", refs: list[dict] | None = None) -> DataFrame:
+def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", refs: list[dict] | None = None,
+          reference_words: int = REFERENCE_WORDS) -> DataFrame:
     """``docs`` plus the base counts, base_failed, kept, and the distances from
     the nearest language (class_distance, word_distance, near_lang)."""
-    refs = references(docs, text_col, lang_col) if refs is None else refs
+    rest = replacing(docs, ADDED).columns
+    own, at = by_place(docs)
+    refs = references(own, at[text_col], at[lang_col], reference_words) if refs is None else refs
     listed = sorted({w for r in refs for w in r["words"]})
-    own = docs.withColumn("_text", F.col(quoted(text_col)))
-    lang = F.col(quoted(lang_col)).cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
+    lang = F.col(at[lang_col]).cast("string") if lang_col in at else F.lit(None).cast("string")
     foreign = lang.isNotNull() & ~_among(lang, [r["lang"] for r in refs]) if refs else F.lit(True)
-    own = own.withColumn("_foreign", foreign)
-    d = measured(replacing(own, ADDED), "_text", listed).drop("_text", "_words")
+    d = measured(own.withColumn("_foreign", foreign), at[text_col], listed).drop("_words")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     def far(x: Column) -> Column:
         return F.greatest(F.when(F.col("_chars") >= MIN_CHARS, x["c"]).otherwise(F.lit(0.0)) / CLASS_DISTANCE,
@@ -216,14 +220,14 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", refs:
     d = computed(d, _near=F.when(F.col("n_words") > 0, near) if refs else F.expr(none))
     d = d.withColumns({"base_failed": failed, "kept": ~failed & (F.col("_foreign") | F.coalesce(F.col("_near.far") <= 1, F.lit(True))),
                        "class_distance": F.col("_near.c"), "word_distance": F.col("_near.w"), "near_lang": F.col("_near.lang")})
-    return d.drop("_chars", "_inked", "_counted", "_near", "_foreign", *CLASSES)
+    return d.select(*[F.col(at[c]).alias(c) for c in rest], *ADDED)
 
 
 def quality_report(docs: DataFrame) -> DataFrame:
     return judge(docs.select("doc_id", "text", "lang")).select("doc_id", *BASE, "base_failed", "kept")
 
 
-def keep_good(docs: DataFrame, **options) -> DataFrame:
+def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
     """``docs`` without the documents the rules reject."""
-    d, back = set_aside(docs, ADDED)
-    return back(judge(d, **options).filter("kept"))
+    own, at = by_place(docs)
+    return judge(own, at[text_col], at[lang_col], **options).filter("kept").select(*[F.col(v).alias(c) for c, v in at.items()])

@@ -2,11 +2,12 @@
 DuckDB can express the whole result."""
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ctw, decontaminate, langid, packing, periodic, prefix_tokens, quality, ring, simhash, urlfilter, warc, whitening
+from . import ctw, decontaminate, langid, packing, periodic, prefix_tokens, quality, ring, secret_scan, simhash, urlfilter, warc, whitening
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -163,7 +164,6 @@ WITH d AS (
 ), ref AS (
   SELECT lang, sum(n) AS words, sum(chars) AS ch, list_transform([sum(k[1]), sum(k[2]), sum(k[3]), sum(k[4]), sum(k[5])], lambda x: x / sum(chars)) AS q
   FROM c WHERE lang IS NOT NULL AND has GROUP BY lang HAVING sum(n) >= {quality.REFERENCE_WORDS}
-  ORDER BY count(*) DESC, lang LIMIT {quality.MAX_LANGUAGES}
 ), com AS (
   SELECT u.lang, u.word, count(*) / any_value(ref.words) AS q
   FROM (SELECT lang, unnest(w) AS word FROM b WHERE lang IS NOT NULL AND has) u JOIN ref ON ref.lang = u.lang
@@ -187,11 +187,12 @@ WITH d AS (
   FROM dist GROUP BY doc_id
 ), o AS (
   SELECT c.doc_id, CAST(c.n AS BIGINT) AS n_words, CAST(c.inked AS BIGINT) AS word_chars, CAST(c.sy AS BIGINT) AS n_symbols,
-         CAST(len(c.ln) - len(list_distinct(c.ln)) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.r, 0) AS BIGINT) AS n_repeat_words, near.far
+         CAST(len(c.ln) - len(list_distinct(c.ln)) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.r, 0) AS BIGINT) AS n_repeat_words, near.far,
+         c.lang IS NOT NULL AND c.lang NOT IN (SELECT lang FROM ref) AS unreferenced
   FROM c LEFT JOIN rep ON rep.doc_id = c.doc_id LEFT JOIN near ON near.doc_id = c.doc_id
 )
-SELECT * EXCLUDE (far), n_words < {quality.LEAST_WORDS} OR 100 * n_repeat_words > {quality.REPEAT_PERCENT} * n_words AS base_failed,
-       NOT (n_words < {quality.LEAST_WORDS} OR 100 * n_repeat_words > {quality.REPEAT_PERCENT} * n_words) AND coalesce(far <= 1, true) AS kept
+SELECT * EXCLUDE (far, unreferenced), n_words < {quality.LEAST_WORDS} OR 100 * n_repeat_words > {quality.REPEAT_PERCENT} * n_words AS base_failed,
+       NOT (n_words < {quality.LEAST_WORDS} OR 100 * n_repeat_words > {quality.REPEAT_PERCENT} * n_words) AND (unreferenced OR coalesce(far <= 1, true)) AS kept
 FROM o"""
 
 
@@ -216,6 +217,40 @@ def op10_ctw(spark, sf_dir):
     return ctw.score_documents(table(spark, sf_dir, "documents"))
 
 
+def _either_case(pattern: str) -> str:
+    """The pattern with its plain letters in either case."""
+    return re.sub(r"\\x..|\\.|\[[^\]]*\]|[a-z]", lambda m: m[0] if len(m[0]) > 1 else f"[{m[0]}{m[0].upper()}]", pattern)
+
+
+def _secrets_sql() -> str:
+    rules = secret_scan.RULES
+    quoted = [(_either_case(r.pattern) if r.any_case else r.pattern).replace("'", "''") for r in rules]
+    each = "\n  UNION ALL ".join(
+        f"SELECT doc_id, {k} AS r, '{r.kind}' AS kind, {r.least} AS least, regexp_extract_all(t, '{q}', 0) AS m, "
+        f"regexp_extract_all(t, '{q}', {r.group}) AS g, string_split_regex(t, '{q}') AS gap FROM d" for k, (r, q) in enumerate(zip(rules, quoted)))
+    listed = "string_agg(kind || ':' || b || ':' || e, ',' ORDER BY b, r)"
+    base = len(secret_scan.BASE)
+    counts = ", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in secret_scan.BASE)
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents
+), found AS (
+  {each}
+), x AS (
+  SELECT doc_id, r, kind, least, i, length(gap[i]) + length(m[i]) AS step, length(m[i]) AS size, length(g[i]) AS part
+  FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM found)
+), s AS (
+  SELECT *, CAST(e - size AS BIGINT) AS b FROM (
+    SELECT *, CAST(sum(step) OVER (PARTITION BY doc_id, r ORDER BY i) AS BIGINT) AS e FROM x) WHERE part >= least
+)
+SELECT d.doc_id, {counts}, sha256(coalesce({listed} FILTER (r < {base}), '')) AS base_sha256, coalesce({listed}, '') AS spans
+FROM d LEFT JOIN s ON s.doc_id = d.doc_id GROUP BY d.doc_id"""
+
+
+@register("op11_secrets", _secrets_sql())
+def op11_secrets(spark, sf_dir):
+    return secret_scan.secret_report(table(spark, sf_dir, "documents"))
+
+
 @register("op12_whitening")
 def op12_whitening(spark, sf_dir):
     return whitening.whiten(table(spark, sf_dir, "embeddings"))

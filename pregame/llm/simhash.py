@@ -28,8 +28,10 @@ Edge cases: a null, empty or all-blank text has fingerprint zero and is linked
 like any other; fewer words than a shingle make one shingle; repeated rows are
 one fingerprint and get one result row each; a null doc_id is no candidate for
 a component's smallest id unless all are null; an empty table gives an empty
-result; columns beyond the id and the text are ignored (or kept, in
-``near_dedup``).
+result; very long texts count whole; columns beyond the id and the text, whatever
+their names, are ignored (or kept, in ``near_dedup``).  Joins on ``fp`` meet the
+fingerprint that many texts share (null texts share zero) as a hot key on the side
+of the texts' narrow rows only; adaptive execution splits it.
 """
 from __future__ import annotations
 
@@ -38,7 +40,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.components import components
-from .common import byte_lists, cut, quoted
+from . import marks
+from .common import by_place, cut, quoted, text_slices
 
 SHINGLE = 3
 SEED = 42
@@ -68,8 +71,8 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
 def _fingerprints(shingle: int):
     def run(batches):
         import pyarrow as pa
-        for batch in batches:
-            fp = [fingerprint(t, shingle) for t in byte_lists(batch.column(0))]
+        for batch, texts in text_slices(batches):
+            fp = [fingerprint(t, shingle) for t in texts]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(fp, pa.int64())],
                                              [*batch.schema.names[1:], "fp"])
     return run
@@ -174,15 +177,31 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component: that of the smallest id.  Where
     several rows have that id, the one of the smallest content hash stays, once;
-    a null id stays only where the whole component has none."""
-    id_of = F.col(quoted(id_col))
-    content = F.xxhash64(*[F.col(quoted(c)) for c in docs.columns])
-    prints = cut(fingerprints(docs, text_col, [id_of.alias("_id"), content.alias("_content")]))
-    kept = (prints.join(component_of(prints, "_id"), "fp")
-            .filter(F.col("_id").eqNullSafe(F.col("component_id")))
-            .groupBy("root").agg(F.min(F.struct("_id", "_content")).alias("k"))
-            .select(F.col("k._id").alias("_kid"), F.col("k._content").alias("_kcontent")))
-    # identical rows collapse before the shuffle (partial aggregation)
-    rows = docs.withColumn("_id", id_of).withColumn("_content", content).dropDuplicates(["_id", "_content"])
-    return rows.join(kept, F.col("_id").eqNullSafe(F.col("_kid")) & (F.col("_content") == F.col("_kcontent")),
-                     "left_semi").drop("_id", "_content")
+    a null id stays only where the whole component has none.
+
+    Which row stays is settled on narrow rows (id, content hash).  Rows that are
+    alone in their component stay where they lie; the others are told from them by
+    bitmaps of bounded size (``marks``), and only they are shuffled with their texts."""
+    own, at = by_place(docs)
+    content = F.xxhash64(*[F.col(c) for c in own.columns])
+    id_of = F.col(at[id_col])
+    prints = cut(fingerprints(own, at[text_col], [id_of.alias("_id"), content.alias("_content")]))
+    member = cut(prints.join(component_of(prints, "_id"), "fp").drop("fp"))
+    first = F.when(F.col("_id").eqNullSafe(F.col("component_id")), F.struct("_id", "_content"))
+    # pre-aggregated, so one huge component is no hot key
+    groups = cut(member.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.min(first).alias("k")))
+    several = member.join(groups.filter("n > 1").select("root"), "root", "left_semi")
+    found = cut(marks.bitmaps(several, "_content"))  # 8 MB at most
+
+    def flagged(df: DataFrame) -> DataFrame:
+        d = df.withColumn("_slot", marks.slot(F.col("_content"))).join(F.broadcast(found), "_slot", "left")
+        return d.withColumn("_asked", marks.is_set(F.col("_bits"), marks.bit(F.col("_content"))))
+
+    rows = flagged(own.withColumn("_content", content))
+    kept = flagged(groups.select(F.col("k._id").alias("_kid"), F.col("k._content").alias("_content"))).filter("_asked").select(
+        "_kid", F.col("_content").alias("_kcontent"))
+    asked = rows.filter("_asked").join(kept, id_of.eqNullSafe(F.col("_kid")) & (F.col("_content") == F.col("_kcontent")), "left_semi")
+    names = own.columns
+    once = asked.dropDuplicates([at[id_col], "_content"])
+    out = rows.filter("NOT _asked").select(*names).union(once.select(*names))
+    return out.select(*[F.col(v).alias(c) for c, v in at.items()])

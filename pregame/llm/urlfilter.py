@@ -14,8 +14,9 @@ model is one vector of ``FEATURES`` weights whatever the number of URLs.
 Edge cases: a null URL or one without ``://`` has empty host and path, fits no
 rule with a host and gets the model's verdict for no n-grams; without labelled
 rows of both verdicts the verdict is that of the only one there is, or
-``allow``; repeated rows get equal results; extra columns are kept by ``judge``
-(those named like an output are replaced).
+``allow``; repeated rows get equal results; very long URLs count whole; of equally
+long rules the first in order of text wins; extra columns, whatever their names, are
+kept by ``judge`` (those named like an output are replaced).
 """
 from __future__ import annotations
 
@@ -24,12 +25,13 @@ from pyspark.ml.feature import HashingTF
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import UPPER, quoted, replacing
+from .common import UPPER, by_place, replacing
 
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 FEATURES = 1 << 14
 SIZES = (3, 4)
 TRAIN_ROWS = 5000
+OUT = ["host", "path", "rule", "verdict"]
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
 
@@ -90,13 +92,15 @@ def train(labelled: DataFrame):
 def judge(pages: DataFrame, rules=RULES, labelled: DataFrame | None = None, url_col: str = "url") -> DataFrame:
     """``pages`` plus host, path, rule, verdict.  ``labelled``: (host, path,
     block); by default made from the pages that rules decide."""
-    base = (replacing(pages.withColumn("_url", F.col(quoted(url_col))), ["host", "path", "rule", "verdict"])
-            .withColumns(dict(zip(("host", "path"), host_and_path(F.col("_url"))))))
+    rest = replacing(pages, OUT).columns
+    own, at = by_place(pages)
+    base = own.withColumns(dict(zip(("host", "path"), host_and_path(F.col(at[url_col])))))
     ruled = base.withColumn("_r", ruling(F.col("host"), F.col("path"), rules)).withColumns(
-        {"rule": F.col("_r.rule"), "verdict": F.col("_r.verdict")}).drop("_r", "_url")
+        {"rule": F.col("_r.rule"), "verdict": F.col("_r.verdict")})
     model = train(labelled_by_rules(ruled) if labelled is None else labelled)
     if isinstance(model, str):
-        return ruled.withColumn("verdict", F.coalesce("verdict", F.lit(model)))
-    scored = model.transform(features(ruled))
-    other = F.when(F.col("_block") == 1.0, "block").otherwise("allow")
-    return scored.withColumn("verdict", F.coalesce("verdict", other)).drop("_features", "_raw", "_p", "_block")
+        other = F.lit(model)
+    else:
+        ruled = model.transform(features(ruled))
+        other = F.when(F.col("_block") == 1.0, "block").otherwise("allow")
+    return ruled.withColumn("verdict", F.coalesce("verdict", other)).select(*[F.col(at[c]).alias(c) for c in rest], *OUT)

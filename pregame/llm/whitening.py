@@ -20,9 +20,9 @@ of the space is probed from a fresh start, orthogonal to all v so far, until its
 largest value has settled too, so equal eigenvalues are not missed; at the latest
 all v together span the space and the result is complete.
 
-What reaches the driver is bounded by the vectors' width, never by their number:
-the sums of a pass are added up by a shuffle.  The list is packed into blocks of
-rows and checkpointed once; passes read it from memory or from there.
+What reaches the driver are ``FAN_IN`` rows of sums a pass at most, each as wide as
+two vectors.  The list is packed into blocks of rows and checkpointed
+once; passes read it from memory or from there.
 
 Edge cases: rows whose vector is null, has a null or non-finite entry, or one whose
 integer would not fit a long are dropped; of vectors of several lengths those of the
@@ -45,6 +45,8 @@ from .common import cut, quoted
 SCALE = 256
 COMPONENTS = 4
 BLOCK_BYTES = 1 << 22  # of packed rows
+TASK_BYTES = 1 << 25  # of packed rows that a task of a pass reads
+FAN_IN = 256  # tasks whose sums one task adds up
 RESIDUAL = 1e-14  # of the largest singular value
 SEED = 7
 
@@ -99,15 +101,17 @@ class _List:
     """The fit list as packed blocks, and passes over it."""
 
     def __init__(self, fit: DataFrame):
-        self.blocks = cut(fit.mapInArrow(_packed, "rows long, data binary")).persist(StorageLevel.MEMORY_AND_DISK)
         self.context = fit.sparkSession.sparkContext
+        blocks = cut(fit.mapInArrow(_packed, "rows long, data binary"))
+        one = blocks.agg(F.coalesce(F.sum("rows"), F.lit(0)), F.coalesce(F.sum(F.octet_length("data")), F.lit(0))).first()
+        self.n = one[0]
+        # small lists come in more partitions than a pass is worth
+        self.tasks = max(1, min(blocks.rdd.getNumPartitions(), max(self.context.defaultParallelism, -(-one[1] // TASK_BYTES))))
+        self.blocks = blocks.coalesce(self.tasks).persist(StorageLevel.MEMORY_AND_DISK)
 
     def close(self):
         self.blocks.unpersist()
 
-    def rows(self) -> int:
-        return self.blocks.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
-
     def sums(self) -> list:
         """Exact sum of every dimension."""
         def run(batches):
@@ -128,8 +132,8 @@ class _List:
         return [int(s) for _, s in sorted((r.i, r.s) for r in got)]
 
     def added(self, work, *shared):
-        """Sum over all rows of ``work(centred rows, *shared)``, a flat array.  Equal
-        places of the tasks' results are added up on the executors."""
+        """Sum over all rows of ``work(centred rows, *shared)``, a flat array, added up
+        in a tree of tasks."""
         sent = self.context.broadcast((self.mean, *shared))
 
         def run(batches):
@@ -143,16 +147,33 @@ class _List:
                     part = work(a, *rest)
                     total = part if total is None else total + part
             if total is not None:
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total)), pa.int32()), pa.array(total)], ["i", "s"])
-        got = self.blocks.mapInArrow(run, "i int, s double").groupBy("i").agg(F.sum("s").alias("s")).collect()
+                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+        def summed(batches):
+            import pyarrow as pa
+            total = _total(x for batch in batches for x in batch.column(0).to_pylist())
+            if total is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+        parts, left = self.blocks.mapInArrow(run, "sums binary"), self.tasks
+        while left > FAN_IN:
+            left = -(-left // FAN_IN)
+            parts = parts.repartition(left).mapInArrow(summed, "sums binary")
+        out = _total(r.sums for r in parts.collect())
         sent.destroy()
-        import numpy as np
-        out = np.zeros(len(got))
-        for r in got:
-            out[r.i] = r.s
         return out
 
 
+def _total(parts):
+    """Sum of packed arrays of doubles."""
+    import numpy as np
+    total = None
+    for part in parts:
+        x = np.frombuffer(part)
+        total = x.copy() if total is None else total + x
+    return total
+
+
 def _step(a, short, last):
     """Parts of U'(X q), X'(X q) and |X q|^2: u = X ``short``, q = ``last``."""
     import numpy as np
@@ -238,8 +259,7 @@ def fit(df: DataFrame, vec_col: str, components: int = COMPONENTS, scale: int =
     import numpy as np
     rows = _List(usable(df, vec_col, scale=scale).select("x").distinct())
     try:
-        n = rows.rows()
-        sums = rows.sums()
+        n, sums = rows.n, rows.sums()
         none = Whitener(n, sums, np.zeros((0, len(sums))), np.zeros(0), np.zeros(0))
         if n < 2:
             return none, 0.0

@@ -28,7 +28,8 @@ def clashing(odd_docs):
     from pyspark.sql import functions as F
     return odd_docs.select("*", *[F.lit("x").alias(c) for c in (
         "n_words", "N_HIT", "items", "fp", "shard", "slot", "size", "key", "a", "b", "component_id", "piece", "start", "length",
-        "offset", "score", "held_out", "lang_pred", "kept", "n_tokens", "host", "path", "rule", "verdict", "w", "n", "lo", "hi")])
+        "offset", "score", "held_out", "lang_pred", "kept", "n_tokens", "host", "path", "rule", "verdict", "w", "n", "lo", "hi", "c0", "c1", "row", "t", "runs", "_text",
+        "_id", "_content", "_p", "_raw", "_features", "_block", "_words", "_chars", "_bin", "_off", "_fill", "_lo", "_slot", "_bits", "_near")])
 
 
 @pytest.fixture(scope="session")

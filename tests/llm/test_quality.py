@@ -114,3 +114,21 @@ def test_label_without_reference_is_left_to_the_base_rules(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     got = {r.doc_id: r.kept for r in Q.judge(docs).collect()}
     assert got[10] and not got[11] and not got[12]
+
+
+def test_sql_agrees_on_many_and_on_small_languages(spark):
+    """The oracle SQL on 60 languages, a label of 500 words, and one foreign text."""
+    import duckdb
+
+    from pregame.llm import queries
+    rows = [(100 * k + j, _language(k, 600 + j), f"l{k:02}") for k in range(60) for j in range(2 if k > 50 else 4)]
+    rows += [(9001, _language(71, 500), "small"), (9002, _language(72, 500), None), (9003, "spam " * 500, "small"), (9004, None, "l01"), (9005, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", rows)
+    got = Q.quality_report(docs)
+    want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({queries.SQL['op7_quality']})").fetchall()
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    kept = {r.doc_id: r.kept for r in got.collect()}
+    assert kept[9001] and not kept[9002] and not kept[9003] and all(kept[100 * k] for k in range(60))

@@ -114,3 +114,9 @@ def test_large_numbers(spark):
     made, error = whitening.fit(table, "embedding")
     assert made.sums == [256 * (2 ** 54) + 256, 256 * 5] and made.n == 4 and error < 1e-6
     assert {r.deviation for r in whitening.whiten(table).collect()} == {None}
+
+
+def test_sums_as_a_tree(spark, given, monkeypatch):
+    monkeypatch.setattr(whitening, "FAN_IN", 2)
+    monkeypatch.setattr(whitening, "TASK_BYTES", 20_000)
+    check([(r.vec_id, r.embedding) for r in given.collect()], whitening.whiten(given.repartition(9)).collect())
