@@ -1,12 +1,13 @@
 """Global order without a single-partition window.
 
-Row positions, running sums and exact order statistics over a whole table are
+Row positions and running sums over a whole table are
 built in two levels: a range-partitioned sort (Spark samples the key, so a hot
 key value is split across partitions whenever the order is total), then the
 per-partition totals -- one row per partition, a size bound we control -- are
 turned into offsets and broadcast back.  The sorted table is checkpointed to
 the reliable checkpoint folder so positions stay stable if an executor is lost
-and a stage is recomputed.
+and a stage is recomputed.  Exact order statistics need no order of the rows: they
+are found by counting (``order_statistics``).
 """
 from __future__ import annotations
 
@@ -80,32 +81,72 @@ def running_sums(df: DataFrame, order: list[str | Column], cols: list[str],
     return out.drop("_pid", "_local", *[f"_o_{k}" for k in measures])
 
 
+BUCKETS = 4096
+_LARGEST = 1.7976931348623157e308
+
+
+def _bucket(x: Column, lo: float, hi: float) -> Column:
+    """Number of the bucket of ``x`` among BUCKETS equal ones from lo to hi: never
+    falls as x grows, since no step of the arithmetic does."""
+    def half(v):
+        return F.least(F.greatest(v, F.lit(-_LARGEST)), F.lit(_LARGEST)) / 2
+    a, b = (max(-_LARGEST, min(_LARGEST, v)) / 2 for v in (lo, hi))
+    if a == b:  # infinite beside the largest number
+        return F.when(x == lo, 0).otherwise(BUCKETS - 1).cast("int")
+    return F.least(F.floor((half(x) - F.lit(a)) / F.lit(b - a) * BUCKETS), F.lit(BUCKETS - 1)).cast("int")
+
+
+def order_statistics(df: DataFrame, columns: list[str], ranks) -> dict[str, tuple[int, dict[int, float]]]:
+    """(number of values, {rank: value}) of every column that has any: exact values at 0-based ranks of many columns (nulls and NaN left out).
+    ``ranks(count)`` names the ranks wanted of a column with that many values.
+
+    No sort: a pass counts the values of every column by equal buckets between the
+    column's ends, pre-aggregated before the shuffle, so a value that most rows share
+    is one row.  Only buckets that hold a wanted rank are looked into by the next
+    pass, between their own ends, until such a bucket holds a single value.  A pass
+    narrows 4,096-fold.  What reaches the driver are one row a column, then one a
+    rank and pass."""
+    names = [f"v{i}" for i in range(len(columns))]
+    src = df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(v)
+                      for c, v in zip(columns, names)]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        ends = src.agg(*[f(v).alias(f"{n}{v}") for v in names for n, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]).first()
+        found: dict = {c: (ends[f"n{v}"], {}) for c, v in zip(columns, names) if ends[f"n{v}"]}
+        # (column, lowest value, highest value, values below, ranks)
+        open_ = [(c, v, ends[f"lo{v}"], ends[f"hi{v}"], 0, sorted(set(ranks(ends[f"n{v}"])))) for c, v in zip(columns, names) if ends[f"n{v}"]]
+        while True:
+            for c, _, lo, hi, _, wanted in open_:
+                if lo == hi:
+                    found[c][1].update(dict.fromkeys(wanted, lo))
+            open_ = [t for t in open_ if t[2] != t[3]]
+            if not open_:
+                return found
+            inside = [F.when(F.col(v).between(lo, hi), F.struct(F.lit(t).alias("t"), _bucket(F.col(v), lo, hi).alias("b"), F.col(v).alias("x")))
+                      for t, (_, v, lo, hi, _, _) in enumerate(open_)]
+            counts = (src.select(F.inline(F.filter(F.array(*inside), lambda s: s.isNotNull())))
+                      .groupBy("t", "b").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")))
+            # at most BUCKETS rows a target
+            upto = Window.partitionBy("t").orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            wanted = F.array(*[F.array(*[F.lit(r - below).cast("bigint") for r in rs]) for _, _, _, _, below, rs in open_])
+            hit = counts.withColumn("upto", F.sum("n").over(upto)).filter(
+                F.exists(F.get(wanted, F.col("t")), lambda r: (r >= F.col("upto") - F.col("n")) & (r < F.col("upto"))))
+            following = []
+            for row in hit.collect():
+                c, v, _, _, below, rs = open_[row.t]
+                first = below + row.upto - row.n
+                following.append((c, v, row.lo, row.hi, first, [r for r in rs if first <= r < first + row.n]))
+            open_ = following
+    finally:
+        src.unpersist()
+
+
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
     """Exact linear-interpolation quantiles (numpy / pandas / DuckDB
-    ``quantile_cont`` semantics) of many columns in one distributed sort.
-
-    Columns are unpivoted to (column, value) with nulls dropped and counted per
-    distinct value before anything is shuffled, so a value that most rows share
-    is one row.  The distinct pairs are sorted, their counts summed up in order,
-    and the values that bracket position p*(n-1) are those whose range of
-    positions holds it.
-    -> (column, p, value)
-    """
-    long = df.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("_k"), F.col(c).cast("double").alias("value"))
-        for i, c in enumerate(columns)]))).filter(F.col("value").isNotNull())
-    counts = long.groupBy("_k", "value").agg(F.count(F.lit(1)).alias("_n"))
-    rs = running_sums(counts, ["_k", "value"], ["_n"])
-    per_col = rs.groupBy("_k").agg((F.max("cum__n") - F.sum("_n")).alias("_start"), F.sum("_n").alias("_m"))
-    h = F.col("p") * (F.col("_m") - 1)
-    targets = per_col.select("_k", "_start", "_m", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
-    targets = targets.select("_k", "p", (h - F.floor(h)).alias("_frac"),
-                             (F.col("_start") + F.floor(h)).alias("_lo"), (F.col("_start") + F.ceil(h)).alias("_hi"))
-    # one row per (column, p): size = len(columns) * len(probs), fixed by the caller
-    at = lambda pos: (F.col("cum__n") - F.col("_n") <= F.col(pos)) & (F.col(pos) < F.col("cum__n"))
-    got = rs.join(F.broadcast(targets), "_k").filter(at("_lo") | at("_hi"))
-    agg = got.groupBy("_k", "p", "_frac").agg(F.max(F.when(at("_lo"), F.col("value"))).alias("_a"),
-                                              F.max(F.when(at("_hi"), F.col("value"))).alias("_b"))
-    names = F.array(*[F.lit(c) for c in columns])
-    return agg.select(names[F.col("_k")].alias("column"), "p",
-                      (F.col("_a") + F.col("_frac") * (F.col("_b") - F.col("_a"))).alias("value"))
+    ``quantile_cont`` semantics) of many columns -> (column, p, value); a column
+    without a value has no row."""
+    from math import ceil, floor
+    at = lambda n: [(p, p * (n - 1)) for p in probs]
+    found = order_statistics(df, columns, lambda n: [r for _, h in at(n) for r in (floor(h), ceil(h))])
+    rows = [(c, float(p), value[floor(h)] + (h - floor(h)) * (value[ceil(h)] - value[floor(h)]) if ceil(h) > floor(h) else value[floor(h)])
+            for c, (n, value) in found.items() for p, h in at(n)]
+    return df.sparkSession.createDataFrame(rows, "column string, p double, value double")

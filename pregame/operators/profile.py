@@ -16,6 +16,10 @@ from ..functions import columns as C
 from . import ordered
 
 
+HISTOGRAM = "side string, bin int, lo double, hi double, count bigint, density double"
+DENSITY = "side string, grid_idx int, x double, density double"
+
+
 def label_distribution(games: DataFrame) -> DataFrame:
     """Share of each label value, with its name (0 = away win, 1 = home win)."""
     counts = games.groupBy(config.LABEL).agg(F.count(F.lit(1)).alias("n"))
@@ -94,8 +98,8 @@ def points_histogram(games: DataFrame) -> DataFrame:
             (F.lit(lo) + F.col("bin") * F.lit(width)).alias("lo"),
             (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("hi"),
             "count", (F.col("count") / F.lit(n * width)).alias("density")))
-    out = parts[0]
-    for p in parts[1:]:
+    out = games.sparkSession.createDataFrame([], HISTOGRAM)  # without games no side has bins
+    for p in parts:
         out = out.unionByName(p)
     return out
 
@@ -109,7 +113,7 @@ def points_kde(games: DataFrame, gridsize: int = 200, cut: float = 3.0) -> DataF
     grid point (a fixed-size ``sequence``, no join) and contributions are
     summed per grid point.  -> side, grid_idx, x, density
     """
-    out = None
+    out = games.sparkSession.createDataFrame([], DENSITY)  # without games no side has a curve
     sides = (("home", "PTS_home"), ("away", "PTS_away"))
     # four numbers per side reach the driver (n, sample std, min, max)
     st = games.agg(*[x for _, c in sides for x in (
@@ -132,7 +136,7 @@ def points_kde(games: DataFrame, gridsize: int = 200, cut: float = 3.0) -> DataF
         d = d.select(F.lit(side).alias("side"), F.col("grid_idx").cast("int").alias("grid_idx"),
                      (F.lit(start) + F.col("grid_idx") * F.lit(step)).alias("x"),
                      (F.col("_s") / F.lit(n * bw * math.sqrt(2 * math.pi))).alias("density"))
-        out = d if out is None else out.unionByName(d)
+        out = out.unionByName(d)
     return out
 
 
