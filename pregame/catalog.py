@@ -587,7 +587,7 @@ def resolved_requests(spark, sf_dir, games):
 def scored_requests(spark, sf_dir):
     g = clean_games(spark, sf_dir)
     served = state_tables(spark, sf_dir)
-    hyp = resolve.hypothetical_games(resolved_requests(spark, sf_dir, g), served.team)
+    hyp = resolve.hypothetical_games(resolved_requests(spark, sf_dir, g), served.team_last)
     return state.asof_features(hyp, served)
 
 

@@ -65,6 +65,15 @@ def _rate(batches):
     rating, season_of = np.zeros(0), np.zeros(0, np.int64)
 
     for pdf in batches:
+        if "_rating" in pdf:
+            # ratings that games before these left behind: they sort before all games
+            saved = pdf["_rating"].notna().to_numpy()
+            for lg, team, value, year in pdf.loc[saved, [config.LEAGUE, "HOME_TEAM_ID", "_rating", "SEASON"]].itertuples(index=False):
+                number[(lg, team)] = len(number)
+                rating, season_of = np.append(rating, value), np.append(season_of, year)
+            pdf = pdf[~saved]
+            if not len(pdf):
+                continue
         league, season = pdf[config.LEAGUE].to_numpy(), pdf["SEASON"].to_numpy().astype(np.int64)
         n, won = len(pdf), pdf[config.LABEL].to_numpy().astype(float)
         keys = pd.MultiIndex.from_arrays([np.concatenate((league, league)), np.concatenate(
@@ -93,27 +102,37 @@ def _rate(batches):
                             "home_elo_post": after[0], "away_elo_post": after[1]})
 
 
-def with_league(games: DataFrame) -> DataFrame:
+def with_league(games: DataFrame, saved: DataFrame | None = None) -> DataFrame:
     """``games`` with a LEAGUE column: the one it has, or the connected
-    component of its teams (named by the smallest team id)."""
+    component of its teams (named by the smallest team id).  ``saved``: teams of
+    earlier games and their LEAGUE, which new games may connect."""
     if config.LEAGUE in games.columns:
         return games
     met = games.select(F.col("HOME_TEAM_ID").alias("a"), F.col("VISITOR_TEAM_ID").alias("b")).distinct()
+    if saved is not None:  # a league's name is one of its teams
+        met = met.union(saved.select("team", config.LEAGUE))
     found = components(met).select(F.col("node").alias("_team"), F.col("root").alias("_root"))
     return (games.join(found, games["HOME_TEAM_ID"] == found["_team"], "left")
             .withColumn(config.LEAGUE, F.coalesce("_root", "HOME_TEAM_ID").cast("bigint")).drop("_team", "_root"))
 
 
-def elo_ratings(games: DataFrame) -> DataFrame:
+def elo_ratings(games: DataFrame, saved: DataFrame | None = None) -> DataFrame:
     """-> GAME_ID, home/away pre-game rating, expectation, difference (no home
-    advantage), and post-game ratings (for the as-of state table)."""
-    ordered = with_league(games).select(*NEEDED).repartition(config.LEAGUE).sortWithinPartitions("GAME_DATE_EST", "GAME_ID")
+    advantage), and post-game ratings (for the as-of state table).  ``saved``: (team,
+    elo_post, SEASON) left behind by earlier games."""
+    rows = with_league(games).select(*NEEDED)
+    if saved is not None:
+        sides = rows.select(config.LEAGUE, F.explode(F.array("HOME_TEAM_ID", "VISITOR_TEAM_ID")).alias("team")).distinct()
+        known = sides.join(saved.select("team", "elo_post", "SEASON"), "team").select(
+            config.LEAGUE, F.col("team").alias("HOME_TEAM_ID"), F.col("elo_post").alias("_rating"), "SEASON")
+        rows = rows.withColumn("_rating", F.lit(None).cast("double")).unionByName(known, allowMissingColumns=True)
+    ordered = rows.repartition(config.LEAGUE).sortWithinPartitions("GAME_DATE_EST", "GAME_ID")  # nulls first
     return ordered.mapInPandas(_rate, ELO_SCHEMA)
 
 
-def with_elo(games: DataFrame) -> DataFrame:
+def with_elo(games: DataFrame, saved: DataFrame | None = None) -> DataFrame:
     """Games plus the Elo columns, joined on GAME_ID: only the seven columns of
     the recurrence pass through Python, so a large league pulls no whole rows
     into one task."""
     g = with_league(games)
-    return g.join(elo_ratings(g), "GAME_ID")
+    return g.join(elo_ratings(g, saved), "GAME_ID")

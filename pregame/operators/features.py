@@ -43,39 +43,45 @@ def pivot_sides(long_features: DataFrame, engineered: list[str]) -> DataFrame:
 
 
 def build_features(games: DataFrame, advanced: bool = False, split: bool = True) -> DataFrame:
-    """Pre-game features for every game of a cleaned games table.
-
-      games -> Elo (a narrow fold per league, joined back on GAME_ID)
-            -> head-to-head window (adds one column)
-            -> team-game view carrying the game-level columns on the home row
-            -> prior-only team windows
-            -> both sides back into one row (groupBy GAME_ID).
-    ``split``: team and pair series run on bounded segments (``segments``), so
+    """Pre-game features for every game of a cleaned games table (one row per
+    GAME_ID).
+
+      games -> Elo (a narrow fold per league)
+            -> head-to-head rate (narrow rows of the pair)
+            -> team-game view -> prior-only team windows (narrow rows of the team)
+            -> all of them, and the games' own columns, meet in one shuffle by
+               GAME_ID and one aggregate.
+    ``split``: team and pair series run on bounded stretches (``segments``), so
     no key, however hot, becomes one task; False is the plain layout for series
     known to be short (same values).
     """
     games = elo_ops.with_league(games)
     stats = views.advanced_stats_present(games) if advanced else []
     eng = windows.engineered_names(stats)
-    g = windows.with_head_to_head(elo_ops.with_elo(games), split=split)
-    carry = [c for c in config.BASE_COLUMNS if c not in ("GAME_ID", "GAME_DATE_EST", "SEASON")] + \
-        [config.LEAGUE, "h2h_home_winrate"] + ELO_COLUMNS
-    long = views.team_game_view(g, advanced=advanced, carry=carry)
-    lf = windows.team_features(long, stats, split=split)
-    home_pack = F.struct(*[F.col(c) for c in eng], *[F.col(f"_c_{c}").alias(c) for c in carry])
-    sides = lf.groupBy("GAME_ID", "GAME_DATE_EST", "SEASON").agg(
-        F.max(F.when(F.col("is_home") == 1, home_pack)).alias("_h"),
-        F.max(F.when(F.col("is_home") == 0, F.struct(*[F.col(c) for c in eng]))).alias("_a"))
+    base = [c for c in config.BASE_COLUMNS + [config.LEAGUE] if c != "GAME_ID"]
+    lf = windows.team_features(views.team_game_view(games, advanced=advanced), stats, split=split)
+    meetings = games.select("GAME_ID", "GAME_DATE_EST", "HOME_TEAM_ID", "VISITOR_TEAM_ID", config.LABEL)
+    pair = windows.with_head_to_head(meetings, split=split)
+    side = F.struct(*eng)
+    parts = [
+        games.select("GAME_ID", F.struct(*base).alias("_g")),
+        elo_ops.elo_ratings(games).select("GAME_ID", F.struct(*ELO_COLUMNS).alias("_e")),
+        pair.select("GAME_ID", F.col("h2h_home_winrate").alias("_r")),
+        lf.select("GAME_ID", F.when(F.col("is_home") == 1, side).alias("_h"), F.when(F.col("is_home") == 0, side).alias("_a")),
+    ]
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p, allowMissingColumns=True)
+    # clustered and sorted by game once; each column has a value in one row of a game
+    whole = every.repartition("GAME_ID").groupBy("GAME_ID").agg(*[F.max(c).alias(c) for c in ("_g", "_e", "_r", "_h", "_a")])
     cols = []
     for c in eng:
         h, a = F.col(f"_h.{c}"), F.col(f"_a.{c}")
         cols += [h.alias(f"home_{c}"), a.alias(f"away_{c}")]
         if c not in NO_DIFF:
             cols.append((h - a).alias(f"diff_{c}"))
-    base = [F.col(c) if c in ("GAME_ID", "GAME_DATE_EST", "SEASON") else F.col(f"_h.{c}").alias(c)
-            for c in config.BASE_COLUMNS + [config.LEAGUE]]
-    return sides.select(*base, *cols, F.col("_h.h2h_home_winrate").alias("h2h_home_winrate"),
-                        *[F.col(f"_h.{c}").alias(c) for c in ELO_COLUMNS])
+    own = [F.col("GAME_ID") if c == "GAME_ID" else F.col(f"_g.{c}").alias(c) for c in config.BASE_COLUMNS + [config.LEAGUE]]
+    return whole.select(*own, *cols, F.col("_r").alias("h2h_home_winrate"), *[F.col(f"_e.{c}").alias(c) for c in ELO_COLUMNS])
 
 
 def warmup_drop(features: DataFrame) -> DataFrame:

@@ -153,7 +153,7 @@ def feature_correlation(features: DataFrame, feature_cols: list[str], top: int =
 
 def qcut_edges(values: DataFrame, col: str, q: int = 10) -> list[float]:
     """Distinct quantile edges (pandas qcut, duplicates dropped); q+1 numbers."""
-    probs = list(np.linspace(0, 1, q + 1))
+    probs = np.linspace(0, 1, q + 1).tolist()
     rows = ordered.exact_quantiles(values, [col], probs).collect()
     edges = sorted({r["value"] for r in rows})
     return edges

@@ -6,48 +6,29 @@ from pyspark.sql import functions as F
 
 from .. import config
 
-LONG_BASE = ["GAME_ID", "GAME_DATE_EST", "SEASON", "team", "opponent", "is_home",
-             "pts_for", "pts_against", "win", "pt_diff"]
-
-
 def advanced_stats_present(games: DataFrame) -> list[str]:
     return [name for name, (h, a) in config.ADVANCED_STATS.items()
             if h in games.columns and a in games.columns]
 
 
-def team_game_view(games: DataFrame, advanced: bool = False, carry: list[str] | None = None,
-                   side_pairs: dict[str, tuple[str, str]] | None = None) -> DataFrame:
+def team_game_view(games: DataFrame, advanced: bool = False, pairs: dict[str, tuple[str, str]] | None = None) -> DataFrame:
     """One row per (game, side): both sides come out of one scan through
     ``inline(array(home, away))`` -- no union, no second read.
 
-    ``win`` is the label for the home row and 1 - label for the away row;
-    ``pt_diff`` = points for - points against.  With ``advanced`` the box-score
-    stats present in the table are carried per side too.  ``carry`` names
-    game-level columns kept on the home row only (null on the away row), as
-    ``_c_<name>``, so they ride along without a join back.
+    A side's values are one table: output -> (home side's column, away side's
+    column), from which both sides are made.  ``win`` is the label for the home row
+    and 1 - label for the away row; ``pt_diff`` = points for - points against.  With
+    ``advanced`` the box-score stats present in the table are carried per side too,
+    and ``pairs`` adds further such columns.
     """
-    carry = carry or []
-    side_pairs = side_pairs or {}
     stats = advanced_stats_present(games) if advanced else []
-    league = [F.col(config.LEAGUE)] if config.LEAGUE in games.columns else []
-
-    def side(home: bool):
-        fields = [
-            F.col("HOME_TEAM_ID" if home else "VISITOR_TEAM_ID").alias("team"),
-            F.col("VISITOR_TEAM_ID" if home else "HOME_TEAM_ID").alias("opponent"),
-            F.lit(1 if home else 0).alias("is_home"),
-            F.col("PTS_home" if home else "PTS_away").alias("pts_for"),
-            F.col("PTS_away" if home else "PTS_home").alias("pts_against"),
-            (F.col(config.LABEL) if home else F.lit(1) - F.col(config.LABEL)).alias("win"),
-        ]
-        for s in stats:
-            fields.append(F.col(config.ADVANCED_STATS[s][0 if home else 1]).alias(s))
-        for name, (hc, ac) in side_pairs.items():
-            fields.append(F.col(hc if home else ac).alias(name))
-        for c in carry:
-            fields.append((F.col(c) if home else F.lit(None).cast(games.schema[c].dataType)).alias(f"_c_{c}"))
-        return F.struct(*fields)
-
-    out = games.select("GAME_ID", "GAME_DATE_EST", "SEASON", *league,
-                       F.inline(F.array(side(True), side(False))))
-    return out.withColumn("pt_diff", F.col("pts_for") - F.col("pts_against"))
+    label, lit = F.col(config.LABEL), F.lit
+    of = {k: (F.col(h), F.col(a)) for k, (h, a) in {
+        **{s: config.ADVANCED_STATS[s] for s in stats}, **(pairs or {}),
+        "pts_for": ("PTS_home", "PTS_away"), "pts_against": ("PTS_away", "PTS_home"),
+        "team": ("HOME_TEAM_ID", "VISITOR_TEAM_ID"), "opponent": ("VISITOR_TEAM_ID", "HOME_TEAM_ID")}.items()}
+    of |= {"is_home": (lit(1), lit(0)), "win": (label, lit(1) - label)}
+    sides = F.array(*[F.struct(*[values[k].alias(name) for name, values in of.items()]) for k in (0, 1)])
+    league = [config.LEAGUE] if config.LEAGUE in games.columns else []
+    return games.select("GAME_ID", "GAME_DATE_EST", "SEASON", *league, F.inline(sides)).withColumn(
+        "pt_diff", F.col("pts_for") - F.col("pts_against"))

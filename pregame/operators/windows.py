@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions import columns as C
 from . import segments
+from .ordered import kept
 
 ORDER = ("GAME_DATE_EST", "GAME_ID")
 ROLL_STATS = ("win", "pts_for", "pts_against", "pt_diff")
@@ -46,15 +47,16 @@ def rolling_columns(stats=ROLL_STATS, windows=config.ROLL_WINDOWS, upto: int = -
     return out
 
 
-def ewma_through(df: DataFrame, key: list[str], pos: str, value: str = "pt_diff") -> DataFrame:
+def ewma_through(df: DataFrame, key: list[str], pos: str, value: str = "pt_diff", times: str | None = None) -> DataFrame:
     """Adds _ew_now: at rows that have a value, the adjusted EWMA (alpha = 1/3,
-    weights by position) of the series up to and including the row.
+    weights by position) of the series up to and including the row; and _ew_weight,
+    the sum of its weights as seen from the row (1 for the row itself).
 
     Weights grow by 1/decay from a block's start, so a running sum inside the
     block is the weighted sum up to a factor that cancels.  Blocks of twice the
     lookback come in two layers, half a block apart; each row takes the layer in
     which at least the lookback lies before it.  ``pos`` numbers the rows of a
-    series without gaps.
+    series without gaps.  ``times``: a column of what a row counts (one otherwise).
     """
     back, block = config.EWMA_LOOKBACK, 2 * config.EWMA_LOOKBACK
     x = F.col(value).cast("double")
@@ -62,10 +64,12 @@ def ewma_through(df: DataFrame, key: list[str], pos: str, value: str = "pt_diff"
     for shift in (0, back):
         at = F.col(pos) + shift
         weight = F.pow(F.lit(1.0 / config.EWMA_DECAY), F.pmod(at, F.lit(block)))
+        own = weight * F.col(times) if times else weight
         w = Window.partitionBy(*key, F.floor(at / block)).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
-        layers.append(F.try_divide(F.sum(x * weight).over(w), F.sum(F.when(x.isNotNull(), weight)).over(w)))
-    now = F.when(F.pmod(F.col(pos), F.lit(block)) >= back, layers[0]).otherwise(layers[1])
-    return df.withColumn("_ew_now", F.when(x.isNotNull(), now))
+        total = F.sum(F.when(x.isNotNull(), own)).over(w)
+        layers.append((F.try_divide(F.sum(x * own).over(w), total), F.coalesce(total, F.lit(0.0)) / weight))
+    now, total = (F.when(F.pmod(F.col(pos), F.lit(block)) >= back, a).otherwise(b) for a, b in zip(*layers))
+    return df.withColumns({"_ew_now": F.when(x.isNotNull(), now), "_ew_weight": total})
 
 
 def with_ewma(df: DataFrame, value: str = "pt_diff", upto: int = -1, name: str = "form_ptdiff_ewma") -> DataFrame:
@@ -75,7 +79,7 @@ def with_ewma(df: DataFrame, value: str = "pt_diff", upto: int = -1, name: str =
     at the last row with a value, however long ago."""
     d = ewma_through(df.withColumn("_pos", F.row_number().over(by_team())), ["team"], "_pos", value)
     seen = by_team().rowsBetween(Window.unboundedPreceding, upto)
-    return d.withColumn(name, F.last("_ew_now", ignorenulls=True).over(seen)).drop("_pos", "_ew_now")
+    return d.withColumn(name, F.last("_ew_now", ignorenulls=True).over(seen)).drop("_pos", "_ew_now", "_ew_weight")
 
 
 def rest_columns(base: Window | None = None) -> list[Column]:
@@ -106,22 +110,23 @@ def team_features(long: DataFrame, extra_stats=(), split: bool = True) -> DataFr
     ``split``: computed on bounded segments of each team's series (see
     ``segments``): no window group is larger than a segment, however many rows
     one team has.  ``split=False`` is for callers who know that every series
-    fits a task; it saves the global sort.  The values are the same.
+    fits a task; it saves a shuffle.  The values are the same.
     """
     stats = ROLL_STATS + tuple(extra_stats)
     if not split:
         return with_ewma(long.select("*", *rolling_columns(stats), *rest_columns(),
                                      season_winrate_column(), venue_winrate_column()))
-    seg = segments.segment(long, ["team"], list(ORDER), halo=2 * config.EWMA_LOOKBACK)
-    w = segments.window(["team"])
-    seg = seg.select("*", *rolling_columns(stats, base=w), *rest_columns(base=w))
-    seg = ewma_through(seg, ["team", "_seg"], "_pos")
     win, home = F.col("win"), F.col("is_home") == 1
     seen = F.when(win.isNotNull(), 1).otherwise(0)
-    seg = segments.prior_sums(seg, ["team", "SEASON"], {
+    rows = segments.numbered(long, ["team"], list(ORDER), {
         "s": win, "n": seen,
         "hs": F.when(home, win), "hn": F.when(home, seen),
-        "as": F.when(~home, win), "an": F.when(~home, seen)})
+        "as": F.when(~home, win), "an": F.when(~home, seen)}, inner="SEASON")
+    seg = segments.segment(rows, halo=2 * config.EWMA_LOOKBACK)
+    w = segments.window(["team"])
+    seg = seg.select("*", *rolling_columns(stats, base=w), *rest_columns(base=w))
+    # kept: read for the carry between segments and for the rows
+    seg = kept(ewma_through(seg, ["team", "_seg"], "_pos"))
     seg = segments.prior_last(seg, ["team"], "_ew_now", "form_ptdiff_ewma")
 
     def rate(num, den):
@@ -129,13 +134,13 @@ def team_features(long: DataFrame, extra_stats=(), split: bool = True) -> DataFr
     venue = F.when(home, rate("_p_hs", "_p_hn")).otherwise(rate("_p_as", "_p_an"))
     out = seg.filter(~F.col("_halo")).withColumn("season_winrate", rate("_p_s", "_p_n")) \
         .withColumn("venue_winrate", venue)
-    return out.drop("_pos", "_seg", "_halo", "_ew_now", *[c for c in out.columns if c.startswith("_p_")])
+    return out.drop("_pos", "_seg", "_halo", "_ew_now", "_ew_weight", *[c for c in out.columns if c.startswith("_p_")])
 
 
 def with_head_to_head(games: DataFrame, split: bool = True) -> DataFrame:
     """Games plus h2h_home_winrate: the prior win rate of the pair's lower id
     over all earlier meetings (no season limit), flipped to the home side's view.
-    ``split``: on bounded segments of each pair's series."""
+    ``split``: each pair's series is cut by months (``segments``)."""
     lo = C.pair_low("HOME_TEAM_ID", "VISITOR_TEAM_ID")
     hi = C.pair_high("HOME_TEAM_ID", "VISITOR_TEAM_ID")
     won = C.low_team_won("HOME_TEAM_ID", "VISITOR_TEAM_ID", config.LABEL)
@@ -143,10 +148,7 @@ def with_head_to_head(games: DataFrame, split: bool = True) -> DataFrame:
         w = Window.partitionBy(lo, hi).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1)
         rate = F.avg(won).over(w)
         return games.withColumn("h2h_home_winrate", C.home_view(rate, "HOME_TEAM_ID", "VISITOR_TEAM_ID"))
-    cols = games.columns
     g = games.withColumn("_lo", lo).withColumn("_hi", hi).withColumn("_won", won)
-    seg = segments.segment(g, ["_lo", "_hi"], list(ORDER), halo=0)
-    seg = segments.prior_sums(seg, ["_lo", "_hi"], {"w": F.col("_won"), "n": F.lit(1)})
+    g = segments.numbered(g, ["_lo", "_hi"], list(ORDER), {"w": F.col("_won"), "n": F.lit(1)})
     rate = F.when(F.col("_p_n") > 0, F.col("_p_w") / F.col("_p_n"))
-    return seg.filter(~F.col("_halo")).select(
-        *cols, C.home_view(rate, "HOME_TEAM_ID", "VISITOR_TEAM_ID").alias("h2h_home_winrate"))
+    return g.select(*games.columns, C.home_view(rate, "HOME_TEAM_ID", "VISITOR_TEAM_ID").alias("h2h_home_winrate"))

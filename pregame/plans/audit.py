@@ -39,15 +39,15 @@ def _count(flag) -> F.Column:
     return F.coalesce(F.sum(flag.cast("long")), F.lit(0)).cast("bigint")
 
 
-def parity(games: DataFrame, served: state.State | None = None, split: bool = True) -> DataFrame:
+def parity(games: DataFrame, served: state.State | None = None, bulk: bool = True) -> DataFrame:
     """Train/serve parity: the as-of state served for every historical game
     (as a request with its own date and id) equals its pre-game features.
     -> rows_checked, differing"""
     games = elo_ops.with_league(games)
-    f = feat.build_features(games, split=split)
+    f = feat.build_features(games)
     req = games.select(F.col("GAME_ID").alias("REQUEST_ID"), "GAME_ID", "GAME_DATE_EST", "SEASON",
                        "HOME_TEAM_ID", "VISITOR_TEAM_ID")
-    a = state.asof_features(req, served or state.build_state(games, split), split=split)
+    a = state.asof_features(req, served or state.build_state(games), bulk=bulk)
     return differing(a, f, feat.feature_names()).agg(
         F.count(F.lit(1)).cast("bigint").alias("rows_checked"), _count(F.col("differs")).alias("differing"))
 

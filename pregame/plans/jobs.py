@@ -26,10 +26,18 @@ def ingest_job(spark: SparkSession, landed: str, workdir: str, fmt: str = "parqu
     return spark.read.parquet(f"{workdir}/games")
 
 
-def state_job(spark: SparkSession, games: DataFrame, workdir: str) -> state.State:
-    """Team and pair state after every game, written for ``score_job``."""
-    state.write_state(state.build_state(games), f"{workdir}/state")
-    return state.read_state(spark, f"{workdir}/state")
+def state_job(spark: SparkSession, games: DataFrame, workdir: str, append: bool = False) -> state.State:
+    """Team and pair state after every game, written for ``score_job``.
+    ``append``: ``games`` are new ones, folded onto the saved state; nothing
+    earlier is read but the last state of every team and pair."""
+    path = f"{workdir}/state"
+    if append:
+        version = state.versions(spark, path)
+        state.write_state(state.build_state(games, state.read_state(spark, path)), path, version)
+    else:
+        sinks.remove(spark, path)
+        state.write_state(state.build_state(games), path)
+    return state.read_state(spark, path)
 
 
 def train_job(spark: SparkSession, games: DataFrame, workdir: str, tune: bool = True, **search) -> dict:

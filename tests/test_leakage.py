@@ -47,25 +47,33 @@ def test_feature_columns_and_order(feats):
     assert cols[-5:] == ["h2h_home_winrate", "home_elo_pre", "away_elo_pre", "elo_prob_home", "diff_elo"]
 
 
+def _few_teams(games):
+    """The same games played by three teams, so series are hundreds of rows long."""
+    return games.withColumns({"HOME_TEAM_ID": F.col("GAME_ID") % 3, "VISITOR_TEAM_ID": (F.col("GAME_ID") % 3 + 1 + F.col("GAME_ID") % 2) % 3,
+                              "LEAGUE": F.lit(1).cast("bigint")})
+
+
 def test_split_windows_equal_plain(games, monkeypatch):
-    """Series split into 211-row segments (every team and pair split many
-    times, halos crossing key boundaries) give the unsplit values."""
+    """Series split into 211-row segments (each cut several times, with a halo of
+    192 rows) give the unsplit values."""
     from pregame.operators import segments
     cols = features.feature_names()
     monkeypatch.setattr(segments, "CHUNK_ROWS", 211)
-    a = ordered.kept(features.build_features(games))
-    b = features.build_features(games, split=False)
-    assert audit.differing(a, b, cols).filter("differs").isEmpty()
+    hot = _few_teams(games)
+    a = ordered.kept(features.build_features(hot))
+    b = features.build_features(hot, split=False)
+    assert a.count() == games.count() and audit.differing(a, b, cols).filter("differs").isEmpty()
 
 
-@pytest.mark.parametrize("split", [True, False])
-def test_asof_parity_in_both_layouts(games, monkeypatch, split):
-    """As-of lookups on 211-row segments serve exactly the pre-game features
-    of every historical game, and so does the plain layout."""
+@pytest.mark.parametrize("bulk", [True, False])
+def test_asof_parity_in_both_ways(games, monkeypatch, bulk):
+    """As-of lookups, ordered on 211-row segments or by interval, serve exactly the
+    pre-game features of every historical game."""
     from pregame.operators import segments
     monkeypatch.setattr(segments, "CHUNK_ROWS", 211)
-    r = audit.parity(games, split=split).first()
-    assert (r.rows_checked, r.differing) == (games.count(), 0)
+    for g in (games, _few_teams(games)):
+        r = audit.parity(g, bulk=bulk).first()
+        assert (r.rows_checked, r.differing) == (games.count(), 0)
 
 
 def test_differing_sees_values_nulls_and_missing_games(spark):
