@@ -710,8 +710,8 @@ def q_games_head(spark, sf_dir):
 @register("row_index", CLEAN_SQL + """
 SELECT GAME_ID, CAST(row_number() OVER (ORDER BY GAME_DATE_EST, GAME_ID) - 1 AS BIGINT) AS row_idx FROM clean""")
 def q_row_index(spark, sf_dir):
-    return ordered.row_index(clean_games(spark, sf_dir).select("GAME_ID", "GAME_DATE_EST"),
-                             ["GAME_DATE_EST", "GAME_ID"]).select("GAME_ID", "row_idx")
+    return ordered.row_index_by_date(clean_games(spark, sf_dir).select("GAME_ID", "GAME_DATE_EST"),
+                                     ["GAME_DATE_EST", "GAME_ID"]).select("GAME_ID", "row_idx")
 
 
 @register("time_series_folds", FEAT_SQL + f"""
@@ -891,10 +891,6 @@ def trained(spark, sf_dir):
     return _TRAINED[key]
 
 
-TEST_ROWS_SQL = FEAT_SQL + f"""
-SELECT GAME_ID, HOME_TEAM_WINS, 1 AS consistent FROM warm WHERE SEASON >= {config.TEST_SEASON_START}"""
-
-
 def consistent(prob: str = "home_win_prob"):
     """Is the probability one, its complement too, and the decision theirs?"""
     p = F.col(prob)
@@ -903,27 +899,79 @@ def consistent(prob: str = "home_win_prob"):
 
 
 def _model_scores(spark, sf_dir, name):
-    from .plans import models
+    """Every test game's scores, and its probability recomputed by plain expressions
+    from the coefficients or the leaf table."""
+    from .plans import certify
     res, _, test = trained(spark, sf_dir)
-    s = models.score(res[name]["model"], test)
-    return s.select("GAME_ID", config.LABEL, consistent().alias("consistent"))
+    return round6(certify.recomputed(res[name]["model"], test, FEATURES_43).select(
+        "GAME_ID", config.LABEL, "home_win_prob", "away_win_prob", "predicted_winner", "recomputed_prob"))
 
 
-@register("logreg_scores", TEST_ROWS_SQL)
+@register("logreg_scores")
 def q_logreg_scores(spark, sf_dir):
     return _model_scores(spark, sf_dir, "logistic_regression")
 
 
-@register("dtree_scores", TEST_ROWS_SQL)
+@register("dtree_scores")
 def q_dtree_scores(spark, sf_dir):
     return _model_scores(spark, sf_dir, "decision_tree")
 
 
-@register("gbt_scores", TEST_ROWS_SQL)
+@register("gbt_scores")
 def q_gbt_scores(spark, sf_dir):
     return _model_scores(spark, sf_dir, "gradient_boosted_trees")
 
 
+_ROWS_SQL = FEAT_SQL + f"""
+, n AS (SELECT CAST(count(*) FILTER (SEASON < {config.TEST_SEASON_START}) AS BIGINT) AS train_rows,
+               CAST(count(*) FILTER (SEASON >= {config.TEST_SEASON_START}) AS BIGINT) AS test_rows FROM warm)
+"""
+
+
+@register("logreg_certificate", _ROWS_SQL + "SELECT 1 AS optimal, test_rows, CAST(0 AS BIGINT) AS differing FROM n")
+def q_logreg_certificate(spark, sf_dir):
+    """The fitted coefficients are the stated objective's optimum (gradient below
+    1e-4 in every part), and give every test game's score."""
+    from .plans import certify
+    res, train, test = trained(spark, sf_dir)
+    model = res["logistic_regression"]["model"]
+    optimal = certify.logreg_gradient(model, train, FEATURES_43) < 1e-4
+    return certify.differing_scores(model, test, FEATURES_43).select(F.lit(int(optimal)).alias("optimal"), "test_rows", "differing")
+
+
+@register("dtree_certificate", _ROWS_SQL + """
+SELECT 'leaves' AS what, train_rows AS checked, CAST(0 AS BIGINT) AS wrong FROM n
+UNION ALL SELECT 'scores', test_rows, CAST(0 AS BIGINT) FROM n""")
+def q_dtree_certificate(spark, sf_dir):
+    """Every leaf holds 20 train rows or more, as many as the model says, and
+    predicts their share of home wins; the leaf table gives every test game's score."""
+    from .plans import certify
+    res, train, test = trained(spark, sf_dir)
+    model = res["decision_tree"]["model"]
+    leaves = certify.wrong_leaves(model, train, FEATURES_43)
+    scores = certify.differing_scores(model, test, FEATURES_43)
+    return leaves.select(F.lit("leaves").alias("what"), F.col("train_rows").alias("checked"), F.col("bad_leaves").alias("wrong")).union(
+        scores.select(F.lit("scores"), "test_rows", "differing"))
+
+
+@register("gbt_certificate", _ROWS_SQL + "SELECT test_rows, CAST(0 AS BIGINT) AS differing FROM n")
+def q_gbt_certificate(spark, sf_dir):
+    """The trees' leaf table gives every test game's score."""
+    from .plans import certify
+    res, _, test = trained(spark, sf_dir)
+    return certify.differing_scores(res["gradient_boosted_trees"]["model"], test, FEATURES_43)
+
+
+@register("report_checks", f"""
+SELECT * FROM (VALUES ('metrics', 18::BIGINT, 0::BIGINT), ('best', 1, 0), ('verdict', 1, 0), ('confusion', 3, 0), ('roc', 1, 0),
+                      ('calibration', 2, 0), ('importance', {config.TOP_IMPORTANCES}, 0)) t("check", checked, differing)""")
+def q_report_checks(spark, sf_dir):
+    """The report's numbers against a second path (``report.report_checks``)."""
+    from .plans import report
+    res, train, test = trained(spark, sf_dir)
+    return report.report_checks(spark, res, train, test, FEATURES_43)
+
+
 @register("model_comparison")
 def q_model_comparison(spark, sf_dir):
     from .plans import models
@@ -946,8 +994,11 @@ def q_select_best(spark, sf_dir):
 def q_feature_importance(spark, sf_dir):
     from .plans import models
     res, _, _ = trained(spark, sf_dir)
+    from .plans import certify
     _, entry = models.select_best(res)
-    return round6(models.feature_importance(entry["model"], FEATURES_43))
+    again = certify.importances(entry["model"], FEATURES_43)
+    other = F.create_map(*[F.lit(x) for kv in again.items() for x in kv])[F.col("feature")]
+    return round6(models.feature_importance(entry["model"], FEATURES_43).withColumn("recomputed", other))
 
 
 @register("model_roundtrip", FEAT_SQL + f"""
@@ -1005,8 +1056,9 @@ def q_score_matchups(spark, sf_dir):
 def q_evaluate_report(spark, sf_dir):
     from .plans import report
     res, train, test = trained(spark, sf_dir)
-    out = report.evaluate_report(spark, res, train, test, FEATURES_43, sinks.scratch_path(spark, "reports"))
-    return round6(out["comparison"])
+    path = sinks.scratch_path(spark, "reports")
+    out = report.evaluate_report(spark, res, train, test, FEATURES_43, path)
+    return read_back(round6(report.long_table(out, spark)), path)
 
 
 @register("stream_ingest", LOG_SQL + """

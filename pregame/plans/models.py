@@ -11,11 +11,13 @@ from __future__ import annotations
 
 import json
 import random
+import threading
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier,
                                        LogisticRegression)
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -72,6 +74,16 @@ def _assembler(cols: list[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=[f"z__{c}" for c in cols], outputCol=VEC, handleInvalid="keep")
 
 
+def fit_prepared(estimator, train: DataFrame, cols: list[str], med: dict, scale: dict | None = None) -> PipelineModel:
+    """Fits on the assembled vectors, made once and kept for the fit's many passes."""
+    stages = [preprocess_stage(cols, med, scale), _assembler(cols)]
+    vectors = PipelineModel(stages).transform(train).select(VEC, config.LABEL).persist()
+    try:
+        return PipelineModel([*stages, estimator.fit(vectors)])
+    finally:
+        vectors.unpersist()
+
+
 def fit_logreg(train: DataFrame, cols: list[str], med: dict | None = None) -> PipelineModel:
     """Median impute -> standardise -> L2 logistic regression (C = 1)."""
     med = med if med is not None else _medians_dict(train_medians(train, cols))
@@ -79,7 +91,7 @@ def fit_logreg(train: DataFrame, cols: list[str], med: dict | None = None) -> Pi
     n = train.count()
     lr = LogisticRegression(featuresCol=VEC, labelCol=config.LABEL, maxIter=1000,
                             regParam=1.0 / n, elasticNetParam=0.0, standardization=False)
-    return Pipeline(stages=[preprocess_stage(cols, med, sc), _assembler(cols), lr]).fit(train)
+    return fit_prepared(lr, train, cols, med, sc)
 
 
 def fit_tree(train: DataFrame, cols: list[str], med: dict | None = None) -> PipelineModel:
@@ -88,13 +100,12 @@ def fit_tree(train: DataFrame, cols: list[str], med: dict | None = None) -> Pipe
     dt = DecisionTreeClassifier(featuresCol=VEC, labelCol=config.LABEL, maxDepth=5,
                                 minInstancesPerNode=20, impurity="gini", maxBins=256,
                                 seed=config.RANDOM_STATE)
-    return Pipeline(stages=[preprocess_stage(cols, med, None), _assembler(cols), dt]).fit(train)
+    return fit_prepared(dt, train, cols, med)
 
 
 def gbt_estimator(params: dict) -> GBTClassifier:
-    """Map the search parameters onto Spark's GBT (no L2 on leaf weights in
-    Spark: ``reg_lambda`` is drawn but has no counterpart; column sampling is
-    per node, not per tree)."""
+    """Map the search parameters onto Spark's GBT (column sampling is per node, not
+    per tree)."""
     frac = params.get("colsample_bytree", 1.0)
     return GBTClassifier(
         featuresCol=VEC, labelCol=config.LABEL, lossType="logistic",
@@ -107,16 +118,15 @@ def gbt_estimator(params: dict) -> GBTClassifier:
 
 def fit_gbt(train: DataFrame, cols: list[str], params: dict, med: dict | None = None) -> PipelineModel:
     med = med if med is not None else _medians_dict(train_medians(train, cols))
-    return Pipeline(stages=[preprocess_stage(cols, med, None), _assembler(cols),
-                            gbt_estimator(params)]).fit(train)
+    return fit_prepared(gbt_estimator(params), train, cols, med)
 
 
 def time_series_folds(train: DataFrame, splits: int = config.CV_SPLITS) -> DataFrame:
     """Expanding-window folds over the train rows in (date, GAME_ID) order:
     fold size n // (splits + 1); fold k tests its block and trains on every
     earlier row.  Adds row_idx and test_fold (null = never a test row)."""
-    idx = ordered.row_index(train, ["GAME_DATE_EST", "GAME_ID"], "row_idx")
-    n = idx.count()
+    idx = ordered.row_index_by_date(train, ["GAME_DATE_EST", "GAME_ID"], "row_idx")
+    n = train.count()
     size = n // (splits + 1)
     start = n - splits * size
     fold = F.when(F.col("row_idx") >= start, F.floor((F.col("row_idx") - start) / size))
@@ -136,43 +146,58 @@ def probability(scored: DataFrame) -> DataFrame:
     return scored.withColumn("prob", vector_to_array("probability")[1])
 
 
-def auc_of(model: PipelineModel, test: DataFrame) -> float:
-    s = probability(model.transform(test)).select(F.col(config.LABEL).alias("y"), "prob")
-    return metrics.classification_metrics(s).first()["roc_auc"]
+# the search parameters that Spark's trees have; there is no L2 on leaf weights, so
+# ``reg_lambda`` is not drawn
+DRAWN = ("n_estimators", "max_depth", "learning_rate", "subsample", "colsample_bytree")
 
 
 def draw_params(draws: int = config.GBT_SEARCH_DRAWS, seed: int = config.RANDOM_STATE,
                 space: dict | None = None) -> list[dict]:
     rng = random.Random(seed)
-    space = space or config.GBT_SEARCH_SPACE
+    space = space or {k: config.GBT_SEARCH_SPACE[k] for k in DRAWN}
     return [{k: rng.choice(v) for k, v in space.items()} for _ in range(draws)]
 
 
 def tune_gbt(train: DataFrame, cols: list[str], draws: int = config.GBT_SEARCH_DRAWS,
-             splits: int = config.CV_SPLITS, parallelism: int = 4, space: dict | None = None):
+             splits: int = config.CV_SPLITS, parallelism: int = 8, space: dict | None = None):
     """Random search scored by mean ROC-AUC over expanding time folds (never
-    shuffled folds), then refit of the best draw on all train rows.  Fits
-    run concurrently from a thread pool; each fit is itself a Spark job."""
+    shuffled folds), then refit of the best draw on all train rows.
+
+    Every fold is imputed with the medians of the rows before its test block (no
+    fold sees a later game) and assembled into vectors once, which all draws share.
+    The (draw, fold) fits run side by side from a thread pool, each in a scheduler
+    pool of its own (fair sharing where ``spark.scheduler.mode`` is FAIR)."""
     folds = time_series_folds(train, splits).persist()
     cands = draw_params(draws, space=space)
-    # imputed with medians of the rows before the fold's test block, shared by
-    # all draws: no fold sees a later game
-    frames = [(tr, te, _medians_dict(train_medians(tr, cols))) for tr, te in (fold_frames(folds, k) for k in range(splits))]
-
-    def score(p):
-        aucs = [auc_of(fit_gbt(tr, cols, p, med), te) for tr, te, med in frames]
-        return sum(aucs) / len(aucs)
-
+    context = train.sparkSession.sparkContext
+    frames = []
+    for k in range(splits):
+        tr, te = fold_frames(folds, k)
+        stages = PipelineModel([preprocess_stage(cols, _medians_dict(train_medians(tr, cols)), None), _assembler(cols)])
+        frames.append([stages.transform(x).select(VEC, config.LABEL).persist() for x in (tr, te)])
+    by_rank = BinaryClassificationEvaluator(labelCol=config.LABEL, numBins=0)  # exact, ties count one half
+
+    def score(job):
+        p, k = job
+        context.setLocalProperty("spark.scheduler.pool", f"search-{threading.get_ident()}")
+        tr, te = frames[k]
+        return by_rank.evaluate(gbt_estimator(cands[p]).fit(tr).transform(te))
+
+    jobs = [(p, k) for p in range(len(cands)) for k in range(splits)]
+    # the longest fits first
+    order = sorted(jobs, key=lambda j: (-cands[j[0]].get("n_estimators", 0) * cands[j[0]].get("max_depth", 0), -j[1]))
     with ThreadPoolExecutor(max_workers=parallelism) as ex:
-        scores = list(ex.map(score, cands))
+        auc = dict(zip(order, ex.map(score, order)))
+    scores = [sum(auc[p, k] for k in range(splits)) / splits for p in range(len(cands))]
     best = max(range(len(cands)), key=lambda i: (scores[i], -i))
-    folds.unpersist()
+    for df in [folds, *(x for f in frames for x in f)]:
+        df.unpersist()
     return fit_gbt(train, cols, cands[best]), cands[best], scores
 
 
 # fixed configuration used when the random search is skipped
 DEFAULT_GBT = {"n_estimators": 100, "max_depth": 3, "learning_rate": 0.1, "subsample": 1.0,
-               "colsample_bytree": 1.0, "reg_lambda": 1.0}
+               "colsample_bytree": 1.0}
 
 
 def train_all(train: DataFrame, test: DataFrame, cols: list[str], tune: bool = True,

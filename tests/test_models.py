@@ -80,7 +80,7 @@ def test_search_draws_and_folds(spark, split):
     train, _ = split
     draws = models.draw_params()
     assert len(draws) == config.GBT_SEARCH_DRAWS
-    assert all(set(d) == set(config.GBT_SEARCH_SPACE) for d in draws)
+    assert all(set(d) == set(models.DRAWN) < set(config.GBT_SEARCH_SPACE) for d in draws)
     folds = models.time_series_folds(train)
     n = train.count()
     size = n // (config.CV_SPLITS + 1)
@@ -94,7 +94,7 @@ def test_time_ordered_search_mechanics(split):
     train, _ = split
     cols = features.feature_names()
     space = {"n_estimators": [5, 10], "max_depth": [2, 3], "learning_rate": [0.1, 0.3],
-             "subsample": [1.0], "colsample_bytree": [1.0, 0.8], "reg_lambda": [1.0]}
+             "subsample": [1.0], "colsample_bytree": [1.0, 0.8]}
     model, best, scores = models.tune_gbt(train, cols, draws=3, parallelism=3, space=space)
     assert len(scores) == 3 and best in models.draw_params(3, space=space)
     assert model.stages[-1].getNumTrees == best["n_estimators"]
@@ -163,3 +163,53 @@ def test_surrogate_game_id(spark, games):
     g = clean.clean_games(games.drop("GAME_ID"))
     ids = [r.GAME_ID for r in g.select("GAME_ID").collect()]
     assert sorted(ids) == list(range(games.count()))
+
+
+def test_certificates_hold_and_can_fail(spark, split):
+    """Optimal, leaf by leaf right, scores recomputed; and not so for other rows."""
+    from pregame.plans import certify
+    train, test = split
+    cols = features.feature_names()
+    half = train.filter("GAME_ID % 2 = 0")
+    lr, tree, gbt = models.fit_logreg(train, cols), models.fit_tree(train, cols), models.fit_gbt(train, cols, {"n_estimators": 5, "max_depth": 3})
+    assert certify.logreg_gradient(lr, train, cols) < 1e-4 < certify.logreg_gradient(lr, half, cols)
+    r = certify.wrong_leaves(tree, train, cols).first()
+    assert (r.train_rows, r.bad_leaves) == (train.count(), 0)
+    assert certify.wrong_leaves(tree, half, cols).first().bad_leaves > 0
+    leaves = certify.leaf_table(certify.node_table(gbt), cols)
+    assert {x.tree for x in leaves.collect()} == set(range(5)) and leaves.filter("rows > 0").count() == leaves.count()
+    for m in (lr, tree, gbt):
+        got = certify.differing_scores(m, test, cols).first()
+        assert (got.test_rows, got.differing) == (test.count(), 0)
+        weights = certify.importances(m, cols)
+        assert all(abs(weights[x.feature] - x.importance) < 1e-9 for x in models.feature_importance(m, cols).collect())
+
+
+def test_row_index_by_date(spark):
+    import datetime as dt
+    day = dt.date(2001, 5, 1)
+    rows = [(i, None if i % 11 == 0 else day + dt.timedelta(days=i * 7 % 13)) for i in range(200)]
+    df = spark.createDataFrame(rows, "GAME_ID long, GAME_DATE_EST date").repartition(5)
+    got = [r.GAME_ID for r in ordered.row_index_by_date(df, ["GAME_DATE_EST", "GAME_ID"], "i").orderBy("i").collect()]
+    assert got == [i for i, d in sorted(rows, key=lambda r: (r[1] or dt.date.min, r[0]))]
+
+
+def test_order_statistics(spark):
+    """Values at ranks by counting: hot values, tails, infinities, nulls and NaN."""
+    import math
+    import random
+    rng = random.Random(4)
+    cols = {"hot": [5.0] * 700 + [rng.gauss(0, 1) for _ in range(300)], "tail": [10.0 ** rng.uniform(-300, 300) * rng.choice([-1, 1]) for _ in range(1000)],
+            "ends": [math.inf] * 10 + [-math.inf] * 10 + [1.7976931348623157e308, -1.7976931348623157e308] * 5 + [rng.random() for _ in range(970)],
+            "holes": [None if i % 3 else (math.nan if i % 5 == 0 else float(i % 7)) for i in range(1000)], "one": [2.5] + [None] * 999, "none": [None] * 1000}
+    df = spark.createDataFrame(list(zip(*cols.values())), ", ".join(f"{c} double" for c in cols))
+    got = ordered.order_statistics(df, list(cols), lambda n: [0, n // 3, n // 2, n - 1])
+    assert "none" not in got
+    for c, (n, at) in got.items():
+        values = sorted(v for v in cols[c] if v is not None and not math.isnan(v))
+        assert n == len(values) and at == {r: values[r] for r in {0, n // 3, n // 2, n - 1}}
+    q = {(r.column, r.p): r.value for r in ordered.exact_quantiles(df, ["hot", "holes"], [0.1, 0.5, 1.0]).collect()}
+    import numpy as np
+    for c in ("hot", "holes"):
+        values = [v for v in cols[c] if v is not None and not math.isnan(v)]
+        assert all(q[c, p] == pytest.approx(float(np.quantile(values, p))) for p in (0.1, 0.5, 1.0))
