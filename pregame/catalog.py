@@ -866,11 +866,12 @@ def q_append_invariance(spark, sf_dir):
 ), later AS (
   SELECT GAME_ID, row_number() OVER (ORDER BY GAME_DATE_EST, GAME_ID) - 1 AS i, count(*) OVER () AS n
   FROM clean WHERE GAME_ID NOT IN (SELECT GAME_ID FROM firsts))
-SELECT GAME_ID AS target_game, CAST(0 AS BIGINT) AS own_row_changed, 1 AS later_rows_change FROM later WHERE i = n // 2""")
+SELECT GAME_ID AS target_game, CAST(0 AS BIGINT) AS own_row_changed, 1 AS later_rows_change, CAST(0 AS BIGINT) AS linked_outside
+FROM later WHERE i = n // 2""")
 def q_audit_counterfactual(spark, sf_dir):
     from .plans import audit
     r = audit.counterfactual(clean_games(spark, sf_dir))
-    return r.select("target_game", "own_row_changed", (F.col("later_rows_changed") > 0).cast("int").alias("later_rows_change"))
+    return r.select("target_game", "own_row_changed", (F.col("later_rows_changed") > 0).cast("int").alias("later_rows_change"), "linked_outside")
 
 
 # ---- M / E6 / E8 / R2 / S9: models -----------------------------------------------------

@@ -78,23 +78,32 @@ def append_invariance(games: DataFrame, before: DataFrame | None = None) -> Data
         _count(synthetic).alias("synthetic_rows"))
 
 
-def counterfactual(games: DataFrame, before: DataFrame | None = None) -> DataFrame:
+def counterfactual(games: DataFrame) -> DataFrame:
     """Swap the points and flip the label of a mid-history game whose teams
     both played before: its own feature row must not change, and some later
     game of one of its teams must.
-    -> target_game, own_row_changed, later_rows_changed"""
+
+    A game reaches no further than its league, a closed set of teams, so the
+    features of that league alone are built twice; a semi-join proves that no game
+    outside has one of its teams.
+    -> target_game, own_row_changed, later_rows_changed, linked_outside"""
+    games = elo_ops.with_league(games)
     cands = profile.not_first_games(games)
-    pos = ordered.row_index(cands.select("GAME_ID", "GAME_DATE_EST", "HOME_TEAM_ID", "VISITOR_TEAM_ID"),
-                            ["GAME_DATE_EST", "GAME_ID"], "_i")
+    pos = ordered.kept(ordered.row_index_by_date(cands.select(
+        "GAME_ID", "GAME_DATE_EST", "HOME_TEAM_ID", "VISITOR_TEAM_ID", config.LEAGUE), ["GAME_DATE_EST", "GAME_ID"], "_i"))
     target = pos.filter(F.col("_i") == pos.count() // 2).first()
     t = F.col("GAME_ID") == F.lit(target["GAME_ID"])
+    inside = F.col(config.LEAGUE).eqNullSafe(F.lit(target[config.LEAGUE]))
+    league = games.filter(inside)
     swap = {"PTS_home": F.col("PTS_away"), "PTS_away": F.col("PTS_home"), config.LABEL: F.lit(1) - F.col(config.LABEL)}
-    flipped = games.select(*[F.when(t, swap[c]).otherwise(F.col(c)).alias(c) if c in swap else F.col(c) for c in games.columns])
-    before = feat.build_features(games) if before is None else before
-    d = differing(before, feat.build_features(flipped), feat.feature_names())
+    flipped = league.select(*[F.when(t, swap[c]).otherwise(F.col(c)).alias(c) if c in swap else F.col(c) for c in games.columns])
+    d = differing(feat.build_features(league), feat.build_features(flipped), feat.feature_names())
     teams = [target["HOME_TEAM_ID"], target["VISITOR_TEAM_ID"]]
-    dated = games.select("GAME_ID", ((F.col("GAME_DATE_EST") > F.lit(target["GAME_DATE_EST"])) & (
+    dated = league.select("GAME_ID", ((F.col("GAME_DATE_EST") > F.lit(target["GAME_DATE_EST"])) & (
         F.col("HOME_TEAM_ID").isin(teams) | F.col("VISITOR_TEAM_ID").isin(teams))).alias("later"))
+    both = F.explode(F.array("HOME_TEAM_ID", "VISITOR_TEAM_ID")).alias("team")
+    own = league.select(both).distinct()
+    linked = games.filter(~inside).select(both).join(own, "team", "left_semi").agg(F.count(F.lit(1))).first()[0]
     return d.join(dated, "GAME_ID").agg(
         F.lit(target["GAME_ID"]).cast("bigint").alias("target_game"), _count(t & F.col("differs")).alias("own_row_changed"),
-        _count(F.col("later") & F.col("differs")).alias("later_rows_changed"))
+        _count(F.col("later") & F.col("differs")).alias("later_rows_changed"), F.lit(linked).cast("bigint").alias("linked_outside"))
