@@ -96,15 +96,13 @@ def text_slices(batches, column: int = 0, limit: int = 4 << 20):
 
 
 class Remembered(dict):
-    """key -> ``work(key)``, remembered within ``budget`` bytes: two generations, of
-    which the older goes when the younger holds half of it.  ``cost(key, value)``
-    says about how many bytes an entry takes; long keys are not kept.  Subclasses say
-    what ``work`` is."""
+    """key -> ``work(key)``, remembered within about ``budget`` bytes: two generations,
+    of which the older goes when the younger holds half of it.  An entry takes about
+    ``entry`` bytes; long keys are not kept.  Subclasses say what ``work`` is."""
 
-    def __init__(self, budget: int, cost, longest: int = 64):
-        self.half, self.cost, self.longest = budget // 2, cost, longest
+    def __init__(self, budget: int, entry: int, longest: int = 64):
+        self.most, self.longest = max(1, budget // entry // 2), longest
         self.older: dict = {}
-        self.size = 0
 
     def __missing__(self, key):
         found = self.older.get(key)
@@ -112,10 +110,8 @@ class Remembered(dict):
             found = self.work(key)
             if len(key) > self.longest:
                 return found
-        self.size += self.cost(key, found)
-        if self.size > self.half:
+        if len(self) >= self.most:
             self.older = dict(self)
             self.clear()
-            self.size = 0
         self[key] = found
         return found

@@ -36,7 +36,7 @@ CAPACITY = 4096
 END_ID = 1
 UNIT = 1 << 16
 GAP = 8
-MEMO_BYTES = 64 << 20  # of words whose ids a task keeps
+MEMO_BYTES = 160 << 20  # of words whose ids a task keeps
 
 
 def tokeniser_file(name: str = "word_bpe_49k.json") -> str:
@@ -64,8 +64,7 @@ class _Ids(Remembered):
         import os
         import re
         from struct import Struct
-        # two byte strings and a place in a dict
-        super().__init__(memo_bytes, lambda word, ids: 180 + len(word) + len(ids))
+        super().__init__(memo_bytes, 220)  # two byte strings and a place in a dict
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         tokeniser = Tokenizer.from_str(data.decode())
