@@ -145,3 +145,23 @@ def test_elo_fold_by_hand(spark):
     # game 5 (2003, one season skipped): regressed once, not twice
     assert e.loc[5, "home_elo_pre"] == pytest.approx(1500 + 0.75 * (e.loc[4, "away_elo_post"] - 1500))
     assert e.loc[4, "diff_elo"] == pytest.approx(e.loc[4, "home_elo_pre"] - e.loc[4, "away_elo_pre"])
+
+
+@pytest.mark.parametrize("limit", [211, 1 << 16])
+def test_layout_follows_the_longest_series(spark, limit, monkeypatch):
+    """Short series run on plain windows, without month rows and checkpoints; a series
+    longer than a segment is cut.  The values are the same."""
+    from pregame.operators import segments
+    monkeypatch.setattr(segments, "CHUNK_ROWS", limit)
+    day = D(2000, 1, 1)
+    rows = [(i, day + dt.timedelta(days=i % 450), 2000 + i % 450 // 365, 1 + i % 2, 2 - i % 2, 90.0 + i % 17, 95.0, i % 3 // 2) for i in range(500)]
+    long = views.team_game_view(games_df(spark, rows))
+    got = windows.team_features(long)
+    plan = got._jdf.queryExecution().toString()
+    assert ("_seg" in plan) == (limit == 211)
+    names = ["GAME_ID", "team", *windows.engineered_names()]
+    whole, cut = (windows.team_features(long, split=split).select(*names).orderBy("GAME_ID", "team").toPandas() for split in (False, True))
+    pd.testing.assert_frame_equal(got.select(*names).orderBy("GAME_ID", "team").toPandas(), cut, check_dtype=False, rtol=1e-12)
+    pd.testing.assert_frame_equal(whole, cut, check_dtype=False, rtol=1e-12)
+    h = [windows.with_head_to_head(games_df(spark, rows), split=x).orderBy("GAME_ID").toPandas().h2h_home_winrate for x in (None, True)]
+    pd.testing.assert_series_equal(*h, rtol=1e-12)
