@@ -50,7 +50,7 @@ def train_job(spark: SparkSession, games: DataFrame, workdir: str, tune: bool =
     cols = feat.feature_names()
     warm = feat.warmup_drop(table)
     train, test = feat.time_split(warm)
-    results = models.train_all(train, test, cols, tune=tune, **search)
+    results = models.train_all(train, test, cols, tune=tune, stored=True, **search)
     out = report.evaluate_report(spark, results, train, test, cols, f"{workdir}/reports")
     _, best = models.select_best(results)
     models.save_artifacts(spark, best["model"], cols, f"{workdir}/artifacts")

@@ -213,3 +213,19 @@ def test_order_statistics(spark):
     for c in ("hot", "holes"):
         values = [v for v in cols[c] if v is not None and not math.isnan(v)]
         assert all(q[c, p] == pytest.approx(float(np.quantile(values, p))) for p in (0.1, 0.5, 1.0))
+
+
+def test_a_fits_partitions_follow_its_rows(spark, split, monkeypatch):
+    """Vectors dealt over many partitions are fitted in few; the rows stay whole."""
+    train, _ = split
+    spread = train.repartition(24)
+    seen = []
+    monkeypatch.setattr(models, "ROWS_PER_TASK", max(1, train.count() // 3))
+
+    class Looked:
+        def fit(self, vectors):
+            seen.append((vectors.rdd.getNumPartitions(), vectors.count()))
+            return models.VectorAssembler(inputCols=["x"], outputCol="y")
+    models.fit_prepared(Looked(), spread, ["diff_elo"], {"diff_elo": 0.0})
+    (parts, rows), = seen
+    assert parts <= 4 and rows == train.count()
