@@ -247,7 +247,10 @@ def with_runs(docs: DataFrame, text_col: str = "text", digest: bool = False) ->
     joined by one space (``digest``: collapsed_sha256 instead)."""
     name = "collapsed_sha256" if digest else "collapsed"
     rest = replacing(docs, [text_col, "runs", name])
-    d = docs.select(F.col(quoted(text_col)).cast("binary").alias("_text"), *[F.col(quoted(c)) for c in rest.columns])
+    own = "_text"  # a name that no other column has
+    while own in {c.lower() for c in rest.columns}:
+        own = f"_{own}"
+    d = docs.select(F.col(quoted(text_col)).cast("binary").alias(own), *[F.col(quoted(c)) for c in rest.columns])
     schema = T.StructType([*rest.schema.fields, T.StructField("runs", T.ArrayType(RUN)), T.StructField(name, T.StringType())])
     return d.mapInArrow(_worker(digest), schema)
 
