@@ -229,3 +229,31 @@ def test_a_fits_partitions_follow_its_rows(spark, split, monkeypatch):
     models.fit_prepared(Looked(), spread, ["diff_elo"], {"diff_elo": 0.0})
     (parts, rows), = seen
     assert parts <= 4 and rows == train.count()
+
+
+def test_vectors_lie_ready_before_a_fit(spark, split, monkeypatch):
+    """All partitions of the vectors are held when a fit begins, so that its tasks are
+    spread as they were; their number stops growing at a few for each core."""
+    train, _ = split
+    spark.catalog.clearCache()
+    held = []
+
+    class Looked:
+        def fit(self, vectors):
+            held.extend((i.numCachedPartitions(), i.numPartitions()) for i in spark.sparkContext._jsc.sc().getRDDStorageInfo())
+            return models.VectorAssembler(inputCols=["x"], outputCol="y")
+    models.fit_prepared(Looked(), train, ["diff_elo"], {"diff_elo": 0.0})
+    assert held and all(a == b for a, b in held)
+    monkeypatch.setattr(models, "ROWS_PER_TASK", 1)
+    assert models.fit_tasks(train) == models.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+
+
+def test_few_close_values_need_no_buckets(spark, monkeypatch):
+    """Values a rounding error apart are counted themselves, not narrowed down in a
+    pass for every few bits."""
+    monkeypatch.setattr(ordered, "_bucket", None)
+    close = [1.0 + k * 2.0 ** -52 for k in range(50)] + [-5.0, 1e9, float("inf")]
+    df = spark.createDataFrame([(v,) for v in close + close[:7]], "v double")
+    n, at = ordered.order_statistics(df, ["v"], lambda n: [0, 9, 30, n - 1])["v"]
+    values = sorted(close + close[:7])
+    assert n == len(values) and at == {r: values[r] for r in (0, 9, 30, n - 1)}
