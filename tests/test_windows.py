@@ -165,3 +165,21 @@ def test_layout_follows_the_longest_series(spark, limit, monkeypatch):
     pd.testing.assert_frame_equal(whole, cut, check_dtype=False, rtol=1e-12)
     h = [windows.with_head_to_head(games_df(spark, rows), split=x).orderBy("GAME_ID").toPandas().h2h_home_winrate for x in (None, True)]
     pd.testing.assert_series_equal(*h, rtol=1e-12)
+
+
+def test_tasks_follow_the_rows(spark, monkeypatch):
+    """Windows, ratings and the feature table run over as many tasks as their rows call
+    for, whatever the session's number of shuffle partitions; the values stay."""
+    from pregame.operators import elo, features, segments
+    day = D(2000, 1, 1)
+    rows = [(i, day + dt.timedelta(days=i % 450), 2000 + i % 450 // 365, i % 60, (i + 1) % 60, 90.0 + i % 17, 95.0, i % 3 // 2) for i in range(600)]
+    games = games_df(spark, rows).withColumn("LEAGUE", F.lit(0).cast("bigint")).persist()
+    before = features.build_features(games).orderBy("GAME_ID").toPandas()
+    monkeypatch.setattr(segments, "ROWS_PER_TASK", 50)
+    parts = lambda df: df.rdd.getNumPartitions()
+    long = views.team_game_view(games)
+    assert parts(windows.team_features(long)) == parts(windows.team_features(long, split=False)) == 24
+    assert parts(windows.with_head_to_head(games)) == parts(elo.elo_ratings(games)) == 12
+    got = features.build_features(games)
+    assert parts(got) == 24
+    pd.testing.assert_frame_equal(got.orderBy("GAME_ID").toPandas(), before, rtol=1e-12)
