@@ -55,3 +55,21 @@ def test_scratch_tables_live_under_the_checkpoint_folder(spark):
     root = ensure_checkpoint_dir(spark)
     assert root and sinks.scratch_path(spark, "x").startswith(root.rstrip("/"))
     assert spark.sparkContext.getCheckpointDir() == root
+
+
+def test_a_scans_shuffle_holds_no_rows(spark, monkeypatch, tmp_path):
+    """Orders and items meet over no more tasks than a shuffle may have that writes its
+    rows straight to files, however many there are; the rows stay whole."""
+    from datetime import datetime
+
+    from pregame.operators import segments
+    monkeypatch.setattr(segments, "ROWS_PER_TASK", 1)
+    spark.createDataFrame([(k, k % 30, datetime(1999, 1, 1 + k % 28)) for k in range(300)],
+                          "o_orderkey long, o_custkey long, o_orderdate timestamp").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(k, n, 10.0 * n, 0.1) for k in range(300) for n in (1, 2)],
+                          "l_orderkey long, l_linenumber int, l_quantity double, l_discount double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    g = tables.games_from_tables(spark, str(tmp_path))
+    assert g.rdd.getNumPartitions() <= 200
+    rows = g.collect()
+    assert sorted(r.GAME_ID for r in rows) == list(range(300))
+    assert all(r.PTS_home == 93 + 3 * (r.GAME_ID % 10) and r.AST_home == r.AST_away == 1 for r in rows)
