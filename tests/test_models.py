@@ -257,3 +257,42 @@ def test_few_close_values_need_no_buckets(spark, monkeypatch):
     n, at = ordered.order_statistics(df, ["v"], lambda n: [0, 9, 30, n - 1])["v"]
     values = sorted(close + close[:7])
     assert n == len(values) and at == {r: values[r] for r in (0, 9, 30, n - 1)}
+
+
+def test_a_fits_pass_is_one_wave_of_tasks(spark, split, monkeypatch):
+    """However many rows, a fit has no more partitions, each with an aggregate of all
+    bins for every tree level, than there are cores."""
+    train, _ = split
+    monkeypatch.setattr(models, "ROWS_PER_TASK", 1)
+    assert models.fit_tasks(train) == spark.sparkContext.defaultParallelism
+
+
+def test_one_set_of_vectors_at_a_time(spark, split, monkeypatch):
+    """The regression's vectors are gone when the trees' are made."""
+    train, test = split
+    made, real = [], models.prepared
+
+    def watched(*args, **kw):
+        assert all(not v.is_cached for v in made)
+        stages, vectors = real(*args, **kw)
+        made.append(vectors)
+        return stages, vectors
+    monkeypatch.setattr(models, "prepared", watched)
+    cols = ["diff_elo", "diff_season_winrate"]
+    res = models.train_all(train, test, cols, tune=False, gbt_params={**models.DEFAULT_GBT, "n_estimators": 2})
+    assert len(made) == 2 and len(res) == 3
+
+
+def test_values_are_counted_over_partitions(spark):
+    """Buckets and single values of one column, dealt over partitions of which some
+    hold none of it."""
+    values = [float(i * i % 9973) for i in range(9000)] + [-0.0, 0.0]
+    df = spark.createDataFrame([(v, None if i % 100 else v) for i, v in enumerate(values)], "a double, b double").repartition(7)
+    df = df.unionByName(spark.createDataFrame([(None, None)] * 3, "a double, b double"))
+    got = ordered.order_statistics(df, ["a", "b"], lambda n: [0, 1, n // 2, n - 1])
+    for c, want in (("a", sorted(values)), ("b", sorted(v for i, v in enumerate(values) if i % 100 == 0))):
+        n, at = got[c]
+        assert n == len(want) and at == {r: want[r] for r in {0, 1, n // 2, n - 1}}
+    # a pass makes no row of every value of every column
+    plan = ordered._counts(df, [("a", 0.0, 9972.0, True)])._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "Generate" not in plan
