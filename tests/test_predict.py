@@ -30,6 +30,24 @@ def test_resolution_paths(spark, teams):
                    (None, "unresolved"), (None, "unresolved")]
 
 
+def test_requests_by_id_read_no_names(spark):
+    read = F.udf(lambda i: 1 // 0 and "", "string")  # a name that can't be read
+    dim = spark.range(20).select(F.col("id").alias("TEAM_ID"), *[read("id").alias(c) for c in resolve.NAME_COLUMNS])
+    assert _resolve(spark, dim, ["7", " 07 ", "99", None]) == [(7, "id"), (7, "id"), (None, "unresolved"), (None, "unresolved")]
+    with pytest.raises(Exception, match="ZeroDivisionError|division"):
+        _resolve(spark, dim, ["7", "name"])
+
+
+def test_teams_lie_in_a_part_for_every_core(spark, tmp_path):
+    from pregame import catalog
+    spark.createDataFrame([(i, f"Customer#{i}", 0, 0.0, "A") for i in range(50)],
+                          "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(0, "N", 0)], "n_nationkey int, n_name string, n_regionkey int").write.parquet(f"{tmp_path}/nation.parquet")
+    got = catalog.teams_table(spark, str(tmp_path))
+    assert got.count() == 50 and got.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    got.unpersist()
+
+
 def test_id_name_abbreviation_agree(spark, teams):
     row = teams.orderBy("TEAM_ID").first()
     got = _resolve(spark, teams, [str(row.TEAM_ID), row.FULL_NAME, row.ABBREVIATION])
