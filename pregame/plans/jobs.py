@@ -32,11 +32,10 @@ def state_job(spark: SparkSession, games: DataFrame, workdir: str, append: bool
     earlier is read but the last state of every team and pair."""
     path = f"{workdir}/state"
     if append:
-        version = state.versions(spark, path)
-        state.write_state(state.build_state(games, state.read_state(spark, path)), path, version)
+        state.save_state(games, path, state.read_state(spark, path), state.versions(spark, path))
     else:
         sinks.remove(spark, path)
-        state.write_state(state.build_state(games), path)
+        state.save_state(games, path)
     return state.read_state(spark, path)
 
 
